@@ -57,7 +57,11 @@ MESSAGE_DOC = """
         send_times: ARRAY<STRUCT<datetime: STRING>>, created_at: STRING, updated_at: STRING>
 """
 
+# Documents carry more than the snapshot columns; reading to this schema drops the rest.
+INVENTORY_DOC = ", ".join(f"{f.name} {f.type}" for f in INVENTORY_DETAILS.fields)
+
 DOCUMENT_SCHEMAS = {
+    "inventory": INVENTORY_DOC,
     "order": ORDER_DOC,
     "product": PRODUCT_DOC,
     "store_product": STORE_PRODUCT_DOC,

@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.schemas import ORDER_DETAILS
+from granary.schemas import INVENTORY_DETAILS, ORDER_DETAILS
 
 AS_OF = dt.date(2001, 7, 1)
 RANGE_START = dt.date(2001, 6, 29)
@@ -46,41 +46,46 @@ class Tables:
 
     # -- order lines ---------------------------------------------------------------
 
+    # SQL text: a Column needs a running session, which does not exist on import.
     _CUSTOMER_COLUMNS = {
-        "customer_name": F.col("c_name"),
-        "customer_email": F.concat(
-            F.lower(F.translate("c_name", "#", ".")),
-            F.lit("@"),
-            F.lower("c_mktsegment"),
-            F.lit(".example.com"),
-        ),
+        "customer_name": "c_name",
+        "customer_email": "concat(lower(translate(c_name, '#', '.')), '@', "
+        "lower(c_mktsegment), '.example.com')",
     }
     _PLACE_COLUMNS = {
-        "channel_id": F.col("r_regionkey").cast("bigint"),
-        "channel_name": F.col("r_name"),
-        "customer_address_city": F.concat(F.lit("City "), _text("c_nationkey")),
-        "customer_address_state": F.col("n_name"),
-        "customer_address_country": F.col("r_name"),
+        "channel_id": "bigint(r_regionkey)",
+        "channel_name": "r_name",
+        "customer_address_city": "concat('City ', string(c_nationkey))",
+        "customer_address_state": "n_name",
+        "customer_address_country": "r_name",
     }
     _PART_COLUMNS = {
-        "sku": F.concat("p_brand", F.lit("-"), _text("l_partkey")),
-        "sku_name": F.col("p_name"),
-        "inventory_name": F.col("p_name"),
+        "sku": "concat(p_brand, '-', string(l_partkey))",
+        "sku_name": "p_name",
+        "inventory_name": "p_name",
     }
     _LINE_COLUMNS = {
-        "created_date": F.col("o_orderdate"),
-        "purchase_date": F.col("o_orderdate"),
-        "shipbob_order_id": F.col("o_orderkey"),
-        "order_number": _text("o_orderkey"),
-        "order_status": F.col("o_orderstatus"),
-        "order_type": F.col("o_orderpriority"),
-        "product_id": F.col("l_suppkey") * 1000000 + F.col("l_partkey"),
-        "shipping_method": F.col("l_returnflag"),
-        "inventory_id": F.col("l_partkey"),
-        "inventory_qty": F.col("l_quantity").cast("bigint"),
-        "order_date": F.to_date("o_orderdate"),
+        "created_date": "o_orderdate",
+        "purchase_date": "o_orderdate",
+        "shipbob_order_id": "o_orderkey",
+        "order_number": "string(o_orderkey)",
+        "order_status": "o_orderstatus",
+        "order_type": "o_orderpriority",
+        "product_id": "l_suppkey * 1000000 + l_partkey",
+        "shipping_method": "l_returnflag",
+        "inventory_id": "l_partkey",
+        "inventory_qty": "bigint(l_quantity)",
+        "order_date": "to_date(o_orderdate)",
     }
 
+    @classmethod
+    def email(cls) -> Column:
+        return F.expr(cls._CUSTOMER_COLUMNS["customer_email"])
+
+    @classmethod
+    def city(cls) -> Column:
+        return F.expr(cls._PLACE_COLUMNS["customer_address_city"])
+
     @cached_property
     def places(self) -> DataFrame:
         """Nations with their region: 25 rows whatever the scale."""
@@ -103,7 +108,7 @@ class Tables:
             self._LINE_COLUMNS | self._PART_COLUMNS | self._CUSTOMER_COLUMNS | self._PLACE_COLUMNS
         )
 
-        def needs(group: dict[str, Column]) -> bool:
+        def needs(group: dict[str, str]) -> bool:
             return any(c in group for c in wanted)
 
         lines = self.table("lineitem").join(
@@ -117,7 +122,7 @@ class Tables:
             )
         if needs(self._PART_COLUMNS):
             lines = lines.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
-        return lines.select(*[known[c].alias(c) for c in wanted])
+        return lines.select(*[F.expr(known[c]).alias(c) for c in wanted])
 
     def historic_orders(self, *columns: str) -> DataFrame:
         """Lines up to mid 2000; overlaps ``recurring_orders`` by half a year."""
@@ -341,9 +346,9 @@ class Tables:
             ),
             recipient=s(
                 name=F.col("c_name"),
-                email=self._CUSTOMER_COLUMNS["customer_email"],
+                email=self.email(),
                 address=s(
-                    city=self._PLACE_COLUMNS["customer_address_city"],
+                    city=self.city(),
                     state=F.col("n_name"),
                     country=F.col("r_name"),
                 ),
@@ -367,9 +372,10 @@ class Tables:
 
     def inventory_docs(self) -> DataFrame:
         """Snapshot documents carry more than the table keeps."""
-        return self.inventory_snapshots().withColumn(
-            "fulfillable_quantity_by_lot", F.array(F.col("total_fulfillable_quantity"))
-        )
+        rows = self.inventory_snapshots()
+        lots = F.array(self._struct(lot=F.lit("A"), quantity=F.col("total_onhand_quantity")))
+        parts = {c: F.col(c) for c in INVENTORY_DETAILS.columns}
+        return self._document(rows, **parts, fulfillable_quantity_by_lot=lots)
 
     def store_product_docs(self) -> DataFrame:
         """Parts as storefront products. Each listing page is delivered twice."""
@@ -421,7 +427,7 @@ class Tables:
             created_at=F.concat(
                 F.substring(F.col("o_orderdate").cast("string"), 1, 10), F.lit("T21:00:00-04:00")
             ),
-            email=self._CUSTOMER_COLUMNS["customer_email"],
+            email=self.email(),
             subtotal_price=_text(total),
             total_line_items_price=_text(total),
             total_tax=_text(F.lit(1.25)),
@@ -434,7 +440,7 @@ class Tables:
                 F.col("o_orderpriority") != "1-URGENT",
                 s(
                     address1=F.concat(_text("o_custkey"), F.lit(" Main St")),
-                    city=self._PLACE_COLUMNS["customer_address_city"],
+                    city=self.city(),
                     province=F.col("n_name"),
                     country=F.col("r_name"),
                 ),
@@ -499,7 +505,7 @@ class Tables:
     def raw_store_orders(self) -> DataFrame:
         """Storefront headers as text, with the faults real exports contain."""
         status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-        email = self._CUSTOMER_COLUMNS["customer_email"]
+        email = self.email()
         total = _text("o_totalprice")
         stamp = F.concat(
             F.substring(F.col("o_orderdate").cast("string"), 1, 10), F.lit("T23:30:00-04:00")
@@ -525,9 +531,9 @@ class Tables:
             F.when((status == "P") & (priority == "1-URGENT"), F.lit("x"))
             .otherwise(F.lit("0"))
             .alias("total_discounts"),
-            F.when((status != "P") | (priority != "2-HIGH"), F.lit("4.75")).alias(
-                "total_shipping_fee"
-            ),
+            F.when(
+                (status != "P") | ~priority.isin("1-URGENT", "2-HIGH"), F.lit("4.75")
+            ).alias("total_shipping_fee"),
             total.alias("total_price"),
             F.substring(F.col("o_orderdate").cast("string"), 1, 10).alias("order_date"),
             status.alias("internal_note"),
