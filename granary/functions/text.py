@@ -34,7 +34,7 @@ def tidy_value(c: Column) -> Column:
 
 
 def blank_commas(c: Column) -> Column:
-    return F.translate(c, ",", " ")
+    return F.replace(c, F.lit(","), F.lit(" "))
 
 
 def delimiter_safe(c: Column) -> Column:

@@ -85,16 +85,23 @@ def parse_documents(df: DataFrame, kind: str, column: str = "doc") -> DataFrame:
     return df.select(F.from_json(column, _ddl(kind), {"mode": "FAILFAST"}).alias("d")).select("d.*")
 
 
+def _elements(docs: DataFrame, array: str, name: str) -> DataFrame:
+    """One row per array element; documents without elements vanish.
+
+    ``explode`` would let Spark derive a test of the array's size and push it below the
+    parse, where it parses the text a second time. A filter on the element cannot move.
+    """
+    return docs.select("*", F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
 def flatten_orders(docs: DataFrame) -> DataFrame:
     """One row per order x product x inventory item; an order without items vanishes.
 
     A missing channel gives null channel columns. Timestamps keep their wall clock.
     """
-    items = (
-        docs.select("*", F.explode("shipments").alias("shipment"))
-        .select("*", F.explode("shipment.products").alias("product"))
-        .select("*", F.explode("product.inventory_items").alias("item"))
-    )
+    shipments = _elements(docs, "shipments", "shipment")
+    products = _elements(shipments, "shipment.products", "product")
+    items = _elements(products, "product.inventory_items", "item")
     flat = {
         "created_date": dates.wall_clock(F.col("created_date")),
         "purchase_date": dates.wall_clock(F.col("purchase_date")),
@@ -122,7 +129,7 @@ def flatten_orders(docs: DataFrame) -> DataFrame:
 
 def flatten_products(docs: DataFrame) -> DataFrame:
     """One row per product x inventory item it is fulfilled from."""
-    return docs.select("*", F.explode("fulfillable_inventory_items").alias("item")).select(
+    return _elements(docs, "fulfillable_inventory_items", "item").select(
         F.col("id").alias("product_id"),
         "sku",
         F.col("name").alias("sku_name"),
@@ -144,10 +151,9 @@ def active_variants(docs: DataFrame) -> DataFrame:
 
     The listing delivers a product on more than one page, so a variant is kept once.
     """
-    on_sale = (
-        docs.filter(F.col("published_at") != "")
-        .select("*", F.explode("variants").alias("variant"))
-        .filter(F.col("variant.inventory_quantity") > 0)
+    published = docs.filter(F.col("published_at") != "")
+    on_sale = _elements(published, "variants", "variant").filter(
+        F.col("variant.inventory_quantity") > 0
     )
     flat = {
         "product_id": F.col("id"),
@@ -191,7 +197,7 @@ def flatten_store_orders(docs: DataFrame) -> DataFrame:
 
 def flatten_store_line_items(docs: DataFrame) -> DataFrame:
     """Order lines with the header fields carried down."""
-    return docs.select("*", F.explode("line_items").alias("line")).select(
+    return _elements(docs, "line_items", "line").select(
         *_store_header(),
         F.col("line.price").alias("price"),
         F.col("line.quantity").alias("quantity"),
@@ -224,7 +230,7 @@ def flatten_campaigns(docs: DataFrame) -> DataFrame:
 
 def flatten_messages(docs: DataFrame) -> DataFrame:
     """One row per time a message was sent."""
-    return docs.select("*", F.explode("attributes.send_times").alias("sent")).select(
+    return _elements(docs, "attributes.send_times", "sent").select(
         F.col("id").alias("message_id"),
         "attributes.definition.channel",
         "attributes.definition.label",

@@ -1,0 +1,116 @@
+import datetime as dt
+
+import pandas as pd
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from granary.operators import timeseries
+
+START = dt.date(2024, 1, 1)
+SCHEMA = "item string, day date, qty bigint"
+
+
+def frame(spark, cells):
+    return spark.createDataFrame(
+        [(item, START + dt.timedelta(days=offset), qty) for item, offset, qty in cells], SCHEMA
+    )
+
+
+def dense_pandas(cells):
+    offsets = [o for _, o, _ in cells]
+    lo, hi = min(offsets), max(offsets)
+    out = {}
+    for item in {i for i, _, _ in cells}:
+        series = pd.Series(0.0, index=range(lo, hi + 1))
+        for i, o, q in cells:
+            if i == item:
+                series[o] += q
+        out[item] = series
+    return out
+
+
+CELLS = st.lists(
+    st.tuples(st.sampled_from("abc"), st.integers(0, 25), st.integers(0, 50)), min_size=1, max_size=25
+)
+
+
+@settings(max_examples=12, deadline=None)
+@given(CELLS)
+def test_last_ewm_equals_the_dense_series(spark, cells):
+    as_of = START + dt.timedelta(days=40)
+    got = timeseries.ewm_last(frame(spark, cells), ["item"], "day", "qty", as_of)
+    expected = dense_pandas(cells)
+    rows = got.collect()
+    assert {r.item for r in rows} == set(expected)
+    for r in rows:
+        assert r.run_rate == pytest.approx(expected[r.item].ewm(alpha=0.5).mean().iloc[-1], abs=1e-9)
+
+
+@settings(max_examples=8, deadline=None)
+@given(CELLS)
+def test_ewm_series_and_zero_fill_equal_pandas(spark, cells):
+    df = frame(spark, cells)
+    daily = timeseries.daily_totals(df, ["item"], "day", "qty")
+    dense = timeseries.zero_fill(
+        daily, ["item"], "day", "qty_sold", timeseries.date_bounds(df, "day")
+    )
+    lo = START + dt.timedelta(days=min(o for _, o, _ in cells))
+    hi = START + dt.timedelta(days=max(o for _, o, _ in cells))
+    got = timeseries.ewm_series(dense, ["item"], "day", "qty_sold", lo, hi).toPandas()
+    expected = dense_pandas(cells)
+    assert len(got) == sum(len(s) for s in expected.values())
+    for item, series in expected.items():
+        mine = got[got["item"] == item].sort_values("day")
+        assert mine["qty_sold"].tolist() == series.tolist()
+        assert mine["ewm"].tolist() == pytest.approx(series.ewm(alpha=0.5).mean().tolist(), abs=1e-9)
+
+
+def test_own_bounds_fill_only_between_first_and_last(spark, rows):
+    df = frame(spark, [("a", 0, 5), ("a", 3, 7), ("b", 9, 1)])
+    dense = timeseries.zero_fill(df, ["item"], "day", "qty")
+    day = lambda n: START + dt.timedelta(days=n)
+    assert rows(dense, "item", "day") == [
+        ("a", day(0), 5), ("a", day(1), 0), ("a", day(2), 0), ("a", day(3), 7), ("b", day(9), 1),
+    ]
+
+
+def test_other_smoothing_factor(spark):
+    cells = [("a", 0, 3), ("a", 4, 10), ("b", 7, 2)]
+    got = timeseries.ewm_last(frame(spark, cells), ["item"], "day", "qty", START, alpha=0.3)
+    expected = dense_pandas(cells)
+    for r in got.collect():
+        assert r.run_rate == pytest.approx(expected[r.item].ewm(alpha=0.3).mean().iloc[-1], abs=1e-9)
+
+
+def test_null_quantity_counts_as_zero(spark, rows):
+    df = frame(spark, [("a", 0, None), ("a", 0, 4)])
+    assert rows(timeseries.daily_totals(df, ["item"], "day", "qty"))[0][2] == 4
+    assert timeseries.ewm_last(df, ["item"], "day", "qty", START).first().run_rate == 4.0
+
+
+def test_shape_of_short_and_constant_series(spark):
+    def shape(*quantities):
+        cells = [("a", i, q) for i, q in enumerate(quantities)]
+        daily = timeseries.daily_totals(frame(spark, cells), ["item"], "day", "qty")
+        row = timeseries.demand_shape(daily, ["item"], "day", "qty_sold").first()
+        return row["days"], row["skew"], row["kurtosis"]
+
+    assert shape(3, 4) == (2, None, None)
+    days, skew, kurtosis = shape(1, 2, 6)
+    assert (days, kurtosis) == (3, None) and skew == pytest.approx(pd.Series([1, 2, 6]).skew())
+    assert shape(7, 7, 7, 7, 7) == (5, 0.0, 0.0)
+    assert shape(0, 0, 0, 0) == (4, 0.0, 0.0)
+
+
+def test_series_length_is_checked(spark):
+    with pytest.raises(ValueError, match="exceeds"):
+        timeseries.ewm_series(frame(spark, [("a", 0, 1)]), ["item"], "day", "qty", "2000-01-01", "2005-01-01")
+
+
+def test_series_uses_no_python_and_no_product(spark):
+    df = frame(spark, [("a", 0, 1), ("b", 5, 2)])
+    dense = timeseries.zero_fill(df, ["item"], "day", "qty", timeseries.date_bounds(df, "day"))
+    plan = dense._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "NestedLoop" not in plan and "CartesianProduct" not in plan

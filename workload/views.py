@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +39,21 @@ def _days(values: tuple[str, ...]) -> Column:
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
+
+    def spread(self, name: str) -> DataFrame:
+        """A table for row-by-row work. One lone file is often one row group, hence one
+        task, so its rows are dealt out to all cores first; a table of several files is
+        read as it is."""
+        df = self.table(name)
+        if len(df.inputFiles()) > 1:
+            return df
+        return df.repartition(self.spark.sparkContext.defaultParallelism)
 
     # -- order lines ---------------------------------------------------------------
 
@@ -86,20 +97,16 @@ class Tables:
     def city(cls) -> Column:
         return F.expr(cls._PLACE_COLUMNS["customer_address_city"])
 
-    @cached_property
-    def places(self) -> DataFrame:
-        """Nations with their region: 25 rows whatever the scale."""
-        return self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
-        )
-
-    def customers(self, with_place: bool = True) -> DataFrame:
-        customer = self.table("customer")
-        if not with_place:
-            return customer
-        return customer.join(
-            F.broadcast(self.places), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-        )
+    def _with_customers(self, orders: DataFrame, with_place: bool = True) -> DataFrame:
+        """Add customer columns, and nation and region columns, to rows with o_custkey.
+        Every lookup side is a bare table, so Spark sizes it correctly when it decides
+        whether to broadcast."""
+        out = orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+        if with_place:
+            out = out.join(
+                self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+            ).join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        return out
 
     def order_details(self, *columns: str) -> DataFrame:
         """Order lines with the given columns, or all of the declared ones."""
@@ -115,11 +122,7 @@ class Tables:
             self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
         )
         if needs(self._CUSTOMER_COLUMNS) or needs(self._PLACE_COLUMNS):
-            lines = lines.join(
-                self.customers(needs(self._PLACE_COLUMNS)),
-                F.col("o_custkey") == F.col("c_custkey"),
-                "left",
-            )
+            lines = self._with_customers(lines, needs(self._PLACE_COLUMNS))
         if needs(self._PART_COLUMNS):
             lines = lines.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
         return lines.select(*[F.expr(known[c]).alias(c) for c in wanted])
@@ -301,9 +304,7 @@ class Tables:
         return F.struct(*[c.alias(n) for n, c in parts.items()])
 
     def orders_with_customers(self) -> DataFrame:
-        return self.table("orders").join(
-            self.customers(), F.col("o_custkey") == F.col("c_custkey"), "left"
-        )
+        return self._with_customers(self.spread("orders"))
 
     def order_docs(self) -> DataFrame:
         """Every order as a document: two products of two and one items in two shipments.
@@ -478,7 +479,7 @@ class Tables:
         )
         empty = F.filter(times, lambda _: F.lit(False))
         return self._document(
-            self.table("events"),
+            self.spread("events"),
             id=_text("event_id"),
             attributes=s(
                 definition=s(
@@ -516,7 +517,7 @@ class Tables:
             .when(priority == "2-HIGH", F.lit("not-an-email"))
             .when(priority != "3-MEDIUM", email)
             .alias("email"),
-            F.when((status == "O") & (priority == "5-LOW"), F.lit("yesterday"))
+            F.when((status == "O") & (priority == "5-LOW"), F.lit("not a time"))
             .otherwise(stamp)
             .alias("created_at"),
             F.concat(_text("o_custkey"), F.lit(", Main St")).alias("shipping_address"),
@@ -542,7 +543,7 @@ class Tables:
     def raw_store_lines(self) -> DataFrame:
         """Storefront lines as text, with delimiters, blanks and zone offsets."""
         flag = F.col("l_returnflag")
-        return self.table("lineitem").select(
+        return self.spread("lineitem").select(
             _text("l_orderkey").alias("order_id"),
             F.when(flag == "R", F.lit("")).when(flag == "N", F.lit("a@b@c"))
             .otherwise(F.concat(F.lit("buyer"), _text("l_suppkey"), F.lit("@example.com")))
