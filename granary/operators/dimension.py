@@ -22,7 +22,7 @@ def single_and_repeated(changes: DataFrame, key: str = KEY) -> tuple[DataFrame,
     )
     single = per_key.filter("_n = 1").select(*changes.columns)
     repeated_keys = changes.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1").select(key)
-    repeated = changes.join(repeated_keys, key, "left_semi")
+    repeated = changes.join(repeated_keys, key, "left_semi").select(*changes.columns)
     return single, repeated
 
 

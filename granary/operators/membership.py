@@ -42,7 +42,7 @@ def active_sku_flag(
 
 def with_flag(df: DataFrame, flags: DataFrame, key: str, flag: str) -> DataFrame:
     """Carry a per-key flag onto rows; keys without a flag get 0."""
-    return df.join(flags, key, "left").withColumn(flag, F.coalesce(flag, F.lit(0)))
+    return df.join(flags, key, "left").select(*df.columns, F.coalesce(flag, F.lit(0)).alias(flag))
 
 
 def conflicting_flags(df: DataFrame, key: str, flag: str) -> DataFrame:
@@ -71,4 +71,5 @@ def history_union(
     kept = recurring if recurring_filter is None else recurring.filter(recurring_filter)
     # Distinct keys: the anti join needs each order once, however many lines it has.
     captured = kept.select(key).distinct()
-    return history.join(captured, key, "left_anti").unionByName(kept)
+    missed = history.join(captured, key, "left_anti").select(*history.columns)
+    return missed.unionByName(kept)

@@ -56,7 +56,7 @@ def refresh_days(rows: DataFrame, root: str) -> None:
         touched = rows.select(DAY).distinct()
         orders = rows.select(ORDER).distinct()
         kept = existing.join(touched, DAY, "left_semi").join(orders, ORDER, "left_anti")
-        refreshed = kept.unionByName(rows)
+        refreshed = kept.select(*rows.columns).unionByName(rows)
     sinks.write_parquet_by(refreshed, root, [DAY])
 
 

@@ -1,0 +1,272 @@
+import datetime as dt
+import json
+import pathlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from granary.operators import dimension
+from granary.plans import publish
+from granary.schemas import (
+    DAILY_ORDER_COUNT, FORMULAS, ORDER_DETAILS, PRODUCT_METADATA, RAW_MATERIAL_STATUS, RUN_RATE_MART,
+    STORE_LINE_ITEMS, Entity, Field,
+)
+from granary.sources import scans, sinks
+from granary.streaming import landing
+
+D = dt.date
+COUNTS = "channel_id string, channel_name string, order_cnt bigint"
+
+
+def lines(spark, *cells):
+    """(order id, purchase time, item, quantity)"""
+    base = {f.name: {"bigint": 1, "timestamp_ntz": None}.get(f.type, f.name) for f in ORDER_DETAILS.fields}
+    out = []
+    for order, when, item, quantity in cells:
+        row = base | {"created_date": when, "purchase_date": when, "shipbob_order_id": order,
+                      "order_number": str(order), "inventory_id": item, "inventory_qty": quantity}
+        out.append(tuple(row.values()))
+    return spark.createDataFrame(out, ORDER_DETAILS.struct())
+
+
+T1, T2, T3 = (dt.datetime(2024, 1, d, 23, 30) for d in (1, 2, 3))
+
+
+def test_days_are_written_in_one_partitioned_pass(spark, tmp_path, rows):
+    root = str(tmp_path / "orders")
+    data = lines(spark, (1, T1, 1, 5), (2, T2, 1, 6), (3, T3, 1, 7)).withColumn("sku", F.lit('a,"b"\nc'))
+    sinks.write_orders_by_day(data, root, "2024-01-01", "2024-01-02")
+    assert sorted(p.name for p in pathlib.Path(root).glob("order_date=*")) == ["order_date=2024-01-01", "order_date=2024-01-02"]
+    back = scans.read_csv_table(spark, root, ORDER_DETAILS)
+    assert back.columns == [*ORDER_DETAILS.columns, "order_date"]
+    got = rows(back.select("shipbob_order_id", "purchase_date", "sku", "inventory_qty", "order_date"), "shipbob_order_id")
+    assert got == [(1, T1, "a;'b' c", 5, D(2024, 1, 1)), (2, T2, "a;'b' c", 6, D(2024, 1, 2))]
+    # Re-running one day replaces that day only.
+    sinks.write_orders_by_day(lines(spark, (9, T2, 1, 1)), root)
+    again = scans.read_csv_table(spark, root, ORDER_DETAILS)
+    assert rows(again.select("shipbob_order_id"), "shipbob_order_id") == [(1,), (9,)]
+    header = next(pathlib.Path(root, "order_date=2024-01-01").glob("*.csv")).read_text().splitlines()[0]
+    assert header == ",".join(ORDER_DETAILS.columns)
+
+
+def test_year_month_day_layout(spark, tmp_path, rows):
+    root = str(tmp_path / "store")
+    df = spark.createDataFrame([(1, D(2024, 3, 7)), (2, D(2024, 11, 12))], "order_id bigint, order_date date")
+    sinks.write_csv_by_ymd(df, root, "order_date")
+    assert pathlib.Path(root, "year=2024/month=03/day=07").is_dir()
+    entity = Entity("s", (Field("order_id", "bigint"), Field("order_date", "date")), STORE_LINE_ITEMS.partition)
+    back = scans.with_day_from_parts(scans.read_csv_table(spark, root, entity), "day_read")
+    assert rows(back.select("order_id", "day_read", "month"), "order_id") == [
+        (1, D(2024, 3, 7), "03"), (2, D(2024, 11, 12), "11"),
+    ]
+
+
+def test_json_lines_by_load_day(spark, tmp_path, rows):
+    root = str(tmp_path / "campaigns")
+    df = spark.createDataFrame([("1", ["a"]), ("2", [])], "campaign_id string, included_audience array<string>")
+    sinks.write_json_lines(df, root, "2024-01-02")
+    sinks.write_json_lines(df.limit(1), root, "2024-01-03")
+    sinks.write_json_lines(df, root, "2024-01-02")
+    back = spark.read.schema("campaign_id string, included_audience array<string>, load_dt date").json(root)
+    assert rows(back.groupBy("load_dt").count(), "load_dt") == [(D(2024, 1, 2), 2), (D(2024, 1, 3), 1)]
+
+
+def test_json_table_round_trip(spark, tmp_path, rows):
+    path = str(tmp_path / "orders_json")
+    data = lines(spark, (1, T1, 1, 5))
+    sinks.split_by_day(data, "purchase_date", "order_date").write.partitionBy("order_date").json(path)
+    assert rows(scans.read_json_table(spark, path, ORDER_DETAILS).drop("order_date")) == rows(data)
+
+
+def test_exports_are_named_by_position_or_by_header(spark, tmp_path):
+    recipe = tmp_path / "recipes.csv"
+    recipe.write_text(",".join(f"Col {i}" for i in range(14)) + "\n" + ",".join(str(i) for i in range(14)) + "\n")
+    df = scans.read_formulas_export(spark, str(recipe))
+    assert df.columns == FORMULAS.columns and df.first().quantity_required == "11"
+    mos = tmp_path / "mos.csv"
+    mos.write_text("MO #,Planned quantity (of product)\nM1,3\n")
+    assert scans.read_export(spark, str(mos)).columns == ["mo", "planned_quantity_of_product"]
+
+
+def counts(spark, *cells):
+    return spark.createDataFrame([(str(c), f"ch {c}", n) for c, n in cells], COUNTS)
+
+
+def test_publishing_twice_equals_once(spark, tmp_path, rows):
+    root, staging = str(tmp_path / "final"), str(tmp_path / "staging")
+
+    def table():
+        return rows(scans.read_parquet_table(spark, root, DAILY_ORDER_COUNT), "order_date", "channel_id")
+
+    publish.publish_partition(counts(spark, (1, 5)), DAILY_ORDER_COUNT, root, staging, "2024-01-01")
+    publish.publish_partition(counts(spark, (1, 6), (2, 7)), DAILY_ORDER_COUNT, root, staging, "2024-01-02")
+    once = table()
+    publish.publish_partition(counts(spark, (1, 6), (2, 7)), DAILY_ORDER_COUNT, root, staging, "2024-01-02")
+    assert table() == once and len(once) == 3
+    # An empty report empties its own partition only.
+    publish.publish_partition(counts(spark, (1, 1)).limit(0), DAILY_ORDER_COUNT, root, staging, "2024-01-02")
+    assert table() == once[:1]
+    assert list(pathlib.Path(root).rglob("*.gz.parquet"))
+
+
+def test_a_report_may_read_the_table_it_replaces(spark, tmp_path, rows):
+    root, staging = str(tmp_path / "final"), str(tmp_path / "staging")
+    publish.publish_partition(counts(spark, (1, 5)), DAILY_ORDER_COUNT, root, staging, "2024-01-01")
+    old = scans.read_parquet_table(spark, root, DAILY_ORDER_COUNT)
+    publish.publish_partition(old.withColumn("order_cnt", F.col("order_cnt") + 1), DAILY_ORDER_COUNT, root, staging, "2024-01-01")
+    assert rows(scans.read_parquet_table(spark, root, DAILY_ORDER_COUNT)) == [("1", "ch 1", 6, D(2024, 1, 1))]
+
+
+def test_failed_report_leaves_the_table(spark, tmp_path, rows):
+    root, staging = str(tmp_path / "final"), str(tmp_path / "staging")
+    publish.publish_partition(counts(spark, (1, 5)), DAILY_ORDER_COUNT, root, staging, "2024-01-01")
+    broken = counts(spark, (1, 5)).withColumn("order_cnt", F.raise_error(F.lit("boom")).cast("bigint"))
+    with pytest.raises(Exception, match="boom"):
+        publish.publish_partition(broken, DAILY_ORDER_COUNT, root, staging, "2024-01-01")
+    assert len(rows(scans.read_parquet_table(spark, root, DAILY_ORDER_COUNT))) == 1
+
+
+def test_range_publish_keeps_other_days(spark, tmp_path, rows):
+    root = str(tmp_path / "counts")
+    first = counts(spark, (1, 5)).withColumn("order_date", F.explode(F.array(F.lit(D(2024, 1, 1)), F.lit(D(2024, 1, 2)))))
+    publish.publish_range(first, DAILY_ORDER_COUNT, root)
+    publish.publish_range(counts(spark, (1, 9)).withColumn("order_date", F.lit(D(2024, 1, 2))), DAILY_ORDER_COUNT, root)
+    got = rows(spark.read.parquet(root).select("order_cnt", "order_date"), "order_date")
+    assert got == [(5, D(2024, 1, 1)), (9, D(2024, 1, 2))]
+
+
+def test_full_publish_replaces(spark, tmp_path, rows):
+    root = str(tmp_path / "full")
+    publish.publish_full(counts(spark, (1, 5), (2, 6)), DAILY_ORDER_COUNT, root)
+    publish.publish_full(counts(spark, (3, 7)), DAILY_ORDER_COUNT, root)
+    assert rows(spark.read.parquet(root)) == [("3", "ch 3", 7)]
+
+
+def test_conform_orders_casts_and_fails_on_missing(spark):
+    df = spark.createDataFrame([("7", "x", 1)], "order_cnt string, channel_name string, channel_id int")
+    out = publish.conform(df, DAILY_ORDER_COUNT)
+    assert out.schema.simpleString() == DAILY_ORDER_COUNT.struct().simpleString()
+    assert tuple(out.first()) == ("1", "x", 7)
+    with pytest.raises(Exception, match="channel_id"):
+        publish.conform(df.drop("channel_id"), DAILY_ORDER_COUNT)
+
+
+def test_catalog_tables(spark, tmp_path, rows):
+    root = str(tmp_path / "mart")
+    publish.create_table(spark, DAILY_ORDER_COUNT, "mart_counts", root)
+    publish.create_table(spark, DAILY_ORDER_COUNT, "mart_counts", root)
+    described = {r.col_name: r.comment for r in spark.sql("DESCRIBE mart_counts").collect()}
+    assert described["order_cnt"] == "Distinct orders placed on the day" and "order_date" in described
+    publish.publish_to_table(counts(spark, (1, 5)), DAILY_ORDER_COUNT, "mart_counts", "2024-01-01")
+    publish.publish_to_table(counts(spark, (1, 6)), DAILY_ORDER_COUNT, "mart_counts", "2024-01-02")
+    publish.publish_to_table(counts(spark, (2, 7)), DAILY_ORDER_COUNT, "mart_counts", "2024-01-02")
+    table = spark.table("mart_counts")
+    assert rows(table, "order_date") == [("1", "ch 1", 5, D(2024, 1, 1)), ("2", "ch 2", 7, D(2024, 1, 2))]
+    # Partitions written by path become visible once registered.
+    publish.publish_partition(counts(spark, (3, 8)), DAILY_ORDER_COUNT, root, str(tmp_path / "st"), "2024-01-03")
+    publish.register_partitions(spark, "mart_counts")
+    assert spark.table("mart_counts").count() == 3
+    publish.publish_to_table(counts(spark, (1, 1)).limit(0), DAILY_ORDER_COUNT, "mart_counts", "2024-01-01")
+    assert spark.table("mart_counts").count() == 2
+    spark.sql("DROP TABLE mart_counts")
+
+
+def test_ddl_text():
+    sql = publish.create_table_sql(RUN_RATE_MART, "m", "/data/m")
+    assert "`inventory_id` bigint COMMENT 'Inventory item id'" in sql and "PARTITIONED BY (partition_date)" in sql
+    assert "PARTITIONED" not in publish.create_table_sql(Entity("e", (Field("a", "bigint"),)), "t")
+    assert RAW_MATERIAL_STATUS.partition_columns == ["partition_date"]
+    with pytest.raises(ValueError, match="quotes"):
+        publish.create_table_sql(Entity("e", (Field("a", "bigint", comment="it's"),)), "t")
+    with pytest.raises(ValueError, match="quotes"):
+        publish.create_table_sql(Entity("e", (Field("a", "bigint"),), comment='a "b"'), "t")
+
+
+def test_report_parameters_are_bound_not_pasted(spark):
+    sql = "SELECT :day AS day, :name AS name"
+    row = publish.report_query(spark, sql, day=D(2024, 1, 1), name="x' OR '1'='1").first()
+    assert tuple(row) == (D(2024, 1, 1), "x' OR '1'='1")
+
+
+AT = dt.datetime(2024, 5, 1, 8)
+OLD = dt.datetime(2024, 1, 1)
+
+
+def products(spark, *cells):
+    return spark.createDataFrame(
+        [(i, n, s, "v", "t", False, False, OLD, OLD) for i, n, s in cells], PRODUCT_METADATA.struct()
+    )
+
+
+def test_upsert(spark, rows):
+    current = products(spark, (1, "a", "S"), (2, "b", "S"), (4, "d", "S"))
+    changes = products(spark, (2, "B", None), (3, "c", "L"), (4, "x", "L"), (4, "y", "L"))
+    merged, rejected = dimension.upsert(current, changes, AT)
+    got = rows(merged.select("inventory_id", "product_name", "size_variant", "created_at", "updated_at"), "inventory_id")
+    assert got == [(1, "a", "S", OLD, OLD), (2, "B", None, OLD, AT), (3, "c", "L", AT, AT), (4, "d", "S", OLD, OLD)]
+    assert rows(rejected.select("inventory_id", "product_name"), "product_name") == [(4, "x"), (4, "y")]
+
+
+def test_insert_rejects_known_and_repeated(spark, rows):
+    current = products(spark, (1, "a", "S"))
+    merged, rejected = dimension.insert(current, products(spark, (1, "A", "S"), (2, "b", "S"), (3, "c", "S"), (3, "d", "S")), AT)
+    assert rows(merged.select("inventory_id", "product_name"), "inventory_id") == [(1, "a"), (2, "b")]
+    assert rows(rejected.select("inventory_id", "product_name"), "product_name") == [(1, "A"), (3, "c"), (3, "d")]
+    assert [r.inventory_id for r in dimension.listing(merged).collect()] == [2, 1]
+
+
+def delivery(order_id, day, *items):
+    return json.dumps({
+        "id": order_id, "created_date": f"2024-01-0{day}T23:30:00-04:00", "purchase_date": f"2024-01-0{day}T23:30:00-04:00",
+        "order_number": str(order_id), "status": "s", "type": "t", "shipping_method": "m", "channel": {"id": 1, "name": "c"},
+        "recipient": {"name": "n", "email": "e", "address": {"city": "c", "state": "s", "country": "u"}},
+        "shipments": [{"products": [{"id": 1, "sku": "k", "name": "p",
+                                     "inventory_items": [{"id": i, "name": "i", "quantity": q} for i, q in items]}]}],
+    })
+
+
+def test_landed_files_refresh_only_their_days(spark, tmp_path, rows):
+    inbox, root, check = tmp_path / "inbox", str(tmp_path / "orders"), str(tmp_path / "check")
+    inbox.mkdir()
+
+    def land(name, *documents):
+        (inbox / name).write_text("\n".join(documents))
+        landing.start_refresh(spark, str(inbox), root, check).awaitTermination()
+        table = scans.read_parquet_table(spark, root, ORDER_DETAILS)
+        return rows(table.select("order_date", "shipbob_order_id", "inventory_id", "inventory_qty"),
+                    "order_date", "shipbob_order_id", "inventory_id")
+
+    # Two equal lines of one order are both kept.
+    first = land("1.json", delivery(1, 1, (10, 2), (10, 2)), delivery(2, 2, (10, 3)))
+    assert first == [(D(2024, 1, 1), 1, 10, 2), (D(2024, 1, 1), 1, 10, 2), (D(2024, 1, 2), 2, 10, 3)]
+    untouched = {p: p.stat().st_mtime_ns for p in pathlib.Path(root, "order_date=2024-01-01").glob("*.parquet")}
+    # Order 2 arrives again, changed, together with a new order of the same day.
+    second = land("2.json", delivery(2, 2, (10, 4), (11, 1)), delivery(3, 2, (10, 9)))
+    assert second[2:] == [(D(2024, 1, 2), 2, 10, 4), (D(2024, 1, 2), 2, 11, 1), (D(2024, 1, 2), 3, 10, 9)]
+    assert second[:2] == first[:2]
+    assert untouched == {p: p.stat().st_mtime_ns for p in pathlib.Path(root, "order_date=2024-01-01").glob("*.parquet")}
+    # Nothing new: nothing changes.
+    landing.start_refresh(spark, str(inbox), root, check).awaitTermination()
+    assert spark.read.parquet(root).count() == len(second)
+
+
+def test_reprocessing_a_batch_changes_nothing(spark, tmp_path, rows):
+    root = str(tmp_path / "orders")
+    path = tmp_path / "in.json"
+    path.write_text("\n".join([delivery(1, 1, (10, 2)), delivery(1, 1, (10, 5))]))
+    docs = spark.read.schema(" ".join(landing.payloads.ORDER_DOC.split())).json(str(path)).select(
+        "*", F.lit(AT).alias("_delivered"), F.monotonically_increasing_id().cast("string").alias("_file"))
+    landing.refresh_batch(docs, root)
+    once = rows(spark.read.parquet(root))
+    landing.refresh_batch(docs, root)
+    assert rows(spark.read.parquet(root)) == once and len(once) == 1
+    assert once[0][ORDER_DETAILS.columns.index("inventory_qty")] == 5
+
+
+def test_invalid_delivery_stops_the_batch(spark, tmp_path):
+    path = tmp_path / "in.json"
+    path.write_text(delivery(1, 1, (10, None)))
+    docs = spark.read.schema(" ".join(landing.payloads.ORDER_DOC.split())).json(str(path)).select(
+        "*", F.lit(AT).alias("_delivered"), F.lit("f").alias("_file"))
+    with pytest.raises(ValueError, match="inventory_qty: required"):
+        landing.refresh_batch(docs, str(tmp_path / "orders"))
