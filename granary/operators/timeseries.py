@@ -74,19 +74,15 @@ def ewm_normaliser(days: Column, alpha: float = 0.5) -> Column:
     return (F.lit(1.0) - F.pow(F.lit(1.0 - alpha), days)) / F.lit(alpha)
 
 
-def decayed_quantity(quantity: Column, day: Column, as_of: Column, alpha: float = 0.5) -> Column:
-    """Quantity weighted by its age in days at ``as_of``."""
-    return quantity.cast("double") * F.pow(F.lit(1.0 - alpha), dates.days_between(day, as_of))
+def decayed_quantity(quantity: Column, day: Column, pivot: Column, alpha: float = 0.5) -> Column:
+    """Quantity weighted by its age in days at ``pivot``."""
+    return quantity.cast("double") * F.pow(F.lit(1.0 - alpha), dates.days_between(day, pivot))
 
 
-def ewm_from_decayed(
-    total: Column, as_of: Column, first: Column, last: Column, alpha: float = 0.5
-) -> Column:
+def ewm_from_decayed(total: Column, first: Column, last: Column, alpha: float = 0.5) -> Column:
     """Exponentially weighted mean at ``last`` of the zero-filled series [first, last],
-    from the decayed total at ``as_of``."""
-    rebase = F.pow(F.lit(1.0 - alpha), dates.days_between(last, as_of))
-    length = dates.days_between(first, last) + 1
-    return total / rebase / ewm_normaliser(length, alpha)
+    from the total decayed to ``last``."""
+    return total / ewm_normaliser(dates.days_between(first, last) + 1, alpha)
 
 
 def ewm_last(
@@ -94,18 +90,20 @@ def ewm_last(
     keys: list[str],
     date_column: str,
     quantity: str,
-    as_of: dt.date | str,
     alpha: float = 0.5,
     out: str = "run_rate",
 ) -> DataFrame:
-    """Last value of the exponentially weighted mean per key, in one hash aggregate."""
+    """Last value of the exponentially weighted mean per key, in one hash aggregate.
+
+    All keys span the first to the last date of ``df``; those two dates are known before
+    the aggregate runs, so weights never exceed 1.
+    """
     first, last = date_bounds(df, date_column)
-    pivot = dates.day_lit(as_of)
-    decayed = decayed_quantity(F.coalesce(quantity, F.lit(0)), F.col(date_column), pivot, alpha)
+    decayed = decayed_quantity(F.coalesce(quantity, F.lit(0)), F.col(date_column), last, alpha)
     return (
         df.groupBy(*keys)
         .agg(F.sum(decayed).alias("_decayed"))
-        .select(*keys, ewm_from_decayed(F.col("_decayed"), pivot, first, last, alpha).alias(out))
+        .select(*keys, ewm_from_decayed(F.col("_decayed"), first, last, alpha).alias(out))
     )
 
 

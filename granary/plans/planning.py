@@ -72,7 +72,7 @@ def run_rate(
     stock-out date and restock point."""
     recent = sales_window(orders, as_of, lookback_days, upper_bound)
     rates = timeseries.ewm_last(
-        recent, ["inventory_id"], "order_date", "inventory_qty", as_of, SMOOTHING
+        recent, ["inventory_id"], "order_date", "inventory_qty", SMOOTHING
     )
     stock = _stock_levels(snapshots.snapshot_before(stock_snapshots, as_of))
     joined = rates.join(stock, "inventory_id", "left")
@@ -90,10 +90,9 @@ def run_rate_details(
     """``run_rate`` plus the active flag and the shape of the demand series, which the
     stored table drops. Rate and power sums come from one aggregate."""
     recent = sales_window(orders, as_of, lookback_days, upper_bound)
-    pivot = dates.day_lit(as_of)
     first, last = timeseries.date_bounds(recent, "order_date")
     daily = timeseries.daily_totals(recent, ["inventory_id"], "order_date", "inventory_qty")
-    decayed = timeseries.decayed_quantity(F.col("qty_sold"), F.col("order_date"), pivot, SMOOTHING)
+    decayed = timeseries.decayed_quantity(F.col("qty_sold"), F.col("order_date"), last, SMOOTHING)
     days = F.col("days")
     rates = (
         daily.groupBy("inventory_id")
@@ -103,7 +102,7 @@ def run_rate_details(
         .select(
             "inventory_id",
             timeseries.ewm_from_decayed(
-                F.col("decayed"), pivot, F.col("first_day"), F.col("last_day"), SMOOTHING
+                F.col("decayed"), F.col("first_day"), F.col("last_day"), SMOOTHING
             ).alias("run_rate"),
             moments.sample_skewness(days).alias("skew"),
             moments.sample_excess_kurtosis(days).alias("kurtosis"),
@@ -114,7 +113,7 @@ def run_rate_details(
     joined = membership.with_flag(rates, flags, "inventory_id", "active_sku_fl").join(
         stock, "inventory_id", "left"
     )
-    return _with_stock_metrics(joined, pivot).select(
+    return _with_stock_metrics(joined, dates.day_lit(as_of)).select(
         *RUN_RATE.columns, F.col("active_sku_fl").alias("active_fl"), "skew", "kurtosis"
     )
 
@@ -139,16 +138,7 @@ def run_rate_range(
         F.least(F.date_add(day, lookback_days), dates.day_lit(end)),
     )
     as_of = F.explode(run_days).alias("partition_date")
-    daily = timeseries.daily_totals(recent, ["inventory_id"], "order_date", "inventory_qty")
-    decayed = timeseries.decayed_quantity(
-        F.col("qty_sold"), day, F.col("partition_date"), SMOOTHING
-    )
-    totals = (
-        daily.select("*", as_of)
-        .groupBy("partition_date", "inventory_id")
-        .agg(F.sum(decayed).alias("decayed"))
-    )
-    # One row per run day: bounds of its window.
+    # Bounds of each run day's window: one row per run day, so safe to broadcast.
     bounds = (
         recent.select("order_date")
         .distinct()
@@ -156,17 +146,28 @@ def run_rate_range(
         .groupBy("partition_date")
         .agg(F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
     )
-    rates = totals.join(bounds, "partition_date").select(
-        "partition_date",
-        "inventory_id",
-        timeseries.ewm_from_decayed(
-            F.col("decayed"), F.col("partition_date"), F.col("first_day"), F.col("last_day"), SMOOTHING
-        ).alias("run_rate"),
+    daily = timeseries.daily_totals(recent, ["inventory_id"], "order_date", "inventory_qty")
+    decayed = timeseries.decayed_quantity(F.col("qty_sold"), day, F.col("last_day"), SMOOTHING)
+    keys = ["partition_date", "inventory_id", "first_day", "last_day"]
+    rates = (
+        daily.select("*", as_of)
+        .join(F.broadcast(bounds), "partition_date")
+        .groupBy(*keys)
+        .agg(F.sum(decayed).alias("decayed"))
+        .select(
+            "partition_date",
+            "inventory_id",
+            timeseries.ewm_from_decayed(
+                F.col("decayed"), F.col("first_day"), F.col("last_day"), SMOOTHING
+            ).alias("run_rate"),
+        )
     )
+    # One row per run day again; its partition dates prune the snapshot table.
     calendar = snapshots.snapshot_calendar(stock_snapshots, start, end)
     stock = _stock_levels(
         stock_snapshots.join(
-            calendar.withColumnRenamed("snapshot_date", "partition_date"), "partition_date"
+            F.broadcast(calendar.withColumnRenamed("snapshot_date", "partition_date")),
+            "partition_date",
         ).drop("partition_date"),
         "as_of",
     ).withColumnRenamed("as_of", "partition_date")

@@ -33,10 +33,10 @@ def newest_delivery(docs: DataFrame) -> DataFrame:
     )
 
 
-def order_rows(docs: DataFrame) -> DataFrame:
+def order_rows(lines: DataFrame) -> DataFrame:
     """Valid typed order lines with their partition day; invalid rows stop the batch."""
-    lines = quality.require_valid(payloads.flatten_orders(docs), ORDER_DETAILS)
-    return sinks.split_by_day(lines, "purchase_date", DAY)
+    valid = quality.require_valid(lines, ORDER_DETAILS)
+    return sinks.split_by_day(valid, "purchase_date", DAY)
 
 
 def _existing_rows(spark: SparkSession, root: str) -> DataFrame | None:
@@ -53,7 +53,8 @@ def refresh_days(rows: DataFrame, root: str) -> None:
     existing = _existing_rows(rows.sparkSession, root)
     refreshed = rows
     if existing is not None:
-        touched = rows.select(DAY).distinct()
+        # At most one row per calendar day; as a broadcast it prunes the partitions read.
+        touched = F.broadcast(rows.select(DAY).distinct())
         orders = rows.select(ORDER).distinct()
         kept = existing.join(touched, DAY, "left_semi").join(orders, ORDER, "left_anti")
         refreshed = kept.select(*rows.columns).unionByName(rows)
@@ -62,17 +63,34 @@ def refresh_days(rows: DataFrame, root: str) -> None:
 
 def refresh_batch(docs: DataFrame, root: str) -> None:
     # Read by validation, by the day and order lists and by the write.
-    rows = order_rows(newest_delivery(docs)).persist()
+    lines = payloads.flatten_orders(newest_delivery(docs)).persist()
     try:
-        refresh_days(rows, root)
+        refresh_days(order_rows(lines), root)
     finally:
-        rows.unpersist()
+        lines.unpersist()
+
+
+def checkpoint_location(spark: SparkSession, name: str) -> str:
+    """Folder below the session's shared checkpoint directory."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        raise ValueError("pass a checkpoint folder or set spark.checkpoint.dir")
+    return f"{shared.rstrip('/')}/{name}"
 
 
 def start_refresh(
-    spark: SparkSession, landing: str, root: str, checkpoint: str, max_files_per_trigger: int = 1000
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    checkpoint: str | None = None,
+    max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
-    """Process all files landed since the last run, then stop."""
+    """Process all files landed since the last run, then stop.
+
+    Progress is kept in ``checkpoint``, by default below the cluster's checkpoint folder;
+    it has to be storage that every node can reach.
+    """
+    checkpoint = checkpoint or checkpoint_location(spark, "order_landing")
     docs = (
         spark.readStream.schema(" ".join(payloads.ORDER_DOC.split()))
         .option("mode", "FAILFAST")

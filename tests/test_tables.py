@@ -270,3 +270,15 @@ def test_invalid_delivery_stops_the_batch(spark, tmp_path):
         "*", F.lit(AT).alias("_delivered"), F.lit("f").alias("_file"))
     with pytest.raises(ValueError, match="inventory_qty: required"):
         landing.refresh_batch(docs, str(tmp_path / "orders"))
+
+
+class Session:
+    def __init__(self, **settings):
+        self.conf = settings
+
+
+def test_checkpoint_folder_comes_from_the_session():
+    session = Session(**{"spark.checkpoint.dir": "/shared/checkpoints/"})
+    assert landing.checkpoint_location(session, "x") == "/shared/checkpoints/x"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        landing.checkpoint_location(Session(), "x")

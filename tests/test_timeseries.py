@@ -39,8 +39,7 @@ CELLS = st.lists(
 @settings(max_examples=12, deadline=None)
 @given(CELLS)
 def test_last_ewm_equals_the_dense_series(spark, cells):
-    as_of = START + dt.timedelta(days=40)
-    got = timeseries.ewm_last(frame(spark, cells), ["item"], "day", "qty", as_of)
+    got = timeseries.ewm_last(frame(spark, cells), ["item"], "day", "qty")
     expected = dense_pandas(cells)
     rows = got.collect()
     assert {r.item for r in rows} == set(expected)
@@ -78,16 +77,22 @@ def test_own_bounds_fill_only_between_first_and_last(spark, rows):
 
 def test_other_smoothing_factor(spark):
     cells = [("a", 0, 3), ("a", 4, 10), ("b", 7, 2)]
-    got = timeseries.ewm_last(frame(spark, cells), ["item"], "day", "qty", START, alpha=0.3)
+    got = timeseries.ewm_last(frame(spark, cells), ["item"], "day", "qty", alpha=0.3)
     expected = dense_pandas(cells)
     for r in got.collect():
         assert r.run_rate == pytest.approx(expected[r.item].ewm(alpha=0.3).mean().iloc[-1], abs=1e-9)
 
 
+def test_a_long_series_neither_overflows_nor_divides_by_zero(spark):
+    cells = [("a", 0, 3), ("b", 4000, 10)]
+    rates = {r.item: r.run_rate for r in timeseries.ewm_last(frame(spark, cells), ["item"], "day", "qty").collect()}
+    assert rates == {"a": 0.0, "b": 5.0}
+
+
 def test_null_quantity_counts_as_zero(spark, rows):
     df = frame(spark, [("a", 0, None), ("a", 0, 4)])
     assert rows(timeseries.daily_totals(df, ["item"], "day", "qty"))[0][2] == 4
-    assert timeseries.ewm_last(df, ["item"], "day", "qty", START).first().run_rate == 4.0
+    assert timeseries.ewm_last(df, ["item"], "day", "qty").first().run_rate == 4.0
 
 
 def test_shape_of_short_and_constant_series(spark):
