@@ -201,7 +201,7 @@ RAW_MATERIAL_RUN_RATE = Entity(
     _fields(
         "katana_ingredient_sku string, katana_ingredient_name string,"
         "katana_unit_of_measure string, daily_run_rate double, inventory_on_hand double,"
-        "inventory_as_of date, days_on_hand double, reorder_point double?"
+        "inventory_as_of date, days_on_hand double?, reorder_point double?"
     ),
     BY_DAY,
     "Daily demand, cover and reorder point per raw material",
