@@ -53,19 +53,27 @@ def cleaned(c: Column, kind: T.DataType, field: Field) -> Column:
 
 def _whole(c: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
-        # "12" and "12.0" are whole numbers, "12.5" is not.
-        number = numeric.to_number(c)
-        from_decimal = F.when(number == F.floor(number), number).try_cast("bigint")
-        return F.coalesce(c.try_cast("bigint"), from_decimal)
+        # "12" and "12.0" are whole numbers, "12.5" and "1e3" are not.
+        digits = F.regexp_extract(c, r"^\s*([+-]?\d+)\.0*\s*$", 1)
+        return F.coalesce(c.try_cast("bigint"), digits.try_cast("bigint"))
     if isinstance(kind, T.FractionalType):
         return F.when(c == F.floor(c), c).try_cast("bigint")
     return c.try_cast("bigint")
 
 
+def _truth(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        word = F.lower(F.trim(c))
+        c = F.when(word == "on", "true").when(word == "off", "false").otherwise(c)
+    return c.try_cast("boolean")
+
+
 def coerced(c: Column, kind: T.DataType, target: str) -> Column:
     """Value as ``target``, null when it cannot be read as one."""
     if target == "bigint":
         return _whole(c, kind)
+    if target == "boolean":
+        return _truth(c, kind)
     if target == "date" and isinstance(kind, T.StringType):
         return dates.parse_day(c)
     if target == "timestamp_ntz":

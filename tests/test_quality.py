@@ -44,6 +44,9 @@ def test_valid_rows_are_typed_and_trimmed_to_the_entity(spark):
         ({"quantity": "x"}, "quantity: not a bigint"),
         ({"quantity": "2.5"}, "quantity: not a bigint"),
         ({"quantity": "2.0"}, ""),
+        ({"quantity": " 7 "}, ""),
+        ({"quantity": "1e3"}, "quantity: not a bigint"),
+        ({"quantity": "9007199254740993.0"}, ""),
         ({"title": None}, "title: required"),
         ({"created_at": "someday"}, "created_at: not a timestamp_ntz"),
         ({"email": None, "sku": None}, ""),
@@ -99,9 +102,16 @@ def test_manufacturing_dates(spark):
 
 
 def test_booleans_and_required_numbers(spark):
-    df = spark.createDataFrame([("true", "1"), ("maybe", None)], "flag string, n string")
+    df = spark.createDataFrame([("true", "1"), ("maybe", None), ("Off", "2")], "flag string, n string")
     entity = Entity("e", (Field("flag", "boolean"), Field("n", "bigint")))
-    assert errors(df, entity) == ["", "flag: not a boolean; n: required"]
+    assert errors(df, entity) == ["", "flag: not a boolean; n: required", ""]
+    assert [tuple(r) for r in quality.split(df, entity)[0].collect()] == [(True, 1), (False, 2)]
+
+
+def test_large_whole_numbers_stay_exact(spark):
+    df = spark.createDataFrame([("9007199254740993.0",)], "n string")
+    entity = Entity("e", (Field("n", "bigint"),))
+    assert quality.split(df, entity)[0].first().n == 9007199254740993
 
 
 def test_require_valid(spark):

@@ -171,7 +171,7 @@ VIEWS: dict[str, str] = {
     SELECT email, min(day) AS first_order_date FROM order_days WHERE day >= {COHORT} GROUP BY email""",
     "flags": "SELECT d.email, f.first_order_date, "
     + ", ".join(
-        f"max(CASE WHEN date_diff('day', first_order_date, day) BETWEEN 1 AND {n} THEN 1 ELSE 0 END)"
+        f"CAST(coalesce(bool_or(day - first_order_date BETWEEN 1 AND {n}), false) AS INTEGER)"
         f" AS retained_{n}d"
         for n in (30, 60, 90)
     )

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,15 +37,18 @@ def _days(values: tuple[str, ...]) -> Column:
     return F.explode(F.array(*[F.lit(dt.date.fromisoformat(v)) for v in values]))
 
 
+@lru_cache(maxsize=64)
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """Listing and schema of a table, looked up once per session as a catalog would."""
+    return spark.read.parquet(path)
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return self._tables[name]
+        return _read(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     def spread(self, name: str) -> DataFrame:
         """A table for row-by-row work. One lone file is often one row group, hence one
@@ -118,7 +122,9 @@ class Tables:
         def needs(group: dict[str, str]) -> bool:
             return any(c in group for c in wanted)
 
-        lines = self.table("lineitem").join(
+        # Building every column is costly row-by-row work; a few are not worth a shuffle.
+        source = self.table if columns else self.spread
+        lines = source("lineitem").join(
             self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
         )
         if needs(self._CUSTOMER_COLUMNS) or needs(self._PLACE_COLUMNS):
