@@ -3,7 +3,7 @@
 BENCH_SF_DIR   data directory (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
 BENCH_QUERIES  comma-separated names, or "all" (default: the headline products)
-BENCH_RUNS     timed runs per query, the best counts (default 2)
+BENCH_RUNS     timed runs per query, the best counts (default 3)
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ def run_once(build) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     wanted = os.environ.get("BENCH_QUERIES", "")
     spark = local_session(cores, shuffle_partitions=int(cores))
     spark.sparkContext.setLogLevel("ERROR")

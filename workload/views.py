@@ -61,77 +61,91 @@ class Tables:
 
     # -- order lines ---------------------------------------------------------------
 
-    # SQL text: a Column needs a running session, which does not exist on import.
+    # Columns of an order line by the table they come from. They are computed on that
+    # table, so a customer's e-mail is built once per customer and not once per line.
+    # SQL text, because a Column needs a running session.
     _CUSTOMER_COLUMNS = {
         "customer_name": "c_name",
         "customer_email": "concat(lower(translate(c_name, '#', '.')), '@', "
         "lower(c_mktsegment), '.example.com')",
+        "customer_address_city": "concat('City ', string(c_nationkey))",
     }
     _PLACE_COLUMNS = {
         "channel_id": "bigint(r_regionkey)",
         "channel_name": "r_name",
-        "customer_address_city": "concat('City ', string(c_nationkey))",
         "customer_address_state": "n_name",
         "customer_address_country": "r_name",
     }
     _PART_COLUMNS = {
-        "sku": "concat(p_brand, '-', string(l_partkey))",
+        "sku": "concat(p_brand, '-', string(p_partkey))",
         "sku_name": "p_name",
         "inventory_name": "p_name",
     }
-    _LINE_COLUMNS = {
+    _ORDER_COLUMNS = {
         "created_date": "o_orderdate",
         "purchase_date": "o_orderdate",
         "shipbob_order_id": "o_orderkey",
         "order_number": "string(o_orderkey)",
         "order_status": "o_orderstatus",
         "order_type": "o_orderpriority",
+        "order_date": "to_date(o_orderdate)",
+    }
+    _LINE_COLUMNS = {
         "product_id": "l_suppkey * 1000000 + l_partkey",
         "shipping_method": "l_returnflag",
         "inventory_id": "l_partkey",
         "inventory_qty": "bigint(l_quantity)",
-        "order_date": "to_date(o_orderdate)",
     }
 
     @classmethod
     def email(cls) -> Column:
         return F.expr(cls._CUSTOMER_COLUMNS["customer_email"])
 
-    @classmethod
-    def city(cls) -> Column:
-        return F.expr(cls._PLACE_COLUMNS["customer_address_city"])
-
-    def _with_customers(self, orders: DataFrame, with_place: bool = True) -> DataFrame:
-        """Add customer columns, and nation and region columns, to rows with o_custkey.
-        Every lookup side is a bare table, so Spark sizes it correctly when it decides
-        whether to broadcast."""
-        out = orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-        if with_place:
-            out = out.join(
-                self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-            ).join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        return out
+    @staticmethod
+    def _derive(df: DataFrame, keys: list[str], columns: dict[str, str], wanted) -> DataFrame:
+        return df.select(*keys, *[F.expr(columns[c]).alias(c) for c in wanted if c in columns])
+
+    def _with_places(self, customers: DataFrame) -> DataFrame:
+        """Add nation and region columns to rows with c_nationkey."""
+        return customers.join(
+            self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        ).join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+
+    def orders_with_customers(self) -> DataFrame:
+        """Every order with its customer and place, and the derived customer columns."""
+        customers = self._derive(
+            self.table("customer"), ["*"], self._CUSTOMER_COLUMNS, self._CUSTOMER_COLUMNS
+        )
+        return self._with_places(
+            self.spread("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        )
 
     def order_details(self, *columns: str) -> DataFrame:
         """Order lines with the given columns, or all of the declared ones."""
         wanted = columns or (*ORDER_DETAILS.columns, "order_date")
-        known = (
-            self._LINE_COLUMNS | self._PART_COLUMNS | self._CUSTOMER_COLUMNS | self._PLACE_COLUMNS
-        )
 
-        def needs(group: dict[str, str]) -> bool:
-            return any(c in group for c in wanted)
+        def needs(*groups: dict[str, str]) -> bool:
+            return any(c in group for c in wanted for group in groups)
 
         # Building every column is costly row-by-row work; a few are not worth a shuffle.
-        source = self.table if columns else self.spread
-        lines = source("lineitem").join(
-            self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+        lineitem = self.table("lineitem") if columns else self.spread("lineitem")
+        orders = self._derive(
+            self.table("orders"), ["o_orderkey", "o_custkey"], self._ORDER_COLUMNS, wanted
         )
-        if needs(self._CUSTOMER_COLUMNS) or needs(self._PLACE_COLUMNS):
-            lines = self._with_customers(lines, needs(self._PLACE_COLUMNS))
+        lines = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        if needs(self._CUSTOMER_COLUMNS, self._PLACE_COLUMNS):
+            customers = self._derive(
+                self.table("customer"), ["c_custkey", "c_nationkey"], self._CUSTOMER_COLUMNS, wanted
+            )
+            lines = lines.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        if needs(self._PLACE_COLUMNS):
+            # Every lookup side is a bare table, so Spark sizes it right for a broadcast.
+            lines = self._with_places(lines)
         if needs(self._PART_COLUMNS):
-            lines = lines.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
-        return lines.select(*[F.expr(known[c]).alias(c) for c in wanted])
+            parts = self._derive(self.table("part"), ["p_partkey"], self._PART_COLUMNS, wanted)
+            lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        late = self._LINE_COLUMNS | self._PLACE_COLUMNS
+        return lines.select(*[F.expr(late.get(c, c)).alias(c) for c in wanted])
 
     def historic_orders(self, *columns: str) -> DataFrame:
         """Lines up to mid 2000; overlaps ``recurring_orders`` by half a year."""
@@ -309,9 +323,6 @@ class Tables:
     def _struct(**parts: Column) -> Column:
         return F.struct(*[c.alias(n) for n, c in parts.items()])
 
-    def orders_with_customers(self) -> DataFrame:
-        return self._with_customers(self.spread("orders"))
-
     def order_docs(self) -> DataFrame:
         """Every order as a document: two products of two and one items in two shipments.
         Pending orders have no shipments, low-priority orders no channel."""
@@ -353,9 +364,9 @@ class Tables:
             ),
             recipient=s(
                 name=F.col("c_name"),
-                email=self.email(),
+                email=F.col("customer_email"),
                 address=s(
-                    city=self.city(),
+                    city=F.col("customer_address_city"),
                     state=F.col("n_name"),
                     country=F.col("r_name"),
                 ),
@@ -434,7 +445,7 @@ class Tables:
             created_at=F.concat(
                 F.substring(F.col("o_orderdate").cast("string"), 1, 10), F.lit("T21:00:00-04:00")
             ),
-            email=self.email(),
+            email=F.col("customer_email"),
             subtotal_price=_text(total),
             total_line_items_price=_text(total),
             total_tax=_text(F.lit(1.25)),
@@ -447,7 +458,7 @@ class Tables:
                 F.col("o_orderpriority") != "1-URGENT",
                 s(
                     address1=F.concat(_text("o_custkey"), F.lit(" Main St")),
-                    city=self.city(),
+                    city=F.col("customer_address_city"),
                     province=F.col("n_name"),
                     country=F.col("r_name"),
                 ),
@@ -512,7 +523,7 @@ class Tables:
     def raw_store_orders(self) -> DataFrame:
         """Storefront headers as text, with the faults real exports contain."""
         status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-        email = self.email()
+        email = F.col("customer_email")
         total = _text("o_totalprice")
         stamp = F.concat(
             F.substring(F.col("o_orderdate").cast("string"), 1, 10), F.lit("T23:30:00-04:00")
