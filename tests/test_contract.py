@@ -51,5 +51,6 @@ def test_entry_point(spark, sf_dir):
     module = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(module)
     assert module.entry(spark).columns[:2] == ["inventory_id", "run_rate"]
-    assert set(module.queries()) == set(module.oracle_sql())
+    assert set(registered()) <= set(module.queries())
+    assert set(module.oracle_sql()) <= set(module.queries())
 
