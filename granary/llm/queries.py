@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import exact_dedup
+from granary.llm import exact_dedup, passages, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,40 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that stay once passages of earlier documents are removed."""
+    return passages.remove_repeated(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+OP2_SQL = r"""
+with texts as (
+    select doc_id, [x for x in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] as words
+    from documents
+),
+windows as (
+    select doc_id, p, array_to_string(words[p:p + 12], ' ') as g
+    from (select doc_id, words, unnest(range(1, len(words) - 11)) as p from texts where len(words) >= 13)
+),
+firsts as (select g, min(doc_id) as f from windows group by g),
+covered as (
+    select distinct doc_id, p + k as at
+    from (select w.doc_id, w.p, unnest(range(0, 13)) as k from windows w join firsts using (g) where f < w.doc_id)
+),
+words as (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as at from texts),
+kept as (
+    select w.doc_id, string_agg(word, ' ' order by w.at) as body, count(*) as n
+    from words w anti join covered c on w.doc_id = c.doc_id and w.at = c.at
+    group by w.doc_id
+)
+select t.doc_id, cast(len(words) as bigint) as n_words,
+       cast(len(words) - coalesce(n, 0) as bigint) as n_removed,
+       sha256(coalesce(body, '')) as kept_sha256
+from texts t left join kept using (doc_id)
+"""
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of whole texts; the largest doc_id of a group stays."""
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
@@ -31,9 +65,27 @@ from documents
 """
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards, counts at most one apart, in uniformly random order."""
+    text = F.coalesce("text", F.lit(""))
+    return sharding.shuffled_shards(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def registered() -> dict[str, Query]:
-    return {"op5_exact_dedup": op5_exact_dedup}
+    return {
+        "op2_passages": op2_passages,
+        "op5_exact_dedup": op5_exact_dedup,
+        "op6_sharding": op6_sharding,
+    }
 
 
 def statements() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL}
+    return {"op2_passages": OP2_SQL, "op5_exact_dedup": OP5_SQL}
