@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import exact_dedup, passages, sharding
+from granary.llm import exact_dedup, near_dedup, passages, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,45 @@ from texts t left join kept using (doc_id)
 """
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies among whole documents, and the document that stays."""
+    return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
+
+
+OP4_SQL = r"""
+with texts as (
+    select doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] as w
+    from documents
+),
+shingles as (
+    select distinct doc_id, array_to_string(w[p:p + 4], ' ') as s
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as p from texts where len(w) > 0)
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+    select a.doc_id as a, b.doc_id as b, count(*) as n
+    from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+    group by a.doc_id, b.doc_id
+),
+links as (
+    select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+    where 100 * common.n >= 75 * (x.n + y.n - common.n)
+),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (
+    with recursive r(a, b) as (
+        select doc_id, doc_id from texts
+        union
+        select r.a, l.b from r join both_ways l on r.b = l.a
+    )
+    select a, min(b) as root from r group by a
+)
+select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, root as component_id, doc_id = root as kept
+from texts left join sizes using (doc_id) join reach on reach.a = doc_id
+"""
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of whole texts; the largest doc_id of a group stays."""
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
@@ -82,10 +121,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {
         "op2_passages": op2_passages,
+        "op4_near_dedup": op4_near_dedup,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_sharding": op6_sharding,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op2_passages": OP2_SQL, "op5_exact_dedup": OP5_SQL}
+    return {"op2_passages": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL}
