@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import exact_dedup, near_dedup, passages, sharding
+from granary.llm import exact_dedup, near_dedup, packing, passages, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,12 +119,21 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 ids, every window in the corpus's mixture."""
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def registered() -> dict[str, Query]:
     return {
         "op2_passages": op2_passages,
         "op4_near_dedup": op4_near_dedup,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_sharding": op6_sharding,
+        "op10_packing": op10_packing,
     }
 
 
