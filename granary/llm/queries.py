@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import exact_dedup, near_dedup, packing, passages, sharding
+from granary.llm import bpe, exact_dedup, near_dedup, packing, passages, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,18 @@ from texts t left join kept using (doc_id)
 """
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of all documents, and the bytes that the ids give back."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode_texts(_table(spark, sf_dir, "documents"), ranks)
+    return bpe.decode_ids(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies among whole documents, and the document that stays."""
     return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
@@ -130,6 +142,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {
         "op2_passages": op2_passages,
+        "op3_bpe": op3_bpe,
         "op4_near_dedup": op4_near_dedup,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_sharding": op6_sharding,
