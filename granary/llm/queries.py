@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, exact_dedup, near_dedup, packing, passages, sharding
+from granary.llm import bpe, exact_dedup, near_dedup, packing, passages, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    docs = _table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that stay once passages of earlier documents are removed."""
     return passages.remove_repeated(_table(spark, sf_dir, "documents")).select(
@@ -131,6 +137,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 ids, every window in the corpus's mixture."""
     pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -141,11 +153,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     return {
+        "op1_quality": op1_quality,
         "op2_passages": op2_passages,
         "op3_bpe": op3_bpe,
         "op4_near_dedup": op4_near_dedup,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_sharding": op6_sharding,
+        "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
     }
 
