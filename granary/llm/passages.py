@@ -39,11 +39,12 @@ PHRASE = 6
 #: Bytes of text in a bucket and in the share of a phrase shard.
 BUCKET_BYTES = 2 << 20
 SHARD_BYTES = 8 << 20
-#: Most patterns of an automaton, and letters for its words (below the end of Unicode).
-PATTERNS = 100_000
-LETTERS = 1_000_000
+#: Most patterns of an automaton, and words it can tell apart: a word is two letters of 256,
+#: the second of its own alphabet, because a node looks its children up one by one.
+PATTERNS = 50_000
+VOCABULARY = 256 * 256
 
-_FIRST_LETTER = 0xE000
+_OTHER = chr(1)
 _PHRASES = "shard long, fixed boolean, phrase binary, doc binary"
 _HITS = "bucket long, phrase binary, doc binary"
 _SPANS = "shard long, bucket long, phrase binary, span binary, size binary, word binary, low binary, high binary"
@@ -262,8 +263,8 @@ def _firsts(table: pa.Table) -> pa.Table:
     )
 
 
-def _patterns(texts, answers: pa.Table, window: int) -> Iterator[tuple[tuple[bytes, ...], int]]:
-    """Words of each confirmed window of the bucket, and its first document."""
+def _patterns(texts, answers: pa.Table, window: int) -> Iterator[tuple[list[bytes], list[int]]]:
+    """Words of each confirmed passage of the bucket, and the first document of its windows."""
     span = _joined(answers.column("span"), np.uint64)
     size = _joined(answers.column("size"), np.uint8).astype(np.int64)
     first = _joined(answers.column("first"), np.int64)
@@ -281,28 +282,27 @@ def _patterns(texts, answers: pa.Table, window: int) -> Iterator[tuple[tuple[byt
         _, once = np.unique(near[mine], return_index=True)
         mine = mine[np.sort(once)]
         seen[near[mine]] = True
-        owner = words.text_of()
+        owner = words.text_of()[spans["at"][mine]] if len(mine) else mine
         split: tuple[int, list[bytes]] = (-1, [])
-        for at, count, answer in zip(spans["at"][mine].tolist(), spans["size"][mine].tolist(), begin[near[mine]].tolist(), strict=True):
-            text = int(owner[at])
+        for text, at, count, answer in zip(
+            owner.tolist(), spans["at"][mine].tolist(), spans["size"][mine].tolist(), begin[near[mine]].tolist(), strict=True
+        ):
             if split[0] != text:
                 split = (text, texts[part][text].split())
             at -= int(words.bounds[text])
-            for j in range(count):
-                if first[answer + j] != _NONE:
-                    yield tuple(split[1][at + j : at + j + window]), int(first[answer + j])
+            yield split[1][at : at + count + window - 1], first[answer : answer + count].tolist()
 
 
 def _automata(patterns) -> Iterator[tuple[object, dict[bytes, str]]]:
-    """Automata over words as letters; none has more than PATTERNS patterns."""
+    """Automata over words as pairs of letters; none has more than PATTERNS patterns."""
     letters: dict[bytes, str] = {}
     automaton = ahocorasick.Automaton()
-    for words, first in patterns:
+    for words, firsts in patterns:
         for w in words:
             if w not in letters:
-                letters[w] = chr(_FIRST_LETTER + len(letters))
-        automaton.add_word("".join([letters[w] for w in words]), first)
-        if len(automaton) >= PATTERNS or len(letters) >= LETTERS - len(words):
+                letters[w] = chr(256 + len(letters) // 256) + chr(512 + len(letters) % 256)
+        automaton.add_word("".join([letters[w] for w in words]), firsts)
+        if len(automaton) >= PATTERNS or len(letters) >= VOCABULARY - 1024:
             automaton.make_automaton()
             yield automaton, letters
             letters, automaton = {}, ahocorasick.Automaton()
@@ -311,31 +311,38 @@ def _automata(patterns) -> Iterator[tuple[object, dict[bytes, str]]]:
         yield automaton, letters
 
 
+def _located(text: bytes, doc: int, automaton, letters: dict[bytes, str], window: int) -> Iterator[int]:
+    """Starts of the windows of a text that an earlier document has."""
+    codes = [letters.get(w, _OTHER) for w in text.split()]
+    # A word outside the passages is one letter, so places are counted in letters first.
+    found = [(end, firsts) for end, firsts in automaton.iter("".join(codes)) if min(firsts) < doc]
+    if found:
+        word_at = np.cumsum([len(c) for c in codes]) - 1
+        for (_, firsts), last in zip(found, np.searchsorted(word_at, [end for end, _ in found]).tolist(), strict=True):
+            at = last + 2 - window - len(firsts)
+            yield from (at + j for j, first in enumerate(firsts) if first < doc)
+
+
 def _removals(window: int):
     def run(key, docs: pa.Table, answers: pa.Table) -> Iterator[pa.RecordBatch]:
         column = docs.column("doc_id")
         ids, texts = _ids(column), W.utf8(docs.column("text"))
-        covered: dict[int, list[int]] = {}
+        covered: dict[int, set[int]] = {}
         for automaton, letters in _automata(_patterns(texts, answers, window)):
-            other = chr(1)
             for i, text in enumerate(texts):
-                if text is None or ids[i] == _NONE:
-                    continue
-                line = "".join([letters.get(w, other) for w in text.split()])
-                mine = [end for end, first in automaton.iter(line) if first < ids[i]]
-                if mine:
-                    covered.setdefault(i, []).extend(mine)
+                if text is not None and ids[i] != _NONE:
+                    covered.setdefault(i, set()).update(_located(text, int(ids[i]), automaton, letters, window))
         for part in W.sliced(texts):
             kept, n_words, n_removed, spans = [], [], [], []
             for i in range(part.start, part.stop):
                 words = (texts[i] or b"").split()
                 n_words.append(len(words))
                 runs: list[dict[str, int]] = []
-                for end in sorted(set(covered.get(i, ()))):
-                    if runs and end - window + 1 <= runs[-1]["stop"]:
-                        runs[-1]["stop"] = end + 1
+                for at in sorted(covered.get(i, ())):
+                    if runs and at <= runs[-1]["stop"]:
+                        runs[-1]["stop"] = at + window
                     else:
-                        runs.append({"start": end - window + 1, "stop": end + 1})
+                        runs.append({"start": at, "stop": at + window})
                 for r in reversed(runs):
                     del words[r["start"] : r["stop"]]
                 kept.append(b" ".join(words).decode())
@@ -355,6 +362,17 @@ def _removals(window: int):
     return run
 
 
+def _arrow(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def _cogrouped(run, schema: pa.Schema):
+    def table(key, docs: pa.Table, other: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([b.cast(schema) for b in run(key, docs, other)] if docs.num_rows else [], schema)
+
+    return table
+
+
 def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs(doc_id, text, ...)`` without the passages that an earlier document has.
 
@@ -388,14 +406,3 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .cogroup(answers.groupBy("bucket"))
         .applyInArrow(_cogrouped(_removals(window), _arrow(_RESULT)), _RESULT)
     )
-
-
-def _arrow(ddl: str) -> pa.Schema:
-    return to_arrow_schema(StructType.fromDDL(ddl))
-
-
-def _cogrouped(run, schema: pa.Schema):
-    def table(key, docs: pa.Table, other: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([b.cast(schema) for b in run(key, docs, other)] if docs.num_rows else [], schema)
-
-    return table
