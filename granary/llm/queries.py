@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, exact_dedup, near_dedup, packing, passages, quality, sharding, toxicity
+from granary.llm import bpe, exact_dedup, near_dedup, packing, passages, quality, sharding, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +137,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies among embeddings of one label."""
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     docs = _table(spark, sf_dir, "documents")
@@ -159,6 +164,7 @@ def registered() -> dict[str, Query]:
         "op4_near_dedup": op4_near_dedup,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_sharding": op6_sharding,
+        "op8_vectors": op8_vectors,
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
     }
