@@ -1,29 +1,63 @@
-"""A corpus from raw documents to packed sequences."""
+"""A corpus from raw documents to packed sequences.
 
-from __future__ import annotations
+Every stage takes all documents that the one before has kept and returns documents; the last
+one returns the pieces of the packed sequences.
+"""
 
-import os
+from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from granary.llm import exact_dedup
+from granary.llm import exact_dedup, near_dedup, packing, passages, quality
 from granary.llm.shared import written
 
 
-def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.drop_rejected(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, the one with the largest doc_id."""
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("exact_dedup", exact_copies)]
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, the one with the smallest doc_id."""
+    return near_dedup.drop_near_copies(docs)
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of earlier ones; those with nothing left go."""
+    out = passages.remove_repeated(docs, carry=("lang", "source"), as_is=True)
+    return out.filter("n_removed = 0 or n_removed < n_words").select(
+        "doc_id", F.col("kept_text").alias("text"), "lang", "source", F.char_length("kept_text").cast("long").alias("n_chars")
+    )
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in sequences of 1024 ids, every window in the mixture of the sources."""
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("exact_dedup", without_copies),
+    ("near_dedup", without_near_copies),
+    ("passages", without_repeated_passages),
+    ("packing", packed),
+]
 
+#: A fitted classifier and a tokenizer are beyond SQL; the tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each reads what the one before has written."""
-    docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, name)
-    return docs
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

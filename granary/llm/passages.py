@@ -323,7 +323,7 @@ def _located(text: bytes, doc: int, automaton, letters: dict[bytes, str], window
             yield from (at + j for j, first in enumerate(firsts) if first < doc)
 
 
-def _removals(window: int):
+def _removals(window: int, carried: list[str], as_is: bool):
     def run(key, docs: pa.Table, answers: pa.Table) -> Iterator[pa.RecordBatch]:
         column = docs.column("doc_id")
         ids, texts = _ids(column), W.utf8(docs.column("text"))
@@ -345,7 +345,8 @@ def _removals(window: int):
                         runs.append({"start": at, "stop": at + window})
                 for r in reversed(runs):
                     del words[r["start"] : r["stop"]]
-                kept.append(b" ".join(words).decode())
+                whole = as_is and not runs
+                kept.append((texts[i] or b"" if whole else b" ".join(words)).decode())
                 n_removed.append(n_words[-1] - len(words))
                 spans.append(runs)
             yield pa.RecordBatch.from_arrays(
@@ -355,8 +356,9 @@ def _removals(window: int):
                     pa.array(n_words, pa.int64()),
                     pa.array(n_removed, pa.int64()),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
+                    *(docs.column(c).slice(part.start, part.stop - part.start).combine_chunks() for c in carried),
                 ],
-                names=["doc_id", "kept_text", "n_words", "n_removed", "removed"],
+                names=["doc_id", "kept_text", "n_words", "n_removed", "removed", *carried],
             )
 
     return run
@@ -373,7 +375,9 @@ def _cogrouped(run, schema: pa.Schema):
     return table
 
 
-def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeated(
+    docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = (), as_is: bool = False
+) -> DataFrame:
     """``docs(doc_id, text, ...)`` without the passages that an earlier document has.
 
     Returns, for each row, ``doc_id, kept_text, n_words, n_removed, removed``: the words that
@@ -382,13 +386,17 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     of the input. Words are runs of bytes other than space and 0x09-0x0D, unchanged. Null and
     empty texts have no words. A row without doc_id loses nothing and proves nothing. Rows
     that repeat a doc_id are one document for this rule, so they leave each other alone, and
-    each is returned. Texts of any length are read whole. Other columns are ignored, whatever
-    their names. An empty table gives no rows.
+    each is returned. Texts of any length are read whole. An empty table gives no rows.
+
+    Columns named in ``carry`` are returned too; others are ignored, whatever their names.
+    With ``as_is`` a text that loses nothing is returned as it is, blanks included.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, shards = (max(1, math.ceil(size / b)) for b in (BUCKET_BYTES, SHARD_BYTES))
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets).cast("long")))
+    carried = [f"_carry{i}" for i in range(len(carry))]
+    named = [F.col(f"`{c}`").alias(n) for c, n in zip(carry, carried, strict=True)]
+    dealt = docs.select(F.col("doc_id").cast("long"), "text", *named).withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets).cast("long")))
     hits = (
         rows.mapInArrow(_phrase_blocks(shards, window), _PHRASES)
         .groupBy("shard")
@@ -401,8 +409,11 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .groupBy("shard")
         .applyInArrow(_firsts, _ANSWERS)
     )
-    return (
+    schema = StructType([*StructType.fromDDL(_RESULT).fields, *dealt.select(*carried).schema.fields])
+    result = (
         dealt.groupBy("bucket")
         .cogroup(answers.groupBy("bucket"))
-        .applyInArrow(_cogrouped(_removals(window), _arrow(_RESULT)), _RESULT)
+        .applyInArrow(_cogrouped(_removals(window, carried, as_is), to_arrow_schema(schema)), schema)
     )
+    own = [c for c in result.columns if c not in carried]
+    return result.select(*own, *[F.col(n).alias(c) for c, n in zip(carry, carried, strict=True)])

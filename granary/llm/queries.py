@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, exact_dedup, near_dedup, packing, passages, quality, sharding, toxicity, vectors
+from granary.llm import bpe, exact_dedup, licenses, near_dedup, packing, passages, quality, sharding, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -137,6 +137,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, seen as files in folders by source and language."""
+    docs = _table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.lit("corpus"), "source", "lang", F.col("doc_id").cast("string"))
+    found = licenses.licences(docs.select(F.col("doc_id").alias("file"), path.alias("path"), "text"))
+    return found.select(F.col("file").alias("doc_id"), "path", "licence", F.round("score", 6).alias("score"), "origin", "licence_file")
+
+
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies among embeddings of one label."""
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
@@ -164,6 +172,7 @@ def registered() -> dict[str, Query]:
         "op4_near_dedup": op4_near_dedup,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_sharding": op6_sharding,
+        "op7_licenses": op7_licenses,
         "op8_vectors": op8_vectors,
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
