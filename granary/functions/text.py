@@ -15,8 +15,11 @@ MASK = "***"
 UNSAFE_CHARS = ',\n"'
 SAFE_CHARS = "; '"
 
-# One "@", a dotted domain, no blanks.
-EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$"
+# Local part: dot-separated runs of the characters of RFC 5322 and RFC 6531, 64 at most.
+# Domain: dot-separated labels of letters and digits with inner hyphens, ending in a letter.
+_ATOM = r"[\p{L}\p{M}\p{N}!#$%&'*+/=?^_`{|}~-]+"
+_LABEL = r"[\p{L}\p{N}](?:[\p{L}\p{M}\p{N}-]{0,61}[\p{L}\p{M}\p{N}])?"
+EMAIL_PATTERN = rf"^(?=[^@]{{1,64}}@.{{1,189}}$){_ATOM}(?:\.{_ATOM})*@{_LABEL}(?:\.{_LABEL})+(?<=[\p{{L}}\p{{M}}])$"
 
 
 def tidy_name(name: str) -> str:

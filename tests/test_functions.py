@@ -33,7 +33,11 @@ def test_sanitize_touches_only_strings(spark):
 
 @pytest.mark.parametrize(
     "given_email, kept",
-    [("a@b.co", "a@b.co"), ("", None), (None, None), ("not-an-email", None), ("a@b@c", None), ("a@b", None)],
+    [("o'brien@x.com", "o'brien@x.com"), ("josé@example.com", "josé@example.com"), ("a!b@x.com", "a!b@x.com"),
+     ("ann@bücher.de", "ann@bücher.de"), ("a..b@x.com", None), (".a@x.com", None), ("a.@x.com", None),
+     ("a@-x.com", None), ("a@x-.com", None), ("a@x..com", None), ("a@1.2.3.4", None), ("a b@x.com", None),
+     ("x" * 64 + "@x.com", "x" * 64 + "@x.com"), ("x" * 65 + "@x.com", None),
+     ("a@b.co", "a@b.co"), ("", None), (None, None), ("not-an-email", None), ("a@b@c", None), ("a@b", None)],
 )
 def test_email_or_default(spark, given_email, kept):
     row = one(spark, v=text.email_or_default(F.lit(given_email).cast("string")))

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import pathlib
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,6 +89,49 @@ def test_exports_are_named_by_position_or_by_header(spark, tmp_path):
     assert scans.read_export(spark, str(mos)).columns == ["mo", "planned_quantity_of_product"]
 
 
+QUOTED = ['"a","he said ""hi"", ok",1', '"b","first line\nsecond, line",2', "c,,3"]
+
+
+def test_quoted_cells_equal_pandas(spark, tmp_path, rows):
+    plain = tmp_path / "plain.csv"
+    plain.write_text("\n".join(["Name,Notes,Unit (kg)", *QUOTED]) + "\n")
+    expected = pd.read_csv(plain, dtype=str).fillna("").values.tolist()
+    got = scans.read_export(spark, str(plain))
+    assert got.columns == ["name", "notes", "unit_kg"]
+    assert [[v or "" for v in r] for r in rows(got, "name")] == expected
+    recipe = tmp_path / "recipe.csv"
+    recipe.write_text("\n".join([",".join(f"Col {i}" for i in range(14)), *(q + "," * 11 for q in QUOTED)]) + "\n")
+    by_place = scans.read_formulas_export(spark, str(recipe)).select(*FORMULAS.columns[:3])
+    assert [[v or "" for v in r] for r in rows(by_place, FORMULAS.columns[0])] == expected
+
+
+@pytest.mark.parametrize("line", ["a,b", "a,b,c,d"])
+def test_a_line_with_other_cells_stops_the_job(spark, tmp_path, line):
+    path = tmp_path / "export.csv"
+    path.write_text(f"Name,Notes,Unit\nx,y,z\n{line}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scans.read_export(spark, str(path)).select("name").collect()
+
+
+def test_files_of_an_export_share_their_header(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("Name,Unit\na,1\n")
+    (tmp_path / "2.csv").write_text("Unit,Name\n2,b\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scans.read_export(spark, str(tmp_path)).collect()
+
+
+def test_broken_table_lines_stop_the_job(spark, tmp_path):
+    text_root, json_root = tmp_path / "t" / "order_date=2024-01-01", tmp_path / "j" / "order_date=2024-01-01"
+    text_root.mkdir(parents=True)
+    json_root.mkdir(parents=True)
+    (text_root / "a.csv").write_text("channel_id,channel_name,order_cnt\n1,web,many\n")
+    (json_root / "a.json").write_text('{"channel_id": "1", "order_cnt": 2}\n{broken\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scans.read_csv_table(spark, str(tmp_path / "t"), DAILY_ORDER_COUNT).collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scans.read_json_table(spark, str(tmp_path / "j"), DAILY_ORDER_COUNT).collect()
+
+
 def counts(spark, *cells):
     return spark.createDataFrame([(str(c), f"ch {c}", n) for c, n in cells], COUNTS)
 
