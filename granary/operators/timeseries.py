@@ -8,14 +8,20 @@ that have sales, because a day with quantity 0 changes only the length of the se
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions import dates, moments
 
-# Longest series whose weights (1-alpha)^-i stay finite for alpha = 0.5.
-MAX_SERIES_DAYS = 1000
+# Largest exponent (base e) of a weight that is anchored at the end of its block of days.
+_EXPONENT = 300.0
+
+
+def _block_days(alpha: float) -> int:
+    """Days over which the weights of a smoothing factor stay far from the ends of a double."""
+    return max(1, int(_EXPONENT / -math.log1p(-alpha)))
 
 
 def daily_totals(
@@ -23,17 +29,24 @@ def daily_totals(
 ) -> DataFrame:
     """Quantity per key and day. Partial sums are taken before the shuffle, so a hot key
     sends at most one row per day and task."""
-    return df.groupBy(*keys, date_column).agg(F.sum(F.coalesce(quantity, F.lit(0))).alias(out))
+    return _whole(df.groupBy(*keys, date_column).agg(F.sum(F.coalesce(quantity, F.lit(0))).alias(out)), out)
 
 
-def date_bounds(df: DataFrame, date_column: str) -> tuple[Column, Column]:
-    """First and last date as scalar subqueries. Only the date column is read, which for
-    a date-partitioned table means no data columns at all."""
-    dated = df.select(date_column)
-    return (
-        dated.agg(F.min(date_column)).scalar(),
-        dated.agg(F.max(date_column)).scalar(),
-    )
+def _whole(sums: DataFrame, *columns: str) -> DataFrame:
+    """Keep these columns of an aggregate even where only others are used.
+
+    They are never null; the test makes a subquery over ``sums`` compute the aggregate that
+    the main query computes, so Spark runs it, and the scan below it, once.
+    """
+    for c in columns:
+        sums = sums.filter(F.col(c).isNotNull())
+    return sums
+
+
+def date_bounds(df: DataFrame, first: str, last: str | None = None) -> tuple[Column, Column]:
+    """First and last date as scalar subqueries. Pass sums that the query needs anyway
+    (``daily_totals``), not raw lines: then no line is read a second time."""
+    return df.agg(F.min(first)).scalar(), df.agg(F.max(last or first)).scalar()
 
 
 def zero_fill(
@@ -93,17 +106,31 @@ def ewm_last(
     alpha: float = 0.5,
     out: str = "run_rate",
 ) -> DataFrame:
-    """Last value of the exponentially weighted mean per key, in one hash aggregate.
+    """Last value of the exponentially weighted mean per key.
 
-    All keys span the first to the last date of ``df``; those two dates are known before
-    the aggregate runs, so weights never exceed 1.
+    All keys span the first to the last date of ``df``. One aggregate takes each key's
+    quantities, decayed to the end of a block of days, and its first and last day; the
+    overall dates and the last values follow from these few rows. Blocks are so long (432
+    days for a factor of 0.5) that a usual window is one or two, and so short that no weight
+    leaves the range of a double.
     """
-    first, last = date_bounds(df, date_column)
-    decayed = decayed_quantity(F.coalesce(quantity, F.lit(0)), F.col(date_column), last, alpha)
+    length = _block_days(alpha)
+    number = F.datediff(F.col(date_column), F.lit(dt.date(1970, 1, 1)))
+    block = F.floor(number / length)
+    age = (block + 1) * length - 1 - number
+    decayed = F.coalesce(quantity, F.lit(0)).cast("double") * F.pow(F.lit(1.0 - alpha), age)
+    sums = _whole(
+        df.groupBy(*keys, block.alias("_block")).agg(
+            F.sum(decayed).alias("_decayed"), F.min(date_column).alias("_first"), F.max(date_column).alias("_last")
+        ),
+        "_decayed", "_first", "_last",
+    )
+    first, last = date_bounds(sums, "_first", "_last")
+    since = F.datediff(last, F.lit(dt.date(1970, 1, 1))) - ((F.col("_block") + 1) * length - 1)
     return (
-        df.groupBy(*keys)
-        .agg(F.sum(decayed).alias("_decayed"))
-        .select(*keys, ewm_from_decayed(F.col("_decayed"), first, last, alpha).alias(out))
+        sums.groupBy(*keys)
+        .agg(F.sum(F.col("_decayed") * F.pow(F.lit(1.0 - alpha), since)).alias("_total"))
+        .select(*keys, ewm_from_decayed(F.col("_total"), first, last, alpha).alias(out))
     )
 
 
@@ -113,30 +140,37 @@ def ewm_series(
     date_column: str,
     value: str,
     start: dt.date | str,
-    end: dt.date | str,
     alpha: float = 0.5,
     out: str = "ewm",
 ) -> DataFrame:
-    """Exponentially weighted mean on every day of a zero-filled series in [start, end]."""
-    length = (dates.to_day(end) - dates.to_day(start)).days + 1
-    if length > MAX_SERIES_DAYS:
-        raise ValueError(f"series of {length} days exceeds {MAX_SERIES_DAYS}")
-    day = F.col(date_column)
-    origin = dates.day_lit(start)
-    growth = F.pow(F.lit(1.0 / (1.0 - alpha)), dates.days_between(origin, day))
-    running = (
-        Window.partitionBy(*keys)
-        .orderBy(date_column)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """Exponentially weighted mean on every day of a zero-filled series from ``start`` on.
+
+    Days are weighted inside blocks, so a series of any length and any factor in (0, 1) keeps
+    finite weights. A block takes over the last value of the one before it; what is older
+    weighs less than e^-300.
+    """
+    length = _block_days(alpha)
+    place = dates.days_between(dates.day_lit(start), F.col(date_column))
+    inner = F.pmod(place, F.lit(length))
+    growth = F.pow(F.lit(1.0 / (1.0 - alpha)), inner)
+    by_key = Window.partitionBy(*keys)
+    running = Window.unboundedPreceding, Window.currentRow
+    in_block = by_key.partitionBy(*keys, "_block").orderBy(date_column).rowsBetween(*running)
+    before = by_key.orderBy("_block").rangeBetween(-1, -1)
+    taken = F.coalesce(F.max_by("_own", date_column).over(before), F.lit(0.0))
+    weights = ewm_normaliser(F.count("*").over(by_key.orderBy(date_column).rowsBetween(*running)), alpha)
+    return (
+        dense.withColumn("_block", F.floor(place / length))
+        .withColumn("_own", F.sum(F.col(value).cast("double") * growth).over(in_block) / growth)
+        .withColumn("_total", F.col("_own") + taken * F.pow(F.lit(1.0 - alpha), inner + 1))
+        .withColumn(out, F.col("_total") / weights)
+        .drop("_block", "_own", "_total")
     )
-    weighted = F.sum(F.col(value).cast("double") * growth).over(running) / growth
-    weights = ewm_normaliser(F.count("*").over(running), alpha)
-    return dense.select("*", (weighted / weights).alias(out))
 
 
 def demand_shape(daily: DataFrame, keys: list[str], date_column: str, value: str) -> DataFrame:
     """Sample skewness and excess kurtosis of each key's zero-filled series, where all
-    keys span the first to the last date of ``daily``."""
+    keys span the first to the last date of ``daily`` (one row per key and day)."""
     first, last = date_bounds(daily, date_column)
     sums = daily.groupBy(*keys).agg(*moments.power_sums(F.col(value)))
     days = (dates.days_between(first, last) + 1).alias("days")

@@ -90,8 +90,8 @@ def run_rate_details(
     """``run_rate`` plus the active flag and the shape of the demand series, which the
     stored table drops. Rate and power sums come from one aggregate."""
     recent = sales_window(orders, as_of, lookback_days, upper_bound)
-    first, last = timeseries.date_bounds(recent, "order_date")
     daily = timeseries.daily_totals(recent, ["inventory_id"], "order_date", "inventory_qty")
+    first, last = timeseries.date_bounds(daily, "order_date")
     decayed = timeseries.decayed_quantity(F.col("qty_sold"), F.col("order_date"), last, SMOOTHING)
     days = F.col("days")
     rates = (
@@ -139,14 +139,14 @@ def run_rate_range(
     )
     as_of = F.explode(run_days).alias("partition_date")
     # Bounds of each run day's window: one row per run day, so safe to broadcast.
+    daily = timeseries.daily_totals(recent, ["inventory_id"], "order_date", "inventory_qty")
     bounds = (
-        recent.select("order_date")
-        .distinct()
+        daily.groupBy("order_date")
+        .agg(F.count("*").alias("items"))
         .select("order_date", as_of)
         .groupBy("partition_date")
         .agg(F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
     )
-    daily = timeseries.daily_totals(recent, ["inventory_id"], "order_date", "inventory_qty")
     decayed = timeseries.decayed_quantity(F.col("qty_sold"), day, F.col("last_day"), SMOOTHING)
     keys = ["partition_date", "inventory_id", "first_day", "last_day"]
     rates = (

@@ -56,8 +56,7 @@ def test_ewm_series_and_zero_fill_equal_pandas(spark, cells):
         daily, ["item"], "day", "qty_sold", timeseries.date_bounds(df, "day")
     )
     lo = START + dt.timedelta(days=min(o for _, o, _ in cells))
-    hi = START + dt.timedelta(days=max(o for _, o, _ in cells))
-    got = timeseries.ewm_series(dense, ["item"], "day", "qty_sold", lo, hi).toPandas()
+    got = timeseries.ewm_series(dense, ["item"], "day", "qty_sold", lo).toPandas()
     expected = dense_pandas(cells)
     assert len(got) == sum(len(s) for s in expected.values())
     for item, series in expected.items():
@@ -109,9 +108,21 @@ def test_shape_of_short_and_constant_series(spark):
     assert shape(0, 0, 0, 0) == (4, 0.0, 0.0)
 
 
-def test_series_length_is_checked(spark):
-    with pytest.raises(ValueError, match="exceeds"):
-        timeseries.ewm_series(frame(spark, [("a", 0, 1)]), ["item"], "day", "qty", "2000-01-01", "2005-01-01")
+@pytest.mark.parametrize(("days", "alpha"), [(4000, 0.5), (400, 0.9), (400, 0.99), (1500, 0.02)])
+def test_long_series_and_steep_factors_equal_pandas(spark, days, alpha):
+    cells = [("a", 0, 5), ("a", 1, 7), ("a", days // 2, 9), ("b", 3, 4), ("a", days - 1, 2), ("b", days - 2, 8)]
+    cells += [("c", i, 5) for i in range(0, days)]
+    df = frame(spark, cells)
+    daily = timeseries.daily_totals(df, ["item"], "day", "qty")
+    dense = timeseries.zero_fill(daily, ["item"], "day", "qty_sold", timeseries.date_bounds(daily, "day"))
+    got = timeseries.ewm_series(dense, ["item"], "day", "qty_sold", START, alpha=alpha).toPandas()
+    last = {r.item: r.run_rate for r in timeseries.ewm_last(df, ["item"], "day", "qty", alpha=alpha).collect()}
+    for item, series in dense_pandas(cells).items():
+        expected = series.ewm(alpha=alpha).mean()
+        mine = got[got["item"] == item].sort_values("day")["ewm"]
+        assert len(mine) == days
+        assert mine.tolist() == pytest.approx(expected.tolist(), abs=1e-9)
+        assert last[item] == pytest.approx(expected.iloc[-1], abs=1e-9)
 
 
 def test_series_uses_no_python_and_no_product(spark):

@@ -123,7 +123,7 @@ def daily_qty_sold(t: Tables) -> DataFrame:
 
 def _dense_sales(t: Tables) -> DataFrame:
     daily = _daily_sales(t)
-    bounds = timeseries.date_bounds(planning.sales_window(_sales(t), AS_OF), "order_date")
+    bounds = timeseries.date_bounds(daily, "order_date")
     return timeseries.zero_fill(daily, ["inventory_id"], "order_date", "qty_sold", bounds)
 
 
@@ -136,7 +136,7 @@ def zero_filled_daily_sales(t: Tables) -> DataFrame:
 def ewm_series(t: Tables) -> DataFrame:
     start = AS_OF - dt.timedelta(days=planning.LOOKBACK_DAYS)
     return timeseries.ewm_series(
-        _dense_sales(t), ["inventory_id"], "order_date", "qty_sold", start, AS_OF
+        _dense_sales(t), ["inventory_id"], "order_date", "qty_sold", start
     )
 
 

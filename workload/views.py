@@ -50,15 +50,6 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return _read(self.spark, f"{self.sf_dir}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for row-by-row work. One lone file is often one row group, hence one
-        task, so its rows are dealt out to all cores first; a table of several files is
-        read as it is."""
-        df = self.table(name)
-        if len(df.inputFiles()) > 1:
-            return df
-        return df.repartition(self.spark.sparkContext.defaultParallelism)
-
     # -- order lines ---------------------------------------------------------------
 
     # Columns of an order line by the table they come from. They are computed on that
@@ -117,7 +108,7 @@ class Tables:
             self.table("customer"), ["*"], self._CUSTOMER_COLUMNS, self._CUSTOMER_COLUMNS
         )
         return self._with_places(
-            self.spread("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+            self.table("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
         )
 
     def order_details(self, *columns: str) -> DataFrame:
@@ -127,12 +118,10 @@ class Tables:
         def needs(*groups: dict[str, str]) -> bool:
             return any(c in group for c in wanted for group in groups)
 
-        # Building every column is costly row-by-row work; a few are not worth a shuffle.
-        lineitem = self.table("lineitem") if columns else self.spread("lineitem")
         orders = self._derive(
             self.table("orders"), ["o_orderkey", "o_custkey"], self._ORDER_COLUMNS, wanted
         )
-        lines = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         if needs(self._CUSTOMER_COLUMNS, self._PLACE_COLUMNS):
             customers = self._derive(
                 self.table("customer"), ["c_custkey", "c_nationkey"], self._CUSTOMER_COLUMNS, wanted
@@ -496,7 +485,7 @@ class Tables:
         )
         empty = F.filter(times, lambda _: F.lit(False))
         return self._document(
-            self.spread("events"),
+            self.table("events"),
             id=_text("event_id"),
             attributes=s(
                 definition=s(
@@ -560,7 +549,7 @@ class Tables:
     def raw_store_lines(self) -> DataFrame:
         """Storefront lines as text, with delimiters, blanks and zone offsets."""
         flag = F.col("l_returnflag")
-        return self.spread("lineitem").select(
+        return self.table("lineitem").select(
             _text("l_orderkey").alias("order_id"),
             F.when(flag == "R", F.lit("")).when(flag == "N", F.lit("a@b@c"))
             .otherwise(F.concat(F.lit("buyer"), _text("l_suppkey"), F.lit("@example.com")))
