@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,6 +147,28 @@ def require_valid(df: DataFrame, entity: Entity) -> DataFrame:
     return valid
 
 
+def staged_valid(df: DataFrame, entity: Entity, staging: str) -> DataFrame:
+    """Coerced rows, checked and written to ``staging`` in one pass.
+
+    Valid rows go below ``rejected=false``, invalid ones with their errors and the row as it
+    came below ``rejected=true``, where they can be read after a failure. Any invalid row
+    stops the job; a table is published from the staged rows only after that.
+    """
+    seen = Observation()
+    flagged = check(df, entity).select(
+        *entity.columns,
+        F.array_join(ERRORS, "; ").alias("error"),
+        F.when(F.size(ERRORS) > 0, F.to_json(RAW)).alias("source"),
+        (F.size(ERRORS) > 0).alias("rejected"),
+    )
+    flagged.observe(seen, F.count_if("rejected").alias("bad")).write.mode("overwrite").partitionBy("rejected").parquet(staging)
+    staged = df.sparkSession.read.schema(flagged.schema).parquet(staging)
+    if seen.get.get("bad"):
+        examples = [r["error"] for r in staged.filter("rejected").select("error").limit(5).collect()]
+        raise InvalidRowsError(f"invalid rows for {entity.name}: {examples}, see {staging}/rejected=true")
+    return staged.filter("not rejected").select(*entity.columns)
+
+
 def summary(df: DataFrame, entity: Entity) -> DataFrame:
     """Total, valid and invalid row counts in one pass."""
     invalid = F.count_if(F.size(ERRORS) > 0)

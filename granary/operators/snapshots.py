@@ -30,6 +30,44 @@ def latest_if_partitioned(df: DataFrame, column: str = "partition_date") -> Data
     return latest_partition(df, column) if column in df.columns else df
 
 
+def newest_date(
+    df: DataFrame, as_of: dt.date | str, column: str = "partition_date", lookback_days: int = 8
+) -> dt.date | None:
+    """Newest date of a stored table not after ``as_of``.
+
+    The search looks at the last days first and widens only while nothing is found, so
+    partition pruning keeps it from opening the files of the whole history.
+    """
+    last = dates.to_day(as_of)
+    until = df.select(column).filter(F.col(column) <= dates.day_lit(last))
+    for days in (lookback_days, 8 * lookback_days, 64 * lookback_days, None):
+        known = until if days is None else until.filter(F.col(column) > dates.day_lit(last - dt.timedelta(days=days)))
+        found = known.agg(F.max(column)).first()[0]
+        if found is not None:
+            return found
+    return None
+
+
+def stored_partition(df: DataFrame, as_of: dt.date | str, column: str = "partition_date") -> DataFrame:
+    """``latest_partition`` of a stored table, with the date as a literal in the plan."""
+    found = newest_date(df, as_of, column)
+    return df.filter(F.lit(False)) if found is None else df.filter(F.col(column) == dates.day_lit(found))
+
+
+def each_day(
+    df: DataFrame, start: dt.date | str, end: dt.date | str, column: str = "partition_date"
+) -> DataFrame:
+    """For every day in [start, end], the rows ``stored_partition`` has, keyed by ``as_of``."""
+    start, end = dates.to_day(start), dates.to_day(end)
+    first = newest_date(df, start, column) or start
+    recent = df.filter(F.col(column).between(dates.day_lit(first), dates.day_lit(end)))
+    # One row per day of the range.
+    served = snapshot_calendar(recent, start + dt.timedelta(days=1), end + dt.timedelta(days=1), column).select(
+        F.date_sub("as_of", 1).alias("as_of"), F.col("snapshot_date").alias(column)
+    )
+    return recent.join(F.broadcast(served), column)
+
+
 def snapshot_before(df: DataFrame, as_of: dt.date | str, column: str = "partition_date") -> DataFrame:
     """Newest partition no later than the day before ``as_of``."""
     return latest_partition(df, column, dates.to_day(as_of) - dt.timedelta(days=1))

@@ -1,15 +1,14 @@
 """Whole jobs: landed files to tables, and tables to published reports.
 
-Ingest jobs validate before they write and fail on the first invalid rows. Report jobs take
-the input tables as frames, so they work on any storage.
+Ingest jobs check all rows into a staging folder in one pass and publish from there only if
+none is invalid. Report jobs take the input tables as frames, so they work on any storage.
 """
 
 from __future__ import annotations
 
 import dataclasses
 import datetime as dt
-from collections.abc import Callable, Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,14 +25,9 @@ WRITERS: dict[str, Callable[[DataFrame, str, list[str]], None]] = {
 }
 
 
-@contextmanager
-def _kept(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep rows that are checked and then written; a lost block is computed again."""
-    kept = df.persist()
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
+def staging_of(root: str) -> str:
+    """Folder beside a table for rows on their way into it, on the same storage."""
+    return f"{root.rstrip('/')}.staging"
 
 
 def _store(df: DataFrame, entity: Entity, root: str, file_format: str) -> None:
@@ -51,11 +45,10 @@ def ingest_orders(
 ) -> None:
     """Landed order documents to daily order-line partitions for [start, end]."""
     docs = payloads.read_documents(spark, landing, "order")
-    with _kept(payloads.flatten_orders(docs)) as lines:
-        quality.require_complete(docs, "id", lines, "shipbob_order_id")
-        valid = quality.require_valid(lines, schemas.ORDER_DETAILS)
-        daily = sinks.split_by_day(valid, "purchase_date", "order_date", start, end)
-        _store(daily, schemas.ORDER_DETAILS, root, file_format)
+    valid = quality.staged_valid(payloads.flatten_orders(docs), schemas.ORDER_DETAILS, staging_of(root))
+    quality.require_complete(docs, "id", valid, "shipbob_order_id")
+    daily = sinks.split_by_day(valid, "purchase_date", "order_date", start, end)
+    _store(daily, schemas.ORDER_DETAILS, root, file_format)
 
 
 def ingest_snapshot(
@@ -63,9 +56,8 @@ def ingest_snapshot(
 ) -> None:
     """Validated rows as the ``day`` partition of a snapshot table."""
     (column,) = entity.partition_columns
-    with _kept(rows) as kept:
-        valid = quality.require_valid(kept, entity)
-        _store(valid.withColumn(column, dates.day_lit(day)), entity, root, file_format)
+    valid = quality.staged_valid(rows, entity, staging_of(root))
+    _store(valid.withColumn(column, dates.day_lit(day)), entity, root, file_format)
 
 
 def ingest_inventory(spark, landing, root, day, file_format="parquet") -> None:
@@ -108,10 +100,9 @@ def ingest_store_orders(
         (payloads.flatten_store_orders(docs), schemas.STORE_ORDERS, orders_root),
         (payloads.flatten_store_line_items(docs), schemas.STORE_LINE_ITEMS, lines_root),
     )
-    for rows, entity, root in targets:
-        with _kept(rows) as kept:
-            valid = quality.require_valid(kept, entity)
-            _store(sinks.with_day_parts(valid, "order_date"), entity, root, file_format)
+    staged = [(quality.staged_valid(rows, e, staging_of(root)), e, root) for rows, e, root in targets]
+    for valid, entity, root in staged:
+        _store(sinks.with_day_parts(valid, "order_date"), entity, root, file_format)
 
 
 def ingest_campaigns(spark, landing, root, day) -> None:
@@ -124,7 +115,8 @@ Tables = Mapping[str, DataFrame]
 
 @dataclasses.dataclass(frozen=True)
 class Report:
-    """``build`` makes one day; ``build_range`` makes all days of a range in one plan."""
+    """``build`` makes one day; ``build_range`` makes all days of a range in one plan, with
+    the day in the table's partition column. Both see inputs as they were on the day."""
 
     entity: Entity
     build: Callable[[Tables, dt.date], DataFrame]
@@ -136,6 +128,24 @@ CURRENT_INVENTORY = dataclasses.replace(
     schemas.INVENTORY_DETAILS, name="current_inventory", comment="Newest stock snapshot"
 )
 
+
+def _snapshot_report(entity: Entity, inputs: tuple[str, ...], build: Callable[..., DataFrame], **options) -> Report:
+    """Report over the newest partition, on the run day, of each input.
+
+    ``build`` takes the inputs and ``by``, the extra key of a range.
+    """
+
+    def one(tables: Tables, day: dt.date) -> DataFrame:
+        return build(*[snapshots.stored_partition(tables[n], day) for n in inputs])
+
+    def many(tables: Tables, start: dt.date, end: dt.date) -> DataFrame:
+        days = [snapshots.each_day(tables[n], start, end) for n in inputs]
+        (column,) = entity.partition_columns
+        return build(*days, by=("as_of",)).drop(column).withColumnRenamed("as_of", column)
+
+    return Report(entity, one, many, **options)
+
+
 REPORTS: dict[str, Report] = {
     "inventory_run_rate": Report(
         schemas.RUN_RATE,
@@ -145,18 +155,16 @@ REPORTS: dict[str, Report] = {
         ),
         validated=True,
     ),
-    "raw_material_run_rate": Report(
+    "raw_material_run_rate": _snapshot_report(
         schemas.RAW_MATERIAL_RUN_RATE,
-        lambda t, day: planning.raw_material_run_rate(
-            t["inventory_run_rate"], t["formulas"], t["material_inventory"]
-        ),
+        ("inventory_run_rate", "formulas", "material_inventory"),
+        planning.raw_material_run_rate,
         validated=True,
     ),
-    "raw_material_status": Report(
+    "raw_material_status": _snapshot_report(
         schemas.RAW_MATERIAL_STATUS,
-        lambda t, day: planning.raw_material_status(
-            t["material_inventory"], t["open_manufacturing_orders"]
-        ),
+        ("material_inventory", "open_manufacturing_orders"),
+        planning.raw_material_status,
         validated=True,
     ),
     "daily_order_cnt_by_channel": Report(
@@ -172,12 +180,11 @@ REPORTS: dict[str, Report] = {
             )
         ),
     ),
-    "current_inventory": Report(
-        CURRENT_INVENTORY,
-        lambda t, day: snapshots.latest_partition(t["inventory_details"], as_of=day),
+    "current_inventory": _snapshot_report(
+        CURRENT_INVENTORY, ("inventory_details",), lambda stock, by=(): stock
     ),
-    "inventory_run_rate_mart": Report(
-        schemas.RUN_RATE_MART, lambda t, day: planning.run_rate_mart(t["inventory_run_rate"])
+    "inventory_run_rate_mart": _snapshot_report(
+        schemas.RUN_RATE_MART, ("inventory_run_rate",), planning.run_rate_mart
     ),
     "all_line_item_obfuscated": Report(
         schemas.OBFUSCATED_LINE_ITEMS,
@@ -188,16 +195,27 @@ REPORTS: dict[str, Report] = {
 }
 
 
+def _checked(report: Report, rows: DataFrame, staging_root: str) -> DataFrame:
+    """Rows of a validated report from its staging folder, others as they are."""
+    if not report.validated:
+        return rows
+    entity = dataclasses.replace(report.entity, fields=(*report.entity.fields, *report.entity.partition))
+    keep = entity if all(c in rows.columns for c in entity.partition_columns) else report.entity
+    return quality.staged_valid(rows, keep, f"{staging_root.rstrip('/')}/{report.entity.name}.checked")
+
+
 def run_report(
     name: str,
     tables: Tables,
     root: str,
     staging_root: str,
     run_date: dt.date | str | None = None,
+    table: str | None = None,
 ) -> None:
     """Build a report and replace its day, or the whole table when it has no partitions.
 
-    Without ``run_date`` the report of the day 24 hours ago is made.
+    Without ``run_date`` the report of the day 24 hours ago is made. With ``table`` the day
+    is registered in that catalog table.
     """
     report = REPORTS[name]
     day = dates.to_day(run_date or dates.report_day(dt.datetime.now(dt.timezone.utc)))
@@ -205,23 +223,41 @@ def run_report(
     if not report.entity.partition:
         publish.publish_full(rows, report.entity, root)
         return
-    if report.validated:
-        with _kept(rows) as kept:
-            valid = quality.require_valid(kept, report.entity)
-            publish.publish_partition(valid, report.entity, root, staging_root, day)
-        return
+    rows = _checked(report, rows.drop(*report.entity.partition_columns), staging_root)
     publish.publish_partition(rows, report.entity, root, staging_root, day)
+    if table:
+        publish.register_days(rows.sparkSession, report.entity, table, day)
 
 
 def backfill_report(
-    name: str, tables: Tables, root: str, start: dt.date | str, end: dt.date | str
+    name: str,
+    tables: Tables,
+    root: str,
+    staging_root: str,
+    start: dt.date | str,
+    end: dt.date | str,
+    table: str | None = None,
 ) -> None:
-    """Replace all days of [start, end] that have source data, as one job."""
+    """Replace all days of [start, end] as one plan; days without rows become empty."""
     report = REPORTS[name]
     if report.build_range is None:
-        raise ValueError(f"{name} has no range form; run it day by day")
+        raise ValueError(f"{name} has no days: it is replaced as a whole")
     rows = report.build_range(tables, dates.to_day(start), dates.to_day(end))
-    publish.publish_range(rows, report.entity, root)
+    rows = _checked(report, rows, staging_root)
+    publish.replace_range(rows, report.entity, root, staging_root, start, end)
+    if table:
+        publish.register_days(rows.sparkSession, report.entity, table, start, end)
+
+
+def missing_source_days(
+    spark: SparkSession, entity: Entity, root: str, yesterday: dt.date | str, lookback_days: int = 7
+) -> DataFrame:
+    """Days an ingested table lacks within the lookback window; asked before reports run."""
+    rows = scans.read_parquet_table(spark, root, entity)
+    if entity.partition_columns == ["year", "month", "day"]:
+        return snapshots.missing_dates(scans.with_day_from_parts(rows, "_day"), "_day", yesterday, lookback_days)
+    (column,) = entity.partition_columns
+    return snapshots.missing_dates(rows, column, yesterday, lookback_days)
 
 
 def missing_report_days(

@@ -177,44 +177,51 @@ def run_rate_range(
     )
 
 
-def run_rate_mart(run_rates: DataFrame) -> DataFrame:
+def _newest(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """The newest partition, or with ``by`` (run days, see ``snapshots.each_day``) all rows."""
+    return df if by else snapshots.latest_if_partitioned(df)
+
+
+def run_rate_mart(run_rates: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Newest run rates under the report's column names and types."""
-    newest = snapshots.latest_if_partitioned(run_rates)
+    newest = _newest(run_rates, by)
     renamed = newest.withColumn("est_daily_run_rate", F.col("run_rate"))
     return renamed.select(
-        *[F.col(f.name).cast(f.type).alias(f.name) for f in RUN_RATE_MART.fields]
+        *[F.col(f.name).cast(f.type).alias(f.name) for f in RUN_RATE_MART.fields], *by
     )
 
 
-def ingredient_demand(run_rates: DataFrame, formulas: DataFrame) -> DataFrame:
+def ingredient_demand(run_rates: DataFrame, formulas: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Daily demand per raw material: run rate times quantity required, over all products."""
-    rates = snapshots.latest_if_partitioned(run_rates).select(
-        F.col("inventory_id").cast("double").alias("product_variant_code"), "run_rate"
+    rates = _newest(run_rates, by).select(
+        F.col("inventory_id").cast("double").alias("product_variant_code"), "run_rate", *by
     )
-    recipe = snapshots.latest_if_partitioned(formulas).select(
+    recipe = _newest(formulas, by).select(
         "product_variant_code",
+        *by,
         F.col("ingredient_variant_code_sku_required").alias("katana_ingredient_sku"),
         F.col("ingredient_variant_name").alias("katana_ingredient_name"),
         F.col("unit_of_measure").alias("katana_unit_of_measure"),
         "quantity_required",
     )
     return (
-        rates.join(recipe, "product_variant_code")
-        .groupBy("katana_ingredient_sku", "katana_ingredient_name", "katana_unit_of_measure")
+        rates.join(recipe, ["product_variant_code", *by])
+        .groupBy(*by, "katana_ingredient_sku", "katana_ingredient_name", "katana_unit_of_measure")
         .agg(F.sum(F.col("run_rate") * F.col("quantity_required")).alias("daily_run_rate"))
     )
 
 
 def raw_material_run_rate(
-    run_rates: DataFrame, formulas: DataFrame, material_stock: DataFrame
+    run_rates: DataFrame, formulas: DataFrame, material_stock: DataFrame, by: tuple[str, ...] = ()
 ) -> DataFrame:
     """Demand, cover and reorder point per raw material that has a stock row.
 
     A safety stock of 0 means "use the default lead time"; an unknown one leaves the
     reorder point unknown.
     """
-    demand = ingredient_demand(run_rates, formulas)
-    stock = snapshots.latest_if_partitioned(material_stock).select(
+    demand = ingredient_demand(run_rates, formulas, by)
+    stock = _newest(material_stock, by).select(
+        *by,
         F.col("variant_code_sku").alias("katana_ingredient_sku"),
         F.col("in_stock").alias("inventory_on_hand"),
         F.col("partition_date").alias("inventory_as_of"),
@@ -223,53 +230,54 @@ def raw_material_run_rate(
     lead_time_demand = F.col("daily_run_rate") * MATERIAL_LEAD_TIME_DAYS
     buffer = F.when(F.col("safety_stock") == 0, lead_time_demand).otherwise(F.col("safety_stock"))
     return (
-        demand.join(stock, "katana_ingredient_sku")
+        demand.join(stock, ["katana_ingredient_sku", *by])
         .withColumns(
             {
                 "days_on_hand": numeric.ratio(F.col("inventory_on_hand"), F.col("daily_run_rate")),
                 "reorder_point": lead_time_demand + buffer,
             }
         )
-        .select(*RAW_MATERIAL_RUN_RATE.columns)
+        .select(*RAW_MATERIAL_RUN_RATE.columns, *by)
     )
 
 
-def planned_material(open_orders: DataFrame, per_material: bool = False) -> DataFrame:
+def planned_material(
+    open_orders: DataFrame, per_material: bool = False, by: tuple[str, ...] = ()
+) -> DataFrame:
     """Ingredient quantity planned in the newest open manufacturing orders.
 
     Grouped by material and product unit of measure, so a material used under two units
     has two rows; ``per_material=True`` adds them up. Rows with a null key are dropped.
     """
     keys = ["ingredient_variant_code_sku", "ingredient_variant", "unit_of_measure"]
-    newest = snapshots.latest_if_partitioned(open_orders).withColumnRenamed(
-        "partition_date", "planned_qty_as_of"
-    )
-    by = ["planned_qty_as_of", *(keys[:1] if per_material else keys)]
+    newest = _newest(open_orders, by).withColumnRenamed("partition_date", "planned_qty_as_of")
+    per = [*by, "planned_qty_as_of", *(keys[:1] if per_material else keys)]
     quantity = F.coalesce("planned_quantity_of_ingredient", F.lit(0.0))
     return (
-        newest.dropna(subset=by)
-        .groupBy(*by)
+        newest.dropna(subset=per)
+        .groupBy(*per)
         .agg(F.sum(quantity).alias("planned_qty"))
         .withColumnRenamed("ingredient_variant_code_sku", "variant_code_sku")
-        .select("planned_qty_as_of", "variant_code_sku", "planned_qty")
+        .select(*by, "planned_qty_as_of", "variant_code_sku", "planned_qty")
     )
 
 
 def raw_material_status(
-    material_stock: DataFrame, open_orders: DataFrame, per_material: bool = False
+    material_stock: DataFrame, open_orders: DataFrame, per_material: bool = False, by: tuple[str, ...] = ()
 ) -> DataFrame:
     """Stock against planned use for every material with planned use."""
     in_stock = F.coalesce("in_stock", F.lit(0.0))
-    stock = snapshots.latest_if_partitioned(material_stock).select(
+    stock = _newest(material_stock, by).select(
+        *by,
         "variant_code_sku",
         "name",
         "units_of_measure",
         in_stock.alias("in_stock"),
         F.col("partition_date").alias("in_stock_as_of"),
     )
-    planned = planned_material(open_orders, per_material).filter("planned_qty > 0")
+    planned = planned_material(open_orders, per_material, by).filter("planned_qty > 0")
     # Only positive planned quantities are kept, so unmatched stock rows never survive.
-    covered = stock.join(planned, "variant_code_sku")
+    covered = stock.join(planned, ["variant_code_sku", *by])
     remaining = F.col("in_stock") - F.col("planned_qty")
     return covered.withColumns(
         {
@@ -277,4 +285,4 @@ def raw_material_status(
             "in_stock_percentage": numeric.ratio(F.col("in_stock"), F.col("planned_qty")),
             "needs_replenished": remaining < 0,
         }
-    ).select(*RAW_MATERIAL_STATUS.columns)
+    ).select(*RAW_MATERIAL_STATUS.columns, *by)

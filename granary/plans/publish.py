@@ -28,17 +28,25 @@ def publish_partition(
 ) -> str:
     """Replace exactly one day of a table; running it twice equals running it once.
 
-    The report is computed into its staging directory first. Only when that has
-    succeeded is the final partition replaced from the staged files, so a failed
-    computation leaves the table as it was, an empty report empties the partition, and a
-    report may read the table it refreshes.
+    The report is computed into its staging directory first, then written as a dynamic
+    overwrite of the table: the day's old files stay until the new ones are complete. So a
+    failed computation or copy leaves the table as it was, an empty report empties the
+    partition, and a report may read the table it refreshes.
     """
     (column,) = entity.partition_columns
     staged = partition_path(f"{staging_root.rstrip('/')}/{entity.name}", column, day)
-    final = partition_path(root, column, day)
     sinks.write_parquet(conform(df, entity), staged)
-    spark = df.sparkSession
-    sinks.write_parquet(spark.read.schema(entity.struct()).parquet(staged), final)
+    rows = df.sparkSession.read.schema(entity.struct()).parquet(staged)
+    if rows.isEmpty():
+        return clear_day(rows, entity, root, day)
+    publish_range(rows.withColumn(column, dates.day_lit(day)), entity, root)
+    return partition_path(root, column, day)
+
+
+def clear_day(like: DataFrame, entity: Entity, root: str, day: dt.date | str) -> str:
+    """Empty one day of a table; ``like`` has its columns."""
+    final = partition_path(root, entity.partition_columns[0], day)
+    sinks.write_parquet(like.select(*entity.columns).limit(0), final)
     return final
 
 
@@ -47,6 +55,23 @@ def publish_range(df: DataFrame, entity: Entity, root: str) -> None:
     sinks.write_parquet_by(conform(df, entity, with_partition=True), root, entity.partition_columns)
 
 
+def replace_range(
+    df: DataFrame, entity: Entity, root: str, staging_root: str, start: dt.date | str, end: dt.date | str
+) -> None:
+    """Replace all days in [start, end]: days of ``df`` by its rows, all others by nothing."""
+    (column,) = entity.partition_columns
+    spark = df.sparkSession
+    staged = f"{staging_root.rstrip('/')}/{entity.name}/range"
+    in_range = F.col(column).between(dates.day_lit(start), dates.day_lit(end))
+    sinks.write_parquet(conform(df, entity, with_partition=True).filter(in_range), staged)
+    rows = spark.read.schema(entity.struct(with_partition=True)).parquet(staged)
+    publish_range(rows, entity, root)
+    table = spark.read.schema(entity.struct(with_partition=True)).parquet(root)
+    stale = table.filter(in_range).select(column).distinct().join(rows.select(column).distinct(), column, "left_anti")
+    for row in stale.collect():  # calendar days of the range
+        clear_day(rows, entity, root, row[column])
+
+
 def publish_full(df: DataFrame, entity: Entity, root: str) -> None:
     """Replace the whole table. ``df`` must not read from ``root``."""
     sinks.write_parquet(conform(df, entity), root)
@@ -87,6 +112,18 @@ def register_partitions(spark: SparkSession, table: str) -> None:
     spark.catalog.recoverPartitions(table)
 
 
+def register_days(
+    spark: SparkSession, entity: Entity, table: str, start: dt.date | str, end: dt.date | str | None = None
+) -> None:
+    """Register the partitions a job has touched, without listing the whole table."""
+    (column,) = entity.partition_columns
+    first, last = dates.to_day(start), dates.to_day(end or start)
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+    parts = " ".join(f"PARTITION ({column} = DATE '{day}')" for day in days)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+    spark.catalog.refreshTable(table)
+
+
 def publish_to_table(df: DataFrame, entity: Entity, table: str, day: dt.date | str) -> None:
     """Replace one partition of a catalog table, the others untouched."""
     (column,) = entity.partition_columns

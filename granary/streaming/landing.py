@@ -1,22 +1,28 @@
 """Landed order documents -> daily partitions of the order table.
 
-Each micro-batch rewrites only the order days it touches. Within such a day an order
-that was delivered again replaces its earlier rows, so re-processing a batch after a
-failure gives the same partitions.
+Each micro-batch rewrites only the order days it touches: the days of its new rows and the
+days that still hold rows of its orders. An order that was delivered again replaces its
+earlier rows wherever they are, also when it moved to another day or lost its items. The new
+days are staged as a whole before the table is touched, and a batch that is run again applies
+what it had staged, so a failure at any point loses nothing.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from granary.operators import quality
+from granary.plans import publish
 from granary.schemas import ORDER_DETAILS
 from granary.sources import payloads, scans, sinks
 
 DAY = "order_date"
 ORDER = "shipbob_order_id"
+READY = "batch_id long, emptied array<date>"
 
 
 def newest_delivery(docs: DataFrame) -> DataFrame:
@@ -33,12 +39,6 @@ def newest_delivery(docs: DataFrame) -> DataFrame:
     )
 
 
-def order_rows(lines: DataFrame) -> DataFrame:
-    """Valid typed order lines with their partition day; invalid rows stop the batch."""
-    valid = quality.require_valid(lines, ORDER_DETAILS)
-    return sinks.split_by_day(valid, "purchase_date", DAY)
-
-
 def _existing_rows(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return scans.read_parquet_table(spark, root, ORDER_DETAILS)
@@ -48,26 +48,66 @@ def _existing_rows(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
-def refresh_days(rows: DataFrame, root: str) -> None:
-    """Rewrite the days of ``rows``: other orders of those days plus ``rows``."""
-    existing = _existing_rows(rows.sparkSession, root)
-    refreshed = rows
+def _staged(spark: SparkSession, staging: str, batch_id: int | None) -> list[dt.date] | None:
+    """Days to empty, if this batch was staged completely before; else None."""
+    try:
+        ready = spark.read.schema(READY).parquet(f"{staging}/ready").first()
+    except Exception as missing:
+        if "PATH_NOT_FOUND" in str(missing):
+            return None
+        raise
+    return list(ready["emptied"]) if ready and batch_id is not None and ready["batch_id"] == batch_id else None
+
+
+def stage_days(rows: DataFrame, orders: DataFrame, root: str, staging: str, batch_id: int | None) -> list[dt.date]:
+    """Write the new content of all touched days to ``staging``; returns days left empty.
+
+    ``rows`` are the new lines with their day, ``orders`` the ids of all delivered orders,
+    those without lines included.
+    """
+    spark = rows.sparkSession
+    existing = _existing_rows(spark, root)
+    refreshed, emptied = rows, []
     if existing is not None:
+        held = existing.join(orders, ORDER, "left_semi").select(DAY).distinct()
         # At most one row per calendar day; as a broadcast it prunes the partitions read.
-        touched = F.broadcast(rows.select(DAY).distinct())
-        orders = rows.select(ORDER).distinct()
+        touched = F.broadcast(rows.select(DAY).unionByName(held).distinct())
         kept = existing.join(touched, DAY, "left_semi").join(orders, ORDER, "left_anti")
         refreshed = kept.select(*rows.columns).unionByName(rows)
-    sinks.write_parquet_by(refreshed, root, [DAY])
-
-
-def refresh_batch(docs: DataFrame, root: str) -> None:
-    # Read by validation, by the day and order lists and by the write.
-    lines = payloads.flatten_orders(newest_delivery(docs)).persist()
-    try:
-        refresh_days(order_rows(lines), root)
-    finally:
-        lines.unpersist()
+        sinks.write_parquet(refreshed, f"{staging}/days")
+        filled = _staged_days(spark, staging).select(DAY).distinct()
+        emptied = [r[DAY] for r in held.join(filled, DAY, "left_anti").collect()]
+    else:
+        sinks.write_parquet(refreshed, f"{staging}/days")
+    ready = spark.createDataFrame([(batch_id, emptied)], READY)
+    sinks.write_parquet(ready.coalesce(1), f"{staging}/ready")
+    return emptied
+
+
+def _staged_days(spark: SparkSession, staging: str) -> DataFrame:
+    return spark.read.schema(ORDER_DETAILS.struct(with_partition=True)).parquet(f"{staging}/days")
+
+
+def apply_days(spark: SparkSession, root: str, staging: str, emptied: list[dt.date]) -> None:
+    """Replace the staged days of the table. Doing it twice equals doing it once."""
+    rows = _staged_days(spark, staging)
+    sinks.write_parquet_by(rows, root, [DAY])
+    for day in emptied:
+        publish.clear_day(rows, ORDER_DETAILS, root, day)
+
+
+def refresh_batch(docs: DataFrame, root: str, staging: str, batch_id: int | None = None) -> None:
+    spark = docs.sparkSession
+    emptied = _staged(spark, staging, batch_id)
+    if emptied is None:
+        newest = newest_delivery(docs)
+        # Ids come from the documents: an order may have lost its items.
+        sinks.write_parquet(newest.select(F.col("id").alias(ORDER)), f"{staging}/orders")
+        orders = spark.read.schema(f"{ORDER} bigint").parquet(f"{staging}/orders")
+        valid = quality.staged_valid(payloads.flatten_orders(newest), ORDER_DETAILS, f"{staging}/checked")
+        rows = sinks.split_by_day(valid, "purchase_date", DAY)
+        emptied = stage_days(rows, orders, root, staging, batch_id)
+    apply_days(spark, root, staging, emptied)
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
@@ -91,6 +131,7 @@ def start_refresh(
     it has to be storage that every node can reach.
     """
     checkpoint = checkpoint or checkpoint_location(spark, "order_landing")
+    staging = f"{checkpoint.rstrip('/')}.staging"
     docs = (
         spark.readStream.schema(" ".join(payloads.ORDER_DOC.split()))
         .option("mode", "FAILFAST")
@@ -105,6 +146,6 @@ def start_refresh(
     return (
         docs.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda batch, _id: refresh_batch(batch, root))
+        .foreachBatch(lambda batch, batch_id: refresh_batch(batch, root, staging, batch_id))
         .start()
     )

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from granary import schemas
 from granary.operators import quality
@@ -111,13 +112,74 @@ def test_customer_reports(spark, warehouse):
 def test_backfill_and_gaps(spark, warehouse):
     tmp, _, tables = warehouse
     root = str(tmp / "backfilled")
-    jobs.backfill_report("inventory_run_rate", tables, root, DAY - dt.timedelta(days=2), DAY + dt.timedelta(days=1))
-    days = [r[0] for r in jobs.missing_report_days(
-        spark, "inventory_run_rate", root, DAY + dt.timedelta(days=1), 4).orderBy("missing_date").collect()]
+    start, end = DAY - dt.timedelta(days=2), DAY + dt.timedelta(days=1)
+    jobs.backfill_report("inventory_run_rate", tables, root, str(tmp / "staging3"), start, end)
+    days = [r[0] for r in jobs.missing_report_days(spark, "inventory_run_rate", root, end, 4).orderBy("missing_date").collect()]
     # No sales before DAY, so no rates for the two days before it.
     assert days == [DAY - dt.timedelta(days=2), DAY - dt.timedelta(days=1)]
-    with pytest.raises(ValueError, match="no range form"):
-        jobs.backfill_report("retention_by_cohort", tables, root, DAY, DAY)
+    with pytest.raises(ValueError, match="replaced as a whole"):
+        jobs.backfill_report("retention_by_cohort", tables, root, str(tmp / "staging3"), DAY, DAY)
+    gaps = jobs.missing_source_days(spark, schemas.ORDER_DETAILS, warehouse[1]("order_details"), DAY, 2)
+    assert [r[0] for r in gaps.collect()] == [DAY - dt.timedelta(days=1)]
+
+
+def snapshots_of(df, *days):
+    """The rows once for each day, with quantities that tell the days apart."""
+    return df.drop("partition_date").crossJoin(
+        df.sparkSession.createDataFrame([(d, i + 1) for i, d in enumerate(days)], "partition_date date, n int")
+    )
+
+
+def test_a_range_equals_its_days(spark, warehouse):
+    tmp, _, tables = warehouse
+    day = lambda n: DAY + dt.timedelta(days=n)
+    rates = jobs.REPORTS["inventory_run_rate"].build(tables, DAY)
+    later = dict(tables)
+    # Partitions on three days; rows after a run day must not reach it.
+    later["inventory_run_rate"] = snapshots_of(rates, day(0), day(2), day(5)).withColumn("run_rate", F.col("run_rate") * F.col("n")).drop("n")
+    for name, column in (("formulas", "quantity_required"), ("material_inventory", "in_stock"),
+                         ("open_manufacturing_orders", "planned_quantity_of_ingredient"),
+                         ("inventory_details", "total_fulfillable_quantity")):
+        later[name] = snapshots_of(tables[name], day(-1), day(1), day(4)).withColumn(column, F.col(column) * F.col("n")).drop("n")
+    for name, report in jobs.REPORTS.items():
+        if report.build_range is None:
+            continue
+        (column,) = report.entity.partition_columns
+        whole = jobs.publish.conform(report.build_range(later, day(0), day(3)), report.entity, with_partition=True)
+        got = sorted(map(repr, whole.collect()))
+        expected = []
+        for n in range(4):
+            one = report.build(later, day(n)).drop(column).withColumn(column, F.lit(day(n)))
+            expected += map(repr, jobs.publish.conform(one, report.entity, with_partition=True).collect())
+        assert got == sorted(expected) and got, name
+
+
+def test_a_backfill_checks_rows_and_empties_days(spark, warehouse):
+    tmp, _, tables = warehouse
+    root, staging = str(tmp / "counts"), str(tmp / "staging4")
+    old = spark.createDataFrame([("9", "old", 1, DAY), ("9", "old", 1, DAY - dt.timedelta(days=1)), ("9", "old", 1, DAY - dt.timedelta(days=5))],
+                                "channel_id string, channel_name string, order_cnt bigint, order_date date")
+    jobs.publish.publish_range(old, schemas.DAILY_ORDER_COUNT, root)
+    jobs.backfill_report("daily_order_cnt_by_channel", tables, root, staging, DAY - dt.timedelta(days=2), DAY)
+    table = scans.read_parquet_table(spark, root, schemas.DAILY_ORDER_COUNT)
+    assert {(r.channel_name, r.order_date) for r in table.collect()} == {("web", DAY), ("old", DAY - dt.timedelta(days=5))}
+    broken = dict(tables)
+    broken["order_details"] = tables["order_details"].withColumn("inventory_id", F.lit(None).cast("bigint"))
+    rates = str(tmp / "broken")
+    with pytest.raises(quality.InvalidRowsError, match="inventory_id: required"):
+        jobs.backfill_report("inventory_run_rate", broken, rates, staging, DAY, DAY)
+    assert not (tmp / "broken").exists()
+    rejects = spark.read.parquet(f"{staging}/inventory_run_rate.checked").filter("rejected = 'true'")
+    assert rejects.count() == 1
+
+
+def test_a_job_registers_its_days(spark, warehouse):
+    tmp, _, tables = warehouse
+    root = str(tmp / "registered")
+    jobs.publish.create_table(spark, schemas.DAILY_ORDER_COUNT, "registered_counts", root)
+    jobs.run_report("daily_order_cnt_by_channel", tables, root, str(tmp / "staging5"), DAY, table="registered_counts")
+    assert spark.table("registered_counts").first().order_date == DAY
+    spark.sql("DROP TABLE registered_counts")
 
 
 def test_default_run_date_is_yesterday(spark, warehouse):

@@ -300,9 +300,9 @@ def test_reprocessing_a_batch_changes_nothing(spark, tmp_path, rows):
     path.write_text("\n".join([delivery(1, 1, (10, 2)), delivery(1, 1, (10, 5))]))
     docs = spark.read.schema(" ".join(landing.payloads.ORDER_DOC.split())).json(str(path)).select(
         "*", F.lit(AT).alias("_delivered"), F.monotonically_increasing_id().cast("string").alias("_file"))
-    landing.refresh_batch(docs, root)
+    landing.refresh_batch(docs, root, root + ".staging")
     once = rows(spark.read.parquet(root))
-    landing.refresh_batch(docs, root)
+    landing.refresh_batch(docs, root, root + ".staging")
     assert rows(spark.read.parquet(root)) == once and len(once) == 1
     assert once[0][ORDER_DETAILS.columns.index("inventory_qty")] == 5
 
@@ -313,7 +313,53 @@ def test_invalid_delivery_stops_the_batch(spark, tmp_path):
     docs = spark.read.schema(" ".join(landing.payloads.ORDER_DOC.split())).json(str(path)).select(
         "*", F.lit(AT).alias("_delivered"), F.lit("f").alias("_file"))
     with pytest.raises(ValueError, match="inventory_qty: required"):
-        landing.refresh_batch(docs, str(tmp_path / "orders"))
+        landing.refresh_batch(docs, str(tmp_path / "orders"), str(tmp_path / "staging"))
+
+
+def deliveries(spark, path, *documents):
+    path.write_text("\n".join(documents))
+    return spark.read.schema(" ".join(landing.payloads.ORDER_DOC.split())).json(str(path)).select(
+        "*", F.lit(AT).alias("_delivered"), F.monotonically_increasing_id().cast("string").alias("_file"))
+
+
+def held(spark, root, rows):
+    table = scans.read_parquet_table(spark, root, ORDER_DETAILS)
+    return rows(table.select("order_date", "shipbob_order_id", "inventory_id"), "order_date", "shipbob_order_id")
+
+
+def test_an_order_leaves_its_old_day(spark, tmp_path, rows):
+    root, staging = str(tmp_path / "orders"), str(tmp_path / "staging")
+    landing.refresh_batch(deliveries(spark, tmp_path / "1", delivery(1, 1, (10, 2)), delivery(2, 2, (10, 3)), delivery(3, 2, (10, 3))), root, staging, 0)
+    # Orders 1 and 2 come again with a later purchase; order 1 was alone on its day.
+    landing.refresh_batch(deliveries(spark, tmp_path / "2", delivery(1, 3, (10, 2)), delivery(2, 3, (11, 3))), root, staging, 1)
+    assert held(spark, root, rows) == [(D(2024, 1, 2), 3, 10), (D(2024, 1, 3), 1, 10), (D(2024, 1, 3), 2, 11)]
+
+
+def test_an_order_without_items_goes(spark, tmp_path, rows):
+    root, staging = str(tmp_path / "orders"), str(tmp_path / "staging")
+    landing.refresh_batch(deliveries(spark, tmp_path / "1", delivery(1, 1, (10, 2)), delivery(2, 1, (10, 3))), root, staging, 0)
+    landing.refresh_batch(deliveries(spark, tmp_path / "2", delivery(2, 1)), root, staging, 1)
+    assert held(spark, root, rows) == [(D(2024, 1, 1), 1, 10)]
+
+
+def test_a_batch_that_failed_midway_is_applied_again(spark, tmp_path, rows, monkeypatch):
+    root, staging = str(tmp_path / "orders"), str(tmp_path / "staging")
+    landing.refresh_batch(deliveries(spark, tmp_path / "1", delivery(1, 1, (10, 2)), delivery(2, 1, (10, 3))), root, staging, 0)
+    second = deliveries(spark, tmp_path / "2", delivery(2, 2, (10, 9)))
+
+    def lost(rows_, root_, columns):
+        # The old files of a day are gone and the new ones are not there yet.
+        for f in pathlib.Path(root_, "order_date=2024-01-01").glob("*.parquet"):
+            f.write_bytes(b"")
+            f.rename(f.with_name("_" + f.name))
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(landing.sinks, "write_parquet_by", lost)
+        with pytest.raises(RuntimeError, match="executor lost"):
+            landing.refresh_batch(second, root, staging, 1)
+    landing.refresh_batch(second, root, staging, 1)
+    assert held(spark, root, rows) == [(D(2024, 1, 1), 1, 10), (D(2024, 1, 2), 2, 10)]
 
 
 class Session:
