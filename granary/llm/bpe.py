@@ -88,15 +88,12 @@ def _pieces(batches):
 def _encoded(path: str, keep: list[str]):
     def run(batches):
         encoder = tokens.encoder(path)
-        for batch in batches:
-            texts = batch.column("text")
-            for part in W.sliced(W.utf8(texts)):
-                n = part.stop - part.start
-                found = [encoder.encode(t or "") for t in texts.slice(part.start, n).to_pylist()]
-                ends = np.cumsum([0, *(len(x) // encoder.kind.itemsize for x in found)]).astype(np.int32)
-                ids = pa.array(np.frombuffer(b"".join(found), dtype=encoder.kind).astype(np.int32))
-                columns = [batch.column(c).slice(part.start, n) for c in keep]
-                yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends), ids)], names=[*keep, "ids"])
+        for batch in W.parts(batches):
+            found = [encoder.encode(t or "") for t in batch.column("text").to_pylist()]
+            ends = np.cumsum([0, *(len(x) // encoder.kind.itemsize for x in found)]).astype(np.int32)
+            ids = pa.array(np.frombuffer(b"".join(found), dtype=encoder.kind).astype(np.int32))
+            columns = [batch.column(c) for c in keep]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends), ids)], names=[*keep, "ids"])
 
     return run
 

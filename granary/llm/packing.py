@@ -77,27 +77,24 @@ def _encoded(path: str):
         encoder = tokens.encoder(path)
         end = np.array([END_ID], dtype=encoder.kind).tobytes()
         part, before = TaskContext.get().partitionId(), {}
-        for batch in batches:
-            texts, queues = batch.column("text"), batch.column("queue").to_pylist()
-            for at in W.sliced(W.utf8(texts)):
-                ids, counts, begins = [], [], []
-                for text, queue in zip(texts.slice(at.start, at.stop - at.start).to_pylist(), queues[at], strict=True):
-                    ids.append(encoder.encode(text or "") + end)
-                    counts.append(len(ids[-1]) // encoder.kind.itemsize)
-                    begins.append(before.get(queue, 0))
-                    before[queue] = begins[-1] + counts[-1]
-                n = at.stop - at.start
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(at.start, n),
-                        batch.column("queue").slice(at.start, n),
-                        pa.array(np.full(n, part)),
-                        pa.array(begins, pa.int64()),
-                        pa.array(counts, pa.int64()),
-                        pa.array(ids, pa.binary()),
-                    ],
-                    names=["doc_id", "queue", "part", "before", "n", "ids"],
-                )
+        for batch in W.parts(batches):
+            ids, counts, begins = [], [], []
+            for text, queue in zip(batch.column("text").to_pylist(), batch.column("queue").to_pylist(), strict=True):
+                ids.append(encoder.encode(text or "") + end)
+                counts.append(len(ids[-1]) // encoder.kind.itemsize)
+                begins.append(before.get(queue, 0))
+                before[queue] = begins[-1] + counts[-1]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("queue"),
+                    pa.array(np.full(batch.num_rows, part)),
+                    pa.array(begins, pa.int64()),
+                    pa.array(counts, pa.int64()),
+                    pa.array(ids, pa.binary()),
+                ],
+                names=["doc_id", "queue", "part", "before", "n", "ids"],
+            )
 
     return run
 
@@ -107,9 +104,7 @@ def _placed(names: list[str | None], service: Service, path: str, sequence: int,
 
     def run(batches):
         kind = tokens.encoder(path).kind
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in W.parts(batches, "ids"):
             queue = np.array([number[q] for q in batch.column("queue").to_pylist()])
             begin = batch.column("start").to_numpy()
             n = batch.column("n").to_numpy()

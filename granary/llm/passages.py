@@ -97,9 +97,9 @@ def _ids(column) -> np.ndarray:
 
 def _phrase_blocks(shards: int, window: int):
     def run(batches):
-        for batch, texts, part in W.batches(batches):
-            ids = _ids(batch.column("doc_id"))[part]
-            words = W.hashed(texts[part])
+        for batch in W.parts(batches):
+            ids = _ids(batch.column("doc_id"))
+            words = W.hashed(W.utf8(batch.column("text")))
             at, place, _ = _picked(words, window)
             if not len(at):
                 continue

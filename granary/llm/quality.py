@@ -88,12 +88,8 @@ class Model:
     offset: float
 
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
-        out = np.zeros(len(texts))
-        for part in W.sliced(texts):
-            found = indicators([t or b"" for t in texts[part]])
-            margin = np.array([self.weights[f].sum() for f in found]) + self.bias
-            out[part] = 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
-        return out
+        margin = np.array([self.weights[f].sum() for f in indicators([t or b"" for t in texts])]) + self.bias
+        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
 def log_count_ratio(rows: list[np.ndarray], labels: np.ndarray, alpha: float = 1.0) -> np.ndarray:
@@ -185,11 +181,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
     to the driver."""
 
     def features(batches):
-        for batch, texts, part in W.batches(batches):
-            found = [f.astype(np.uint16).tobytes() for f in indicators([t or b"" for t in texts[part]])]
-            n = part.stop - part.start
+        for batch in W.parts(batches):
+            found = [f.astype(np.uint16).tobytes() for f in indicators(W.utf8(batch.column("text")))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(part.start, n), batch.column("label").slice(part.start, n), pa.array(found, pa.binary())],
+                [batch.column("id"), batch.column("label"), pa.array(found, pa.binary())],
                 names=["id", "label", "found"],
             )
 
@@ -210,7 +205,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in W.parts(batches):
             score = model.scores(W.utf8(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
 
@@ -228,7 +223,7 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     schema = docs.schema
 
     def run(batches):
-        for batch in batches:
+        for batch in W.parts(batches):
             yield batch.filter(pa.array(model.scores(W.utf8(batch.column("text"))) >= threshold))
 
     return docs.mapInArrow(run, schema).select(*names)

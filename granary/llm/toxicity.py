@@ -260,7 +260,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
 
     def run(batches):
         own = Model(model.words, model.stems, model.slope, model.offset).ready()
-        for batch in batches:
+        for batch in W.parts(batches):
             found = [own.clauses(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([own.score(c) for c in found], pa.float64()), pa.array([len(c) for c in found], pa.int64())],

@@ -135,6 +135,21 @@ def batches(batch_iter: Iterable) -> Iterator[tuple[object, list[bytes | None],
             yield batch, texts, part
 
 
+def parts(batch_iter: Iterable, column: str = "text", size: int = CHUNK_BYTES) -> Iterator:
+    """Arrow batches cut into slices of about ``size`` bytes of a text or binary column."""
+    import pyarrow.compute as pc
+
+    for batch in batch_iter:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        full = np.cumsum(lengths.astype(np.int64))
+        begin = 0
+        while begin < batch.num_rows:
+            done = full[begin - 1] if begin else 0
+            end = min(batch.num_rows, int(np.searchsorted(full, done + size)) + 1)
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def spark_hash(ids: np.ndarray) -> np.ndarray:
     """What ``xxhash64`` of Spark SQL gives for 64-bit integers (seed 42)."""
     p1, p2, p3, p4, p5 = (np.uint64(x) for x in (
