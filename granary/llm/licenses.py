@@ -37,7 +37,7 @@ TEMPLATES = [
 ]
 _CUE = r"(?i)\b(licen[sc]e[sd]?|licensing|released under|copyright|permission is hereby|public domain|spdx)"
 _FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)(\.[a-z]+)?$"
-_STATEMENT = r"\n|(?<=[.!?])\s+(?=[A-Z])"
+_STATEMENT = r"\n|(?<=[.!?])\s+"
 
 
 def _tokens(text):
