@@ -1,0 +1,98 @@
+import collections
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+
+from granary.llm import exact_dedup, queries, sharding
+from tests.llm.conftest import by_key
+
+
+def test_equal_texts_are_one_group(docs, cases):
+    groups = collections.defaultdict(list)
+    for i, t in cases:
+        groups[t or ""].append(i)
+    expected = []
+    for i, t in cases:
+        ids = [x for x in groups[t or ""] if x is not None]
+        keep = max(ids) if ids else None
+        expected.append((i, keep, len(groups[t or ""]), i == keep, hashlib.sha256((t or "").encode()).hexdigest()))
+    assert by_key(exact_dedup.exact_groups(docs).collect()) == by_key(expected)
+
+
+def test_one_row_of_each_group_stays(docs, cases):
+    out = exact_dedup.drop_copies(docs)
+    assert out.columns == docs.columns
+    texts = [r.text or "" for r in out.collect()]
+    assert sorted(texts) == sorted({t or "" for _, t in cases})
+
+
+@pytest.mark.parametrize("name", ["exact_dedup", "sharding"])
+def test_empty_tables(docs, name):
+    none = docs.limit(0)
+    out = exact_dedup.exact_groups(none) if name == "exact_dedup" else sharding.shuffled_shards(none)
+    assert out.count() == 0
+
+
+def test_the_matrix_has_exact_sums():
+    parts = {0: 100, 1: 0, 3: 7, 4: 2000}
+    m = sharding.matrix(5, parts, 40)
+    assert {p: sum(r) for p, r in m.items()} == parts
+    columns = [sum(r[j] for r in m.values()) for j in range(40)]
+    assert columns == sharding.shard_sizes(2107, 40) and max(columns) - min(columns) <= 1
+
+
+def test_draws_follow_the_hypergeometric_law():
+    rng = np.random.default_rng(1)
+    large = [sharding.hypergeometric(rng, 3 * 10**9, 7 * 10**9, 1000) for _ in range(3000)]
+    assert abs(np.mean(large) - 300) < 1.5 and abs(np.std(large) - np.sqrt(210)) < 0.8
+    assert sharding.hypergeometric(rng, 2 * 10**9, 0, 50) == 50
+
+
+def test_shards_are_full_and_slots_gapless(spark, docs):
+    rows = docs.select("doc_id", "text", "shard").unionAll(
+        spark.range(1000).selectExpr("id as doc_id", "string(id) as text", "'x' as shard")
+    )
+    out = sharding.shuffled_shards(rows, shards=7, block_rows=20).collect()
+    assert len(out) == 1000 + docs.count()
+    assert by_key((r.doc_id, r.text) for r in out) == by_key((r.doc_id, r.text) for r in rows.collect())
+    held = collections.defaultdict(list)
+    for r in out:
+        held[r.shard].append(r.slot)
+    assert sorted(held) == list(range(7))
+    assert all(sorted(s) == list(range(len(s))) for s in held.values())
+    assert max(map(len, held.values())) - min(map(len, held.values())) <= 1
+
+
+def test_rows_land_anywhere(spark):
+    """Positions of a row over many seeds are uniform, and neighbours part."""
+    rows = spark.range(40, numPartitions=4).selectExpr("id as doc_id", "'t' as text")
+    seen = [0] * 4
+    for seed in range(30):
+        out = sharding.shuffled_shards(rows, shards=4, seed=seed).collect()
+        for r in out:
+            if r.doc_id < 10:
+                seen[r.shard] += 1
+    # 300 draws with probability 1/4 each.
+    assert all(40 < n < 110 for n in seen)
+
+
+def test_the_query_digests_whole_texts(spark, sf_dir):
+    out = queries.op6_sharding(spark, sf_dir).toPandas()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert len(out) == len(texts) and out["shard"].nunique() == 40
+    for r in out.itertuples():
+        data = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32, r.law) == (len(data) + 16, zlib.crc32(data), "rows")
+
+
+def test_written_shards(spark, docs, tmp_path):
+    sharding.write_shards(docs.select("doc_id", "text"), str(tmp_path / "out"), shards=3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == docs.count() and back.select("shard").distinct().count() == 3
+
+
+def test_main_paths_are_native(docs):
+    plan = exact_dedup.exact_groups(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
