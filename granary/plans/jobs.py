@@ -176,7 +176,7 @@ REPORTS: dict[str, Report] = {
         schemas.RETENTION,
         lambda t, day: customers.retention_by_cohort(
             customers.retention_flags(
-                customers.order_history(t["historic_order_data"], t["order_details"])
+                customers.order_day_history(t["historic_order_data"], t["order_details"])
             )
         ),
     ),

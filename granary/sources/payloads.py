@@ -149,12 +149,13 @@ def project_inventory(docs: DataFrame) -> DataFrame:
 def active_variants(docs: DataFrame) -> DataFrame:
     """Variants with stock whose product is published.
 
-    The listing delivers a product on more than one page, so a variant is kept once.
+    The listing delivers a product on more than one page, so a variant is kept once: the copy
+    published last, then the one with most stock, then the greatest product and texts.
+    Variants without id are told apart by all their columns.
     """
-    published = docs.filter(F.col("published_at") != "")
-    on_sale = _elements(published, "variants", "variant").filter(
-        F.col("variant.inventory_quantity") > 0
-    )
+    # One condition on the document and the element: it cannot move below the parse.
+    stock = F.when(F.col("published_at") != "", F.col("variant.inventory_quantity"))
+    on_sale = _elements(docs, "variants", "variant").filter(stock > 0)
     flat = {
         "product_id": F.col("id"),
         "product_title": F.col("title"),
@@ -164,9 +165,16 @@ def active_variants(docs: DataFrame) -> DataFrame:
         "inventory_quantity": F.col("variant.inventory_quantity"),
         "published_at": dates.wall_clock(F.col("published_at")),
     }
-    return on_sale.select(
-        *[flat[name].alias(name) for name in ACTIVE_VARIANT_SKUS.columns]
-    ).dropDuplicates(["variant_id"])
+    names = ACTIVE_VARIANT_SKUS.columns
+    rest = [n for n in names if n not in ("published_at", "inventory_quantity")]
+    order = F.struct("published_at", "inventory_quantity", *rest)
+    unknown = F.when(F.col("variant_id").isNull(), F.struct(*names)).alias("unknown")
+    return (
+        on_sale.select(*[flat[name].alias(name) for name in names])
+        .groupBy("variant_id", unknown)
+        .agg(F.max(order).alias("copy"))
+        .select(*[F.col(f"copy.{n}").alias(n) for n in names])
+    )
 
 
 def _store_header() -> list[Column]:

@@ -54,9 +54,26 @@ def test_missing_channel_gives_nulls(spark):
 
 
 def test_text_is_parsed_once(spark):
-    flat = payloads.flatten_orders(docs(spark, "order", order(1, [{"products": [product(1, 11)]}])))
-    plan = flat._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json(") == 1
+    listed = {"id": 1, "title": "a", "published_at": "2024-01-01T10:00:00-05:00", "variants": [variant(1, 3)]}
+    for flat in (
+        payloads.flatten_orders(docs(spark, "order", order(1, [{"products": [product(1, 11)]}]))),
+        payloads.active_variants(docs(spark, "store_product", listed)),
+    ):
+        plan = flat._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") == 1
+
+
+def test_the_choice_among_copies_of_a_variant_is_stated(spark, rows):
+    def listed(when, *variants):
+        return {"id": 1, "title": "a", "published_at": when, "variants": list(variants)}
+
+    early, late = "2024-01-01T10:00:00-05:00", "2024-02-01T10:00:00-05:00"
+    nameless = [variant(None, 5) | {"title": t} for t in ("x", "y", "x")]
+    pages = [listed(early, variant(1, 9), *nameless), listed(late, variant(1, 3)), listed(late, variant(1, 4)), listed(None, variant(2, 8)), listed("", variant(3, 8))]
+    for order_ in (pages, pages[::-1]):
+        out = payloads.active_variants(docs(spark, "store_product", *order_))
+        got = rows(out.select("variant_id", "inventory_quantity", "variant_title"), "variant_id", "variant_title")
+        assert [(i, q) for i, q, _ in got] == [(None, 5.0), (None, 5.0), (1, 4.0)]
 
 
 def test_landed_files(spark, tmp_path, rows):

@@ -79,8 +79,9 @@ VIEWS: dict[str, str] = {
            CAST(p_size - 1 AS BIGINT) AS total_backordered_quantity,
            p_size > 5 AS is_active, d AS partition_date
     FROM part, (VALUES (DATE '2001-01-31'), (DATE '2001-06-28'), (DATE '2001-06-30'),
-                       (DATE '2001-07-02')) AS v(d)
-    WHERE p_type <> 'PROMO'""",
+                       (DATE '2001-07-02')) AS v(d)""",
+    "stocked_snapshots": """
+    SELECT * FROM inventory_snapshots WHERE id IN (SELECT p_partkey FROM part WHERE p_type <> 'PROMO')""",
     "active_skus": """
     SELECT concat(p_brand, '-', p_partkey) AS variant_sku FROM part
     WHERE p_size - 10 > 0 AND p_type <> 'ECONOMY'""",
@@ -119,7 +120,7 @@ VIEWS: dict[str, str] = {
     "rates": """
     SELECT inventory_id, sum(qty_sold * pow(0.5, age)) / sum(pow(0.5, age)) AS run_rate
     FROM grid GROUP BY inventory_id""",
-    "stock_asof": "SELECT * FROM inventory_snapshots WHERE partition_date = DATE '2001-06-30'",
+    "stock_asof": "SELECT * FROM stocked_snapshots WHERE partition_date = DATE '2001-06-30'",
     "run_rates": _metrics("rates", "stock_asof", "s.id = r.inventory_id", AS_OF),
     "run_days": """
     SELECT CAST(unnest(generate_series(DATE '2001-06-29', DATE '2001-07-01', INTERVAL 1 DAY)) AS DATE)
@@ -135,8 +136,8 @@ VIEWS: dict[str, str] = {
     FROM w JOIN b ON w.partition_date = b.partition_date
     GROUP BY w.partition_date, w.inventory_id, lo, hi""",
     "ranged_stock": """
-    SELECT d.partition_date AS run_day, s.* FROM run_days d JOIN inventory_snapshots s
-      ON s.partition_date = (SELECT max(x.partition_date) FROM inventory_snapshots x
+    SELECT d.partition_date AS run_day, s.* FROM run_days d JOIN stocked_snapshots s
+      ON s.partition_date = (SELECT max(x.partition_date) FROM stocked_snapshots x
                              WHERE x.partition_date <= d.partition_date - 1)""",
     "ranged_run_rates": _metrics(
         "ranged_rates",
@@ -260,7 +261,9 @@ STATEMENTS: dict[str, str] = {
     JOIN material_stock s ON s.material = d.material""",
     "raw_material_status": _material_status("planned"),
     "raw_material_status_per_material": _material_status("planned_total"),
-    "asof_snapshot": f"SELECT {SNAPSHOT_COLUMNS}, partition_date FROM stock_asof",
+    "asof_snapshot": f"""
+    SELECT {SNAPSHOT_COLUMNS}, partition_date FROM inventory_snapshots
+    WHERE partition_date = DATE '2001-06-30'""",
     "latest_snapshot": f"""
     SELECT {SNAPSHOT_COLUMNS}, partition_date FROM inventory_snapshots
     WHERE partition_date = (SELECT max(partition_date) FROM inventory_snapshots)""",
@@ -378,6 +381,9 @@ STATEMENTS: dict[str, str] = {
     SELECT CAST(o_orderkey AS VARCHAR) AS order_key,
            CASE WHEN error = '' THEN 'valid' ELSE 'invalid' END AS outcome, error,
            CASE WHEN o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW') THEN email_address
+                WHEN o_orderpriority = '2-HIGH' AND o_orderkey % 5 = 1 THEN 'o''brien@x.com'
+                WHEN o_orderpriority = '2-HIGH' AND o_orderkey % 5 = 3 THEN 'ann@bücher.de'
+                WHEN o_orderpriority = '2-HIGH' AND o_orderkey % 5 = 4 THEN 'josé@example.com'
                 ELSE 'unknown@unknown.com' END AS email,
            CASE WHEN NOT bad_time THEN concat({STAMP}, ' 23:30:00') END AS created_at,
            concat(o_custkey, '  Main St') AS shipping_address,
@@ -398,7 +404,8 @@ STATEMENTS: dict[str, str] = {
     FROM faults""",
     "cleanse_orders": """
     SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
-           CASE WHEN l_returnflag IN ('R', 'N') THEN 'unknown@unknown.com'
+           CASE WHEN l_returnflag = 'N' AND l_orderkey % 3 = 1 THEN 'a!b@x.com'
+                WHEN l_returnflag IN ('R', 'N') THEN 'unknown@unknown.com'
                 ELSE concat('buyer', l_suppkey, '@example.com') END AS email,
            concat(strftime(l_shipdate, '%Y-%m-%d'), ' 23:30:00') AS created_at,
            l_linenumber AS line_number,
@@ -504,7 +511,7 @@ STATEMENTS: dict[str, str] = {
     SELECT event_id, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) AS k,
            CAST(0 AS BIGINT) AS absent, user_id AS recipients FROM events""",
     "dimension_upsert": """
-    SELECT p_partkey AS inventory_id,
+    SELECT id AS inventory_id,
            CASE WHEN changed THEN concat(p_name, ' a') ELSE p_name END AS product_name,
            CASE WHEN NOT changed OR p_type <> 'LARGE' THEN CAST(p_size AS VARCHAR) END AS size_variant,
            CASE WHEN changed THEN lower(p_brand) ELSE p_brand END AS sku_variant,
@@ -513,19 +520,20 @@ STATEMENTS: dict[str, str] = {
            changed OR p_size < 5 AS seasonal_flag,
            CASE WHEN known THEN '2001-01-01 00:00:00' ELSE '2001-07-01 12:00:00' END AS created_at,
            CASE WHEN changed THEN '2001-07-01 12:00:00' ELSE '2001-01-01 00:00:00' END AS updated_at
-    FROM product_states WHERE known OR changed""",
+    FROM product_states""",
     "dimension_rejects": """
-    SELECT p_partkey AS inventory_id, concat(p_name, ' ', copy) AS product_name,
+    SELECT p_partkey + CASE WHEN p_type = 'PROMO' THEN 10000000 ELSE 0 END AS inventory_id,
+           concat(p_name, ' ', copy) AS product_name,
            CASE WHEN p_type <> 'LARGE' THEN CAST(p_size AS VARCHAR) END AS size_variant,
            lower(p_brand) AS sku_variant, p_type AS product_type_variant,
            false AS limited_edition_flag, true AS seasonal_flag
     FROM part, (VALUES ('a'), ('b')) AS v(copy) WHERE p_size > 45""",
     "dimension_listing": """
-    SELECT p_partkey AS inventory_id,
+    SELECT id AS inventory_id,
            CASE WHEN known THEN p_name ELSE concat(p_name, ' a') END AS product_name,
            CASE WHEN known THEN '2001-01-01 00:00:00' ELSE '2001-07-01 12:00:00' END AS created_at,
            count(*) OVER () AS total_products
-    FROM product_states WHERE known OR changed""",
+    FROM product_states""",
     "scalar_strings": f"""
     SELECT c_custkey, concat('in_stock_', replace(lower(c_name), '#', '_')) AS tidy,
            upper(sha256(coalesce(lower(e), ''))) AS hashed,
@@ -562,7 +570,9 @@ VIEWS["faults"] = """
            o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '2-HIGH') AS no_fee
     FROM order_places"""
 VIEWS["product_states"] = """
-    SELECT *, p_type <> 'PROMO' AS known, p_size > 25 AND p_size <= 45 AS changed FROM part"""
+    SELECT *, p_partkey AS id, true AS known, p_type <> 'PROMO' AND p_size <= 45 AS changed FROM part
+    UNION ALL SELECT *, p_partkey + 10000000, false, true FROM part
+    WHERE p_type = 'PROMO' AND p_size <= 45"""
 
 
 def _used(sql: str, found: dict[str, None]) -> None:

@@ -63,7 +63,7 @@ def _sales(t: Tables, *extra: str) -> DataFrame:
 
 
 def _rates(t: Tables) -> DataFrame:
-    return planning.run_rate(_sales(t), t.inventory_snapshots(), AS_OF)
+    return planning.run_rate(_sales(t), t.stocked_snapshots(), AS_OF)
 
 
 @query
@@ -74,19 +74,19 @@ def run_rate(t: Tables) -> DataFrame:
 @query
 def run_rate_details(t: Tables) -> DataFrame:
     return planning.run_rate_details(
-        _sales(t, "sku"), t.inventory_snapshots(), t.active_skus(), AS_OF
+        _sales(t, "sku"), t.stocked_snapshots(), t.active_skus(), AS_OF
     )
 
 
 @query
 def run_rate_range(t: Tables) -> DataFrame:
-    return planning.run_rate_range(_sales(t), t.inventory_snapshots(), RANGE_START, AS_OF)
+    return planning.run_rate_range(_sales(t), t.stocked_snapshots(), RANGE_START, AS_OF)
 
 
 @query
 def run_rate_mart(t: Tables) -> DataFrame:
     rates = planning.run_rate_range(
-        _sales(t), t.inventory_snapshots(), AS_OF - dt.timedelta(days=1), AS_OF
+        _sales(t), t.stocked_snapshots(), AS_OF - dt.timedelta(days=1), AS_OF
     )
     return planning.run_rate_mart(rates)
 
@@ -216,33 +216,31 @@ def partition_split_counts(t: Tables) -> DataFrame:
 # -- customers ---------------------------------------------------------------------------
 
 
-def _history(t: Tables, *columns: str) -> DataFrame:
-    return customers.order_history(
-        t.historic_orders(*columns), t.recurring_orders(*columns), COHORT_START
-    )
-
-
-_RETENTION_COLUMNS = ("order_number", "customer_email", "purchase_date")
-
-
 @query
 def history_union(t: Tables) -> DataFrame:
-    return _history(t)
+    return customers.order_history(t.historic_orders(), t.recurring_orders(), COHORT_START)
+
+
+def _history(t: Tables) -> DataFrame:
+    columns = ("order_number", "customer_email", "purchase_date")
+    return customers.order_day_history(
+        t.historic_orders(*columns), t.recurring_orders(*columns), COHORT_START
+    )
 
 
 @query
 def first_orders(t: Tables) -> DataFrame:
-    return customers.first_orders(_history(t, *_RETENTION_COLUMNS), COHORT_START)
+    return customers.first_orders(_history(t), COHORT_START)
 
 
 @query
 def retention_flags(t: Tables) -> DataFrame:
-    return customers.retention_flags(_history(t, *_RETENTION_COLUMNS), COHORT_START)
+    return customers.retention_flags(_history(t), COHORT_START)
 
 
 @query
 def retention_by_cohort(t: Tables) -> DataFrame:
-    flags = customers.retention_flags(_history(t, *_RETENTION_COLUMNS), COHORT_START)
+    flags = customers.retention_flags(_history(t), COHORT_START)
     return customers.retention_by_cohort(flags)
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +25,10 @@ RECIPE_DATES = ("2001-06-01", "2001-07-01")
 STOCK_DATES = ("2001-06-24", "2001-07-01")
 SKU_DATES = ("2001-06-30", "2001-07-01")
 NOT_STOCKED = "PROMO"
+NEW_KEYS = 10_000_000
+# What a header or line carries in place of an e-mail, in turns: addresses to keep and not.
+HEADER_EMAILS = ("not-an-email", "o'brien@x.com", "a..b@x.com", "ann@bücher.de", "josé@example.com")
+LINE_EMAILS = ("a@b@c", "a!b@x.com", "a@-x.com")
 NOT_PUBLISHED = "ECONOMY"
 
 
@@ -37,10 +40,9 @@ def _days(values: tuple[str, ...]) -> Column:
     return F.explode(F.array(*[F.lit(dt.date.fromisoformat(v)) for v in values]))
 
 
-@lru_cache(maxsize=64)
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    """Listing and schema of a table, looked up once per session as a catalog would."""
-    return spark.read.parquet(path)
+def _in_turns(values: tuple[str, ...], key: str) -> Column:
+    place = (F.col(key) % len(values) + 1).cast("int")
+    return F.element_at(F.array(*[F.lit(v) for v in values]), place)
 
 
 class Tables:
@@ -48,7 +50,7 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return _read(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # -- order lines ---------------------------------------------------------------
 
@@ -149,13 +151,17 @@ class Tables:
 
     # -- snapshots and dimensions -----------------------------------------------------
 
+    def stocked_snapshots(self) -> DataFrame:
+        """Snapshots without promotional parts, so that some items sold have no stock row."""
+        promotional = self.table("part").filter(F.col("p_type") == NOT_STOCKED).select(F.col("p_partkey").alias("id"))
+        return self.inventory_snapshots().join(promotional, "id", "left_anti")
+
     def inventory_snapshots(self) -> DataFrame:
-        """Stock of every stocked part on four days; promotional parts are not stocked."""
+        """Stock of every part on four days."""
         size = F.col("p_size").cast("bigint")
         on_hand = size * 10 + F.day("partition_date")
         return (
             self.table("part")
-            .filter(F.col("p_type") != NOT_STOCKED)
             .select("*", _days(SNAPSHOT_DATES).alias("partition_date"))
             .select(
                 F.col("p_partkey").alias("id"),
@@ -261,11 +267,10 @@ class Tables:
         return self.table("events").select("*", F.to_date("ts").alias("event_date"))
 
     def product_metadata(self) -> DataFrame:
-        """Known products: everything but promotional parts."""
+        """Every part as a known product."""
         brand = F.col("p_brand")
         return (
             self.table("part")
-            .filter(F.col("p_type") != NOT_STOCKED)
             .select(
                 F.col("p_partkey").alias("inventory_id"),
                 F.col("p_name").alias("product_name"),
@@ -280,16 +285,16 @@ class Tables:
         )
 
     def product_changes(self) -> DataFrame:
-        """Changes for every part with size above 25, known or new; large ones come twice."""
+        """A change for every part: promotional ones under a new key, large ones twice."""
+        key = F.col("p_partkey") + F.when(F.col("p_type") == NOT_STOCKED, NEW_KEYS).otherwise(0)
         copies = F.when(F.col("p_size") > 45, F.array(F.lit("a"), F.lit("b"))).otherwise(
             F.array(F.lit("a"))
         )
         return (
             self.table("part")
-            .filter(F.col("p_size") > 25)
             .select("*", F.explode(copies).alias("copy"))
             .select(
-                F.col("p_partkey").alias("inventory_id"),
+                key.cast("bigint").alias("inventory_id"),
                 F.concat("p_name", F.lit(" "), F.col("copy")).alias("product_name"),
                 F.when(F.col("p_type") != "LARGE", _text("p_size")).alias("size_variant"),
                 F.lower("p_brand").alias("sku_variant"),
@@ -520,7 +525,7 @@ class Tables:
         return self.orders_with_customers().select(
             _text("o_orderkey").alias("order_id"),
             F.when(priority == "1-URGENT", F.lit(""))
-            .when(priority == "2-HIGH", F.lit("not-an-email"))
+            .when(priority == "2-HIGH", _in_turns(HEADER_EMAILS, "o_orderkey"))
             .when(priority != "3-MEDIUM", email)
             .alias("email"),
             F.when((status == "O") & (priority == "5-LOW"), F.lit("not a time"))
@@ -551,7 +556,7 @@ class Tables:
         flag = F.col("l_returnflag")
         return self.table("lineitem").select(
             _text("l_orderkey").alias("order_id"),
-            F.when(flag == "R", F.lit("")).when(flag == "N", F.lit("a@b@c"))
+            F.when(flag == "R", F.lit("")).when(flag == "N", _in_turns(LINE_EMAILS, "l_orderkey"))
             .otherwise(F.concat(F.lit("buyer"), _text("l_suppkey"), F.lit("@example.com")))
             .alias("email"),
             F.concat(
