@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from granary import schemas
 from granary.functions import dates
 from granary.operators import quality, snapshots
-from granary.plans import customers, planning, publish
+from granary.plans import customers, planning, publish, reporting
 from granary.schemas import Entity
 from granary.sources import payloads, scans, sinks
 
@@ -249,6 +249,30 @@ def backfill_report(
         publish.register_days(rows.sparkSession, report.entity, table, start, end)
 
 
+def publish_dashboard(tables: Tables, root: str, day: dt.date | str) -> list[str]:
+    """Dashboard datasets and alert rows of one day, each below ``root/<name>/partition_date=...``.
+
+    The run rates of the day are one small stored partition, so the datasets share no more
+    than that. Running a day again replaces its files.
+    """
+    rates = snapshots.stored_partition(tables["inventory_run_rate"], day)
+    frames = reporting.dashboard_datasets(tables["order_details"], tables["inventory_details"], rates, day)
+    frames |= alerts(tables, day)
+    for name, rows in frames.items():
+        sinks.write_parquet(rows, publish.partition_path(f"{root.rstrip('/')}/{name}", "partition_date", day))
+    return sorted(frames)
+
+
+def alerts(tables: Tables, day: dt.date | str) -> dict[str, DataFrame]:
+    """Rows to act on, with their message lines, as the tables were on ``day``."""
+    rates = snapshots.stored_partition(tables["inventory_run_rate"], day)
+    status = snapshots.stored_partition(tables["raw_material_status"], day)
+    return {
+        "finished_goods_alerts": reporting.finished_goods_alerts(rates),
+        "raw_material_alerts": reporting.raw_material_alerts(status),
+    }
+
+
 def missing_source_days(
     spark: SparkSession, entity: Entity, root: str, yesterday: dt.date | str, lookback_days: int = 7
 ) -> DataFrame:

@@ -173,6 +173,21 @@ def test_a_backfill_checks_rows_and_empties_days(spark, warehouse):
     assert rejects.count() == 1
 
 
+def test_dashboard_and_alerts_are_published(spark, warehouse):
+    tmp, _, tables = warehouse
+    stored = dict(tables)
+    stored["inventory_run_rate"] = snapshots_of(jobs.REPORTS["inventory_run_rate"].build(tables, DAY), DAY).drop("n")
+    stored["raw_material_status"] = snapshots_of(jobs.REPORTS["raw_material_status"].build(tables, DAY), DAY).drop("n")
+    root = str(tmp / "dashboard")
+    for _ in range(2):
+        names = jobs.publish_dashboard(stored, root, DAY)
+    back = {n: spark.read.parquet(f"{root}/{n}") for n in names}
+    assert {r.inventory_id for r in back["finished_goods_alerts"].collect()} == {11, 12}
+    assert [r.name for r in back["raw_material_alerts"].collect()] == ["Flour"]
+    assert back["inventory_status"].count() == back["product_cards"].count() == 2
+    assert {"metric_bounds", "product_options", "stock_trend", "stock_trend_bounds", "sales_vs_run_rate", "product_daily_series"} <= set(names)
+
+
 def test_a_job_registers_its_days(spark, warehouse):
     tmp, _, tables = warehouse
     root = str(tmp / "registered")

@@ -53,6 +53,26 @@ def test_stored_partitions_are_pruned_by_the_subquery(spark, tmp_path, stock):
     assert latest.count() == 1
 
 
+def test_the_newest_date_is_found_without_opening_the_history(spark, tmp_path, rows):
+    path = tmp_path / "stock"
+    days = [D(2022, 1, 1), D(2024, 1, 5), D(2024, 3, 9), D(2024, 3, 12)]
+    for d in days:
+        sinks.write_parquet(spark.createDataFrame([(1,)], "id bigint"), str(path / f"partition_date={d}"))
+    # A file that cannot be opened: any search that reads it fails.
+    for d in (days[0], days[3]):
+        for f in (path / f"partition_date={d}").glob("*.parquet"):
+            f.write_bytes(b"not a table")
+        for f in (path / f"partition_date={d}").glob(".*.crc"):
+            f.write_bytes(b"")
+    table = spark.read.schema("id bigint, partition_date date").parquet(str(path))
+    assert snapshots.newest_date(table, "2024-03-11") == days[2]
+    # Nothing in the last days: the search widens step by step.
+    assert snapshots.newest_date(table, "2024-01-30") == days[1]
+    assert rows(snapshots.stored_partition(table, "2024-03-11")) == [(1, days[2])]
+    none = spark.createDataFrame([], "id bigint, partition_date date")
+    assert snapshots.newest_date(none, "2024-03-11") is None and snapshots.stored_partition(none, "2024-03-11").count() == 0
+
+
 def test_missing_dates_at_both_ends_and_inside(spark, rows):
     present = spark.createDataFrame(
         [(D(2024, 1, 3),), (D(2024, 1, 3),), (D(2024, 1, 5),), (D(2023, 1, 1),)], "day date"
