@@ -2,8 +2,8 @@
 
 Every input partition holds ``n_i`` rows and every shard is to hold ``m_j`` (counts at most
 one apart). How many rows partition i sends to shard j is a draw without replacement, so the
-matrix of these numbers has multivariate hypergeometric rows; it is drawn once, from the
-partition sizes alone. Each partition then deals its rows out in random order with exactly
+matrix of these numbers has multivariate hypergeometric rows; it depends on the partition
+sizes alone, and every task draws the row it needs. Each partition then deals its rows out in random order with exactly
 those counts, one exchange moves them, and a random order inside the shard permutes again.
 Together that is a uniform permutation of all rows, and every shard is exactly full.
 """
@@ -45,32 +45,41 @@ def shard_sizes(rows: int, shards: int) -> list[int]:
     return [rows // shards + (j < rows % shards) for j in range(shards)]
 
 
-def matrix(seed: int, parts: dict[int, int], shards: int) -> dict[int, list[int]]:
-    """Rows each partition sends to each shard; row sums are the partition sizes, column
-    sums the shard sizes. One number per partition and shard, whatever the rows."""
-    rng = np.random.default_rng([seed, len(parts)])
-    open_rows = shard_sizes(sum(parts.values()), shards)
-    out = {}
-    for part in sorted(parts):
-        left, rest, row = parts[part], sum(open_rows), []
-        for j in range(shards):
-            rest -= open_rows[j]
-            got = hypergeometric(rng, open_rows[j], rest, left) if left else 0
-            row.append(got)
-            open_rows[j] -= got
+def matrix_row(seed: int, prefix: np.ndarray, shards: int, part: int) -> list[int]:
+    """Rows that partition ``part`` sends to each shard; ``prefix[i]`` rows stand before
+    partition i.
+
+    The matrix is drawn by halving the partitions: how many of each shard's rows come from
+    the first half is a draw without replacement, seeded by the half itself. Every task walks
+    down to its own row and sees the draws that the others see, so nobody holds the matrix.
+    """
+    low, high = 0, len(prefix) - 1
+    held = shard_sizes(int(prefix[-1]), shards)
+    while high - low > 1:
+        middle = (low + high) // 2
+        rng = np.random.default_rng([seed, low, high])
+        left, rest, first = int(prefix[middle] - prefix[low]), sum(held), []
+        for n in held:
+            rest -= n
+            got = hypergeometric(rng, n, rest, left)
+            first.append(got)
             left -= got
-        out[part] = row
-    return out
+        if part < middle:
+            held, high = first, middle
+        else:
+            held, low = [n - f for n, f in zip(held, first, strict=True)], middle
+    return held
 
 
-def _dealer(plan: dict[int, list[int]], blocks: int, seed: int):
-    """Adds the shard and a random place to each row of a partition."""
+def _dealer(prefix, shards: int, blocks: int, seed: int):
+    """Adds the shard and a random place to each row of a partition. ``prefix`` is a
+    broadcast of one number for each partition."""
 
     def deal(batches):
         part = TaskContext.get().partitionId()
-        counts = plan.get(part, [])
+        counts = matrix_row(seed, prefix.value, shards, part) if part < len(prefix.value) - 1 else []
         rng = np.random.default_rng([seed, 1, part])
-        labels = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        labels = np.repeat(np.arange(len(counts), dtype=np.int32), np.array(counts, dtype=np.int64))
         rng.shuffle(labels)
         begin = 0
         for batch in batches:
@@ -98,9 +107,11 @@ def shuffled_shards(docs: DataFrame, shards: int = SHARDS, seed: int = 0, block_
     """
     docs = docs.drop("shard", "slot", "_place", "_block")
     sizes = {r[0]: r[1] for r in docs.groupBy(F.spark_partition_id().alias("part")).count().collect()}
-    total = sum(sizes.values())
-    blocks = max(1, math.ceil(total / shards / block_rows))
-    deal = _dealer(matrix(seed, sizes, shards), blocks, seed)
+    rows = np.zeros(max(sizes, default=-1) + 1, dtype=np.int64)
+    rows[list(sizes)] = list(sizes.values())
+    prefix = np.concatenate(([0], np.cumsum(rows)))
+    blocks = max(1, math.ceil(int(prefix[-1]) / shards / block_rows))
+    deal = _dealer(docs.sparkSession.sparkContext.broadcast(prefix), shards, blocks, seed)
 
     def dealt(df: DataFrame) -> DataFrame:
         extra = [T.StructField("shard", T.IntegerType()), T.StructField("_place", T.LongType()), T.StructField("_block", T.IntegerType())]

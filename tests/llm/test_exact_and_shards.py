@@ -36,11 +36,20 @@ def test_empty_tables(docs, name):
 
 
 def test_the_matrix_has_exact_sums():
-    parts = {0: 100, 1: 0, 3: 7, 4: 2000}
-    m = sharding.matrix(5, parts, 40)
-    assert {p: sum(r) for p, r in m.items()} == parts
-    columns = [sum(r[j] for r in m.values()) for j in range(40)]
-    assert columns == sharding.shard_sizes(2107, 40) and max(columns) - min(columns) <= 1
+    parts = [100, 0, 0, 7, 2000, 1, 0]
+    prefix = np.concatenate(([0], np.cumsum(parts)))
+    m = np.array([sharding.matrix_row(5, prefix, 40, i) for i in range(len(parts))])
+    assert m.sum(axis=1).tolist() == parts
+    columns = m.sum(axis=0).tolist()
+    assert columns == sharding.shard_sizes(2108, 40) and max(columns) - min(columns) <= 1
+    assert sharding.matrix_row(5, np.array([0, 9]), 4, 0) == [3, 2, 2, 2]
+
+
+def test_matrix_rows_follow_the_law():
+    prefix = np.array([0, 30, 70, 100])
+    first = np.array([sharding.matrix_row(s, prefix, 4, 0)[0] for s in range(3000)])
+    assert abs(first.mean() - 7.5) < 0.15
+    assert abs(first.var() - 30 * 0.25 * 0.75 * 70 / 99) < 0.35
 
 
 def test_draws_follow_the_hypergeometric_law():
