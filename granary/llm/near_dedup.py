@@ -1,18 +1,20 @@
 """Near duplicates by an LSH forest over MinHash signatures.
 
 1. *Signatures.* One pass gives every document its number of distinct shingles, a digest of
-   its shingle set and 64 minima. Documents with equal sets are one class; only one row of
-   a class goes on.
-2. *Forest.* Each tree is a sorted order of the signatures, starting at another minimum.
-   Rows that share the first two values of an order are a region, and neighbours by longest
-   common prefix are its candidates. A prefix that more rows share than a task should hold
-   is read deeper (4, 8, 16 values) for its region alone; what is still too large then is
-   dealt into blocks that all compare with the region's first row.
-3. *Candidates.* Inside a region signatures are compared, without giving out all pairs: each
-   row names one partner. These are confirmed on the full sets and joined to groups. A
-   second pass names every remaining candidate pair whose ends are in different groups, so
-   large groups cost one comparison a member and no candidate is left out.
-4. *Confirmation* on the full shingle sets of both documents.
+   its shingle set and 256 minima, kept as one bit each and as eight values for each tree.
+   Documents with equal sets are one class; only one row of a class goes on.
+2. *Forest.* Each tree is a sorted order of the signatures by its own values. Rows that share
+   the first two values of an order are a region, and neighbours by longest common prefix
+   are its candidates. A prefix that more rows share than a task should hold is read deeper
+   (4, then 8 values) for its region alone; what is still too large then is dealt into
+   blocks that all compare with the region's first row.
+3. *Candidates.* Inside a region signatures are compared, but pairs are not given out: each
+   row names the partner whose signature is nearest. These pairs are confirmed on the full
+   shingle sets and joined to groups, which settles most rows.
+4. *The rest.* Rows that still have a candidate in another group take their full sets to
+   their regions, where every remaining candidate pair is compared; a region gives out one
+   link for each two groups it joins. No candidate is left out, and what moves grows with
+   the rows, not with their pairs.
 """
 
 from __future__ import annotations
@@ -29,20 +31,19 @@ from granary.llm.shared import components, written
 
 SHINGLE = 5
 PERCENT = 75
-VALUES = 64
+VALUES = 256
 TREES = 12
-DEPTHS = (2, 4, 8, 16)
-#: Equal values (of 64, eight bits each) from which a pair is a candidate, about four
-#: standard deviations below what a similarity of 0.75 gives, and from which it is sure
-#: enough to serve as a hub.
-LIKELY, STRONG = 34, 54
+DEPTHS = (2, 4, 8)
+#: Equal bits (of 256) from which a pair is a candidate: nearly four standard deviations
+#: below the 224 that a similarity of 0.75 gives on average.
+LIKELY = 204
 #: A task holds a region of up to this many rows, or this share of all rows.
 REGION_ROWS = 4096
 REGION_SHARE = 4096
 
-_FACTORS = np.random.default_rng(20240229).integers(0, 2**63, size=VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, minima binary"
-_MEMBERS = "key long, rep long, n long, sig binary, partner long"
+_FACTORS = np.random.default_rng(20240229).integers(0, 2**63, size=VALUES // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, sig binary, orders binary"
+_ROWS = "key long, rep long, n long, sig binary"
 
 
 def shingle_sets(texts: list[bytes | None], size: int) -> Iterator[np.ndarray]:
@@ -60,31 +61,36 @@ def shingle_sets(texts: list[bytes | None], size: int) -> Iterator[np.ndarray]:
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
-    best = np.full(VALUES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    """Smallest value of each of VALUES hash functions: the halves of VALUES / 2 products."""
+    best = np.full(VALUES, np.iinfo(np.uint32).max, dtype=np.uint32)
     with np.errstate(over="ignore"):
-        for at in range(0, len(shingles), 1024):
-            np.minimum(best, (shingles[at : at + 1024, None] * _FACTORS).min(axis=0), out=best)
-    return (best >> np.uint64(32)).astype(np.uint32)
+        for at in range(0, len(shingles), 512):
+            product = shingles[at : at + 512, None] * _FACTORS
+            np.minimum(best, product.view(np.uint32).min(axis=0), out=best)
+    return best
 
 
 def _signed(size: int):
     def run(batches):
-        for batch, texts, part in W.batches(batches):
-            n, a, b, sig = [], [], [], []
-            for s in shingle_sets(texts[part], size):
+        for batch in W.parts(batches):
+            n, a, b, sig, orders = [], [], [], [], []
+            for s in shingle_sets(W.utf8(batch.column("text")), size):
                 n.append(len(s))
                 a.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                 b.append(int(W.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
-                sig.append(minima(s).tobytes())
+                least = minima(s)
+                sig.append(np.packbits((least >> np.uint32(4)) & np.uint32(1)).tobytes())
+                orders.append((least[: TREES * DEPTHS[-1]] & np.uint32(0xFFFF)).astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").slice(part.start, part.stop - part.start),
+                    batch.column("doc_id"),
                     pa.array(n, pa.int64()),
                     pa.array(a, pa.int64()),
                     pa.array(b, pa.int64()),
                     pa.array(sig, pa.binary()),
+                    pa.array(orders, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "minima"],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "sig", "orders"],
             )
 
     return run
@@ -94,12 +100,17 @@ def _keys(values: np.ndarray, tree: int, depth: int) -> np.ndarray:
     """Hash of the first ``depth`` values of a tree's order."""
     h = np.full(len(values), tree * 64 + depth, dtype=np.uint64)
     for j in range(depth):
-        h = W.mix(h + values[:, (tree * (VALUES // TREES) + j) % VALUES])
-    return h.view(np.int64)
+        h = W.mix(h + values[:, tree * DEPTHS[-1] + j])
+    return _marked(h, tree)
+
+
+def _marked(h: np.ndarray, tree: int) -> np.ndarray:
+    """Key with the number of its tree in the last four bits."""
+    return ((h & ~np.uint64(15)) | np.uint64(tree)).view(np.int64)
 
 
 def _values(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, VALUES).astype(np.uint64)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, TREES * DEPTHS[-1]).astype(np.uint64)
 
 
 def _deep(values: np.ndarray, tree: int, hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +130,7 @@ def _census(hot: list[np.ndarray], shards: int):
 
     def run(batches):
         for batch in batches:
-            values = _values(batch.column("minima"))
+            values = _values(batch.column("orders"))
             found = [key[level == len(hot)] for key, level in (_deep(values, t, hot) for t in range(TREES))]
             key, n = np.unique(np.concatenate(found), return_counts=True)
             shard = np.mod(key, shards)
@@ -144,25 +155,33 @@ def _crowded(limit: int):
     return run
 
 
-def _forest(hot: list[np.ndarray], hubs: dict[int, tuple[int, int, bytes]], blocks: int):
+def _forest(hot: list[np.ndarray], blocks: int):
     """A row for each class and tree, under its region's key."""
 
     def run(batches):
         for batch in batches:
-            values = _values(batch.column("minima"))
-            small = (values & np.uint64(0xFF)).astype(np.uint8)
+            values = _values(batch.column("orders"))
+            sig = batch.column("sig").to_pylist()
             rep, n = batch.column("rep").to_numpy(), batch.column("n_shingles").to_numpy()
             for t in range(TREES):
                 key, level = _deep(values, t, hot)
                 last = level == len(DEPTHS)
                 if last.any():
                     block = np.mod(W.mix(rep[last].view(np.uint64)), np.uint64(blocks))
-                    key[last] = W.mix(key[last].view(np.uint64) + block).view(np.int64)
-                yield _rows(key, rep, n, [s.tobytes() for s in small])
-        for key, (rep, n, sig) in hubs.items():
-            with np.errstate(over="ignore"):
-                dealt = W.mix(np.uint64(key % 2**64) + np.arange(blocks, dtype=np.uint64)).view(np.int64)
-            yield _rows(dealt, np.full(blocks, rep), np.full(blocks, n), [sig] * blocks)
+                    key[last] = _marked(W.mix(key[last].view(np.uint64) + block), t)
+                yield _rows(key, rep, n, sig)
+
+    return run
+
+
+def _hub_rows(hubs: dict[int, tuple[int, int, bytes]], blocks: int):
+    """The first row of each crowded region, for all of its blocks."""
+
+    def run(batches):
+        for batch in batches:
+            for key, (rep, n, sig) in hubs.items() if batch.num_rows else ():
+                dealt = _marked(W.mix(np.uint64(key % 2**64) + np.arange(blocks, dtype=np.uint64)), key & 15)
+                yield _rows(dealt, np.full(blocks, rep), np.full(blocks, n), [sig] * blocks)
 
     return run
 
@@ -187,8 +206,8 @@ def _regions(batches) -> Iterator[dict[str, np.ndarray]]:
             return
         mine = np.repeat(many, size)
         table = table.filter(pa.array(mine))
-        cols = {c: table.column(c).to_numpy() for c in table.schema.names if c != "sig"}
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, VALUES)
+        cols = {c: _column(table.column(c)) for c in table.schema.names if c != "sig"}
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint64).reshape(-1, VALUES // 64)
         end = np.cumsum(size[many])
         for b, e in zip((end - size[many]).tolist(), end.tolist(), strict=True):
             order = b + np.argsort(cols["rep"][b:e], kind="stable")
@@ -208,52 +227,99 @@ def _regions(batches) -> Iterator[dict[str, np.ndarray]]:
         yield from cut(pa.Table.from_batches(held))
 
 
-def _likely(r: dict[str, np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row of a region: equal values with every earlier row, 0 where sizes differ too much."""
-    sig, n, rep = r["sig"], r["n"], r["rep"]
-    for i in range(1, len(rep)):
-        same = (sig[:i] == sig[i]).sum(axis=1)
-        low, high = np.minimum(n[:i], n[i]), np.maximum(n[:i], n[i])
-        yield i, np.where((100 * low >= percent * high) & (same >= LIKELY) & (rep[:i] != rep[i]), same, 0)
+def _column(column) -> np.ndarray:
+    """Numbers as numbers; lists and bytes as objects."""
+    if pa.types.is_integer(column.type):
+        return column.to_numpy()
+    out = np.empty(len(column), dtype=object)
+    out[:] = [np.array(v, dtype=np.int64) if isinstance(v, list) else v for v in column.to_pylist()]
+    return out
+
+
+def _likely(r: dict[str, np.ndarray], i: int, percent: int) -> np.ndarray:
+    """Equal bits of row i of a region with every row, 0 for those that are no candidates."""
+    same = VALUES - np.bitwise_count(r["sig"] ^ r["sig"][i]).sum(axis=1, dtype=np.int64)
+    low, high = np.minimum(r["n"], r["n"][i]), np.maximum(r["n"], r["n"][i])
+    return np.where((100 * low >= percent * high) & (same >= LIKELY) & (r["rep"] != r["rep"][i]), same, 0)
 
 
-def _partners(percent: int):
+def _members(percent: int):
+    """Rows of regions that have a candidate there, and the nearest one."""
+
     def run(batches):
         for r in _regions(batches):
-            member = np.zeros(len(r["rep"]), dtype=bool)
-            partner = np.full(len(r["rep"]), -1, dtype=np.int64)
-            for i, same in _likely(r, percent):
+            nearest = [_likely(r, i, percent) for i in range(len(r["rep"]))] if len(r["rep"]) < 64 else None
+            at, partner = [], []
+            for i in range(len(r["rep"])):
+                same = nearest[i] if nearest else _likely(r, i, percent)
                 if same.any():
-                    strong = same >= STRONG
-                    partner[i] = int(strong.argmax()) if strong.any() else int(same.argmax())
-                    member[:i] |= same > 0
-                    member[i] = True
-            if member.any():
-                at = np.flatnonzero(member)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *_rows(r["key"][at], r["rep"][at], r["n"][at], [r["sig"][i].tobytes() for i in at]).columns,
-                        pa.array([int(r["rep"][partner[i]]) if partner[i] >= 0 else None for i in at], pa.int64()),
-                    ],
-                    names=["key", "rep", "n", "sig", "partner"],
-                )
+                    at.append(i)
+                    partner.append(int(r["rep"][same.argmax()]))
+            if at:
+                rows = _rows(r["key"][at], r["rep"][at], r["n"][at], [r["sig"][i].tobytes() for i in at])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(partner, pa.int64())], names=[*rows.schema.names, "partner"])
 
     return run
 
 
-def _across(percent: int):
-    """Candidate pairs of a region whose rows are in different groups so far."""
+def _open(percent: int):
+    """Rows that have a candidate in another group."""
 
     def run(batches):
         for r in _regions(batches):
             if (r["root"] == r["root"][0]).all():
                 continue
-            for i, same in _likely(r, percent):
-                at = np.flatnonzero((same > 0) & (r["root"][:i] != r["root"][i]))
-                if len(at):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(r["rep"][at]), pa.array(np.full(len(at), r["rep"][i]))], names=["a", "b"]
-                    )
+            at = [i for i in range(len(r["rep"])) if (_likely(r, i, percent)[r["root"] != r["root"][i]] > 0).any()]
+            if at:
+                rows = _rows(r["key"][at], r["rep"][at], r["n"][at], [r["sig"][i].tobytes() for i in at])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(r["root"][at])], names=[*rows.schema.names, "root"])
+
+    return run
+
+
+def _settled(percent: int):
+    """A link for each two groups of a region that a pair of candidates joins."""
+
+    def run(batches):
+        for r in _regions(batches):
+            rep, root = r["rep"], r["root"]
+            tree = int(r["key"][0]) & 15
+            keys = -1 - np.arange(len(rep) * TREES, dtype=np.int64).reshape(len(rep), TREES)
+            for i, own in enumerate(r["keys"]):
+                keys[i, own & 15] = own
+            sets = [_unpacked(x) for x in r["shingles"]]
+            size = np.array([len(x) for x in sets])
+            # Rows of each shingle, so that one pass counts what a row shares with all others.
+            _, number = np.unique(np.concatenate(sets), return_inverse=True)
+            held = np.split(number, np.cumsum(size)[:-1])
+            order = np.argsort(number, kind="stable")
+            rows = np.repeat(np.arange(len(sets)), size)[order]
+            begin = np.concatenate(([0], np.cumsum(np.bincount(number))))
+            group = {g: g for g in root.tolist()}
+
+            def top(g: int, group=group) -> int:
+                while group[g] != g:
+                    group[g] = group[group[g]]
+                    g = group[g]
+                return g
+
+            found: list[tuple[int, int]] = []
+            for i in range(1, len(rep)):
+                # A pair is compared in the first region that it shares.
+                equal = keys[:i] == keys[i]
+                at = np.flatnonzero((_likely(r, i, percent)[:i] > 0) & (root[:i] != root[i]) & (equal.argmax(axis=1) == tree))
+                if not len(at):
+                    continue
+                first, count = begin[held[i]], begin[held[i] + 1] - begin[held[i]]
+                shared = rows[np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+                both = np.bincount(shared, minlength=len(rep))[at]
+                for j in at[100 * both >= percent * (size[at] + size[i] - both)].tolist():
+                    a, b = top(int(root[i])), top(int(root[j]))
+                    if a != b:
+                        group[max(a, b)] = min(a, b)
+                        found.append((int(rep[j]), int(rep[i])))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found]), pa.array([f[1] for f in found])], names=["a", "b"])
 
     return run
 
@@ -262,13 +328,13 @@ def _packed(size: int):
     """Full shingle sets, 48 bits a shingle."""
 
     def run(batches):
-        for batch, texts, part in W.batches(batches):
+        for batch in W.parts(batches):
             sets = []
-            for s in shingle_sets(texts[part], size):
+            for s in shingle_sets(W.utf8(batch.column("text")), size):
                 top = s >> np.uint64(16)
                 sets.append(top.view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(part.start, part.stop - part.start), pa.array(sets, pa.binary())],
+                [batch.column("doc_id"), pa.array(sets, pa.binary())],
                 names=["rep", "shingles"],
             )
 
@@ -294,10 +360,15 @@ def _confirmed(percent: int):
     return run
 
 
+def _by_key(df: DataFrame, parts: int) -> DataFrame:
+    return df.repartition(parts, "key").sortWithinPartitions("key")
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("set_b"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_confirmed(percent), "a long, b long")
+    # The plan of a large run at every size, so that small runs tell what large ones need.
+    return pairs.hint("merge").join(left, "a").hint("merge").join(right, "b").mapInArrow(_confirmed(percent), "a long, b long")
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -308,7 +379,8 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     distinct shingles of ``shingle`` words, or the whole text as one if it has fewer. Null and
     empty texts and texts without words have an empty set and link with nothing. A row
     without doc_id is a group of its own with a null component_id, and kept. Rows that
-    repeat a doc_id share one component, and all are kept if that id is its smallest.
+    repeat a doc_id share one component, and all are kept if that id is its smallest; if
+    their texts differ, links are confirmed on one of them.
     Other columns are ignored, whatever their names. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -318,7 +390,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     classes = written(
         signed.filter("n_shingles > 0 and doc_id is not null")
         .groupBy(*sets_key)
-        .agg(F.min("doc_id").alias("rep"), F.first("minima").alias("minima")),
+        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("orders").alias("orders")),
         "classes",
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -341,44 +413,43 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
         blocks = -(-most // limit)
         hubs = _hubs(classes, hot)
 
-    forest = classes.select("rep", "n_shingles", "minima").mapInArrow(
-        _forest(hot, {}, blocks), "key long, rep long, n long, sig binary"
-    )
+    forest = classes.select("rep", "n_shingles", "sig", "orders").mapInArrow(_forest(hot, blocks), _ROWS)
     if hubs:
-        forest = forest.unionByName(
-            spark.range(1).mapInArrow(_forest(hot, hubs, blocks), "key long, rep long, n long, sig binary")
-        )
+        forest = forest.unionByName(spark.range(1, numPartitions=1).mapInArrow(_hub_rows(hubs, blocks), _ROWS))
     members = written(
-        forest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_partners(percent), _MEMBERS), "regions"
+        _by_key(forest, parts).mapInArrow(_members(percent), _ROWS + ", partner long"),
+        "regions",
     )
     sets = written(
-        rows.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+        rows.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id")
         .mapInArrow(_packed(shingle), "rep long, shingles binary")
         .dropDuplicates(["rep"]),
         "shingles",
     )
-    first = members.filter("partner is not null").select(F.col("partner").alias("a"), F.col("rep").alias("b")).distinct()
-    links = written(_confirm(first, sets, percent), "links")
-    grouped = components(links)
-    rooted = members.drop("partner").join(grouped.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-        "root", F.coalesce("root", "rep")
+    named = members.select(F.least("rep", "partner").alias("a"), F.greatest("rep", "partner").alias("b")).distinct()
+    links = written(_confirm(named, sets, percent), "links")
+    roots = components(links).withColumnRenamed("id", "rep")
+    rooted = members.select("key", "rep", "n", "sig").join(roots, "rep", "left")
+    unsettled = written(
+        _by_key(rooted.select("key", "rep", "n", "sig", F.coalesce("root", "rep").alias("root")), parts).mapInArrow(
+            _open(percent), _ROWS + ", root long"
+        ),
+        "unsettled",
     )
-    rest = (
-        rooted.select("key", "rep", "n", "sig", "root")
-        .repartition(parts, "key")
-        .sortWithinPartitions("key")
-        .mapInArrow(_across(percent), "a long, b long")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
+    regions_of = unsettled.groupBy("rep").agg(F.collect_set("key").alias("keys"))
+    last = written(
+        _by_key(unsettled.join(regions_of, "rep").hint("merge").join(sets, "rep"), parts).mapInArrow(_settled(percent), "a long, b long"),
+        "links",
     )
-    more = written(_confirm(rest, sets, percent), "links")
-    roots = components(links.unionByName(more)).withColumnRenamed("id", "rep")
+    roots = components(links.unionByName(last)).withColumnRenamed("id", "rep")
 
-    named = classes.select(*sets_key, "rep").join(roots, "rep", "left").select(*sets_key, F.coalesce("root", "rep").alias("found"))
+    class_roots = (
+        classes.select(*sets_key, "rep").join(roots, "rep", "left").select(*sets_key, F.coalesce("root", "rep").alias("found"))
+    )
     component = F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id"))
     return (
         signed.select("doc_id", *sets_key)
-        .join(named, sets_key, "left")
+        .join(class_roots, sets_key, "left")
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
         .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
     )
@@ -389,8 +460,8 @@ def _hubs(classes: DataFrame, hot: list[np.ndarray]) -> dict[int, tuple[int, int
 
     def run(batches):
         for batch in batches:
-            values = _values(batch.column("minima"))
-            small = (values & np.uint64(0xFF)).astype(np.uint8)
+            values = _values(batch.column("orders"))
+            sig = batch.column("sig").to_pylist()
             rep, n = batch.column("rep").to_numpy(), batch.column("n_shingles").to_numpy()
             for t in range(TREES):
                 key, level = _deep(values, t, hot)
@@ -398,11 +469,11 @@ def _hubs(classes: DataFrame, hot: list[np.ndarray]) -> dict[int, tuple[int, int
                 at = at[np.lexsort((rep[at], key[at]))]
                 at = at[np.concatenate(([True], key[at][1:] != key[at][:-1]))[: len(at)]]
                 if len(at):
-                    yield _rows(key[at], rep[at], n[at], [small[i].tobytes() for i in at])
+                    yield _rows(key[at], rep[at], n[at], [sig[i] for i in at])
 
     found = (
-        classes.select("rep", "n_shingles", "minima")
-        .mapInArrow(run, "key long, rep long, n long, sig binary")
+        classes.select("rep", "n_shingles", "sig", "orders")
+        .mapInArrow(run, _ROWS)
         .groupBy("key")
         .agg(F.min_by(F.struct("rep", "n", "sig"), "rep").alias("hub"))
         .collect()

@@ -127,14 +127,6 @@ def utf8(column) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-def batches(batch_iter: Iterable) -> Iterator[tuple[object, list[bytes | None], slice]]:
-    """(batch, its texts, a slice of its rows) with a bounded size of text in each slice."""
-    for batch in batch_iter:
-        texts = utf8(batch.column("text"))
-        for part in sliced(texts):
-            yield batch, texts, part
-
-
 def parts(batch_iter: Iterable, column: str = "text", size: int = CHUNK_BYTES) -> Iterator:
     """Arrow batches cut into slices of about ``size`` bytes of a text or binary column."""
     import pyarrow.compute as pc
