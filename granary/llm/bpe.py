@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
@@ -23,6 +24,8 @@ from granary.llm.shared import written
 
 #: Characters of a chunk beside its overlap with the next, and of the overlap.
 CHUNK, OVERLAP = 32_768, 1_024
+#: Ids that are decoded together.
+_DECODED = 400_000
 #: The pattern looks at most so far beyond a match.
 _AHEAD = 4
 
@@ -143,13 +146,23 @@ def decode_ids(encoded: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(batches):
         table = tokens.token_bytes(vocabulary)
+        sizes = np.array([len(t) for t in table], dtype=np.int64)
+        begins, letters = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(table), dtype=np.uint8)
         for batch in batches:
-            lists = batch.column("ids")
-            for at in range(batch.num_rows):
-                data = b"".join([table[i] for i in lists[at].values.to_pylist()] if lists[at].is_valid else [])
-                yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(at, 1) for c in batch.columns), pa.array([data], pa.binary())],
-                    names=[*batch.schema.names, "decoded"],
-                )
+            lengths = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy()
+            full = np.cumsum(lengths.astype(np.int64))
+            row = 0
+            while row < batch.num_rows:
+                done = full[row - 1] if row else 0
+                stop = min(batch.num_rows, int(np.searchsorted(full, done + _DECODED)) + 1)
+                part = batch.slice(row, stop - row)
+                ids = part.column("ids").flatten().to_numpy()
+                size = sizes[ids]
+                places = np.arange(size.sum()) + np.repeat(begins[ids] - (np.cumsum(size) - size), size)
+                ends = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], full[row:stop] - done))]
+                data = pa.py_buffer(letters[places].tobytes())
+                decoded = pa.Array.from_buffers(pa.large_binary(), part.num_rows, [None, pa.py_buffer(ends.astype(np.int64).tobytes()), data])
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded.cast(pa.binary())], names=[*part.schema.names, "decoded"])
+                row = stop
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
