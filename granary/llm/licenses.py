@@ -10,9 +10,14 @@ licence of its own takes that of its nearest ancestor directory, found by joins
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import functools
+import operator
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.llm.shared import written
+
 COSINE = 0.55
 #: Share of a text's words in licence statements that makes it a licence file.
 SHARE = 0.5
@@ -36,6 +41,7 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 ]
 _CUE = r"(?i)\b(licen[sc]e[sd]?|licensing|released under|copyright|permission is hereby|public domain|spdx)"
+_CUES = ("licens", "licenc", "released under", "copyright", "permission is hereby", "public domain", "spdx")
 _FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)(\.[a-z]+)?$"
 _STATEMENT = r"\n|(?<=[.!?])\s+"
 
@@ -59,19 +65,27 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def statements(files: DataFrame) -> DataFrame:
-    """``file, path, n, statement, words``: statements of whole texts with a word of licensing."""
-    cut = F.split(F.coalesce("text", F.lit("")), _STATEMENT)
+    """``file, statement, form, words, total``: statements of whole texts with a word of
+    licensing, their number of words, and that of the text."""
+    text = F.coalesce("text", F.lit(""))
+    low = F.lower(text)
+    # Plain search first: only texts that hold a word of licensing are cut.
+    worth = functools.reduce(operator.or_, [F.contains(low, F.lit(w)) for w in _CUES])
+    total = F.size(F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != ""))
     return (
-        files.select("file", "path", F.explode(F.filter(cut, lambda s: s.rlike(_CUE))).alias("statement"))
-        .select("file", "path", "statement", F.xxhash64(F.lower("statement")).alias("form"), F.size(_tokens(F.col("statement"))).alias("words"))
+        files.filter(worth)
+        .select("file", total.alias("total"), F.explode(F.split(text, _STATEMENT)).alias("statement"))
+        .filter(F.col("statement").rlike(_CUE))
+        .select(
+            "file", "total", "statement", F.xxhash64(F.lower("statement")).alias("form"), F.size(_tokens(F.col("statement"))).alias("words")
+        )
     )
 
 
-def matched(files: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """``form, licence, score``: the best template of each distinct statement."""
-    spark = files.sparkSession
-    known = templates(spark)
-    forms = statements(files).groupBy("form").agg(F.min("statement").alias("statement"), F.count("*").alias("seen"))
+def matched(found: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """``form, licence, score``: the best template of each distinct one of ``statements``."""
+    known = templates(found.sparkSession)
+    forms = found.groupBy("form").agg(F.min("statement").alias("statement"), F.count("*").alias("seen"))
     # Document frequencies: how many statements of the corpus and templates hold a token.
     counted = forms.select("statement", "seen").unionByName(known.select("statement", F.lit(1).cast("long").alias("seen")))
     df = counted.select(F.explode(F.array_distinct(_tokens(F.col("statement")))).alias("token"), "seen").groupBy("token").agg(F.sum("seen").alias("df"))
@@ -110,25 +124,26 @@ def licences(files: DataFrame, cosine: float = COSINE) -> DataFrame:
     empty table gives no rows.
     """
     files = files.select("file", "path", "text")
-    best = matched(files, cosine)
+    # Frequencies, norms and matches all start from the statements: texts are read once.
+    found = written(statements(files), "statements")
     own = (
-        statements(files)
-        .join(best, "form")
+        found.join(matched(found, cosine), "form")
         .groupBy("file")
         .agg(
             F.max_by(F.struct("licence", "score"), F.struct(F.round("score", 9), F.col("form"))).alias("best"),
             F.sum("words").alias("licence_words"),
+            F.sum("total").alias("total_words"),
+            F.count("*").alias("n"),
         )
-        .select(F.col("file").alias("_file"), "best.licence", "best.score", "licence_words")
+        .select(F.col("file").alias("_file"), "best.licence", "best.score", "licence_words", (F.col("total_words") / F.col("n")).alias("total"))
     )
-    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[ \t-\r]+"), lambda w: w != ""))
     marked = (
-        files.select("file", "path", words.alias("words"))
+        files.select("file", "path")
         .join(own, F.col("file").eqNullSafe(F.col("_file")), "left")
         .withColumn(
             "licence_file",
             F.col("licence").isNotNull()
-            & F.coalesce(F.col("path").rlike(_FILE) | (F.col("licence_words") >= SHARE * F.col("words")), F.lit(False)),
+            & F.coalesce(F.col("path").rlike(_FILE) | (F.col("licence_words") >= SHARE * F.col("total")), F.lit(False)),
         )
         .select("file", "path", "licence", "score", "licence_file")
     )
