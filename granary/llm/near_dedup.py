@@ -5,16 +5,19 @@
    Documents with equal sets are one class; only one row of a class goes on.
 2. *Forest.* Each tree is a sorted order of the signatures by its own values. Rows that share
    the first two values of an order are a region, and neighbours by longest common prefix
-   are its candidates. A prefix that more rows share than a task should hold is read deeper
-   (4, then 8 values) for its region alone; what is still too large then is dealt into
-   blocks that all compare with the region's first row.
+   are its candidates.
 3. *Candidates.* Inside a region signatures are compared, but pairs are not given out: each
    row names the partner whose signature is nearest. These pairs are confirmed on the full
-   shingle sets and joined to groups, which settles most rows.
+   shingle sets and joined to groups, which settles most rows. For this step alone, a prefix
+   that more rows share than a task should hold is read deeper (4, then 8 values) and then
+   dealt into blocks, and the row that is named most in such a region is compared with all
+   its rows, so a family around one original is one group.
 4. *The rest.* Rows that still have a candidate in another group take their full sets to
    their regions, where every remaining candidate pair is compared; a region gives out one
-   link for each two groups it joins. No candidate is left out, and what moves grows with
-   the rows, not with their pairs.
+   link for each two groups it joins. A region that is too large for a task is dealt into
+   blocks that meet two by two. Large groups have blocks of their own, and blocks of one
+   group do not meet. No candidate is left out. What moves grows with the rows, but for
+   large regions that stay in many groups: theirs grows with the pairs of their blocks.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ DEPTHS = (2, 4, 8)
 #: Equal bits (of 256) from which a pair is a candidate: nearly four standard deviations
 #: below the 224 that a similarity of 0.75 gives on average.
 LIKELY = 204
+#: Bit of the keys of parts of regions.
+PART = 16
 #: A task holds a region of up to this many rows, or this share of all rows.
 REGION_ROWS = 4096
 REGION_SHARE = 4096
@@ -44,6 +49,7 @@ REGION_SHARE = 4096
 _FACTORS = np.random.default_rng(20240229).integers(0, 2**63, size=VALUES // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, sig binary, orders binary"
 _ROWS = "key long, rep long, n long, sig binary"
+_MEETING = _ROWS + ", root long, region long, side long"
 
 
 def shingle_sets(texts: list[bytes | None], size: int) -> Iterator[np.ndarray]:
@@ -101,12 +107,12 @@ def _keys(values: np.ndarray, tree: int, depth: int) -> np.ndarray:
     h = np.full(len(values), tree * 64 + depth, dtype=np.uint64)
     for j in range(depth):
         h = W.mix(h + values[:, tree * DEPTHS[-1] + j])
-    return _marked(h, tree)
+    return _marked(h, tree, depth > DEPTHS[0])
 
 
-def _marked(h: np.ndarray, tree: int) -> np.ndarray:
-    """Key with the number of its tree in the last four bits."""
-    return ((h & ~np.uint64(15)) | np.uint64(tree)).view(np.int64)
+def _marked(h: np.ndarray, tree: int, part: bool) -> np.ndarray:
+    """Key with the number of its tree in the last four bits, and whether it is a part of a region."""
+    return ((h & ~np.uint64(31)) | np.uint64(PART * part + tree)).view(np.int64)
 
 
 def _values(column) -> np.ndarray:
@@ -168,20 +174,84 @@ def _forest(hot: list[np.ndarray], blocks: int):
                 last = level == len(DEPTHS)
                 if last.any():
                     block = np.mod(W.mix(rep[last].view(np.uint64)), np.uint64(blocks))
-                    key[last] = _marked(W.mix(key[last].view(np.uint64) + block), t)
+                    key[last] = _marked(W.mix(key[last].view(np.uint64) + block), t, True)
                 yield _rows(key, rep, n, sig)
 
     return run
 
 
-def _hub_rows(hubs: dict[int, tuple[int, int, bytes]], blocks: int):
-    """The first row of each crowded region, for all of its blocks."""
+def _crowd(crowded: np.ndarray):
+    """Whole regions of the given keys, whatever their size."""
 
     def run(batches):
         for batch in batches:
-            for key, (rep, n, sig) in hubs.items() if batch.num_rows else ():
-                dealt = _marked(W.mix(np.uint64(key % 2**64) + np.arange(blocks, dtype=np.uint64)), key & 15)
-                yield _rows(dealt, np.full(blocks, rep), np.full(blocks, n), [sig] * blocks)
+            values = _values(batch.column("orders"))
+            sig = batch.column("sig").to_pylist()
+            rep, n = batch.column("rep").to_numpy(), batch.column("n_shingles").to_numpy()
+            for t in range(TREES):
+                key = _keys(values, t, DEPTHS[0])
+                at = np.flatnonzero(np.isin(key, crowded))
+                yield _rows(key[at], rep[at], n[at], [sig[i] for i in at])
+
+    return run
+
+
+def _to_hubs(hubs: dict[int, tuple[int, int, bytes]], percent: int):
+    """Candidate pairs of rows with the hubs of their regions."""
+
+    def run(batches):
+        for batch in batches:
+            key, rep, n = (batch.column(c).to_numpy() for c in ("key", "rep", "n"))
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint64).reshape(-1, VALUES // 64)
+            for k in np.unique(key).tolist():
+                if k not in hubs:
+                    continue
+                at = np.flatnonzero(key == k)
+                hub, size, own = hubs[k]
+                mine = {"rep": np.append(rep[at], hub), "n": np.append(n[at], size), "sig": np.vstack((sig[at], np.frombuffer(own, dtype=np.uint64)))}
+                near = rep[at][_likely(mine, len(at), percent)[:-1] > 0]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(near, hub)), pa.array(np.maximum(near, hub))], names=["a", "b"])
+
+    return run
+
+
+def _met(layout: dict[int, tuple[int, dict[int, int]]]):
+    """Rows of crowded regions for each two blocks that meet, and for each block of many groups.
+
+    ``layout`` has the blocks of small groups together, and those of each large group.
+    """
+
+    def run(batches):
+        for batch in batches:
+            key, rep, root = (batch.column(c).to_numpy() for c in ("key", "rep", "root"))
+            for k in np.unique(key).tolist():
+                mixed, large = layout[k]
+                at = np.flatnonzero(key == k)
+                block = np.mod(W.mix(root[at].view(np.uint64)), np.uint64(max(1, mixed))).astype(np.int64)
+                owner = [-1] * mixed
+                for g, parts in large.items():
+                    mine = root[at] == g
+                    block[mine] = len(owner) + np.mod(W.mix(rep[at][mine].view(np.uint64)), np.uint64(parts)).astype(np.int64)
+                    owner += [g] * parts
+                group, pure = np.array(owner), np.arange(len(owner)) >= mixed
+                for b in np.unique(block).tolist():
+                    others = np.flatnonzero(~(pure & pure[b] & (group == group[b])))
+                    if not len(others):
+                        continue
+                    low, high = np.minimum(others, b), np.maximum(others, b)
+                    task = _marked(W.mix(np.uint64(k % 2**64) + W.mix((low * len(owner) + high).astype(np.uint64))), k & 15, True)
+                    # Rows of two blocks are compared across, those of one block with each other.
+                    side = np.where(low == high, -1, (b == high).astype(np.int64))
+                    mine = batch.take(pa.array(np.repeat(at[block == b], len(others))))
+                    times = int((block == b).sum())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.tile(task, times)),
+                            *(mine.column(c) for c in ("rep", "n", "sig", "root", "key")),
+                            pa.array(np.tile(side, times)),
+                        ],
+                        names=["key", "rep", "n", "sig", "root", "region", "side"],
+                    )
 
     return run
 
@@ -243,6 +313,11 @@ def _likely(r: dict[str, np.ndarray], i: int, percent: int) -> np.ndarray:
     return np.where((100 * low >= percent * high) & (same >= LIKELY) & (r["rep"] != r["rep"][i]), same, 0)
 
 
+def _apart(r: dict[str, np.ndarray], i: int) -> np.ndarray:
+    """Rows of other groups that row i is to be compared with here."""
+    return (r["root"] != r["root"][i]) & ((r["side"] != r["side"][i]) | (r["side"] < 0))
+
+
 def _members(percent: int):
     """Rows of regions that have a candidate there, and the nearest one."""
 
@@ -269,10 +344,11 @@ def _open(percent: int):
         for r in _regions(batches):
             if (r["root"] == r["root"][0]).all():
                 continue
-            at = [i for i in range(len(r["rep"])) if (_likely(r, i, percent)[r["root"] != r["root"][i]] > 0).any()]
+            at = [i for i in range(len(r["rep"])) if (_likely(r, i, percent)[_apart(r, i)] > 0).any()]
             if at:
                 rows = _rows(r["key"][at], r["rep"][at], r["n"][at], [r["sig"][i].tobytes() for i in at])
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(r["root"][at])], names=[*rows.schema.names, "root"])
+                more = ["root", "region", "side"]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *(pa.array(r[c][at]) for c in more)], names=[*rows.schema.names, *more])
 
     return run
 
@@ -285,7 +361,7 @@ def _settled(percent: int):
             rep, root = r["rep"], r["root"]
             tree = int(r["key"][0]) & 15
             keys = -1 - np.arange(len(rep) * TREES, dtype=np.int64).reshape(len(rep), TREES)
-            for i, own in enumerate(r["keys"]):
+            for i, own in enumerate(r["regions"]):
                 keys[i, own & 15] = own
             sets = [_unpacked(x) for x in r["shingles"]]
             size = np.array([len(x) for x in sets])
@@ -307,7 +383,7 @@ def _settled(percent: int):
             for i in range(1, len(rep)):
                 # A pair is compared in the first region that it shares.
                 equal = keys[:i] == keys[i]
-                at = np.flatnonzero((_likely(r, i, percent)[:i] > 0) & (root[:i] != root[i]) & (equal.argmax(axis=1) == tree))
+                at = np.flatnonzero((_likely(r, i, percent)[:i] > 0) & _apart(r, i)[:i] & (equal.argmax(axis=1) == tree))
                 if not len(at):
                     continue
                 first, count = begin[held[i]], begin[held[i] + 1] - begin[held[i]]
@@ -408,35 +484,39 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
             break
         hot.append(np.array([r["key"] for r in crowded], dtype=np.int64))
         most = max(r["n"] for r in crowded)
-    hubs, blocks = {}, 1
-    if len(hot) == len(DEPTHS):
-        blocks = -(-most // limit)
-        hubs = _hubs(classes, hot)
-
-    forest = classes.select("rep", "n_shingles", "sig", "orders").mapInArrow(_forest(hot, blocks), _ROWS)
-    if hubs:
-        forest = forest.unionByName(spark.range(1, numPartitions=1).mapInArrow(_hub_rows(hubs, blocks), _ROWS))
+    blocks = -(-most // limit) if len(hot) == len(DEPTHS) else 1
+
+    signs = classes.select("rep", "n_shingles", "sig", "orders")
     members = written(
-        _by_key(forest, parts).mapInArrow(_members(percent), _ROWS + ", partner long"),
+        _by_key(signs.mapInArrow(_forest(hot, blocks), _ROWS), parts).mapInArrow(_members(percent), _ROWS + ", partner long"),
         "regions",
     )
-    sets = written(
-        rows.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id")
-        .mapInArrow(_packed(shingle), "rep long, shingles binary")
-        .dropDuplicates(["rep"]),
-        "shingles",
-    )
-    named = members.select(F.least("rep", "partner").alias("a"), F.greatest("rep", "partner").alias("b")).distinct()
-    links = written(_confirm(named, sets, percent), "links")
+    named = members.select(F.least("rep", "partner").alias("a"), F.greatest("rep", "partner").alias("b"))
+    reps = members.select("rep")
+    if hot:
+        crowd = written(signs.mapInArrow(_crowd(hot[0]), _ROWS), "crowd")
+        pairs = written(crowd.mapInArrow(_to_hubs(_hubs(crowd, members), percent), "a long, b long").distinct(), "pairs")
+        named, reps = named.unionByName(pairs), reps.union(pairs.select(F.explode(F.array("a", "b"))))
+    needed = reps.distinct()
+    sets = _sets(rows, needed.hint("merge"), shingle)
+    links = written(_confirm(named.distinct(), sets, percent), "links")
     roots = components(links).withColumnRenamed("id", "rep")
-    rooted = members.select("key", "rep", "n", "sig").join(roots, "rep", "left")
-    unsettled = written(
-        _by_key(rooted.select("key", "rep", "n", "sig", F.coalesce("root", "rep").alias("root")), parts).mapInArrow(
-            _open(percent), _ROWS + ", root long"
-        ),
-        "unsettled",
+    rooted = (
+        members.filter(F.col("key").bitwiseAND(PART) == 0)
+        .select("key", "rep", "n", "sig")
+        .join(roots, "rep", "left")
+        .select("key", "rep", "n", "sig", F.coalesce("root", "rep").alias("root"), F.col("key").alias("region"), F.lit(-1).cast("long").alias("side"))
     )
-    regions_of = unsettled.groupBy("rep").agg(F.collect_set("key").alias("keys"))
+    if hot:
+        crowd = written(crowd.join(roots, "rep", "left").select("key", "rep", "n", "sig", F.coalesce("root", "rep").alias("root")), "crowd")
+        rooted = rooted.unionByName(crowd.mapInArrow(_met(_layout(crowd, limit // 2)), _MEETING))
+    unsettled = written(_by_key(rooted, parts).mapInArrow(_open(percent), _MEETING), "unsettled")
+    if hot:
+        # Mostly none: rows whose candidates are all in other blocks.
+        missing = written(unsettled.select("rep").distinct().join(needed, "rep", "left_anti"), "missing")
+        if not missing.isEmpty():
+            sets = sets.unionByName(_sets(rows, missing, shingle))
+    regions_of = unsettled.groupBy("rep").agg(F.collect_set("region").alias("regions"))
     last = written(
         _by_key(unsettled.join(regions_of, "rep").hint("merge").join(sets, "rep"), parts).mapInArrow(_settled(percent), "a long, b long"),
         "links",
@@ -455,32 +535,43 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     )
 
 
-def _hubs(classes: DataFrame, hot: list[np.ndarray]) -> dict[int, tuple[int, int, bytes]]:
-    """First row of each region that stays crowded at the last depth; as few as those regions."""
+def _sets(rows: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
+    """Full sets of the given documents."""
+    return written(
+        rows.join(reps.withColumnRenamed("rep", "doc_id"), "doc_id")
+        .mapInArrow(_packed(shingle), "rep long, shingles binary")
+        .dropDuplicates(["rep"]),
+        "shingles",
+    )
 
-    def run(batches):
-        for batch in batches:
-            values = _values(batch.column("orders"))
-            sig = batch.column("sig").to_pylist()
-            rep, n = batch.column("rep").to_numpy(), batch.column("n_shingles").to_numpy()
-            for t in range(TREES):
-                key, level = _deep(values, t, hot)
-                at = np.flatnonzero(level == len(DEPTHS))
-                at = at[np.lexsort((rep[at], key[at]))]
-                at = at[np.concatenate(([True], key[at][1:] != key[at][:-1]))[: len(at)]]
-                if len(at):
-                    yield _rows(key[at], rep[at], n[at], [sig[i] for i in at])
 
+def _hubs(crowd: DataFrame, members: DataFrame) -> dict[int, tuple[int, int, bytes]]:
+    """The row of each crowded region that most rows name as partner; as few as those regions."""
+    votes = members.groupBy(F.col("partner").alias("rep")).agg(F.count("*").alias("votes"))
     found = (
-        classes.select("rep", "n_shingles", "sig", "orders")
-        .mapInArrow(run, _ROWS)
+        crowd.join(votes, "rep")
         .groupBy("key")
-        .agg(F.min_by(F.struct("rep", "n", "sig"), "rep").alias("hub"))
+        .agg(F.max_by(F.struct("rep", "n", "sig"), F.struct("votes", -F.col("rep"))).alias("hub"))
         .collect()
     )
     return {r["key"]: (r["hub"]["rep"], r["hub"]["n"], bytes(r["hub"]["sig"])) for r in found}
 
 
+def _layout(crowd: DataFrame, size: int) -> dict[int, tuple[int, dict[int, int]]]:
+    """Blocks of each crowded region: of its small groups together, and of each large group."""
+    blocks = lambda n: F.ceil(n / size).cast("long")
+    groups = crowd.groupBy("key", "root").agg(F.count("*").alias("m"))
+    found = (
+        groups.groupBy("key")
+        .agg(
+            blocks(F.coalesce(F.sum(F.when(F.col("m") <= size, F.col("m"))), F.lit(0))).alias("mixed"),
+            F.collect_list(F.when(F.col("m") > size, F.struct("root", blocks(F.col("m")).alias("parts")))).alias("large"),
+        )
+        .collect()
+    )
+    return {r["key"]: (r["mixed"], {g["root"]: g["parts"] for g in r["large"]}) for r in found}
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with the document of smallest id of each near-duplicate group; columns as they are."""
     names = [F.col(f"`{c}`") for c in docs.columns]

@@ -110,3 +110,36 @@ def test_estimates_follow_the_similarity():
     bits = [np.packbits((near_dedup.minima(s) >> np.uint32(4)) & np.uint32(1)).view(np.uint64) for s in (a, b)]
     same = near_dedup.VALUES - int(np.bitwise_count(bits[0] ^ bits[1]).sum())
     assert near_dedup.LIKELY <= same <= 245
+
+
+@pytest.mark.parametrize("originals", [1, 4])
+def test_families_larger_than_a_region(spark, monkeypatch, originals):
+    """Copies are near their original alone, which has not the smallest id."""
+    monkeypatch.setattr(near_dedup, "REGION_ROWS", 8)
+    monkeypatch.setattr(near_dedup, "REGION_SHARE", 1000)
+    rng = np.random.default_rng(11)
+    base = prose(900, 200).split()
+    texts = []
+    for k in range(originals):
+        # Originals are 0.6 to each other and share crowded regions.
+        own = list(base)
+        own[40 * k : 40 * k + 40] = prose(910 + k, 40).split()
+        texts.append(" ".join(own))
+        for _ in range(160 // originals):
+            w = list(own)
+            for p in rng.choice(200, 4, replace=False):
+                w[p] = f"new{rng.integers(10**6)}"
+            texts.append(" ".join(w))
+    cases = [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts, strict=True)]
+    assert cases[0][0] > 0
+    df = spark.createDataFrame(cases, "doc_id long, text string").repartition(6)
+    expected = brute(cases)
+    assert collections.Counter(c for _, _, c, _ in expected).most_common(1)[0][1] > 3 * 8
+    assert by_key(columns(near_dedup.near_groups(df))) == by_key(expected)
+
+
+def test_crowded_regions_equal_brute_force(spark, copies, monkeypatch):
+    monkeypatch.setattr(near_dedup, "REGION_ROWS", 4)
+    monkeypatch.setattr(near_dedup, "REGION_SHARE", 1000)
+    df = spark.createDataFrame(copies, "doc_id long, text string").repartition(6)
+    assert by_key(columns(near_dedup.near_groups(df))) == by_key(brute(copies))
