@@ -8,12 +8,13 @@ buckets by id. The steps:
    Phrases and document ids go to phrase shards, where phrases seen in two documents stay.
    A task passes on two ids for a phrase that it sees more often, so that a passage of
    every third document does not gather anywhere.
-2. *Confirmation.* Buckets send the windows around those phrases, as hashes of all their
-   words, to the shard of the phrase; it finds the first document of each window and
-   answers each bucket that holds a later one.
+2. *Confirmation.* Buckets send the windows around those phrases, as two independent 64-bit
+   hashes of all their words, to the shard of the phrase; it finds the first document of
+   each window and answers each bucket that holds a later one. Windows of two documents are
+   equal here if phrase and both hashes are: 128 bits, whatever the words have in common.
 3. *Automata.* Each bucket compiles Aho-Corasick automata from the words of its confirmed
    passages, a bounded number of patterns in each, and streams its documents through them
-   whole. An occurrence is a match of all words, not of hashes; it is removed if the
+   whole. An occurrence in a bucket is a match of all words; it is removed if, by step 2, the
    passage starts in a document with a smaller id.
 
 Text moves once. Everything else is 64-bit numbers in blocks, so the shuffled rows are few.
@@ -47,7 +48,7 @@ VOCABULARY = 256 * 256
 _OTHER = chr(1)
 _PHRASES = "shard long, fixed boolean, phrase binary, doc binary"
 _HITS = "bucket long, phrase binary, doc binary"
-_SPANS = "shard long, bucket long, phrase binary, span binary, size binary, word binary, low binary, high binary"
+_SPANS = "shard long, bucket long, phrase binary, span binary, size binary, word binary, other binary, low binary, high binary"
 _ANSWERS = "bucket long, span binary, size binary, first binary"
 _RESULT = "doc_id long, kept_text string, n_words long, n_removed long, removed array<struct<start: long, stop: long>>"
 _NONE = np.iinfo(np.int64).max
@@ -200,11 +201,14 @@ def _span_blocks(shards: int, window: int):
                 near = np.searchsorted(wanted, mark)
                 mine = np.flatnonzero((wanted[np.minimum(near, len(wanted) - 1)] == mark) & (doc != _NONE))
                 size = spans["size"][mine]
-                word = spans["window"][np.repeat(spans["at"][mine], size) + _steps(size)]
-                found.append((spans["phrase"][mine], spans["span"][mine], size, word, doc[mine]))
-        if not found or not any(len(f[0]) for f in found):
+                if not len(mine):
+                    continue
+                place = np.repeat(spans["at"][mine], size) + _steps(size)
+                other = W.hashed(texts[part], second=True).grams(window)[place]
+                found.append((spans["phrase"][mine], spans["span"][mine], size, spans["window"][place], other, doc[mine]))
+        if not found:
             return
-        phrase, span, size, word, doc = (np.concatenate([f[i] for f in found]) for i in range(5))
+        phrase, span, size, word, other, doc = (np.concatenate([f[i] for f in found]) for i in range(6))
         begin = np.cumsum(size) - size
         order = np.lexsort((doc, span))
         opens = np.flatnonzero(np.concatenate(([True], span[order][1:] != span[order][:-1])))
@@ -212,7 +216,7 @@ def _span_blocks(shards: int, window: int):
         one, low, high = order[opens], doc[order[opens]], doc[order[ends]]
         bucket = key[0].as_py()
         rows = list(_split((phrase[one] % np.uint64(shards)).astype(np.int64)))
-        of = lambda a: word[np.repeat(begin[one[a]], size[one[a]]) + _steps(size[one[a]])]
+        of = lambda h, a: h[np.repeat(begin[one[a]], size[one[a]]) + _steps(size[one[a]])]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([k for k, _ in rows], pa.int64()),
@@ -220,11 +224,12 @@ def _span_blocks(shards: int, window: int):
                 pa.array([_raw(phrase[one[a]]) for _, a in rows], pa.binary()),
                 pa.array([_raw(span[one[a]]) for _, a in rows], pa.binary()),
                 pa.array([_raw(size[one[a]].astype(np.uint8)) for _, a in rows], pa.binary()),
-                pa.array([_raw((of(a) >> np.uint64(16)).astype(np.uint32)) for _, a in rows], pa.binary()),
+                pa.array([_raw(of(word, a)) for _, a in rows], pa.binary()),
+                pa.array([_raw(of(other, a)) for _, a in rows], pa.binary()),
                 pa.array([_raw(low[a]) for _, a in rows], pa.binary()),
                 pa.array([_raw(high[a]) for _, a in rows], pa.binary()),
             ],
-            names=["shard", "bucket", "phrase", "span", "size", "word", "low", "high"],
+            names=["shard", "bucket", "phrase", "span", "size", "word", "other", "low", "high"],
         )
 
     return run
@@ -234,13 +239,13 @@ def _firsts(table: pa.Table) -> pa.Table:
     """First document of each window of a shard, for the buckets that hold a later one."""
     phrase, span = _joined(table.column("phrase"), np.uint64), _joined(table.column("span"), np.uint64)
     size = _joined(table.column("size"), np.uint8).astype(np.int64)
-    word = _joined(table.column("word"), np.uint32)
+    word, other = _joined(table.column("word"), np.uint64), _joined(table.column("other"), np.uint64)
     low, high = _joined(table.column("low"), np.int64), _joined(table.column("high"), np.int64)
     counts = [len(b) // 8 for b in table.column("span").to_pylist()]
     bucket = np.repeat(np.asarray(table.column("bucket").to_numpy()), counts)
     key = np.repeat(phrase, size)
-    order = np.lexsort((word, key))
-    same = (key[order][1:] == key[order][:-1]) & (word[order][1:] == word[order][:-1])
+    order = np.lexsort((other, word, key))
+    same = np.logical_and.reduce([h[order][1:] == h[order][:-1] for h in (key, word, other)])
     opens = np.flatnonzero(np.concatenate(([True], ~same))) if len(order) else np.zeros(0, np.int64)
     first = np.empty(len(order), dtype=np.int64)
     if len(order):

@@ -15,6 +15,9 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: For second hashes: another base, and a value for each byte.
+_OTHER_BASE = np.uint64(0xD6E8FEB86659FD93)
+_BYTES = np.random.default_rng(20240301).integers(0, 2**64, size=256, dtype=np.uint64)
 CHUNK_BYTES = 2 << 20
 
 
@@ -34,6 +37,7 @@ class Words:
 
     hashes: np.ndarray
     bounds: np.ndarray
+    base: np.uint64 = _BASE
 
     @property
     def counts(self) -> np.ndarray:
@@ -50,7 +54,7 @@ class Words:
             return np.zeros(0, dtype=np.uint64)
         h = self.hashes[: n - k + 1].copy()
         for j in range(1, k):
-            h *= _BASE
+            h *= self.base
             h += self.hashes[j : n - k + 1 + j]
         return mix(h)
 
@@ -63,7 +67,7 @@ class Words:
         return left[: n - k + 1] >= k
 
 
-def _piece(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _piece(data: bytes, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of each word of ``data``."""
     a = np.frombuffer(data, dtype=np.uint8)
     body = ~_BLANK[a]
@@ -74,8 +78,11 @@ def _piece(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     length = np.diff(np.append(first, len(at)))
     place = np.arange(len(at)) - np.repeat(first, length)
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.full(int(length.max()), _BASE, dtype=np.uint64))
-        sums = np.add.reduceat((a[at].astype(np.uint64) + np.uint64(1)) * powers[place], first)
+        powers = np.cumprod(np.full(int(length.max()), _OTHER_BASE if second else _BASE, dtype=np.uint64))
+        if second:
+            sums = np.add.reduceat(mix(_BYTES[a[at]] ^ powers[place]), first)
+        else:
+            sums = np.add.reduceat((a[at].astype(np.uint64) + np.uint64(1)) * powers[place], first)
     return at[first], mix(sums ^ length.astype(np.uint64))
 
 
@@ -91,20 +98,23 @@ def _cuts(data: bytes, size: int) -> Iterator[tuple[int, int]]:
         begin = end
 
 
-def hashed(texts: list[bytes | None], lower: bool = False) -> Words:
-    """Words of ``texts`` (None has none); ``lower`` folds A-Z first."""
+def hashed(texts: list[bytes | None], lower: bool = False, second: bool = False) -> Words:
+    """Words of ``texts`` (None has none); ``lower`` folds A-Z first.
+
+    With ``second`` the hashes are made another way, so equal ones are independent evidence.
+    """
     data = b"\n".join(t or b"" for t in texts)
     if lower:
         data = data.translate(_LOWER)
     ends = np.cumsum([len(t or b"") + 1 for t in texts])
     starts, hashes = [], []
     for begin, end in _cuts(data, CHUNK_BYTES):
-        s, h = _piece(data[begin:end])
+        s, h = _piece(data[begin:end], second)
         starts.append(s + begin)
         hashes.append(h)
     start = np.concatenate(starts) if starts else np.zeros(0, dtype=np.int64)
     bounds = np.concatenate(([0], np.searchsorted(start, ends)))
-    return Words(np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64), bounds)
+    return Words(np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64), bounds, _OTHER_BASE if second else _BASE)
 
 
 def sliced(texts: list[bytes | None], size: int = CHUNK_BYTES) -> Iterator[slice]:

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -98,3 +99,31 @@ def test_kept_digest(spark, sf_dir):
     expected = {i: (n, k, hashlib.sha256(t.encode()).hexdigest()) for i, t, n, k in brute([(r.doc_id, r.text) for r in docs.collect()])}
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.op2_passages(spark, sf_dir).collect()}
     assert got == expected
+
+
+def test_windows_around_one_phrase_are_told_apart(spark):
+    """Many windows of one frequent phrase, of which two agree in 32 bits of their hashes."""
+    tails = [f"t{k}" for k in range(600_000)]
+    rng = random.Random(4)
+    # A phrase that is picked in the window whatever its last word is.
+    starts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) for _ in range(200)]
+    picked = [passages._picked(words.hashed([f"{s} {t}".encode() for t in tails[:20]]), 13)[2] for s in starts]
+    start = next(s for s, p in zip(starts, picked, strict=True) if len(set(p.tolist())) == 1)
+    found = words.hashed([f"{start} {t}".encode() for t in tails])
+    low = (found.grams(13)[found.bounds[:-1]] >> np.uint64(16)).astype(np.uint32)
+    order = np.argsort(low, kind="stable")
+    twins = np.flatnonzero(low[order][1:] == low[order][:-1])
+    phrase = passages._picked(found, 13)[2]
+    pairs = [(int(order[k]), int(order[k + 1])) for k in twins if phrase[order[k]] == phrase[order[k + 1]]]
+    assert pairs
+    cases = list(enumerate(f"{start} {tails[k]}" for pair in pairs for k in pair))
+    df = spark.createDataFrame(cases, "doc_id long, text string").repartition(3)
+    assert by_key(columns(passages.remove_repeated(df))) == by_key(brute(cases))
+
+
+def test_second_hashes_follow_the_words(cases):
+    texts = [None if t is None else t.encode() for _, t in cases]
+    one, two = words.hashed(texts), words.hashed(texts, second=True)
+    assert (one.bounds == two.bounds).all()
+    assert len(set(zip(one.hashes.tolist(), two.hashes.tolist(), strict=True))) == len(set(one.hashes.tolist())) == len(set(two.hashes.tolist()))
+    assert not set(one.hashes.tolist()) & set(two.hashes.tolist())
