@@ -3,7 +3,9 @@
 Only DataFrame operations. A text is cut into statements (lines and sentences). Statements
 with a word of licensing become sparse TF-IDF vectors, with document frequencies over all
 statements and templates, and are compared with the template vectors by a join on tokens,
-so only pairs that share a token exist. A file that consists mostly of such statements, or
+so only pairs that share a token exist. Whole texts and leading comment blocks are compared
+with the texts and headers in ``licence_texts`` the same way; a text without the rare tokens
+that a cosine of ``WHOLE`` needs is left out first. An SPDX identifier names its licence. A file that consists mostly of such statements, or
 has the name of a licence file, gives its licence to its directory. A file without a
 licence of its own takes that of its nearest ancestor directory, found by joins of paths.
 """
@@ -11,7 +13,9 @@ licence of its own takes that of its nearest ancestor directory, found by joins
 from __future__ import annotations
 
 import functools
+import math
 import operator
+import pathlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +23,8 @@ from pyspark.sql import functions as F
 from granary.llm.shared import written
 
 COSINE = 0.55
+#: Least cosine of a whole text or header with a whole template.
+WHOLE = 0.75
 #: Share of a text's words in licence statements that makes it a licence file.
 SHARE = 0.5
 
@@ -43,6 +49,8 @@ TEMPLATES = [
 _CUE = r"(?i)\b(licen[sc]e[sd]?|licensing|released under|copyright|permission is hereby|public domain|spdx)"
 _CUES = ("licens", "licenc", "released under", "copyright", "permission is hereby", "public domain", "spdx")
 _FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)(\.[a-z]+)?$"
+_SPDX = r"(?i)SPDX-License-Identifier:[ \t]*\(?([a-z0-9.\-]+)"
+_COMMENT = r"^\s*(#|//|/\*|\*|--|;|<!--|%)"
 _STATEMENT = r"\n|(?<=[.!?])\s+"
 
 
@@ -103,6 +111,108 @@ def matched(found: DataFrame, cosine: float = COSINE) -> DataFrame:
     return pairs.groupBy("form").agg(best).select("form", "best.licence", "best.score").filter(F.col("score") >= cosine)
 
 
+def whole_templates() -> list[tuple[str, str]]:
+    """Licence and text of each file of ``licence_texts``."""
+    found = sorted((pathlib.Path(__file__).parent / "licence_texts").glob("*.txt"))
+    return [(p.name.removesuffix(".txt").removesuffix(".header"), p.read_text()) for p in found]
+
+
+def _units(files: DataFrame) -> DataFrame:
+    """``file, total, body``: whole texts, and the comment blocks that texts begin with."""
+    text = F.coalesce("text", F.lit(""))
+    lines = F.split(text, "\n")
+    other = F.array_position(F.transform(lines, lambda x: ~x.rlike(_COMMENT)), True)
+    head = F.when(text.rlike(_COMMENT) & (other > 1), F.array_join(F.slice(lines, F.lit(1), (other - 1).cast("int")), "\n"))
+    total = F.size(F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != ""))
+    bodies = F.filter(F.array(text, head), lambda b: b.isNotNull())
+    return files.select("file", "text", F.explode(bodies).alias("body")).withColumn("total", total)
+
+
+def wholes(files: DataFrame, cosine: float = WHOLE) -> DataFrame:
+    """``file, licence, score, words, total``: whole texts and headers that are like a template.
+
+    Weights are (1 + ln tf) * idf, with document frequencies over all texts and templates for
+    the tokens of templates; other tokens weigh as unseen ones.
+    """
+    spark = files.sparkSession
+    rows = [(i, name, text) for i, (name, text) in enumerate(whole_templates())]
+    known = spark.createDataFrame(rows, "template int, licence string, body string")
+    counted = known.select("template", F.explode(_tokens(F.col("body"))).alias("token")).groupBy("template", "token").agg(F.count("*").alias("tf"))
+    tf = {(r.template, r.token): r.tf for r in counted.collect()}
+    vocabulary = spark.createDataFrame([(t,) for t in sorted({t for _, t in tf})], "token string")
+    once = F.array_distinct(_tokens(F.col("body")))
+    seen = files.select(F.col("text").alias("body")).select(F.explode(once).alias("token"))
+    df = {r.token: r["count"] for r in seen.join(F.broadcast(vocabulary), "token").groupBy("token").count().collect()}
+    for _, t in tf:
+        df[t] = df.get(t, 0) + 1
+    total = files.count() + len(rows)
+    idf = {t: math.log((total + 1) / (n + 1)) + 1 for t, n in df.items()}
+    unseen = math.log(total + 1) + 1
+    raw = {(i, t): (1 + math.log(n)) * idf[t] for (i, t), n in tf.items()}
+    norm = {i: math.sqrt(sum(w * w for (j, _), w in raw.items() if j == i)) for i, _, _ in rows}
+    own = {(i, t): w / norm[i] for (i, t), w in raw.items()}
+    # The squares of the weights that a text shares with a template reach the squared cosine,
+    # so a text has one of the rare tokens that are left when the commonest fall short of it.
+    rare = set()
+    for i, _, _ in rows:
+        left = cosine * cosine - 1e-9
+        for t in sorted((t for j, t in own if j == i), key=lambda t: (-df[t], t)):
+            left -= own[i, t] ** 2
+            if left <= 0:
+                rare.add(t)
+    weights = spark.createDataFrame([(i, t, w) for (i, t), w in own.items()], "template int, token string, other double")
+    units = written(
+        _units(files)
+        .filter(F.arrays_overlap(once, F.array(*[F.lit(t) for t in sorted(rare)])))
+        .select("file", "total", "body", F.xxhash64(F.lower("body")).alias("form"), F.size(_tokens(F.col("body"))).alias("words")),
+        "units",
+    )
+    forms = units.groupBy("form").agg(F.min("body").alias("body"))
+    near = (
+        forms.select("form", F.explode(once).alias("token"))
+        .join(F.broadcast(weights), "token")
+        .groupBy("form", "template")
+        .agg(F.sum(F.col("other") * F.col("other")).alias("shared"))
+        .filter(F.col("shared") >= cosine * cosine - 1e-9)
+        .select("form")
+        .distinct()
+    )
+    idfs = spark.createDataFrame(list(idf.items()), "token string, idf double")
+    vectors = (
+        forms.join(near, "form")
+        .select("form", F.explode(_tokens(F.col("body"))).alias("token"))
+        .groupBy("form", "token")
+        .agg(F.count("*").alias("tf"))
+        .join(F.broadcast(idfs), "token", "left")
+        .select("form", "token", ((F.log("tf") + 1) * F.coalesce("idf", F.lit(unseen))).alias("w"))
+    )
+    norms = vectors.groupBy("form").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    best = F.max_by(F.struct("licence", "score"), F.struct(F.round("score", 9), -F.col("template"))).alias("best")
+    found = (
+        vectors.join(F.broadcast(weights), "token")
+        .groupBy("form", "template")
+        .agg(F.sum(F.col("w") * F.col("other")).alias("dot"))
+        .join(norms, "form")
+        .withColumn("score", F.col("dot") / F.col("norm"))
+        .filter(F.col("score") >= cosine)
+        .join(F.broadcast(known.select("template", "licence")), "template")
+        .groupBy("form")
+        .agg(best)
+    )
+    return units.join(found, "form").select("file", "best.licence", "best.score", "words", "total", "form")
+
+
+def identified(files: DataFrame) -> DataFrame:
+    """``file, licence, score, words, total`` of texts with an SPDX identifier."""
+    stated = F.regexp_replace(F.regexp_extract("text", _SPDX, 1), r"(?i)(-only|-or-later|\+|\.)$", "")
+    return (
+        files.filter(F.contains(F.lower("text"), F.lit("spdx-license-identifier")))
+        .select("file", stated.alias("licence"), F.lit(1.0).alias("score"), F.lit(0).alias("words"), F.lit(0).alias("total"))
+        .filter("licence <> ''")
+        .withColumn("form", F.xxhash64("licence"))
+    )
+
+
 def ancestors(path):
     """Directories above a path, nearest first: ``struct(directory, up)``."""
     steps = F.split(path, "/")
@@ -115,8 +225,9 @@ def ancestors(path):
 def licences(files: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``file, path, licence, score, origin, licence_file`` for each row of ``files(file, path, text)``.
 
-    ``origin`` is ``own`` for a licence of the text itself (of several, the one with the best
-    score, then the first by name), ``inherited`` for that of the nearest ancestor directory
+    ``origin`` is ``own`` for a licence of the text itself (an SPDX identifier as it is stated,
+    without -only and -or-later, then whole texts and headers, then statements; of several,
+    the one with the best score), ``inherited`` for that of the nearest ancestor directory
     with a licence file, else null, as the licence is. Null and empty texts have no licence of
     their own. A null path inherits nothing and gives nothing. Rows that repeat a file number
     share their statements. Of several licence files in a directory the one with the best
@@ -126,16 +237,19 @@ def licences(files: DataFrame, cosine: float = COSINE) -> DataFrame:
     files = files.select("file", "path", "text")
     # Frequencies, norms and matches all start from the statements: texts are read once.
     found = written(statements(files), "statements")
+    columns = ["file", "licence", "score", "words", "total", "form"]
+    lines = found.join(matched(found, cosine), "form").select(*columns, F.lit(0).alias("whole"))
+    wide = wholes(files).unionByName(identified(files)).select(*columns, F.lit(1).alias("whole"))
+    of = lambda whole, c: F.when(F.col("whole") == whole, F.col(c))
     own = (
-        found.join(matched(found, cosine), "form")
+        lines.unionByName(wide)
         .groupBy("file")
         .agg(
-            F.max_by(F.struct("licence", "score"), F.struct(F.round("score", 9), F.col("form"))).alias("best"),
-            F.sum("words").alias("licence_words"),
-            F.sum("total").alias("total_words"),
-            F.count("*").alias("n"),
+            F.max_by(F.struct("licence", "score"), F.struct("whole", F.round("score", 9), F.col("form"))).alias("best"),
+            F.greatest(F.sum(of(0, "words")), F.max(of(1, "words"))).alias("licence_words"),
+            F.greatest(F.avg(of(0, "total")), F.max(of(1, "total"))).alias("total"),
         )
-        .select(F.col("file").alias("_file"), "best.licence", "best.score", "licence_words", (F.col("total_words") / F.col("n")).alias("total"))
+        .select(F.col("file").alias("_file"), "best.licence", "best.score", "licence_words", "total")
     )
     marked = (
         files.select("file", "path")
@@ -143,7 +257,7 @@ def licences(files: DataFrame, cosine: float = COSINE) -> DataFrame:
         .withColumn(
             "licence_file",
             F.col("licence").isNotNull()
-            & F.coalesce(F.col("path").rlike(_FILE) | (F.col("licence_words") >= SHARE * F.col("total")), F.lit(False)),
+            & F.coalesce(F.col("path").rlike(_FILE) | ((F.col("licence_words") > 0) & (F.col("licence_words") >= SHARE * F.col("total"))), F.lit(False)),
         )
         .select("file", "path", "licence", "score", "licence_file")
     )

@@ -136,3 +136,24 @@ def test_scores_equal_a_dense_computation(spark):
         v = vector(t)
         best = max(((sum(v[w] * x for w, x in vector(other).items() if w in v), name) for name, other in licenses.TEMPLATES))
         assert got[i][0] == best[1] and got[i][1] == pytest.approx(best[0])
+
+
+def test_whole_texts_headers_and_identifiers(spark):
+    texts = licenses.whole_templates()
+    own = "Copyright (c) 2021 Jane Roe\n\n"
+    comment = lambda t: "".join(f"# {x}\n" for x in t.strip().split("\n"))
+    code = "\n".join(f"value_{k} = compute_{k}(value_{k - 1})" for k in range(300))
+    rows, expected = [], {}
+    for i, (name, text) in enumerate(texts):
+        rows += [(2 * i, f"w{i}/x", own + text), (2 * i + 1, f"h{i}/x", comment(text) + "\n" + code)]
+        expected |= {2 * i: (name, True), 2 * i + 1: (name, None)}
+    spdx = [("Apache-2.0", "Apache-2.0"), ("GPL-2.0-only", "GPL-2.0"), ("MIT", "MIT"), ("Zlib.", "Zlib")]
+    for k, (stated, name) in enumerate(spdx):
+        rows.append((1000 + k, f"s{k}/x", f"// SPDX-License-Identifier: {stated}\n{code}"))
+        expected[1000 + k] = (name, False)
+    rows.append((2000, "n/x", code))
+    expected[2000] = (None, False)
+    df = spark.createDataFrame(rows, "file long, path string, text string")
+    got = {r.file: (r.licence, r.licence_file) for r in licenses.licences(df).collect()}
+    assert {f: v[0] for f, v in got.items()} == {f: v[0] for f, v in expected.items()}
+    assert all(got[f][1] == whole for f, (_, whole) in expected.items() if whole is not None)
