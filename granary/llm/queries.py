@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, exact_dedup, licenses, near_dedup, packing, passages, quality, sharding, toxicity, vectors
+from granary.llm import bpe, exact_dedup, licenses, near_dedup, packing, passages, quality, sharding, topk, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -164,6 +164,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best-scoring vectors for every fiftieth vector."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP11_SQL = """
+with whole as (
+    select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+pairs as (
+    select q.vec_id as query_id, c.vec_id,
+           cast(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0) as bigint) as score
+    from whole q join whole c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+    where q.vec_id % 50 = 0
+),
+ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as place from pairs
+)
+select query_id, cast(place as int) as rank, vec_id, score from ranked where place <= 5
+"""
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -176,8 +201,9 @@ def registered() -> dict[str, Query]:
         "op8_vectors": op8_vectors,
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
+        "op11_topk": op11_topk,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op2_passages": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL}
+    return {"op2_passages": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op11_topk": OP11_SQL}
