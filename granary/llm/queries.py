@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, exact_dedup, licenses, near_dedup, packing, passages, quality, sharding, topk, toxicity, vectors
+from granary.llm import bpe, exact_dedup, licenses, near_dedup, packing, passages, quality, sharding, topk, toxicity, trie, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,6 +189,64 @@ select query_id, cast(place as int) as rank, vec_id, score from ranked where pla
 """
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, rebuilt as forks of every fifth one."""
+    return trie.forked_trie(_table(spark, sf_dir, "conversations"))
+
+
+def _crc32_sql(text: str) -> str:
+    """zlib's CRC-32 of an ASCII text, bit by bit: DuckDB has no function for it."""
+    byte = "list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = f"list_transform(string_split({text}, ''), lambda c: cast(ascii(c) as bigint))"
+    return f"xor(list_reduce(list_prepend(cast(4294967295 as bigint), {codes}), lambda crc, b: {byte}), 4294967295)"
+
+
+OP13_SQL = f"""
+with turns as (
+    select conv_id, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos,
+           strlen(role) || ':' || role || text as k, strlen(text) as size
+    from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)
+),
+convs as (
+    select conv_id, count(*) as n, any_value({_crc32_sql("cast(conv_id as varchar)")}) % 9 as h from turns group by conv_id
+),
+forks as (
+    select c.conv_id, c.conv_id - c.conv_id % 5 as base, c.h, least(c.h, coalesce(b.n, 0)) as taken
+    from convs c left join convs b on b.conv_id = c.conv_id - c.conv_id % 5
+),
+rebuilt as (
+    select f.conv_id, t.pos as depth, k, size from forks f join turns t on t.conv_id = f.base where t.pos <= f.taken
+    union all
+    select f.conv_id, f.taken + t.pos - f.h, k, size from forks f join turns t using (conv_id) where t.pos > f.h
+),
+paths as (
+    select conv_id, depth, size, sha256(string_agg(k, chr(0)) over (partition by conv_id order by depth)) as node from rebuilt
+    union all
+    select conv_id, 0, 0, '' from convs
+),
+steps as (
+    select *, lag(node) over (partition by conv_id order by depth) as above,
+           depth = max(depth) over (partition by conv_id) as is_end
+    from paths
+),
+nodes as (
+    select depth, node, min(conv_id) as conv_id, min(above) as above, count(*) as n_convs, min(size) as size,
+           coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (is_end), '') as ends
+    from steps group by depth, node
+),
+kids as (select depth - 1 as depth, above as node, count(*) as n_children from nodes where depth > 0 group by 1, 2),
+counted as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids using (depth, node)),
+below as (
+    select a.depth, a.node, sum(cast(c.n_children = 0 as bigint)) as n_leaves, sum((c.n_convs - 1) * c.size) as saved
+    from counted c join steps a on a.conv_id = c.conv_id and a.depth <= c.depth
+    group by 1, 2
+)
+select c.conv_id, cast(c.depth as bigint) as depth, p.conv_id as parent_conv_id, c.n_convs, c.n_children,
+       cast(n_leaves as bigint) as n_leaves, cast(saved as bigint) as saved_tokens, sha256(c.ends) as ends_sha256
+from counted c join below b using (depth, node) left join nodes p on p.depth = c.depth - 1 and p.node = c.above
+"""
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -202,8 +260,9 @@ def registered() -> dict[str, Query]:
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
         "op11_topk": op11_topk,
+        "op13_trie": op13_trie,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op2_passages": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op11_topk": OP11_SQL}
+    return {"op2_passages": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op11_topk": OP11_SQL, "op13_trie": OP13_SQL}
