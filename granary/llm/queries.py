@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, exact_dedup, licenses, near_dedup, packing, passages, quality, sharding, topk, toxicity, trie, vectors
+from granary.llm import bpe, exact_dedup, licenses, near_dedup, packing, passages, quality, repair, sharding, topk, toxicity, trie, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,6 +189,11 @@ select query_id, cast(place as int) as rank, vec_id, score from ranked where pla
 """
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of all conversations, after damage."""
+    return repair.repaired(repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix trie of all conversations, rebuilt as forks of every fifth one."""
     return trie.forked_trie(_table(spark, sf_dir, "conversations"))
@@ -201,6 +206,82 @@ def _crc32_sql(text: str) -> str:
     return f"xor(list_reduce(list_prepend(cast(4294967295 as bigint), {codes}), lambda crc, b: {byte}), 4294967295)"
 
 
+OP12_SQL = rf"""
+with recursive damaged as (
+    select conv_id, turn, case when kind = 4 then 'user' else coalesce(role, ' ') end as role,
+           case when kind = 1 then '' when kind = 2 then regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') else coalesce(text, ' ') end as text,
+           unnest(case when kind = 3 then [1, 2] else [1] end) as copy
+    from (
+        select *, {_crc32_sql("coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')")} % 20 as kind
+        from conversations
+    )
+    where kind <> 0
+),
+placed as (
+    select conv_id, turn, role, text, left(role, 1) as initial,
+           row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+           row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as seen
+    from damaged
+),
+faulty as (
+    select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank' when seen > 1 then 'duplicate'
+                   when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault,
+           lag(initial) over (partition by conv_id order by i) as before
+    from placed
+),
+facts as (
+    select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+           count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+           count(*) filter (fault = 'truncated') as truncated,
+           count(*) filter (i > 1 and before || initial not in ('su', 'ua', 'au')) as illegal
+    from faulty group by conv_id
+),
+-- States of the grammar: 0 for nothing yet, else the initial written last.
+inserts(state, onto, dearer, letters, lines) as (
+    values ('0', '0', 0, '', ''), ('0', 'u', 5, 'I', 'user:\n'), ('0', 'a', 10, 'II', 'user:\nassistant:\n'),
+           ('s', 's', 0, '', ''), ('s', 'u', 5, 'I', 'user:\n'), ('s', 'a', 10, 'II', 'user:\nassistant:\n'),
+           ('u', 'u', 0, '', ''), ('u', 'a', 5, 'I', 'assistant:\n'), ('u', 'u', 10, 'II', 'assistant:\nuser:\n'),
+           ('a', 'a', 0, '', ''), ('a', 'u', 5, 'I', 'user:\n'), ('a', 'a', 10, 'II', 'user:\nassistant:\n')
+),
+edits(state, letter, onto) as (
+    values ('0', 'D', '0'), ('s', 'D', 's'), ('u', 'D', 'u'), ('a', 'D', 'a'), ('0', 'K', 's'), ('0', 'K', 'u'), ('s', 'K', 'u'),
+           ('u', 'K', 'a'), ('a', 'K', 'u'), ('0', 'R', 'u'), ('s', 'R', 'u'), ('u', 'R', 'a'), ('a', 'R', 'u')
+),
+walk as (
+    select conv_id, 0 as i, '0' as state, 0 as cost, '' as audit, '' as lines from facts
+    union all
+    select conv_id, i, state, cost, audit, lines
+    from (
+        select w.conv_id, f.i, e.onto as state, w.audit || x.letters || e.letter as audit,
+               w.cost + x.dearer + case e.letter when 'D' then 2 when 'R' then 1 else 0 end
+                   + case when e.letter <> 'D' and f.fault = 'truncated' then 5 else 0 end as cost,
+               w.lines || replace(x.lines, '\n', chr(10)) || case e.letter when 'D' then '' when 'K' then f.role || ':' || f.text || chr(10)
+                   else case e.onto when 'u' then 'user' else 'assistant' end || ':' || f.text || chr(10) end as lines
+        from walk w
+        join faulty f on f.conv_id is not distinct from w.conv_id and f.i = w.i + 1
+        join inserts x on x.state = w.state
+        join edits e on e.state = x.onto
+        where e.letter = 'D' or (f.fault not in ('blank', 'duplicate') and (e.letter = 'R' or f.initial = e.onto))
+    )
+    qualify row_number() over (partition by conv_id, state order by cost, audit) = 1
+),
+ends as (
+    select w.conv_id, w.cost + x.dearer as cost, w.audit || x.letters as audit, w.lines || replace(x.lines, '\n', chr(10)) as lines
+    from walk w
+    join facts f on f.conv_id is not distinct from w.conv_id and f.n = w.i
+    join inserts x on x.state = w.state
+    where x.onto in ('0', 'a')
+    qualify row_number() over (partition by w.conv_id order by w.cost + x.dearer, w.audit || x.letters) = 1
+)
+select c.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(coalesce(cost, 0) as bigint) as cost,
+       coalesce(audit, '') as audit, sha256(coalesce(left(lines, len(lines) - 1), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+left join facts f on f.conv_id is not distinct from c.conv_id
+left join ends e on e.conv_id is not distinct from c.conv_id
+"""
+
+
 OP13_SQL = f"""
 with turns as (
     select conv_id, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos,
@@ -260,9 +341,10 @@ def registered() -> dict[str, Query]:
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
         "op11_topk": op11_topk,
+        "op12_repair": op12_repair,
         "op13_trie": op13_trie,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op2_passages": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op11_topk": OP11_SQL, "op13_trie": OP13_SQL}
+    return {"op2_passages": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op11_topk": OP11_SQL, "op12_repair": OP12_SQL, "op13_trie": OP13_SQL}
