@@ -9,6 +9,11 @@ the others. So any partition can tell how many tokens of each queue all earlier
 taken, and what it owes the next, without running through them: deficits carry across
 windows and partitions exactly.
 
+A source has a queue of its own if it has a target or, on average, at least a token in each
+window; so there are at most as many such queues as a window has tokens, besides the named
+ones. Sources that are too small to be in every window share queues by the hash of their
+name, and these hold their joint proportion.
+
 Steps: encode once into a table that also counts the tokens before each document in its
 task and source; add what earlier tasks hold; place every token by its window.
 """
@@ -30,10 +35,10 @@ from granary.llm.shared import written
 SEQUENCE = 1024
 WINDOW_SEQUENCES = 64
 END_ID = 0
-#: Sources beyond this number share queues, by the hash of their names.
+#: Queues that sources with less than a token in a window share, by the hash of their names.
 QUEUES = 1024
 
-_ENCODED = "doc_id long, queue string, part long, before long, n long, ids binary"
+_ENCODED = "doc_id long, source string, part long, before long, n long, ids binary"
 _PIECES = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, window long, ids binary"
 )
@@ -79,37 +84,35 @@ def _encoded(path: str):
         part, before = TaskContext.get().partitionId(), {}
         for batch in W.parts(batches):
             ids, counts, begins = [], [], []
-            for text, queue in zip(batch.column("text").to_pylist(), batch.column("queue").to_pylist(), strict=True):
+            for text, source in zip(batch.column("text").to_pylist(), batch.column("source").to_pylist(), strict=True):
                 ids.append(encoder.encode(text or "") + end)
                 counts.append(len(ids[-1]) // encoder.kind.itemsize)
-                begins.append(before.get(queue, 0))
-                before[queue] = begins[-1] + counts[-1]
+                begins.append(before.get(source, 0))
+                before[source] = begins[-1] + counts[-1]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    batch.column("queue"),
+                    batch.column("source"),
                     pa.array(np.full(batch.num_rows, part)),
                     pa.array(begins, pa.int64()),
                     pa.array(counts, pa.int64()),
                     pa.array(ids, pa.binary()),
                 ],
-                names=["doc_id", "queue", "part", "before", "n", "ids"],
+                names=["doc_id", "source", "part", "before", "n", "ids"],
             )
 
     return run
 
 
-def _placed(names: list[str | None], service: Service, path: str, sequence: int, window: int):
-    number = {name: i for i, name in enumerate(names)}
-
+def _placed(service: Service, path: str, sequence: int, window: int):
     def run(batches):
         kind = tokens.encoder(path).kind
         for batch in W.parts(batches, "ids"):
-            queue = np.array([number[q] for q in batch.column("queue").to_pylist()])
+            queue = batch.column("queue").to_numpy()
             begin = batch.column("start").to_numpy()
             n = batch.column("n").to_numpy()
             # Windows from a little before the first token to a little after the last.
-            slack = len(names) + 1
+            slack = len(service.sizes) + 1
             first = np.maximum(service.rank(queue, begin) - slack, 0) // window
             last = np.minimum(service.rank(queue, begin + n - 1) + slack, service.total - 1) // window
             windows = np.unique(np.concatenate([np.arange(a, b + 1) for a, b in zip(first.tolist(), last.tolist(), strict=True)]))
@@ -151,38 +154,56 @@ def pack(
 
     Returns ``doc_id, start, length, doc_tokens, sequence_id, offset, window, ids``: the ids
     ``start`` to ``start + length`` of a document (little-endian 32-bit integers) stand in a
-    sequence from ``offset`` on. A document is its ids by the vocabulary file, strings of
-    special tokens being ordinary text, and then id 0. Every id is in exactly one piece.
-    Sequences are numbered from 0 and all full, but for the last one.
-
-    ``targets`` are token proportions by source; a source without one has its share of all
-    tokens, which is also the default for all, so that all queues last to the end. Null and
-    empty texts are the id 0 alone. A null source is a queue like others. Repeated rows and
-    null ids are packed like others. Texts of any length are encoded whole and cut freely.
-    Other columns are ignored, whatever their names. An empty table gives no rows.
+    sequence from ``offset`` on. A document is its ids by the vocabulary file, as the
+    tokenizers library gives them without adding special tokens, and then id 0: the strings
+    of a file's added tokens are those tokens. Every id is in exactly one piece. Sequences are
+    numbered from 0 and all full, but for the last one.
+
+    ``targets`` are token proportions by source, for as many sources as they name; a source
+    without one has its share of all tokens, which is also the default for all, so that all
+    queues last to the end. Null and empty texts are the id 0 alone. A null source is a
+    source like others. Repeated rows and null ids are packed like others. Texts of any length
+    are encoded whole and cut freely. Other columns are ignored, whatever their names. An
+    empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.col("source").alias("queue"))
-    names = rows.select("queue").distinct()
-    if names.limit(QUEUES + 1).count() > QUEUES:
-        rows = rows.withColumn("queue", F.pmod(F.xxhash64("queue"), F.lit(QUEUES)).cast("string"))
-    held = written(rows.select("doc_id", "queue", "text").mapInArrow(_encoded(vocabulary), _ENCODED), "encoded")
-
-    shares = held.groupBy("queue", "part").agg(F.sum("n").alias("sum"))
-    earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = shares.select(
-        F.col("queue").alias("_queue"), F.col("part").alias("_part"), F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("base")
-    )
-    totals = {r["queue"]: r["n"] for r in shares.groupBy("queue").agg(F.sum("sum").alias("n")).collect()}
-    order = sorted(totals, key=lambda q: (q is not None, q or ""))
-    sizes = np.array([totals[q] for q in order], dtype=np.int64)
-    weight = np.array([(targets or {}).get(q, totals[q] / max(1, sizes.sum())) for q in order], dtype=np.float64)
-    if (weight <= 0).any():
+    spark = docs.sparkSession
+    named = dict(targets or {})
+    if any(w <= 0 for w in named.values()):
         raise ValueError("target proportions must be positive")
-    same = F.col("queue").eqNullSafe(F.col("_queue")) & (F.col("part") == F.col("_part"))
+    rows = docs.select(F.col("doc_id").cast("long"), "source", "text")
+    held = written(rows.mapInArrow(_encoded(vocabulary), _ENCODED), "encoded")
+
+    window = sequence * window_sequences
+    sums = written(held.groupBy("source", "part").agg(F.sum("n").alias("sum")), "packing-sums")
+    sizes = sums.groupBy("source").agg(F.sum("sum").alias("n"))
+    windows = -(-(sums.agg(F.sum("sum")).first()[0] or 0) // window)
+    goals = spark.createDataFrame([(s, float(w)) for s, w in named.items()], "source string, goal double")
+    is_named = sizes["source"].eqNullSafe(goals["source"])
+    # At most ``window`` sources have a token for each window; named ones come on top.
+    own = sizes.join(F.broadcast(goals), is_named, "left").filter((F.col("n") >= windows) | F.col("goal").isNotNull()).select(sizes["source"], "n", "goal")
+    large = sorted(((r["source"], r["n"], r["goal"]) for r in own.collect()), key=lambda r: (r[0] is not None, r[0] or ""))
+    places = spark.createDataFrame([(s, i) for i, (s, _, _) in enumerate(large)], "own_source string, place int")
+    shared = F.pmod(F.xxhash64("source"), F.lit(QUEUES)) + len(large)
+    queued = sums.join(F.broadcast(places), F.col("source").eqNullSafe(F.col("own_source")), "left").withColumn(
+        "queue", F.coalesce("place", shared).cast("long")
+    )
+    small = {r["queue"]: r["n"] for r in queued.filter("place is null").groupBy("queue").agg(F.sum("sum").alias("n")).collect()}
+    counts = np.zeros(max(small, default=len(large) - 1) + 1, dtype=np.int64)
+    counts[: len(large)] = [n for _, n, _ in large]
+    counts[list(small)] = list(small.values())
+    weight = counts / max(1, counts.sum())
+    weight[: len(large)] = [g or w for (_, _, g), w in zip(large, weight, strict=False)]
+    weight[counts == 0] = 1.0  # a queue of nobody
+
+    earlier = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
+    base = queued.select(
+        F.col("source").alias("_source"), F.col("part").alias("_part"), "queue", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("base")
+    )
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("part") == F.col("_part"))
     return (
         held.join(base, same)
         .select("doc_id", "queue", (F.col("base") + F.col("before")).alias("start"), "n", "ids")
-        .mapInArrow(_placed(order, Service(sizes, weight), vocabulary, sequence, sequence * window_sequences), _PIECES)
+        .mapInArrow(_placed(Service(counts, weight), vocabulary, sequence, window), _PIECES)
     )
 
 

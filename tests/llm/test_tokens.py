@@ -63,7 +63,6 @@ def pieces(spark, docs):
 
 def library_ids(cases):
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     return [(i, [*e.ids, 0]) for (i, _), e in zip(cases, t.encode_batch([x or "" for _, x in cases], add_special_tokens=False), strict=True)]
 
 
@@ -140,6 +139,43 @@ def test_many_sources_share_queues(spark, monkeypatch):
     assert out["length"].sum() == sum(len(x) for _, x in library_ids([(i, t) for i, t, _ in rows]))
 
 
+def test_targets_hold_for_more_sources_than_shared_queues(spark, monkeypatch):
+    """Named sources and all that have a token in each window keep queues of their own."""
+    monkeypatch.setattr(packing, "QUEUES", 2)
+    rows, df = queue_docs(spark)
+    out = packing.pack(df, JSON, {"a": 0.8, "b": 0.1, "c": 0.1}, sequence=64, window_sequences=4).toPandas()
+    table = mixture(out, {i: s for i, _, s in rows})
+    assert (np.abs(table[["a", "b", "c"]].iloc[0].to_numpy() - np.array([204.8, 25.6, 25.6])) <= 2).all()
+
+
+def test_many_small_sources_are_packed_whole(spark, monkeypatch):
+    """A source of its own for each of many documents, beside two large ones, one with a target."""
+    monkeypatch.setattr(packing, "QUEUES", 3)
+    rng = random.Random(6)
+    rows = [(i, "word " * rng.randrange(60, 90), "large" if i % 2 else "named") for i in range(60)] + [(1000 + i, "w", f"s{i}") for i in range(200)]
+    rows += [(5000, "tiny", "aim"), (5001, "null source", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = packing.pack(df, JSON, {"named": 0.5, "aim": 0.01, "absent": 0.2}, sequence=32, window_sequences=1).toPandas()
+    ids = dict(library_ids([(i, t) for i, t, _ in rows]))
+    for i, mine in out.sort_values("start").groupby("doc_id"):
+        assert [x for r in mine.itertuples() for x in np.frombuffer(r.ids, "<u4").tolist()] == ids[i]
+    assert set(out["doc_id"]) == set(ids)
+    filled = out.groupby("sequence_id")["length"].sum().tolist()
+    assert filled[:-1] == [32] * (len(filled) - 1)
+
+
+def test_special_strings_are_their_tokens(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|", " <|endoftext|>\n<|endof<|endoftext|>text|>", "<|ENDOFTEXT|>", ""]
+    rng = random.Random(8)
+    texts += ["".join(rng.choice(["<|endoftext|>", "<|", "endoftext", "|>", " ", "é中", "\n"]) for _ in range(30)) for _ in range(200)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    out = packing.pack(df, JSON).toPandas().sort_values("start")
+    got = {i: [x for r in mine.itertuples() for x in np.frombuffer(r.ids, "<u4").tolist()] for i, mine in out.groupby("doc_id")}
+    assert got == dict(library_ids(rows))
+    assert 50256 in got[0] and tokens.token_bytes(JSON)[50256] == b"<|endoftext|>"
+
+
 def test_sequences_as_rows(spark):
     rows, df = queue_docs(spark)
     packed = packing.pack(df, JSON, sequence=128)
