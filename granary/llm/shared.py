@@ -2,30 +2,69 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Folder of this driver's tables, by the folder they lie in.
+_OWN: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Only a session on one machine (a ``local`` master) may do without and gets a temporary
+    one; elsewhere executors would not see each other's files, so that stops the job.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder all machines share (master {master})")
         base = f"file://{tempfile.mkdtemp(prefix='granary-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base
 
 
+def _own_dir(spark: SparkSession) -> str:
+    base = shared_dir(spark).rstrip("/")
+    if base not in _OWN:
+        _OWN[base] = f"{base}/granary-{uuid.uuid4().hex}"
+        atexit.register(_forget, spark)
+    return _OWN[base]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts the lineage and outlives executors."""
+    """``df`` as a table in the shared folder: cuts the lineage and outlives executors.
+
+    Tables are kept until ``discard`` is called or the driver ends.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> None:
+    """Delete the tables that ``written`` has made in this driver.
+
+    To be called when all results that read them are stored elsewhere.
+    """
+    for base, own in list(_OWN.items()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _OWN.pop(base)
+
+
+def _forget(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        discard(spark)
+
+
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest id reachable from each id that occurs in ``links(a, b)``: ``(id, root)``.
 
