@@ -161,18 +161,24 @@ def held_out(doc_id="doc_id"):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """``text, label`` of at most ``rows`` labelled documents that may be learned from."""
-    picked = (
-        labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label"))
-        .filter(F.col("label").isin(0, 1) & F.col("_id").isNotNull())
-        .filter(~held_out("_id"))
-        .orderBy(F.xxhash64("_id"), "_id", "label")
-        .limit(rows)
+    """``id, text, label`` of at most ``rows`` labelled documents that may be learned from.
+
+    Rows that repeat an id, its text and its label count once. Documents are picked by a hash
+    of their id after the join with the labels, so the bound holds whatever repeats.
+    """
+    marked = (
+        labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label"))
+        .filter(F.col("label").isin(0, 1) & F.col("id").isNotNull())
+        .filter(~held_out("id"))
     )
-    # As many rows as the sample has, whatever the tables hold.
-    same = F.col("doc_id") == F.col("_id")
-    return docs.select("doc_id", "text").join(F.broadcast(picked), same).select(
-        F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "label"
+    text = F.coalesce("text", F.lit(""))
+    known = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("print"))
+    picked = known.join(marked, "id").distinct().orderBy(F.xxhash64("id"), "id", "label", "print").limit(rows)
+    return (
+        docs.select(F.col("doc_id").alias("id"), text.alias("text"), F.xxhash64(text).alias("print"))
+        .join(F.broadcast(picked), ["id", "print"])
+        .dropDuplicates(["id", "print", "label"])
+        .select("id", "text", "label")
     )
 
 

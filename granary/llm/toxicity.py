@@ -1,24 +1,28 @@
 """Toxicity by a weighted finite-state grammar of clauses.
 
-Words become symbols: insult, harm, will, speaker, target, negation, report, other. Small
-weighted transducers read a clause's symbols and are composed to one machine:
-
-* *insult*: an insult word costs its learned weight;
+Words become symbols: insult, harm, will, speaker, target, negation, report, quote, other.
+Small weighted transducers are composed to one machine, the later ones reading what the
+earlier ones write:
+
+* *negation*: an insult within a few words after a negation is written as a denied one;
+* *report*: an insult that the clause reports somebody to have said, before or after the word
+  that says so, and inside quotation marks if there are any, is written as a told one;
+* *insult*: an insult word costs its learned weight, a denied or told one less;
 * *target*: more if a person is addressed in the same clause;
-* *negation*: less if a negation stands within a few words before it;
-* *report*: less if the clause reports what somebody said;
 * *threat*: a word of harm after "will" and with a target is a match of its own.
 
 The score of a text comes from the weights of its matched clauses, not from single words.
 The insult vocabulary (whole words, and stems with changing endings) is learned from
 labelled texts by log-odds. An entry must follow many different words, so the neighbours of
-an insult in a much copied text are not picked up.
+an insult in a much copied text are not picked up. Counts are taken by Spark over the sample;
+entries that pass and one weight a text come to the driver.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Hashable
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -29,10 +33,10 @@ from pyspark.sql import functions as F
 
 from granary.llm import words as W
 from granary.llm.quality import _curve, held_out, training_rows
+from granary.llm.shared import written
 
-#: Labelled rows the vocabulary and the curve are learned from, and most vocabulary entries.
+#: Labelled rows the vocabulary and the curve are learned from.
 SAMPLE_ROWS = 24_000
-ENTRIES = 2_000
 #: Letters of a stem, toxic texts an entry must be in, its least log-odds, and how many
 #: different words must stand before it, as a share of those texts.
 STEM = (4, 5, 6, 7)
@@ -50,74 +54,163 @@ LEXICON = {
     "negation": "not never no isn't aren't wasn't don't doesn't nicht kein keine nie pas jamais nunca jamás",
     "report": "said says wrote called calls quoted reported sagte schrieb zitierte dit écrit disait dijo escribió",
 }
-SYMBOLS = ("other", "insult", "harm", "will", "speaker", "target", "negation", "report")
+SYMBOLS = ("other", "insult", "harm", "will", "speaker", "target", "negation", "report", "quote", "denied", "told", "denied told")
 #: Changes of a match's weight, on the scale of log-odds.
 TARGETED, NEGATED, REPORTED, THREAT = 1.0, -2.0, -2.0, 4.0
 #: Words over which a negation and an announced act reach.
 REACH = 3
 
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
-_CLAUSE = re.compile(r"[.!?;:\n]+")
+#: Words and quotation marks; an apostrophe inside a word is none.
+_TOKEN = re.compile(_WORD.pattern + r"|[\"“”„«»‘]|['’]")
+#: Ends of clauses; not before a closing quotation mark, nor a colon before an opening one.
+_CLAUSE = re.compile(r"(?:[.!?;]+(?![.!?;\"”»'’])|:(?!\s*[\"“„«'‘])|\n)+")
 _KNOWN = {w: SYMBOLS.index(k) for k, held in LEXICON.items() for w in held.split()}
+_QUOTE = SYMBOLS.index("quote")
 
 
 @dataclass
 class Transducer:
     """Arcs ``(state, symbol) -> (state, weight)``; a missing arc keeps the state at weight 0.
-    ``final`` adds a weight to what a clause has matched by the end."""
+    ``writes`` has the symbols written where they are not the ones read, and ``final`` adds
+    a weight to what a clause has matched by the end."""
 
     start: int
     arcs: dict[tuple[int, int], tuple[int, float]]
     final: dict[int, float] = field(default_factory=dict)
+    writes: dict[tuple[int, int], int] = field(default_factory=dict)
 
     def step(self, state: int, symbol: int) -> tuple[int, float]:
         return self.arcs.get((state, symbol), (state, 0.0))
 
+    def written(self, state: int, symbol: int) -> int:
+        return self.writes.get((state, symbol), symbol)
 
-def compose(parts: list[Transducer]) -> Transducer:
-    """The machine that runs all parts side by side; weights add up."""
-    number = {tuple(p.start for p in parts): 0}
-    arcs: dict[tuple[int, int], tuple[int, float]] = {}
-    final: dict[int, float] = {}
-    todo = list(number)
+
+def machine(start: Hashable, move: Callable[[Hashable, str], tuple[Hashable, float, str]], final: Callable[[Hashable], float] = lambda s: 0.0) -> Transducer:
+    """The transducer of a rule: state and symbol read to state, weight and symbol written."""
+    number, todo = {start: 0}, [start]
+    made = Transducer(0, {})
     while todo:
-        states = todo.pop()
-        here = number[states]
-        final[here] = sum(p.final.get(s, 0.0) for p, s in zip(parts, states, strict=True))
-        for symbol in range(len(SYMBOLS)):
-            moves = [p.step(s, symbol) for p, s in zip(parts, states, strict=True)]
-            there = tuple(s for s, _ in moves)
+        state = todo.pop()
+        here = number[state]
+        made.final[here] = final(state)
+        for x, symbol in enumerate(SYMBOLS):
+            there, weight, out = move(state, symbol)
             if there not in number:
                 number[there] = len(number)
                 todo.append(there)
-            arcs[here, symbol] = (number[there], sum(w for _, w in moves))
-    return Transducer(0, arcs, final)
+            made.arcs[here, x] = (number[there], weight)
+            made.writes[here, x] = SYMBOLS.index(out)
+    return made
+
+
+def cascade(first: Transducer, second: Transducer) -> Transducer:
+    """The machine in which ``second`` reads what ``first`` writes; weights add up."""
+
+    def move(state, symbol):
+        a, b = state
+        x = SYMBOLS.index(symbol)
+        (a2, wa), y = first.step(a, x), first.written(a, x)
+        (b2, wb), z = second.step(b, y), second.written(b, y)
+        return (a2, b2), wa + wb, SYMBOLS[z]
+
+    return machine((first.start, second.start), move, lambda s: first.final.get(s[0], 0.0) + second.final.get(s[1], 0.0))
+
+
+def compose(parts: list[Transducer]) -> Transducer:
+    """The machine that runs all parts side by side on what is read; weights add up."""
+
+    def move(state, symbol):
+        steps = [p.step(s, SYMBOLS.index(symbol)) for p, s in zip(parts, state, strict=True)]
+        return tuple(s for s, _ in steps), sum(w for _, w in steps), symbol
+
+    return machine(tuple(p.start for p in parts), move, lambda s: sum(p.final.get(x, 0.0) for p, x in zip(parts, s, strict=True)))
+
+
+_INSULTS = ("insult", "denied", "told", "denied told")
+
+
+def _negation() -> Transducer:
+    """State: words that a negation still reaches."""
+
+    def move(reach, symbol):
+        if symbol == "negation":
+            return REACH, 0.0, symbol
+        if symbol == "quote" or not reach:
+            return reach, 0.0, symbol
+        return reach - 1, 0.0, "denied" if symbol == "insult" else symbol
+
+    return machine(0, move)
+
+
+def _report() -> Transducer:
+    """State: whether a word of saying was read, whether quotation marks are absent, open or
+    closed, and whether an insult waits for a word of saying behind it."""
+
+    def move(state, symbol):
+        said, marks, waits = state
+        if symbol == "quote":
+            return (said, "closed" if marks == "open" else "open", waits), 0.0, symbol
+        if symbol == "report" and marks != "open":
+            return (True, marks, False), REPORTED if waits else 0.0, symbol
+        if symbol in _INSULTS and marks != "closed":
+            if said:
+                return state, 0.0, "denied told" if symbol == "denied" else "told"
+            return (said, marks, True), 0.0, symbol
+        return state, 0.0, symbol
+
+    return machine((False, "absent", False), move)
+
+
+def _insult() -> Transducer:
+    less = {"denied": NEGATED, "told": REPORTED, "denied told": NEGATED + REPORTED}
+    return machine(0, lambda state, symbol: (0, less.get(symbol, 0.0), symbol))
+
+
+def _target() -> Transducer:
+    def move(state, symbol):
+        target, insult = state
+        return (target or symbol == "target", insult or symbol in _INSULTS), 0.0, symbol
+
+    return machine((False, False), move, lambda s: TARGETED if all(s) else 0.0)
+
+
+def _threat() -> Transducer:
+    """State: how many of speaker, will, harm and target were read in this order, each within
+    reach of the last, and the words since."""
+    order = ("speaker", "will", "harm", "target")
+
+    def move(state, symbol):
+        k, since = state
+        if symbol == "quote":
+            return state, 0.0, symbol
+        if k and symbol == order[k]:
+            return ((0, 0), THREAT, symbol) if k == 3 else ((k + 1, 0), 0.0, symbol)
+        if k and symbol == order[k - 1]:
+            return (k, 0), 0.0, symbol
+        if not k:
+            return ((1, 0) if symbol == "speaker" else state), 0.0, symbol
+        return ((k, since + 1) if since < REACH else (0, 0)), 0.0, symbol
+
+    return machine((0, 0), move)
 
 
 def grammar() -> Transducer:
     """The composed clause machine. Weights of insult words are added where they match."""
-    s = {name: i for i, name in enumerate(SYMBOLS)}
-    others = lambda *names: [i for i in range(len(SYMBOLS)) if SYMBOLS[i] not in names]
-    # Target: 0 nothing, 1 target, 2 insult, 3 both.
-    target = Transducer(0, {(0, s["target"]): (1, 0.0), (0, s["insult"]): (2, 0.0), (1, s["insult"]): (3, 0.0), (2, s["target"]): (3, 0.0)}, {3: TARGETED})
-    # Negation: words that it still reaches.
-    negation = Transducer(0, {(i, s["negation"]): (REACH, 0.0) for i in range(REACH + 1)})
-    for i in range(1, REACH + 1):
-        negation.arcs |= {(i, x): (i - 1, 0.0) for x in others("negation", "insult")}
-        negation.arcs[i, s["insult"]] = (i - 1, NEGATED)
-    # Report: once the clause reports, each insult after it counts less.
-    report = Transducer(0, {(0, s["report"]): (1, 0.0), (1, s["insult"]): (1, REPORTED)})
-    # Threat: speaker, will, harm, target in this order, each within reach of the last.
-    threat = Transducer(0, {(0, s["speaker"]): (1, 0.0)}, {})
-    reach = REACH + 1
-    for k, (now, then) in enumerate((("speaker", "will"), ("will", "harm"), ("harm", "target"))):
-        for i in range(reach):
-            state = 1 + k * reach + i
-            after = 1 + (k + 1) * reach
-            threat.arcs |= {(state, x): (state + 1 if i + 1 < reach else 0, 0.0) for x in others(now, then)}
-            threat.arcs[state, s[now]] = (1 + k * reach, 0.0)
-            threat.arcs[state, s[then]] = (after, 0.0) if k < 2 else (0, THREAT)
-    return compose([target, negation, report, threat])
+    return cascade(cascade(_negation(), _report()), compose([_insult(), _target(), _threat()]))
+
+
+def _clause_begin(text: str, hit: int) -> int:
+    """Where the clause around ``hit`` begins."""
+    at = hit
+    while True:
+        at = max(text.rfind(c, 0, at) for c in ".!?;:\n")
+        if at < 0:
+            return 0
+        end = _CLAUSE.match(text, at)
+        if end and end.end() <= hit:
+            return end.end()
 
 
 @dataclass
@@ -150,16 +243,18 @@ class Model:
         for hit in hits:
             if hit < last:
                 continue
-            begin = max(low.rfind(c, 0, hit) for c in ".!?;:\n") + 1
+            begin = _clause_begin(low, hit)
             stop = _CLAUSE.search(low, hit + 1)
             last = stop.start() if stop else len(low)
             state, total, found, seen = self.machine.start, 0.0, False, set()
-            for m in _WORD.finditer(low, begin, last):
-                weight = self.insult(m.group())
-                if weight and m.group() in seen:
+            for m in _TOKEN.finditer(low, begin, last):
+                token = m.group()
+                mark = not token[0].isalnum()
+                weight = 0.0 if mark else self.insult(token)
+                if weight and token in seen:
                     continue  # a word that a clause repeats is no second insult
-                seen.add(m.group())
-                symbol = 1 if weight else _KNOWN.get(m.group(), 0)
+                seen.add(token)
+                symbol = _QUOTE if mark else 1 if weight else _KNOWN.get(token, 0)
                 state, more = self.machine.arcs[state, symbol]
                 # A negated or reported insult weighs no less than nothing.
                 total += max(weight + more, 0.0) if weight else more
@@ -183,70 +278,123 @@ def _entries(text: str) -> set[str]:
     return {w for w in words if len(w) > 2} | {w[:k] + "*" for w in words for k in STEM if len(w) > k}
 
 
-def learned(texts: list[str], labels: np.ndarray) -> Model:
-    """Vocabulary of the toxic texts, and the curve on the resulting weights."""
-    toxic = [t for t, y in zip(texts, labels, strict=True) if y == 1]
-    n_toxic, n_clean = len(toxic), int((labels == 0).sum())
-    if not n_toxic or not n_clean:
-        return Model({}, {}, 0.0, 30.0 if n_toxic else -30.0).ready()
-    held = Counter(e for t in toxic for e in _entries(t))
-    worth = {e for e, n in held.items() if n >= SUPPORT}
-    clean: Counter[str] = Counter()
-    for t, y in zip(texts, labels, strict=True):
-        if y == 0:
-            clean.update(_entries(t) & worth)
-    odds = {e: float(np.log((held[e] + 0.5) / (n_toxic + 1)) - np.log((clean[e] + 0.5) / (n_clean + 1))) for e in worth}
-    worth = {e for e in worth if odds[e] >= ODDS}
-    # What stands before an entry in toxic texts, and the words that a stem stands for.
-    before: dict[str, set[str]] = {e: set() for e in worth}
-    forms: dict[str, Counter[str]] = {e: Counter() for e in worth if e.endswith("*")}
-    for t in toxic:
+def _odds(held: int, clean: int, n_toxic: int, n_clean: int) -> float:
+    """Log-odds of an entry in toxic texts against clean ones."""
+    return float(np.log((held + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1)))
+
+
+def _around(texts: list[str], worth: dict[str, float]) -> tuple[set[tuple[str, str]], Counter[tuple[str, str]]]:
+    """(entry, word before it) pairs in toxic texts, and how often a stem stands for a word."""
+    before, forms = set(), Counter()
+    for t in texts:
         words = _WORD.findall(t.lower())
         for last, w in zip(["", *words], words, strict=False):
             if w in worth:
-                before[w].add(last)
+                before.add((w, last))
             for k in STEM:
                 stem = w[:k] + "*"
                 if len(w) > k and stem in worth:
-                    before[stem].add(last)
-                    forms[stem][w] += 1
+                    before.add((stem, last))
+                    forms[stem, w] += 1
+    return before, forms
+
+
+def _vocabulary(held: dict[str, int], odds: dict[str, float], variety: dict[str, int], forms: dict[str, tuple[int, int]]) -> Model:
+    """Words and stems of the entries in ``odds``: ``held`` toxic texts have an entry, which
+    stands after ``variety`` words; ``forms`` has a stem's commonest word's and all counts."""
     # Copies of one toxic text make its other words look toxic, but always after the same word.
-    worth = {e for e in worth if len(before[e]) >= max(SUPPORT, VARIETY * held[e])}
+    worth = {e for e in odds if variety.get(e, 0) >= max(SUPPORT, VARIETY * held[e])}
     stems: dict[str, float] = {}
-    for e in sorted((e for e in worth if e.endswith("*")), key=len):
+    for e in sorted((e for e in worth if e.endswith("*")), key=lambda e: (len(e), e)):
         known = any(e[:k] in stems for k in STEM if k < len(e) - 1)
-        if not known and max(forms[e].values()) <= VARIETY * sum(forms[e].values()):
+        most, total = forms[e]
+        if not known and most <= VARIETY * total:
             stems[e[:-1]] = odds[e]
-    words = {e: odds[e] for e in worth if not e.endswith("*") and not any(e[:k] in stems for k in STEM)}
-    model = Model(_strongest(words), _strongest(stems)).ready()
+    return Model({e: odds[e] for e in worth if not e.endswith("*") and not any(e[:k] in stems for k in STEM)}, stems)
+
+
+def learned(texts: list[str], labels: np.ndarray) -> Model:
+    """Vocabulary of the toxic texts, and the curve on the resulting weights: what ``train``
+    learns, from texts in memory."""
+    toxic = [t for t, y in zip(texts, labels, strict=True) if y == 1]
+    n_toxic, n_clean = len(toxic), int((labels == 0).sum())
+    if not n_toxic or not n_clean:
+        return Model({}, {}, 0.0, 30.0 if n_toxic else -30.0).ready()
+    held = Counter(e for t in toxic for e in _entries(t))
+    clean = Counter(e for t, y in zip(texts, labels, strict=True) if y == 0 for e in _entries(t) & held.keys())
+    odds = {e: _odds(n, clean[e], n_toxic, n_clean) for e, n in held.items() if n >= SUPPORT}
+    odds = {e: x for e, x in odds.items() if x >= ODDS}
+    before, counted = _around(toxic, odds)
+    forms: dict[str, tuple[int, int]] = {}
+    for (e, _), n in counted.items():
+        most, total = forms.get(e, (0, 0))
+        forms[e] = (max(most, n), total + n)
+    model = _vocabulary(held, odds, Counter(e for e, _ in before), forms).ready()
     weight = np.array([model.weight(model.clauses(t)) for t in texts])
     model.slope, model.offset = _curve(weight, labels)
     return model
 
 
-def _strongest(entries: dict[str, float]) -> dict[str, float]:
-    return dict(sorted(entries.items(), key=lambda e: (-e[1], e[0]))[:ENTRIES])
+def _counted(batches):
+    """Texts of each kind that have an entry, summed over the rows of a task."""
+    toxic, clean = Counter(), Counter()
+    for batch in batches:
+        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+            (toxic if label == 1 else clean).update(_entries(text))
+    entries = list(toxic.keys() | clean.keys())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(entries, pa.string()), *(pa.array([c[e] for e in entries], pa.int64()) for c in (toxic, clean))], names=["entry", "toxic", "clean"]
+    )
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
-    """The model of ``rows`` labelled rows at most. One task learns it, and gives back the
-    vocabulary and the curve; texts do not come to the driver."""
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("id", "ascending"), ("label", "ascending")])
-        texts = table.column("text").to_pylist()
-        model = learned(texts, np.array(table.column("label").to_pylist(), dtype=np.int64))
-        held = [*((w, False, x) for w, x in model.words.items()), *((w, True, x) for w, x in model.stems.items())]
-        held += [("", False, model.slope), ("", True, model.offset)]
-        return pa.table({"entry": [h[0] for h in held], "stem": [h[1] for h in held], "weight": [h[2] for h in held]})
-
-    sample = training_rows(docs, labels, label, rows)
-    got = sample.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(run, "entry string, stem boolean, weight double").collect()
-    if not got:
-        return Model({}, {}, 0.0, 0.0)
-    held = {(r["entry"], r["stem"]): r["weight"] for r in got}
-    slope, offset = held.pop(("", False)), held.pop(("", True))
-    return Model({e: w for (e, s), w in held.items() if not s}, {e: w for (e, s), w in held.items() if s}, slope, offset)
+    """The model of ``rows`` labelled rows at most.
+
+    Entries are counted by Spark. To the driver come entries above SUPPORT and ODDS, with
+    their counts, and one weight for each row of the sample; texts do not.
+    """
+    sample = written(training_rows(docs, labels, label, rows), "toxicity-sample")
+    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    if not n_toxic or not n_clean:
+        return Model({}, {}, 0.0, 30.0 if n_toxic else -30.0 if n_clean else 0.0)
+
+    counts = sample.select("text", "label").mapInArrow(_counted, "entry string, toxic long, clean long")
+    counts = counts.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(F.col("toxic") >= SUPPORT)
+    chance = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
+    likely = counts.filter(chance >= ODDS - 1e-9).collect()
+    odds = {r["entry"]: _odds(r["toxic"], r["clean"], n_toxic, n_clean) for r in likely}
+    odds = {e: x for e, x in odds.items() if x >= ODDS}
+    held = {r["entry"]: r["toxic"] for r in likely}
+
+    def around(batches):
+        before, forms = set(), Counter()
+        for batch in batches:
+            more, counted = _around(batch.column("text").to_pylist(), odds)
+            before |= more
+            forms.update(counted)
+        found = [(e, "before", w, 1) for e, w in before] + [(e, "form", w, n) for (e, w), n in forms.items()]
+        kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate(kinds)], names=["entry", "kind", "word", "n"])
+
+    near = sample.filter("label = 1").select("text").mapInArrow(around, "entry string, kind string, word string, n long")
+    form = F.when(F.col("kind") == "form", F.col("n"))
+    facts = (
+        near.groupBy("entry", "kind", "word").agg(F.sum("n").alias("n"))
+        .groupBy("entry").agg(F.count_if(F.col("kind") == "before").alias("variety"), F.max(form).alias("most"), F.sum(form).alias("total"))
+        .collect()
+    )
+    model = _vocabulary(held, odds, {r["entry"]: r["variety"] for r in facts}, {r["entry"]: (r["most"] or 0, r["total"] or 0) for r in facts})
+
+    def weights(batches):
+        own = Model(model.words, model.stems).ready()
+        for batch in W.parts(batches):
+            found = [own.weight(own.clauses(t)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(found, pa.float64())], names=["id", "label", "weight"])
+
+    table = sample.mapInArrow(weights, "id long, label int, weight double").toArrow().sort_by([(c, "ascending") for c in ("id", "label", "weight")])
+    model.slope, model.offset = _curve(table.column("weight").to_numpy(), table.column("label").to_numpy())
+    return model
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -1,3 +1,4 @@
+import pathlib
 import zlib
 
 import numpy as np
@@ -143,3 +144,62 @@ def test_queries(spark, sf_dir):
     for query in (queries.op1_quality, queries.op9_toxicity):
         out = query(spark, sf_dir)
         assert out.columns[:4] == ["doc_id", "held_out", "score", "predicted"] and out.count() == n
+
+
+@pytest.mark.parametrize("operator", [quality, toxicity])
+def test_repeated_ids_do_not_widen_the_sample(spark, operator):
+    """The bound holds after the join, however often an id, a text or a label repeats."""
+    texts = spark.range(50).selectExpr("id as doc_id", "concat('word ', id) as text")
+    texts = texts.unionByName(spark.range(5000).selectExpr("7l as doc_id", "concat('other ', id) as text"))
+    texts = texts.unionByName(spark.range(3000).selectExpr("8l as doc_id", "'same' as text"))
+    labels = spark.range(50).selectExpr("id as doc_id", "cast(id % 2 as int) as quality").crossJoin(spark.range(3).select())
+    assert quality.training_rows(texts, labels, "quality", 10).count() == 10
+    all_rows = quality.training_rows(texts, labels, "quality", 100_000).groupBy("id").count().collect()
+    held_back = {i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert {r.id: r["count"] for r in all_rows} == {i: 5001 if i == 7 else 2 if i == 8 else 1 for i in range(50) if i not in held_back}
+    assert operator.train(texts, labels, "quality", rows=10) is not None
+
+
+def test_learning_in_spark_equals_learning_in_memory(labelled):
+    docs, labels = labelled
+    sample = quality.training_rows(docs, labels, "toxic", 10_000).orderBy("id", "label").toPandas()
+    here = toxicity.learned(sample["text"].tolist(), sample["label"].to_numpy())
+    there = toxicity.train(docs, labels)
+    assert (here.words, here.stems) == (there.words, there.stems) and len(here.words) + len(here.stems) > 2
+    assert (here.slope, here.offset) == pytest.approx((there.slope, there.offset), rel=1e-6)
+
+
+def test_reported_speech_weighs_less_on_both_sides(speech):
+    aimed, plain = weight(speech, "you are an idiot"), weight(speech, "what an idiot")
+    for text in ("he said you are an idiot", "you are an idiot, he said", "'you are an idiot' she wrote", "“You are an idiot!” she said",
+                 'he said: "you are an idiot"', "you idiot, he reported"):
+        assert 0 < weight(speech, text) < aimed, text
+    # Only what the marks enclose is told, and marks alone report nothing.
+    assert weight(speech, "\"she is nice\" he said, you idiot") == weight(speech, "he left, you idiot")
+    assert weight(speech, "the \"idiot\" left") == plain
+    assert weight(speech, "he said you are not an idiot") < weight(speech, "he said you are an idiot")
+    assert weight(speech, "the driver's dog isn't an idiot") < plain
+
+
+def test_a_transducer_reads_what_another_writes():
+    rewrite = toxicity.machine(0, lambda s, x: (1, 0.5, "told") if x == "insult" else (s, 0.0, x))
+    count = toxicity.machine(0, lambda s, x: (s, 1.0 if x == "told" else 0.0, x), lambda s: 0.25)
+    both = toxicity.cascade(rewrite, count)
+    state, total = both.start, 0.0
+    for symbol in ("other", "insult", "insult"):
+        state, w = both.step(state, toxicity.SYMBOLS.index(symbol))
+        total += w
+    assert total + both.final[state] == 2 * 1.5 + 0.25
+
+
+def measures(spark, query, label, sf_dir):
+    out = query(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").filter(f"held_out and {label} is not null").toPandas()
+    right = (out["predicted"] == out[label]).mean()
+    return right, out.loc[out[label] == 1, "predicted"].mean(), out.loc[out["predicted"] == 1, label].mean(), len(out)
+
+
+@pytest.mark.skipif(not pathlib.Path("/root/testdata/sf0.1").exists(), reason="test tables are not available")
+@pytest.mark.parametrize(("query", "label"), [(queries.op1_quality, "quality"), (queries.op9_toxicity, "toxic")])
+def test_held_out_rows_of_the_tables(spark, query, label):
+    right, recall, precision, n = measures(spark, query, label, "/root/testdata/sf0.1")
+    assert n > 500 and right >= 0.98 and recall >= 0.9 and precision >= 0.95
