@@ -7,7 +7,9 @@
 3. *Merging*: rows are deduplicated locally (the map side of the aggregate), merged by
    (salt, digest, whole text), and the salts' winners are merged by (digest, whole text).
    Every step groups by the text itself; a digest alone never makes two rows equal.
-4. Members meet their group's winner again by digest and whole text.
+4. Winners go back the way they came: one row for each salt that had copies, with the whole
+   text, and members meet it by salt, digest and text. So no task holds more than one salt's
+   copies of a hot text.
 """
 
 from __future__ import annotations
@@ -44,14 +46,16 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     repeated = census.filter("n > 1").select("digest", F.explode("salts").alias("salt"))
     members = rows.select("doc_id", "body", "digest", salt).join(repeated, ["digest", "salt"])
 
-    winners = (
+    by_salt = (
         members.groupBy("salt", "digest", "body")
-        .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n"))
+        .agg(F.max("doc_id").alias("best"), F.count("*").alias("n"))
         .groupBy("digest", "body")
-        .agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
+        .agg(F.max("best").alias("keep_id"), F.sum("n").alias("group_size"), F.collect_list("salt").alias("salts"))
+        .select(F.explode("salts").alias("salt"), "digest", "body", "keep_id", "group_size")
     )
-    grouped = members.join(winners, ["digest", "body"]).select("doc_id", "keep_id", "group_size", "digest")
-    single = rows.select("doc_id", "digest").join(census.filter("n = 1").select("digest"), "digest").select(
+    grouped = members.join(by_salt, ["salt", "digest", "body"]).select("doc_id", "keep_id", "group_size", "digest")
+    alone = census.filter("n = 1").select("digest", F.col("salts")[0].alias("salt"))
+    single = rows.select("doc_id", "digest", salt).join(alone, ["digest", "salt"]).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "digest"
     )
     return grouped.unionByName(single).select(
