@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,22 +18,30 @@ from granary.functions import dates
 from granary.operators import quality, snapshots
 from granary.plans import customers, planning, publish, reporting
 from granary.schemas import Entity
-from granary.sources import payloads, scans, sinks
-
-WRITERS: dict[str, Callable[[DataFrame, str, list[str]], None]] = {
-    "parquet": sinks.write_parquet_by,
-    "csv": sinks.write_csv_by,
-}
+from granary.sources import commits, payloads, scans, sinks
 
 
 def staging_of(root: str) -> str:
     """Folder beside a table for rows on their way into it, on the same storage."""
-    return f"{root.rstrip('/')}.staging"
+    return commits.staging_of(root)
+
+
+@contextmanager
+def _checked_folder(spark: SparkSession, base: str) -> Iterator[str]:
+    """A folder for the checked rows of this run alone. It stays only if the run fails, for
+    its rejects to be read."""
+    folder = f"{base.rstrip('/')}/run={commits.new_run()}"
+    yield folder
+    commits.drop(spark, folder)
 
 
-def _store(df: DataFrame, entity: Entity, root: str, file_format: str) -> None:
-    table = publish.conform(df, entity, with_partition=True)
-    WRITERS[file_format](table, root, entity.partition_columns)
+def _store(df: DataFrame, entity: Entity, root: str, file_format: str, table: str | None) -> list[publish.Values]:
+    """Replace the partitions present in ``df`` and register just these in the catalog."""
+    rows = publish.conform(df, entity, with_partition=True)
+    touched = publish.replace_partitions(rows, entity.partition_columns, root, file_format=file_format)
+    if table and touched:
+        publish.register_values(df.sparkSession, entity, table, touched)
+    return touched
 
 
 def ingest_orders(
@@ -42,49 +51,56 @@ def ingest_orders(
     start: dt.date | str,
     end: dt.date | str,
     file_format: str = "parquet",
+    table: str | None = None,
 ) -> None:
-    """Landed order documents to daily order-line partitions for [start, end]."""
+    """Landed order documents to daily order-line partitions for [start, end].
+
+    Like all ingest jobs, registers the partitions it has written in the catalog table
+    ``table``, if one is given.
+    """
     docs = payloads.read_documents(spark, landing, "order")
-    valid = quality.staged_valid(payloads.flatten_orders(docs), schemas.ORDER_DETAILS, staging_of(root))
-    quality.require_complete(docs, "id", valid, "shipbob_order_id")
-    daily = sinks.split_by_day(valid, "purchase_date", "order_date", start, end)
-    _store(daily, schemas.ORDER_DETAILS, root, file_format)
+    with _checked_folder(spark, f"{staging_of(root)}/checked") as folder:
+        valid = quality.staged_valid(payloads.flatten_orders(docs), schemas.ORDER_DETAILS, folder)
+        quality.require_complete(docs, "id", valid, "shipbob_order_id")
+        daily = sinks.split_by_day(valid, "purchase_date", "order_date", start, end)
+        _store(daily, schemas.ORDER_DETAILS, root, file_format, table)
 
 
 def ingest_snapshot(
-    rows: DataFrame, entity: Entity, root: str, day: dt.date | str, file_format: str = "parquet"
+    rows: DataFrame, entity: Entity, root: str, day: dt.date | str, file_format: str = "parquet", table: str | None = None
 ) -> None:
     """Validated rows as the ``day`` partition of a snapshot table."""
     (column,) = entity.partition_columns
-    valid = quality.staged_valid(rows, entity, staging_of(root))
-    _store(valid.withColumn(column, dates.day_lit(day)), entity, root, file_format)
+    with _checked_folder(rows.sparkSession, f"{staging_of(root)}/checked") as folder:
+        valid = quality.staged_valid(rows, entity, folder)
+        _store(valid.withColumn(column, dates.day_lit(day)), entity, root, file_format, table)
 
 
-def ingest_inventory(spark, landing, root, day, file_format="parquet") -> None:
+def ingest_inventory(spark, landing, root, day, file_format="parquet", table=None) -> None:
     docs = payloads.read_documents(spark, landing, "inventory")
     rows = payloads.project_inventory(docs)
-    ingest_snapshot(rows, schemas.INVENTORY_DETAILS, root, day, file_format)
+    ingest_snapshot(rows, schemas.INVENTORY_DETAILS, root, day, file_format, table)
 
 
-def ingest_active_variants(spark, landing, root, day, file_format="parquet") -> None:
+def ingest_active_variants(spark, landing, root, day, file_format="parquet", table=None) -> None:
     docs = payloads.read_documents(spark, landing, "store_product")
     rows = payloads.active_variants(docs)
-    ingest_snapshot(rows, schemas.ACTIVE_VARIANT_SKUS, root, day, file_format)
+    ingest_snapshot(rows, schemas.ACTIVE_VARIANT_SKUS, root, day, file_format, table)
 
 
-def ingest_formulas(spark, export, root, day, file_format="parquet") -> None:
+def ingest_formulas(spark, export, root, day, file_format="parquet", table=None) -> None:
     rows = scans.read_formulas_export(spark, export)
-    ingest_snapshot(rows, schemas.FORMULAS, root, day, file_format)
+    ingest_snapshot(rows, schemas.FORMULAS, root, day, file_format, table)
 
 
-def ingest_material_inventory(spark, export, root, day, file_format="parquet") -> None:
+def ingest_material_inventory(spark, export, root, day, file_format="parquet", table=None) -> None:
     rows = scans.read_export(spark, export)
-    ingest_snapshot(rows, schemas.MATERIAL_INVENTORY, root, day, file_format)
+    ingest_snapshot(rows, schemas.MATERIAL_INVENTORY, root, day, file_format, table)
 
 
-def ingest_manufacturing_orders(spark, export, root, day, file_format="parquet") -> None:
+def ingest_manufacturing_orders(spark, export, root, day, file_format="parquet", table=None) -> None:
     rows = scans.read_export(spark, export)
-    ingest_snapshot(rows, schemas.MANUFACTURING_ORDERS, root, day, file_format)
+    ingest_snapshot(rows, schemas.MANUFACTURING_ORDERS, root, day, file_format, table)
 
 
 def ingest_store_orders(
@@ -93,16 +109,22 @@ def ingest_store_orders(
     orders_root: str,
     lines_root: str,
     file_format: str = "parquet",
+    orders_table: str | None = None,
+    lines_table: str | None = None,
 ) -> None:
     """Storefront documents to header and line tables by year, month and day."""
     docs = payloads.read_documents(spark, landing, "store_order")
     targets = (
-        (payloads.flatten_store_orders(docs), schemas.STORE_ORDERS, orders_root),
-        (payloads.flatten_store_line_items(docs), schemas.STORE_LINE_ITEMS, lines_root),
+        (payloads.flatten_store_orders(docs), schemas.STORE_ORDERS, orders_root, orders_table),
+        (payloads.flatten_store_line_items(docs), schemas.STORE_LINE_ITEMS, lines_root, lines_table),
     )
-    staged = [(quality.staged_valid(rows, e, staging_of(root)), e, root) for rows, e, root in targets]
-    for valid, entity, root in staged:
-        _store(sinks.with_day_parts(valid, "order_date"), entity, root, file_format)
+    with ExitStack() as folders:
+        staged = []
+        for rows, entity, root, table in targets:
+            folder = folders.enter_context(_checked_folder(spark, f"{staging_of(root)}/checked"))
+            staged.append((quality.staged_valid(rows, entity, folder), entity, root, table))
+        for valid, entity, root, table in staged:
+            _store(sinks.with_day_parts(valid, "order_date"), entity, root, file_format, table)
 
 
 def ingest_campaigns(spark, landing, root, day) -> None:
@@ -195,13 +217,16 @@ REPORTS: dict[str, Report] = {
 }
 
 
-def _checked(report: Report, rows: DataFrame, staging_root: str) -> DataFrame:
-    """Rows of a validated report from its staging folder, others as they are."""
+@contextmanager
+def _checked(report: Report, rows: DataFrame, staging_root: str) -> Iterator[DataFrame]:
+    """Rows of a validated report from a staging folder of this run, others as they are."""
     if not report.validated:
-        return rows
+        yield rows
+        return
     entity = dataclasses.replace(report.entity, fields=(*report.entity.fields, *report.entity.partition))
     keep = entity if all(c in rows.columns for c in entity.partition_columns) else report.entity
-    return quality.staged_valid(rows, keep, f"{staging_root.rstrip('/')}/{report.entity.name}.checked")
+    with _checked_folder(rows.sparkSession, f"{staging_root.rstrip('/')}/{report.entity.name}.checked") as folder:
+        yield quality.staged_valid(rows, keep, folder)
 
 
 def run_report(
@@ -223,8 +248,8 @@ def run_report(
     if not report.entity.partition:
         publish.publish_full(rows, report.entity, root)
         return
-    rows = _checked(report, rows.drop(*report.entity.partition_columns), staging_root)
-    publish.publish_partition(rows, report.entity, root, staging_root, day)
+    with _checked(report, rows.drop(*report.entity.partition_columns), staging_root) as valid:
+        publish.publish_partition(valid, report.entity, root, staging_root, day)
     if table:
         publish.register_days(rows.sparkSession, report.entity, table, day)
 
@@ -243,8 +268,8 @@ def backfill_report(
     if report.build_range is None:
         raise ValueError(f"{name} has no days: it is replaced as a whole")
     rows = report.build_range(tables, dates.to_day(start), dates.to_day(end))
-    rows = _checked(report, rows, staging_root)
-    publish.replace_range(rows, report.entity, root, staging_root, start, end)
+    with _checked(report, rows, staging_root) as valid:
+        publish.replace_range(valid, report.entity, root, staging_root, start, end)
     if table:
         publish.register_days(rows.sparkSession, report.entity, table, start, end)
 
@@ -253,13 +278,13 @@ def publish_dashboard(tables: Tables, root: str, day: dt.date | str) -> list[str
     """Dashboard datasets and alert rows of one day, each below ``root/<name>/partition_date=...``.
 
     The run rates of the day are one small stored partition, so the datasets share no more
-    than that. Running a day again replaces its files.
+    than that. All of them are complete before any of the day is replaced.
     """
     rates = snapshots.stored_partition(tables["inventory_run_rate"], day)
     frames = reporting.dashboard_datasets(tables["order_details"], tables["inventory_details"], rates, day)
     frames |= alerts(tables, day)
-    for name, rows in frames.items():
-        sinks.write_parquet(rows, publish.partition_path(f"{root.rstrip('/')}/{name}", "partition_date", day))
+    base = root.rstrip("/")
+    publish.replace_folders({publish.partition_path(f"{base}/{n}", "partition_date", day): rows for n, rows in frames.items()}, base)
     return sorted(frames)
 
 

@@ -84,3 +84,7 @@ def write_parquet_by(df: DataFrame, root: str, columns: list[str]) -> None:
         .partitionBy(*columns)
         .parquet(root)
     )
+
+
+#: Partitioned writers by file format.
+WRITERS = {"parquet": write_parquet_by, "csv": write_csv_by}
