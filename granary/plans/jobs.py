@@ -1,7 +1,8 @@
 """Whole jobs: landed files to tables, and tables to published reports.
 
 Ingest jobs check all rows into a staging folder in one pass and publish from there only if
-none is invalid. Report jobs take the input tables as frames, so they work on any storage.
+none is invalid. Report jobs take the input tables as frames, so they work on any storage, or
+as stored tables, whose days are known without a scan.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from granary.operators import quality, snapshots
 from granary.plans import customers, planning, publish, reporting
 from granary.schemas import Entity
 from granary.sources import commits, payloads, scans, sinks
+from granary.sources.stored import PARTS, StoredTable
 
 
 def staging_of(root: str) -> str:
@@ -132,7 +134,25 @@ def ingest_campaigns(spark, landing, root, day) -> None:
     sinks.write_json_lines(payloads.flatten_campaigns(docs), root, day)
 
 
-Tables = Mapping[str, DataFrame]
+Tables = Mapping[str, DataFrame | StoredTable]
+
+
+def _rows(table: DataFrame | StoredTable) -> DataFrame:
+    return table.rows() if isinstance(table, StoredTable) else table
+
+
+def _newest(table: DataFrame | StoredTable, day: dt.date | str) -> DataFrame:
+    """Rows of the newest partition on ``day``, with its date as a literal in the plan."""
+    return table.newest_rows(day) if isinstance(table, StoredTable) else snapshots.stored_partition(table, day)
+
+
+def _needed(table: DataFrame | StoredTable, start: dt.date, end: dt.date) -> DataFrame:
+    """Rows among which each day of [start, end] finds its newest partition."""
+    return table.between(table.newest(start) or start, end) if isinstance(table, StoredTable) else table
+
+
+def _each_day(table: DataFrame | StoredTable, start: dt.date | str, end: dt.date | str) -> DataFrame:
+    return table.each_day(start, end) if isinstance(table, StoredTable) else snapshots.each_day(table, start, end)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -158,10 +178,12 @@ def _snapshot_report(entity: Entity, inputs: tuple[str, ...], build: Callable[..
     """
 
     def one(tables: Tables, day: dt.date) -> DataFrame:
-        return build(*[snapshots.stored_partition(tables[n], day) for n in inputs])
+        # A range of one day: what is picked already is not searched for its newest day.
+        days = [_newest(tables[n], day).withColumn("as_of", dates.day_lit(day)) for n in inputs]
+        return build(*days, by=("as_of",)).drop("as_of")
 
     def many(tables: Tables, start: dt.date, end: dt.date) -> DataFrame:
-        days = [snapshots.each_day(tables[n], start, end) for n in inputs]
+        days = [_each_day(tables[n], start, end) for n in inputs]
         (column,) = entity.partition_columns
         return build(*days, by=("as_of",)).drop(column).withColumnRenamed("as_of", column)
 
@@ -171,9 +193,11 @@ def _snapshot_report(entity: Entity, inputs: tuple[str, ...], build: Callable[..
 REPORTS: dict[str, Report] = {
     "inventory_run_rate": Report(
         schemas.RUN_RATE,
-        lambda t, day: planning.run_rate(t["order_details"], t["inventory_details"], day),
+        lambda t, day: planning.run_rate_with(
+            _rows(t["order_details"]), _newest(t["inventory_details"], day - dt.timedelta(days=1)), day
+        ),
         lambda t, start, end: planning.run_rate_range(
-            t["order_details"], t["inventory_details"], start, end
+            _rows(t["order_details"]), _needed(t["inventory_details"], start - dt.timedelta(days=1), end), start, end
         ),
         validated=True,
     ),
@@ -191,8 +215,8 @@ REPORTS: dict[str, Report] = {
     ),
     "daily_order_cnt_by_channel": Report(
         schemas.DAILY_ORDER_COUNT,
-        lambda t, day: customers.daily_order_counts(t["order_details"], day),
-        lambda t, start, end: customers.daily_order_counts(t["order_details"], start, end),
+        lambda t, day: customers.daily_order_counts(_rows(t["order_details"]), day),
+        lambda t, start, end: customers.daily_order_counts(_rows(t["order_details"]), start, end),
     ),
     "retention_by_cohort": Report(
         schemas.RETENTION,
@@ -211,7 +235,7 @@ REPORTS: dict[str, Report] = {
     "all_line_item_obfuscated": Report(
         schemas.OBFUSCATED_LINE_ITEMS,
         lambda t, day: customers.obfuscated_line_items(
-            t["historic_order_data"], t["order_details"], day
+            _rows(t["historic_order_data"]), _rows(t["order_details"]), day
         ),
     ),
 }
@@ -280,8 +304,8 @@ def publish_dashboard(tables: Tables, root: str, day: dt.date | str) -> list[str
     The run rates of the day are one small stored partition, so the datasets share no more
     than that. All of them are complete before any of the day is replaced.
     """
-    rates = snapshots.stored_partition(tables["inventory_run_rate"], day)
-    frames = reporting.dashboard_datasets(tables["order_details"], tables["inventory_details"], rates, day)
+    rates = _newest(tables["inventory_run_rate"], day)
+    frames = reporting.dashboard_datasets(_rows(tables["order_details"]), _rows(tables["inventory_details"]), rates, day)
     frames |= alerts(tables, day)
     base = root.rstrip("/")
     publish.replace_folders({publish.partition_path(f"{base}/{n}", "partition_date", day): rows for n, rows in frames.items()}, base)
@@ -290,8 +314,8 @@ def publish_dashboard(tables: Tables, root: str, day: dt.date | str) -> list[str
 
 def alerts(tables: Tables, day: dt.date | str) -> dict[str, DataFrame]:
     """Rows to act on, with their message lines, as the tables were on ``day``."""
-    rates = snapshots.stored_partition(tables["inventory_run_rate"], day)
-    status = snapshots.stored_partition(tables["raw_material_status"], day)
+    rates = _newest(tables["inventory_run_rate"], day)
+    status = _newest(tables["raw_material_status"], day)
     return {
         "finished_goods_alerts": reporting.finished_goods_alerts(rates),
         "raw_material_alerts": reporting.raw_material_alerts(status),
@@ -301,9 +325,12 @@ def alerts(tables: Tables, day: dt.date | str) -> dict[str, DataFrame]:
 def missing_source_days(
     spark: SparkSession, entity: Entity, root: str, yesterday: dt.date | str, lookback_days: int = 7
 ) -> DataFrame:
-    """Days an ingested table lacks within the lookback window; asked before reports run."""
-    rows = scans.read_parquet_table(spark, root, entity)
-    if entity.partition_columns == ["year", "month", "day"]:
+    """Days an ingested table lacks within the lookback window; asked before reports run.
+
+    Only the folders of the window's days are opened.
+    """
+    rows = _window(StoredTable(spark, root, entity), yesterday, lookback_days)
+    if entity.partition_columns == PARTS:
         return snapshots.missing_dates(scans.with_day_from_parts(rows, "_day"), "_day", yesterday, lookback_days)
     (column,) = entity.partition_columns
     return snapshots.missing_dates(rows, column, yesterday, lookback_days)
@@ -313,7 +340,9 @@ def missing_report_days(
     spark: SparkSession, name: str, root: str, yesterday: dt.date | str, lookback_days: int = 7
 ) -> DataFrame:
     """Days a published report lacks within the lookback window."""
-    entity = REPORTS[name].entity
-    (column,) = entity.partition_columns
-    published = scans.read_parquet_table(spark, root, entity)
-    return snapshots.missing_dates(published, column, yesterday, lookback_days)
+    return missing_source_days(spark, REPORTS[name].entity, root, yesterday, lookback_days)
+
+
+def _window(table: StoredTable, yesterday: dt.date | str, lookback_days: int) -> DataFrame:
+    last = dates.to_day(yesterday)
+    return table.between(last - dt.timedelta(days=lookback_days - 1), last)

@@ -70,12 +70,23 @@ def run_rate(
 ) -> DataFrame:
     """Exponentially weighted daily sales per item sold in the window, its stock cover,
     stock-out date and restock point."""
+    stock = snapshots.snapshot_before(stock_snapshots, as_of)
+    return run_rate_with(orders, stock, as_of, lookback_days, upper_bound)
+
+
+def run_rate_with(
+    orders: DataFrame,
+    stock: DataFrame,
+    as_of: dt.date | str,
+    lookback_days: int = LOOKBACK_DAYS,
+    upper_bound: bool = True,
+) -> DataFrame:
+    """``run_rate`` with the stock of one day, already picked from its snapshots."""
     recent = sales_window(orders, as_of, lookback_days, upper_bound)
     rates = timeseries.ewm_last(
         recent, ["inventory_id"], "order_date", "inventory_qty", SMOOTHING
     )
-    stock = _stock_levels(snapshots.snapshot_before(stock_snapshots, as_of))
-    joined = rates.join(stock, "inventory_id", "left")
+    joined = rates.join(_stock_levels(stock), "inventory_id", "left")
     return _with_stock_metrics(joined, dates.day_lit(as_of)).select(*RUN_RATE.columns)
 
 
