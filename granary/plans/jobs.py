@@ -21,6 +21,7 @@ from granary.plans import customers, planning, publish, reporting
 from granary.schemas import Entity
 from granary.sources import commits, payloads, scans, sinks
 from granary.sources.stored import PARTS, StoredTable
+from granary.streaming import order_index
 
 
 def staging_of(root: str) -> str:
@@ -66,6 +67,7 @@ def ingest_orders(
         quality.require_complete(docs, "id", valid, "shipbob_order_id")
         daily = sinks.split_by_day(valid, "purchase_date", "order_date", start, end)
         _store(daily, schemas.ORDER_DETAILS, root, file_format, table)
+        order_index.forget(spark, root)  # of the streaming refresh, which did not see these rows
 
 
 def ingest_snapshot(

@@ -2,9 +2,10 @@
 
 Each micro-batch rewrites only the order days it touches: the days of its new rows and the
 days that still hold rows of its orders. An order that was delivered again replaces its
-earlier rows wherever they are, also when it moved to another day or lost its items. The new
-days are staged as a whole before the table is touched, and a batch that is run again applies
-what it had staged, so a failure at any point loses nothing.
+earlier rows wherever they are, also when it moved to another day or lost its items. An index
+of the days that hold an order (``order_index``) tells which days these are; no other day is
+opened. The new days are staged as a whole before the table is touched, and a batch that is run
+again applies what it had staged, so a failure at any point loses nothing.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from granary.operators import quality
 from granary.plans import publish
 from granary.schemas import ORDER_DETAILS
 from granary.sources import payloads, scans, sinks
+from granary.streaming import order_index
+from granary.streaming.order_index import DAY, ORDER
 
-DAY = "order_date"
-ORDER = "shipbob_order_id"
-READY = "batch_id long, emptied array<date>"
+READY = "batch_id long, emptied array<date>, number long"
 
 
 def newest_delivery(docs: DataFrame) -> DataFrame:
@@ -48,40 +49,59 @@ def _existing_rows(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
-def _staged(spark: SparkSession, staging: str, batch_id: int | None) -> list[dt.date] | None:
-    """Days to empty, if this batch was staged completely before; else None."""
+def _staged(spark: SparkSession, staging: str, batch_id: int | None) -> tuple[list[dt.date], int] | None:
+    """Days to empty and the index's number, if this batch was staged completely before."""
     try:
         ready = spark.read.schema(READY).parquet(f"{staging}/ready").first()
     except Exception as missing:
         if "PATH_NOT_FOUND" in str(missing):
             return None
         raise
-    return list(ready["emptied"]) if ready and batch_id is not None and ready["batch_id"] == batch_id else None
+    if ready is None or batch_id is None or ready["batch_id"] != batch_id:
+        return None
+    return list(ready["emptied"]), ready["number"]
 
 
-def stage_days(rows: DataFrame, orders: DataFrame, root: str, staging: str, batch_id: int | None) -> list[dt.date]:
-    """Write the new content of all touched days to ``staging``; returns days left empty.
+def _days(rows: DataFrame) -> list[dt.date]:
+    """Distinct days of rows, at most one for each calendar day."""
+    return [r[DAY] for r in rows.select(DAY).distinct().collect()]
+
+
+def stage_days(rows: DataFrame, orders: DataFrame, root: str, staging: str, batch_id: int | None) -> tuple[list[dt.date], int]:
+    """Write the new content of all touched days to ``staging``; returns days left empty and
+    the batch's number in the index.
 
     ``rows`` are the new lines with their day, ``orders`` the ids of all delivered orders,
     those without lines included.
     """
     spark = rows.sparkSession
     existing = _existing_rows(spark, root)
-    refreshed, emptied = rows, []
+    refreshed, held = rows, []
     if existing is not None:
-        held = existing.join(orders, ORDER, "left_semi").select(DAY).distinct()
-        # At most one row per calendar day; as a broadcast it prunes the partitions read.
-        touched = F.broadcast(rows.select(DAY).unionByName(held).distinct())
-        kept = existing.join(touched, DAY, "left_semi").join(orders, ORDER, "left_anti")
+        if not order_index.exists(spark, root):
+            order_index.build(spark, root)
+        held = _days(order_index.days_of(spark, root, orders)) if order_index.exists(spark, root) else []
+        # Days as literals, so other partitions are not even listed for reading.
+        touched = sorted({*held, *_days(rows)})
+        kept = existing.filter(F.col(DAY).isin(touched)).join(orders, ORDER, "left_anti")
         refreshed = kept.select(*rows.columns).unionByName(rows)
-        sinks.write_parquet(refreshed, f"{staging}/days")
-        filled = _staged_days(spark, staging).select(DAY).distinct()
-        emptied = [r[DAY] for r in held.join(filled, DAY, "left_anti").collect()]
-    else:
-        sinks.write_parquet(refreshed, f"{staging}/days")
-    ready = spark.createDataFrame([(batch_id, emptied)], READY)
+    sinks.write_parquet(refreshed, f"{staging}/days")
+    emptied = sorted({*held} - {*_days(_staged_days(spark, staging))})
+    number = order_index.next_batch(spark, root)
+    ready = spark.createDataFrame([(batch_id, emptied, number)], READY)
     sinks.write_parquet(ready.coalesce(1), f"{staging}/ready")
-    return emptied
+    return emptied, number
+
+
+def index_batch(spark: SparkSession, root: str, staging: str, number: int) -> None:
+    """Enter the days that now hold the batch's orders, from what it has staged."""
+    orders = _staged_orders(spark, staging)
+    entries = orders.join(_staged_days(spark, staging).select(ORDER, DAY).distinct(), ORDER, "left")
+    order_index.add(spark, root, entries, number)
+
+
+def _staged_orders(spark: SparkSession, staging: str) -> DataFrame:
+    return spark.read.schema(f"{ORDER} bigint").parquet(f"{staging}/orders")
 
 
 def _staged_days(spark: SparkSession, staging: str) -> DataFrame:
@@ -98,16 +118,17 @@ def apply_days(spark: SparkSession, root: str, staging: str, emptied: list[dt.da
 
 def refresh_batch(docs: DataFrame, root: str, staging: str, batch_id: int | None = None) -> None:
     spark = docs.sparkSession
-    emptied = _staged(spark, staging, batch_id)
-    if emptied is None:
+    staged = _staged(spark, staging, batch_id)
+    if staged is None:
         newest = newest_delivery(docs)
         # Ids come from the documents: an order may have lost its items.
         sinks.write_parquet(newest.select(F.col("id").alias(ORDER)), f"{staging}/orders")
-        orders = spark.read.schema(f"{ORDER} bigint").parquet(f"{staging}/orders")
         valid = quality.staged_valid(payloads.flatten_orders(newest), ORDER_DETAILS, f"{staging}/checked")
         rows = sinks.split_by_day(valid, "purchase_date", DAY)
-        emptied = stage_days(rows, orders, root, staging, batch_id)
+        staged = stage_days(rows, _staged_orders(spark, staging), root, staging, batch_id)
+    emptied, number = staged
     apply_days(spark, root, staging, emptied)
+    index_batch(spark, root, staging, number)
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
