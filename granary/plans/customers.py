@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import dates, numeric, text
 from granary.operators import membership
-from granary.schemas import DAILY_ORDER_COUNT, OBFUSCATED_LINE_ITEMS, RETENTION
+from granary.schemas import CUSTOMER_DAYS, DAILY_ORDER_COUNT, OBFUSCATED_LINE_ITEMS, OPEN_HISTORY, RETENTION
 
 # First order date that counts, and the retention windows in days.
 COHORT_START = dt.date(2023, 1, 1)
@@ -105,6 +105,162 @@ def retention_by_cohort(flags: DataFrame, matured_by: dt.date | str | None = Non
     )
 
 
+def as_of_day(history: DataFrame, recurring: DataFrame, day: dt.date | str) -> tuple[DataFrame, DataFrame]:
+    """The inputs of retention as they were on ``day``: history bought and recurring orders
+    filed by then. A history order counts until the day its number is filed as recurring."""
+    bought = F.to_date("purchase_date") <= dates.day_lit(day)
+    return history.filter(bought), recurring.filter(F.col("order_date") <= dates.day_lit(day))
+
+
+def retention_on(
+    history: DataFrame, recurring: DataFrame, day: dt.date | str, cohort_start: dt.date | str = COHORT_START
+) -> DataFrame:
+    """``retention_by_cohort`` of the orders known on ``day``."""
+    orders = order_day_history(*as_of_day(history, recurring, day), cohort_start)
+    return retention_by_cohort(retention_flags(orders, cohort_start))
+
+
+# -- retention from a state per customer ------------------------------------------------------
+#
+# The flags of a customer follow from the two earliest distinct days on or after the cohort
+# start, and the two earliest of a union are the two earliest of its parts' two earliest. So a
+# customer's state has two days, and a day's orders are merged into it without the older ones.
+
+
+def _two_days(days: Column) -> list[Column]:
+    """The two earliest of an array of distinct days as columns of the state."""
+    ordered = F.slice(F.sort_array(days), 1, 2)
+    return [F.get(ordered, 0).alias("first_day"), F.get(ordered, 1).alias("second_day")]
+
+
+def _state(days: DataFrame, cohort_start: dt.date | str) -> DataFrame:
+    """State of each email in ``days(email, day)``; days before the cohort start, and null
+    ones, keep a customer without days. Sets are merged before the shuffle and hold calendar
+    days, so a customer with very many orders is a small row."""
+    held = days.groupBy("email").agg(F.collect_set(_counted_day(cohort_start)).alias("days"))
+    return held.select("email", *_two_days(F.col("days")))
+
+
+def _state_days(state: DataFrame) -> DataFrame:
+    """A state as ``(email, day)`` rows, at least one for each customer."""
+    return state.select("email", F.explode(F.array("first_day", "second_day")).alias("day"))
+
+
+def _day_rows(orders: DataFrame) -> DataFrame:
+    return orders.filter(F.col("purchase_date").isNotNull() & (F.col("customer_email") != "")).select(
+        F.col("customer_email").alias("email"), F.to_date("purchase_date").alias("day")
+    )
+
+
+def begin_state(
+    history: DataFrame, recurring: DataFrame, day: dt.date | str, cohort_start: dt.date | str = COHORT_START
+) -> tuple[DataFrame, DataFrame]:
+    """(state of recurring customers, history orders not filed as recurring) on ``day``.
+
+    The history keeps orders bought after ``day``; they count once their day has come.
+    """
+    kept = recurring.filter(F.col("order_date").between(dates.day_lit(cohort_start), dates.day_lit(day)))
+    orders = history.select("order_number", F.col("customer_email").alias("email"), F.to_date("purchase_date").alias("purchase_day"))
+    counted = F.col("purchase_day").isNotNull() & (F.col("email") != "")
+    left = orders.filter(counted).distinct().join(kept.select("order_number").distinct(), "order_number", "left_anti")
+    return _state(_day_rows(kept), cohort_start), left.select(*OPEN_HISTORY.columns)
+
+
+def advance_state(
+    state: DataFrame, open_history: DataFrame, new_orders: DataFrame, cohort_start: dt.date | str = COHORT_START
+) -> tuple[DataFrame, DataFrame]:
+    """State and open history once ``new_orders``, the recurring orders of the days since, are
+    merged in. Reads no older orders."""
+    kept = new_orders.filter(F.col("order_date") >= dates.day_lit(cohort_start))
+    days = _state_days(state).unionByName(_day_rows(kept))
+    left = open_history.join(kept.select("order_number").distinct(), "order_number", "left_anti")
+    return _state(days, cohort_start).select(*CUSTOMER_DAYS.columns), left.select(*OPEN_HISTORY.columns)
+
+
+def state_flags(
+    state: DataFrame, open_history: DataFrame, day: dt.date | str, cohort_start: dt.date | str = COHORT_START
+) -> DataFrame:
+    """``retention_flags`` on ``day`` from the state of that day."""
+    bought = open_history.filter(F.col("purchase_day") <= dates.day_lit(day)).select("email", F.col("purchase_day").alias("day"))
+    return _flags(_state(_state_days(state).unionByName(bought), cohort_start))
+
+
+def _flags(state: DataFrame) -> DataFrame:
+    since = dates.days_between(F.col("first_day"), F.col("second_day"))
+    kept = [F.coalesce((since <= n).cast("int"), F.lit(0)).alias(f"retained_{n}d") for n in RETENTION_DAYS]
+    return state.select("email", F.col("first_day").alias("first_order_date"), *kept, *[c for c in state.columns if c in ("_from", "_to")])
+
+
+def retention_range(
+    history: DataFrame,
+    recurring: DataFrame,
+    start: dt.date | str,
+    end: dt.date | str,
+    cohort_start: dt.date | str = COHORT_START,
+) -> DataFrame:
+    """``retention_on`` of every day in [start, end] as one plan, keyed by ``report_date``.
+
+    An order day counts for a customer from the day it is known, and one of the history until
+    its number is filed. Days that count over the whole range are reduced to a state; the
+    others cut the range into pieces in which nothing changes. Cohorts then change by what
+    begins and ends on a day, so a customer is a row a piece and not a row a day.
+    """
+    start, end = dates.to_day(start), dates.to_day(end)
+    past = dates.day_lit(end + dt.timedelta(days=1))
+    kept = recurring.filter(F.col("order_date").between(dates.day_lit(cohort_start), dates.day_lit(end)))
+    filed = kept.groupBy("order_number").agg(F.min("order_date").alias("until"))
+    bought = history.select("order_number", F.col("customer_email").alias("email"), F.to_date("purchase_date").alias("day")).distinct()
+    known = kept.filter(F.col("purchase_date").isNotNull()).select(
+        F.col("customer_email").alias("email"), F.to_date("purchase_date").alias("day"), F.col("order_date").alias("since"), past.alias("until")
+    )
+    before = bought.join(filed, "order_number", "left").select("email", "day", F.col("day").alias("since"), F.coalesce("until", past).alias("until"))
+    spans = (
+        known.unionByName(before)
+        .filter((F.col("email") != "") & F.col("day").isNotNull())
+        .withColumns({"since": F.greatest("since", dates.day_lit(start)), "until": F.least("until", past)})
+        .filter("since < until")
+        .withColumn("day", _counted_day(cohort_start))
+    )
+    steady = (F.col("since") == dates.day_lit(start)) & (F.col("until") == past)
+    held = spans.groupBy("email").agg(
+        F.collect_set(F.when(steady, F.col("day"))).alias("days"),
+        F.max(steady).alias("steady"),
+        F.collect_set(F.when(~steady, F.struct("day", "since", "until"))).alias("moving"),
+    )
+    marks = F.array_sort(F.array_distinct(F.concat(F.array(dates.day_lit(start)), F.transform("moving", lambda m: m["since"]), F.transform("moving", lambda m: m["until"]))))
+    ordered = held.select("email", "steady", "moving", F.slice(F.sort_array("days"), 1, 2).alias("days"), F.filter(marks, lambda d: d < past).alias("marks"))
+    pieces = ordered.select("*", F.posexplode("marks").alias("_at", "_from")).withColumn("_to", F.coalesce(F.get("marks", F.col("_at") + 1), past))
+    active = F.filter("moving", lambda m: (m["since"] <= F.col("_from")) & (F.col("_from") < m["until"]))
+    moved = F.filter(F.transform(active, lambda m: m["day"]), lambda d: d.isNotNull())
+    state = pieces.filter(F.col("steady") | (F.size(active) > 0)).select(
+        "email", "_from", "_to", *_two_days(F.array_distinct(F.concat("days", moved)))
+    )
+    measures = ["total_customers", *[f"retained_{n}d" for n in RETENTION_DAYS]]
+    change = lambda day, sign: F.struct(F.col(day).alias("report_date"), *[(F.lit(sign) * F.col(m)).alias(m) for m in measures])
+    changes = (
+        _flags(state).withColumns({"total_customers": F.lit(1), "cohort_month": dates.month_start(F.col("first_order_date"))})
+        .select("cohort_month", F.explode(F.array(change("_from", 1), change("_to", -1))).alias("c"))
+        .select("cohort_month", "c.*")
+        .groupBy("cohort_month", "report_date")
+        .agg(*[F.sum(m).alias(m) for m in measures])
+    )
+    # A row for each cohort and day of the range, however few of them change.
+    days = F.explode(F.sequence(dates.day_lit(start), dates.day_lit(end))).alias("report_date")
+    every = changes.select("cohort_month").distinct().select("cohort_month", days).select("*", *[F.lit(0).alias(m) for m in measures])
+    running = Window.partitionBy("cohort_month").orderBy("report_date").rangeBetween(Window.unboundedPreceding, 0)
+    total = F.col("total_customers")
+    shares = [(F.col(f"retained_{n}d").alias(f"retained_{n}d_count"), numeric.percent(F.col(f"retained_{n}d"), total).alias(f"retained_{n}d_pct")) for n in RETENTION_DAYS]
+    return (
+        changes.unionByName(every)
+        .groupBy("cohort_month", "report_date")
+        .agg(*[F.sum(m).alias(m) for m in measures])
+        .withColumns({m: F.sum(m).over(running) for m in measures})
+        .filter((total > 0) & (F.col("report_date") <= dates.day_lit(end)))
+        .select("report_date", "cohort_month", "total_customers", *[c for pair in shares for c in pair])
+        .select(*RETENTION.columns, "report_date")
+    )
+
+
 def daily_order_counts(
     orders: DataFrame, start: dt.date | str, end: dt.date | str | None = None
 ) -> DataFrame:

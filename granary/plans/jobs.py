@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator, Mapping
 from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from granary import schemas
 from granary.functions import dates
@@ -173,6 +174,38 @@ CURRENT_INVENTORY = dataclasses.replace(
 )
 
 
+def _retention(tables: Tables, day: dt.date) -> DataFrame:
+    """Retention as of ``day``: from the customers' state, if the tables have that day's (see
+    ``advance_customers``), otherwise from all orders known on the day."""
+    state, left = (tables.get(e.name) for e in (schemas.CUSTOMER_DAYS, schemas.OPEN_HISTORY))
+    if isinstance(state, StoredTable) and isinstance(left, StoredTable) and day in state.days():
+        return customers.retention_by_cohort(customers.state_flags(state.on(day), left.on(day), day))
+    return customers.retention_on(_rows(tables["historic_order_data"]), _rows(tables["order_details"]), day)
+
+
+def advance_customers(tables: Tables, day: dt.date | str, rebuild: bool = False) -> None:
+    """Bring the customers' state (``customer_days``, ``open_history``) to ``day``.
+
+    Reads the newest state before ``day`` and the orders filed since, usually one day's. With
+    ``rebuild``, or without an earlier state, all orders are read. Orders that were filed or
+    corrected under days already merged need a rebuild.
+    """
+    day = dates.to_day(day)
+    state, left = tables[schemas.CUSTOMER_DAYS.name], tables[schemas.OPEN_HISTORY.name]
+    orders = _rows(tables["order_details"])
+    # The state is written last, so a day with a state has its open history too.
+    last = next((d for d in reversed(state.days()) if d < day), None)
+    if last is None or rebuild:
+        new = customers.begin_state(_rows(tables["historic_order_data"]), orders, day)
+    else:
+        since = orders.filter((F.col("order_date") > dates.day_lit(last)) & (F.col("order_date") <= dates.day_lit(day)))
+        new = customers.advance_state(state.on(last), left.on(last), since)
+    for table, rows in ((left, new[1]), (state, new[0])):
+        publish.publish_partition(rows, table.entity, table.root, staging_of(table.root), day)
+        if table.table:
+            publish.register_days(table.spark, table.entity, table.table, day)
+
+
 def _snapshot_report(entity: Entity, inputs: tuple[str, ...], build: Callable[..., DataFrame], **options) -> Report:
     """Report over the newest partition, on the run day, of each input.
 
@@ -222,11 +255,8 @@ REPORTS: dict[str, Report] = {
     ),
     "retention_by_cohort": Report(
         schemas.RETENTION,
-        lambda t, day: customers.retention_by_cohort(
-            customers.retention_flags(
-                customers.order_day_history(t["historic_order_data"], t["order_details"])
-            )
-        ),
+        lambda t, day: _retention(t, day),
+        lambda t, start, end: customers.retention_range(_rows(t["historic_order_data"]), _rows(t["order_details"]), start, end),
     ),
     "current_inventory": _snapshot_report(
         CURRENT_INVENTORY, ("inventory_details",), lambda stock, by=(): stock

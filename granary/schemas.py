@@ -299,6 +299,22 @@ RETENTION = Entity(
     "Share of each monthly cohort that ordered again within 30, 60 and 90 days",
 )
 
+BY_STATE_DATE = (Field("state_date", "date"),)
+
+CUSTOMER_DAYS = Entity(
+    "customer_days",
+    _fields("email string, first_day date?, second_day date?"),
+    BY_STATE_DATE,
+    "Earliest two order days of each customer from the first cohort on, as known on a day",
+)
+
+OPEN_HISTORY = Entity(
+    "open_history",
+    _fields("order_number string, email string, purchase_day date"),
+    BY_STATE_DATE,
+    "History orders that no recurring order has replaced by a day",
+)
+
 OBFUSCATED_LINE_ITEMS = Entity(
     "all_line_item_obfuscated",
     _fields(
@@ -344,6 +360,8 @@ ENTITIES: dict[str, Entity] = {
         PRODUCT_METADATA,
         DAILY_ORDER_COUNT,
         RETENTION,
+        CUSTOMER_DAYS,
+        OPEN_HISTORY,
         OBFUSCATED_LINE_ITEMS,
         RUN_RATE_MART,
     )

@@ -118,7 +118,7 @@ def test_backfill_and_gaps(spark, warehouse):
     # No sales before DAY, so no rates for the two days before it.
     assert days == [DAY - dt.timedelta(days=2), DAY - dt.timedelta(days=1)]
     with pytest.raises(ValueError, match="replaced as a whole"):
-        jobs.backfill_report("retention_by_cohort", tables, root, str(tmp / "staging3"), DAY, DAY)
+        jobs.backfill_report("all_line_item_obfuscated", tables, root, str(tmp / "staging3"), DAY, DAY)
     gaps = jobs.missing_source_days(spark, schemas.ORDER_DETAILS, warehouse[1]("order_details"), DAY, 2)
     assert [r[0] for r in gaps.collect()] == [DAY - dt.timedelta(days=1)]
 
