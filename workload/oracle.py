@@ -177,6 +177,28 @@ VIEWS: dict[str, str] = {
         for n in (30, 60, 90)
     )
     + " FROM order_days d LEFT JOIN firsts f ON f.email = d.email GROUP BY ALL",
+    "report_days": """
+    SELECT CAST(unnest(generate_series(DATE '2000-03-20', DATE '2000-04-20', INTERVAL 1 DAY)) AS DATE)
+           AS report_date""",
+    "known_days": """
+    WITH rec AS (SELECT DISTINCT order_number, customer_email, CAST(purchase_date AS DATE) AS day, order_date
+                 FROM recurring_orders),
+    hist AS (SELECT DISTINCT order_number, customer_email, CAST(purchase_date AS DATE) AS day FROM historic_orders),
+    filed AS (SELECT order_number, min(order_date) AS filed FROM rec GROUP BY 1)
+    SELECT report_date, customer_email AS email, day FROM report_days JOIN rec ON order_date <= report_date
+    WHERE day IS NOT NULL AND customer_email <> ''
+    UNION
+    SELECT report_date, customer_email, day FROM report_days JOIN hist ON day <= report_date
+    LEFT JOIN filed ON filed.order_number = hist.order_number
+    WHERE (filed IS NULL OR filed > report_date) AND customer_email <> ''""",
+    "known_flags": "SELECT report_date, email, first_order_date, "
+    + ", ".join(
+        f"CAST(coalesce(bool_or(day - first_order_date BETWEEN 1 AND {n}), false) AS INTEGER) AS retained_{n}d"
+        for n in (30, 60, 90)
+    )
+    + " FROM (SELECT *, min(CASE WHEN day >= "
+    + COHORT
+    + " THEN day END) OVER (PARTITION BY report_date, email) AS first_order_date FROM known_days) GROUP BY ALL",
     "planned": """
     SELECT material, uom, newest AS planned_as_of, sum(planned) AS qty FROM open_mos
     WHERE quarter = newest AND uom IS NOT NULL GROUP BY material, uom, newest HAVING sum(planned) > 0""",
@@ -212,6 +234,16 @@ def _channel_counts(condition: str) -> str:
     FROM order_details WHERE {condition} GROUP BY ALL"""
 
 
+def _cohorts(flags: str, *by: str) -> str:
+    measures = ", ".join(
+        f"CAST(sum(retained_{n}d) AS BIGINT) AS retained_{n}d_count,"
+        f" round(CAST(100 AS DOUBLE) * sum(retained_{n}d) / count(*), 2) AS retained_{n}d_pct"
+        for n in (30, 60, 90)
+    )
+    month = "CAST(date_trunc('month', first_order_date) AS DATE) AS cohort_month"
+    return f"SELECT {', '.join((*by, month))}, count(*) AS total_customers, {measures} FROM {flags} GROUP BY ALL"
+
+
 STATEMENTS: dict[str, str] = {
     "run_rate": f"SELECT {RUN_RATE_COLUMNS} FROM run_rates",
     "run_rate_details": f"""
@@ -226,6 +258,43 @@ STATEMENTS: dict[str, str] = {
     "run_rate_mart": f"""
     SELECT {RUN_RATE_COLUMNS.replace('AS run_rate', 'AS est_daily_run_rate')}
     FROM ranged_run_rates WHERE partition_date = {AS_OF}""",
+    "run_rate_mart_range": f"""
+    SELECT {RUN_RATE_COLUMNS.replace('AS run_rate', 'AS est_daily_run_rate')}, partition_date
+    FROM ranged_run_rates""",
+    "raw_material_run_rate_range": """
+    SELECT d.material AS katana_ingredient_sku, material_name AS katana_ingredient_name,
+           'kg' AS katana_unit_of_measure, round(need, 6) AS daily_run_rate, round(held, 6) AS inventory_on_hand,
+           CASE WHEN d.partition_date < DATE '2001-07-01' THEN DATE '2001-06-24' ELSE DATE '2001-07-01' END
+             AS inventory_as_of,
+           round(held / nullif(need, 0), 6) AS days_on_hand,
+           round(30 * need + CASE WHEN safety_stock = 0 THEN 30 * need ELSE safety_stock END, 6)
+             AS reorder_point, d.partition_date
+    FROM (SELECT partition_date, material, material_name,
+                 sum(run_rate * quantity_required * CASE WHEN partition_date < DATE '2001-07-01' THEN 2 ELSE 1 END) AS need
+          FROM ranged_run_rates JOIN formulas ON inventory_id = p_partkey GROUP BY 1, 2, 3) d
+    JOIN (SELECT *, in_stock + CASE WHEN partition_date < DATE '2001-07-01' THEN 1 ELSE 0 END AS held
+          FROM material_stock, run_days) s ON s.material = d.material AND s.partition_date = d.partition_date""",
+    "raw_material_status_range": """
+    WITH p AS (
+      SELECT d.partition_date, material, uom, quarter, sum(planned) AS qty
+      FROM run_days d JOIN open_mos o
+        ON quarter = (SELECT max(x.quarter) FROM open_mos x WHERE x.quarter <= d.partition_date)
+      WHERE uom IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING sum(planned) > 0),
+    s AS (
+      SELECT name, material, units_of_measure, partition_date,
+             in_stock + CASE WHEN partition_date < DATE '2001-07-01' THEN 1 ELSE 0 END AS held,
+             CASE WHEN partition_date < DATE '2001-07-01' THEN DATE '2001-06-24' ELSE DATE '2001-07-01' END AS day
+      FROM material_stock, run_days)
+    SELECT s.name, units_of_measure, round(held, 6) AS in_stock, day AS in_stock_as_of,
+           round(qty, 6) AS planned_qty, quarter AS planned_qty_as_of,
+           round(held - qty, 6) AS inventory_remaining, round(held / qty, 6) AS in_stock_percentage,
+           held - qty < 0 AS needs_replenished, s.partition_date
+    FROM s JOIN p ON s.material = p.material AND s.partition_date = p.partition_date""",
+    "current_inventory_range": f"""
+    SELECT {SNAPSHOT_COLUMNS}, run_day AS partition_date
+    FROM (SELECT s.*, d.partition_date AS run_day FROM run_days d JOIN inventory_snapshots s
+          ON s.partition_date = (SELECT max(x.partition_date) FROM inventory_snapshots x
+                                 WHERE x.partition_date <= d.partition_date))""",
     "active_sku_flag": f"""
     SELECT inventory_id, max(CASE WHEN sku IN (SELECT variant_sku FROM active_skus)
                                   THEN 1 ELSE 0 END) AS active_sku_fl
@@ -293,14 +362,12 @@ STATEMENTS: dict[str, str] = {
                       {_TEXT_TIME.format(c='purchase_date')} AS purchase_date) FROM all_orders""",
     "first_orders": "SELECT email, first_order_date FROM firsts",
     "retention_flags": "SELECT * FROM flags",
-    "retention_by_cohort": "SELECT CAST(date_trunc('month', first_order_date) AS DATE) AS cohort_month,"
-    " count(*) AS total_customers, "
-    + ", ".join(
-        f"CAST(sum(retained_{n}d) AS BIGINT) AS retained_{n}d_count,"
-        f" round(CAST(100 AS DOUBLE) * sum(retained_{n}d) / count(*), 2) AS retained_{n}d_pct"
-        for n in (30, 60, 90)
-    )
-    + " FROM flags GROUP BY 1",
+    "retention_by_cohort": _cohorts("flags"),
+    "retention_by_cohort_on": _cohorts("known_flags WHERE report_date = DATE '2000-03-20'"),
+    "retention_by_cohort_range": _cohorts("known_flags", "report_date"),
+    "retention_state_flags": """
+    SELECT email, first_order_date, retained_30d, retained_60d, retained_90d FROM known_flags
+    WHERE report_date = DATE '2000-04-20'""",
     "daily_order_cnt_by_channel": _channel_counts(f"order_date = {AS_OF}"),
     "daily_order_cnt_by_channel_range": _channel_counts("true"),
     "obfuscated_line_items": f"""

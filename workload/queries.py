@@ -16,12 +16,13 @@ from pyspark.sql import types as T
 
 from granary.functions import dates, json_paths, numeric, text
 from granary.operators import dimension, membership, quality, snapshots, timeseries
-from granary.plans import customers, planning, reporting
+from granary.plans import customers, jobs, planning, reporting
 from granary.schemas import STORE_LINE_ITEMS, STORE_ORDERS
 from granary.session import configure
 from granary.sources import payloads, scans, sinks
 from workload.views import AS_OF, COHORT_START, RANGE_START, Tables
 
+RETENTION_START, RETENTION_END = dt.date(2000, 3, 20), dt.date(2000, 4, 20)
 CHANGE_TIME = dt.datetime(2001, 7, 1, 12, 0, 0)
 EVENTS_YESTERDAY = dt.date(2024, 2, 3)
 
@@ -160,6 +161,37 @@ def raw_material_status_per_material(t: Tables) -> DataFrame:
     return planning.raw_material_status(t.material_stock(), t.open_mos(), per_material=True)
 
 
+def _report_range(name: str, **tables: DataFrame) -> DataFrame:
+    """All days of a report's range, as its back-fill makes them."""
+    return jobs.REPORTS[name].build_range(tables, RANGE_START, AS_OF)
+
+
+@query
+def run_rate_mart_range(t: Tables) -> DataFrame:
+    rates = planning.run_rate_range(_sales(t), t.stocked_snapshots(), RANGE_START, AS_OF)
+    return _report_range("inventory_run_rate_mart", inventory_run_rate=rates)
+
+
+@query
+def raw_material_run_rate_range(t: Tables) -> DataFrame:
+    rates = planning.run_rate_range(_sales(t), t.stocked_snapshots(), RANGE_START, AS_OF)
+    return _report_range(
+        "raw_material_run_rate", inventory_run_rate=rates, formulas=t.formulas(), material_inventory=t.material_stock()
+    )
+
+
+@query
+def raw_material_status_range(t: Tables) -> DataFrame:
+    return _report_range(
+        "raw_material_status", material_inventory=t.material_stock(), open_manufacturing_orders=t.open_mos()
+    )
+
+
+@query
+def current_inventory_range(t: Tables) -> DataFrame:
+    return _report_range("current_inventory", inventory_details=t.inventory_snapshots())
+
+
 # -- snapshots and dates ---------------------------------------------------------------
 
 
@@ -244,6 +276,32 @@ def retention_by_cohort(t: Tables) -> DataFrame:
     return customers.retention_by_cohort(flags)
 
 
+def _order_lines(t: Tables) -> tuple[DataFrame, DataFrame]:
+    columns = ("order_number", "customer_email", "purchase_date")
+    return t.historic_orders(*columns), t.recurring_orders(*columns)
+
+
+@query
+def retention_by_cohort_on(t: Tables) -> DataFrame:
+    """Retention as it was on a day when half of the history was not filed as recurring."""
+    return customers.retention_on(*_order_lines(t), RETENTION_START, COHORT_START)
+
+
+@query
+def retention_by_cohort_range(t: Tables) -> DataFrame:
+    return customers.retention_range(*_order_lines(t), RETENTION_START, RETENTION_END, COHORT_START)
+
+
+@query
+def retention_state_flags(t: Tables) -> DataFrame:
+    """Flags on the last day of the range, from the state of its first day and the orders since."""
+    history, recurring = _order_lines(t)
+    begun = customers.begin_state(history, recurring, RETENTION_START, COHORT_START)
+    since = (F.col("order_date") > F.lit(RETENTION_START)) & (F.col("order_date") <= F.lit(RETENTION_END))
+    state, left = customers.advance_state(*begun, recurring.filter(since), COHORT_START)
+    return customers.state_flags(state, left, RETENTION_END, COHORT_START)
+
+
 _CHANNEL_COLUMNS = ("channel_id", "channel_name", "order_number", "order_date")
 
 
