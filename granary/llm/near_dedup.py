@@ -1,28 +1,33 @@
 """Near duplicates by an LSH forest over MinHash signatures.
 
 1. *Signatures.* One pass gives every document its number of distinct shingles, a digest of
-   its shingle set and 256 minima, kept as one bit each and as eight values for each tree.
-   Documents with equal sets are one class; only one row of a class goes on.
-2. *Forest.* Each tree is a sorted order of the signatures by its own values. Rows that share
-   the first two values of an order are a region, and neighbours by longest common prefix
-   are its candidates.
-3. *Candidates.* Inside a region signatures are compared, but pairs are not given out: each
-   row names the partner whose signature is nearest. These pairs are confirmed on the full
-   shingle sets and joined to groups, which settles most rows. For this step alone, a prefix
-   that more rows share than a task should hold is read deeper (4, then 8 values) and then
-   dealt into blocks, and the row that is named most in such a region is compared with all
-   its rows, so a family around one original is one group.
-4. *The rest.* Rows that still have a candidate in another group take their full sets to
-   their regions, where every remaining candidate pair is compared; a region gives out one
-   link for each two groups it joins. A region that is too large for a task is dealt into
-   blocks that meet two by two. Large groups have blocks of their own, and blocks of one
-   group do not meet. No candidate is left out. What moves grows with the rows, but for
-   large regions that stay in many groups: theirs grows with the pairs of their blocks.
+   its shingle set and 256 minima, also as one bit each. Documents with equal sets are one
+   class; only one row of a class goes on.
+2. *Forest.* Each order sorts all signatures by minima of its own, over range partitions, so
+   neighbours in it share the longest prefixes. Rows that share the shortest prefix that
+   counts (two minima) are a region.
+3. *Neighbours.* Each row walks from its longest common prefix to shorter ones and stops at
+   the first that holds a candidate, a row whose signature bits and set size allow the wanted
+   similarity. So the depth is that of the region around the row. These pairs are confirmed
+   on the full shingle sets and joined to groups, which settles most rows.
+4. *The rest.* A region that still has rows of several groups is read down to its shortest
+   prefix: every candidate pair of different groups is compared on the full sets, and a region
+   gives out one link for each two groups it joins.
+5. *Crowded regions* are no task of their own. The row that is named most often in one is
+   compared with all its rows, so a family around one original becomes one group. If groups
+   remain, their rows go into a second forest with deeper prefixes (five minima) and many more
+   orders, which finds as many of the pairs among far fewer candidates. Only regions that are
+   crowded there too are dealt into blocks that meet two by two.
+
+No limit grows with the rows, and no candidate is left out. A pair at a similarity of 0.75
+shares no region of the first forest with probability 5e-5, none of the second with 1e-6, and
+has too few equal bits with 3e-6; these bound what may be missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,20 +40,31 @@ from granary.llm.shared import components, written
 SHINGLE = 5
 PERCENT = 75
 VALUES = 256
-TREES = 12
-DEPTHS = (2, 4, 8)
-#: Equal bits (of 256) from which a pair is a candidate: nearly four standard deviations
-#: below the 224 that a similarity of 0.75 gives on average.
-LIKELY = 204
-#: Bit of the keys of parts of regions.
-PART = 16
-#: A task holds a region of up to this many rows, or this share of all rows.
+
+
+@dataclass(frozen=True)
+class Orders:
+    """A forest: its orders, the minima an order sorts by, and the shortest prefix."""
+
+    count: int
+    values: int
+    shortest: int
+
+
+#: The usual forest, and the one for rows of crowded regions.
+FORESTS = (Orders(12, 8, 2), Orders(51, 5, 5))
+#: Equal bits (of 256) from which a pair is a candidate: 4.5 standard deviations below the
+#: 224 that a similarity of 0.75 gives on average.
+LIKELY = 200
+#: A region with more rows is crowded.
 REGION_ROWS = 4096
-REGION_SHARE = 4096
+SALTS = 32
 
 _FACTORS = np.random.default_rng(20240229).integers(0, 2**63, size=VALUES // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, sig binary, orders binary"
+_SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, sig binary, minima binary"
 _ROWS = "key long, rep long, n long, sig binary"
+_FOREST = _ROWS + ", label binary"
+_FOUND = _ROWS + ", partner long, open boolean"
 _MEETING = _ROWS + ", root long, region long, side long"
 
 
@@ -79,14 +95,14 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 def _signed(size: int):
     def run(batches):
         for batch in W.parts(batches):
-            n, a, b, sig, orders = [], [], [], [], []
+            n, a, b, sig, low = [], [], [], [], []
             for s in shingle_sets(W.utf8(batch.column("text")), size):
                 n.append(len(s))
                 a.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                 b.append(int(W.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
                 least = minima(s)
                 sig.append(np.packbits((least >> np.uint32(4)) & np.uint32(1)).tobytes())
-                orders.append((least[: TREES * DEPTHS[-1]] & np.uint32(0xFFFF)).astype(np.uint16).tobytes())
+                low.append((least & np.uint32(0xFFFF)).astype(">u2").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -94,166 +110,78 @@ def _signed(size: int):
                     pa.array(a, pa.int64()),
                     pa.array(b, pa.int64()),
                     pa.array(sig, pa.binary()),
-                    pa.array(orders, pa.binary()),
+                    pa.array(low, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "sig", "orders"],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "sig", "minima"],
             )
 
     return run
 
 
-def _keys(values: np.ndarray, tree: int, depth: int) -> np.ndarray:
-    """Hash of the first ``depth`` values of a tree's order."""
-    h = np.full(len(values), tree * 64 + depth, dtype=np.uint64)
-    for j in range(depth):
-        h = W.mix(h + values[:, tree * DEPTHS[-1] + j])
-    return _marked(h, tree, depth > DEPTHS[0])
-
+def _key(h: np.ndarray, order: int) -> np.ndarray:
+    """A hash with the number of its order in the last six bits."""
+    return ((h & ~np.uint64(63)) | np.uint64(order)).view(np.int64)
 
-def _marked(h: np.ndarray, tree: int, part: bool) -> np.ndarray:
-    """Key with the number of its tree in the last four bits, and whether it is a part of a region."""
-    return ((h & ~np.uint64(31)) | np.uint64(PART * part + tree)).view(np.int64)
 
-
-def _values(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, TREES * DEPTHS[-1]).astype(np.uint64)
-
-
-def _deep(values: np.ndarray, tree: int, hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Key of each row in a tree, at the depth its region needs, and that depth's number."""
-    key = _keys(values, tree, DEPTHS[0])
-    level = np.zeros(len(key), dtype=np.int64)
-    for k, crowded in enumerate(hot):
-        more = (level == k) & np.isin(key, crowded)
-        if k + 1 < len(DEPTHS):
-            key[more] = _keys(values[more], tree, DEPTHS[k + 1])
-        level[more] = k + 1
-    return key, level
-
-
-def _census(hot: list[np.ndarray], shards: int):
-    """Rows of each key at the depth after ``hot``, as blocks per shard of keys."""
+def _forest(forest: Orders):
+    """A row for each class and order: its region, and the minima the order sorts by."""
 
     def run(batches):
         for batch in batches:
-            values = _values(batch.column("orders"))
-            found = [key[level == len(hot)] for key, level in (_deep(values, t, hot) for t in range(TREES))]
-            key, n = np.unique(np.concatenate(found), return_counts=True)
-            shard = np.mod(key, shards)
-            for s in np.unique(shard).tolist():
-                mine = shard == s
+            least = np.frombuffer(b"".join(batch.column("minima").to_pylist()), dtype=">u2").reshape(-1, VALUES)
+            sig = batch.column("sig")
+            rep, n = batch.column("rep"), batch.column("n_shingles")
+            for t in range(forest.count):
+                own = least[:, t * forest.values : (t + 1) * forest.values]
+                h = np.full(len(own), t + 64 * forest.shortest, dtype=np.uint64)
+                for j in range(forest.shortest):
+                    h = W.mix(h + own[:, j])
+                labels = np.ascontiguousarray(own).tobytes()
+                width = 2 * forest.values
+                label = [labels[i * width : (i + 1) * width] for i in range(len(own))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([s], pa.int64()), pa.array([key[mine].tobytes()], pa.binary()), pa.array([n[mine].astype(np.int64).tobytes()], pa.binary())],
-                    names=["shard", "key", "n"],
+                    [pa.array(_key(h, t)), rep, n, sig, pa.array(label, pa.binary())], names=["key", "rep", "n", "sig", "label"]
                 )
 
     return run
 
 
-def _crowded(limit: int):
-    def run(table: pa.Table) -> pa.Table:
-        key = np.frombuffer(b"".join(table.column("key").to_pylist()), dtype=np.int64)
-        n = np.frombuffer(b"".join(table.column("n").to_pylist()), dtype=np.int64)
-        key, at = np.unique(key, return_inverse=True)
-        total = np.bincount(at, weights=n).astype(np.int64)
-        return pa.table({"key": key[total > limit], "n": total[total > limit]})
-
-    return run
-
-
-def _forest(hot: list[np.ndarray], blocks: int):
-    """A row for each class and tree, under its region's key."""
-
-    def run(batches):
-        for batch in batches:
-            values = _values(batch.column("orders"))
-            sig = batch.column("sig").to_pylist()
-            rep, n = batch.column("rep").to_numpy(), batch.column("n_shingles").to_numpy()
-            for t in range(TREES):
-                key, level = _deep(values, t, hot)
-                last = level == len(DEPTHS)
-                if last.any():
-                    block = np.mod(W.mix(rep[last].view(np.uint64)), np.uint64(blocks))
-                    key[last] = _marked(W.mix(key[last].view(np.uint64) + block), t, True)
-                yield _rows(key, rep, n, sig)
-
-    return run
-
-
-def _crowd(crowded: np.ndarray):
-    """Whole regions of the given keys, whatever their size."""
-
-    def run(batches):
-        for batch in batches:
-            values = _values(batch.column("orders"))
-            sig = batch.column("sig").to_pylist()
-            rep, n = batch.column("rep").to_numpy(), batch.column("n_shingles").to_numpy()
-            for t in range(TREES):
-                key = _keys(values, t, DEPTHS[0])
-                at = np.flatnonzero(np.isin(key, crowded))
-                yield _rows(key[at], rep[at], n[at], [sig[i] for i in at])
-
-    return run
-
-
-def _to_hubs(hubs: dict[int, tuple[int, int, bytes]], percent: int):
-    """Candidate pairs of rows with the hubs of their regions."""
-
-    def run(batches):
-        for batch in batches:
-            key, rep, n = (batch.column(c).to_numpy() for c in ("key", "rep", "n"))
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint64).reshape(-1, VALUES // 64)
-            for k in np.unique(key).tolist():
-                if k not in hubs:
-                    continue
-                at = np.flatnonzero(key == k)
-                hub, size, own = hubs[k]
-                mine = {"rep": np.append(rep[at], hub), "n": np.append(n[at], size), "sig": np.vstack((sig[at], np.frombuffer(own, dtype=np.uint64)))}
-                near = rep[at][_likely(mine, len(at), percent)[:-1] > 0]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(near, hub)), pa.array(np.maximum(near, hub))], names=["a", "b"])
-
-    return run
-
-
-def _met(layout: dict[int, tuple[int, dict[int, int]]]):
+def _met(batches) -> Iterator[pa.RecordBatch]:
     """Rows of crowded regions for each two blocks that meet, and for each block of many groups.
 
-    ``layout`` has the blocks of small groups together, and those of each large group.
+    Small groups of a region share ``mixed`` blocks; each of the ``large`` ones has its own.
+    Blocks of one group do not meet.
     """
-
-    def run(batches):
-        for batch in batches:
-            key, rep, root = (batch.column(c).to_numpy() for c in ("key", "rep", "root"))
-            for k in np.unique(key).tolist():
-                mixed, large = layout[k]
-                at = np.flatnonzero(key == k)
-                block = np.mod(W.mix(root[at].view(np.uint64)), np.uint64(max(1, mixed))).astype(np.int64)
-                owner = [-1] * mixed
-                for g, parts in large.items():
-                    mine = root[at] == g
-                    block[mine] = len(owner) + np.mod(W.mix(rep[at][mine].view(np.uint64)), np.uint64(parts)).astype(np.int64)
-                    owner += [g] * parts
-                group, pure = np.array(owner), np.arange(len(owner)) >= mixed
-                for b in np.unique(block).tolist():
-                    others = np.flatnonzero(~(pure & pure[b] & (group == group[b])))
-                    if not len(others):
-                        continue
-                    low, high = np.minimum(others, b), np.maximum(others, b)
-                    task = _marked(W.mix(np.uint64(k % 2**64) + W.mix((low * len(owner) + high).astype(np.uint64))), k & 15, True)
-                    # Rows of two blocks are compared across, those of one block with each other.
-                    side = np.where(low == high, -1, (b == high).astype(np.int64))
-                    mine = batch.take(pa.array(np.repeat(at[block == b], len(others))))
-                    times = int((block == b).sum())
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.tile(task, times)),
-                            *(mine.column(c) for c in ("rep", "n", "sig", "root", "key")),
-                            pa.array(np.tile(side, times)),
-                        ],
-                        names=["key", "rep", "n", "sig", "root", "region", "side"],
-                    )
-
-    return run
+    for batch in batches:
+        key, rep, root = (batch.column(c).to_numpy() for c in ("key", "rep", "root"))
+        for k in np.unique(key).tolist():
+            at = np.flatnonzero(key == k)
+            mixed = batch.column("mixed")[int(at[0])].as_py()
+            block = np.mod(W.mix(root[at].view(np.uint64)), np.uint64(max(1, mixed))).astype(np.int64)
+            owner = [-1] * mixed
+            for g in sorted(batch.column("large")[int(at[0])].as_py(), key=lambda g: g["root"]):
+                mine = root[at] == g["root"]
+                block[mine] = len(owner) + np.mod(W.mix(rep[at][mine].view(np.uint64)), np.uint64(g["parts"])).astype(np.int64)
+                owner += [g["root"]] * g["parts"]
+            group, pure = np.array(owner), np.arange(len(owner)) >= mixed
+            for b in np.unique(block).tolist():
+                others = np.flatnonzero(~(pure & pure[b] & (group == group[b])))
+                if not len(others):
+                    continue
+                low, high = np.minimum(others, b), np.maximum(others, b)
+                task = _key(W.mix(np.uint64(k % 2**64) + W.mix((low * len(owner) + high).astype(np.uint64))), k & 63)
+                # Rows of two blocks are compared across, those of one block with each other.
+                side = np.where(low == high, -1, (b == high).astype(np.int64))
+                mine = batch.take(pa.array(np.repeat(at[block == b], len(others))))
+                times = int((block == b).sum())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.tile(task, times)),
+                        *(mine.column(c) for c in ("rep", "n", "sig", "root", "key")),
+                        pa.array(np.tile(side, times)),
+                    ],
+                    names=["key", "rep", "n", "sig", "root", "region", "side"],
+                )
 
 
 def _rows(key, rep, n, sig) -> pa.RecordBatch:
@@ -263,38 +191,66 @@ def _rows(key, rep, n, sig) -> pa.RecordBatch:
     )
 
 
+def _cut(table: pa.Table, least: int = 2) -> Iterator[dict[str, np.ndarray]]:
+    """Regions of ``least`` rows or more of a table that holds them whole, one after another."""
+    key = table.column("key").to_numpy()
+    opens = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    size = np.diff(np.append(opens, len(key)))
+    many = size >= least
+    if not many.any():
+        return
+    table = table.filter(pa.array(np.repeat(many, size)))
+    cols = {c: _column(table.column(c)) for c in table.schema.names if c != "sig"}
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint64).reshape(-1, VALUES // 64)
+    end = np.cumsum(size[many])
+    for b, e in zip((end - size[many]).tolist(), end.tolist(), strict=True):
+        yield {c: v[b:e] for c, v in cols.items()} | {"sig": sig[b:e]}
+
+
 def _regions(batches) -> Iterator[dict[str, np.ndarray]]:
     """Regions of two rows or more, from rows sorted by key."""
+    for r, _ in _pieces(batches, None):
+        if len(r["rep"]) > 1:
+            yield r
+
+
+def _pieces(batches, limit: int | None) -> Iterator[tuple[dict[str, np.ndarray], bool]]:
+    """Regions from sorted rows, and whether one surely is here as a whole.
+
+    Single rows are left out where they are whole regions. With a ``limit`` the first and the
+    last region of the task may go on in others, and larger regions come in pieces.
+    """
     held: list[pa.RecordBatch] = []
+    parted = limit is not None  # whether what is held began earlier
 
-    def cut(table: pa.Table) -> Iterator[dict[str, np.ndarray]]:
-        key = table.column("key").to_numpy()
-        opens = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        size = np.diff(np.append(opens, len(key)))
-        many = size > 1
-        if not many.any():
-            return
-        mine = np.repeat(many, size)
-        table = table.filter(pa.array(mine))
-        cols = {c: _column(table.column(c)) for c in table.schema.names if c != "sig"}
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint64).reshape(-1, VALUES // 64)
-        end = np.cumsum(size[many])
-        for b, e in zip((end - size[many]).tolist(), end.tolist(), strict=True):
-            order = b + np.argsort(cols["rep"][b:e], kind="stable")
-            yield {c: v[order] for c, v in cols.items()} | {"sig": sig[order]}
+    def close(whole: bool) -> Iterator[tuple[dict[str, np.ndarray], bool]]:
+        if held:
+            for r in _cut(pa.Table.from_batches(held), 2 if whole else 1):
+                yield r, whole
+            held.clear()
 
+    last = None
     for batch in batches:
         if not batch.num_rows:
             continue
         key = batch.column("key").to_numpy()
-        start = int(np.searchsorted(key, key[-1]))
-        if start == 0 and held and held[-1].column("key")[-1].as_py() == key[0]:
-            held.append(batch)
-            continue
-        yield from cut(pa.Table.from_batches([*held, batch.slice(0, start)]))
-        held = [batch.slice(start)]
-    if held:
-        yield from cut(pa.Table.from_batches(held))
+        if last is not None and key[0] != last:
+            yield from close(not parted)
+            parted = False
+        last = key[-1]
+        change = np.flatnonzero(key[1:] != key[:-1]) + 1
+        if len(change):
+            held.append(batch.slice(0, int(change[0])))
+            yield from close(not parted)
+            parted = False
+            for r in _cut(pa.Table.from_batches([batch.slice(int(change[0]), int(change[-1] - change[0]))])):
+                yield r, limit is None or len(r["rep"]) <= limit
+            batch = batch.slice(int(change[-1]))
+        held.append(batch)
+        if limit is not None and sum(b.num_rows for b in held) > limit:
+            parted = True
+            yield from close(False)
+    yield from close(limit is None)
 
 
 def _column(column) -> np.ndarray:
@@ -308,9 +264,14 @@ def _column(column) -> np.ndarray:
 
 def _likely(r: dict[str, np.ndarray], i: int, percent: int) -> np.ndarray:
     """Equal bits of row i of a region with every row, 0 for those that are no candidates."""
-    same = VALUES - np.bitwise_count(r["sig"] ^ r["sig"][i]).sum(axis=1, dtype=np.int64)
-    low, high = np.minimum(r["n"], r["n"][i]), np.maximum(r["n"], r["n"][i])
-    return np.where((100 * low >= percent * high) & (same >= LIKELY) & (r["rep"] != r["rep"][i]), same, 0)
+    return _equal(r["sig"], r["sig"][i], r["n"], r["n"][i], percent) * (r["rep"] != r["rep"][i])
+
+
+def _equal(sig, other, n, size, percent: int) -> np.ndarray:
+    """Equal bits of signatures, 0 where these or the sizes of the sets rule a link out."""
+    same = VALUES - np.bitwise_count(sig ^ other).sum(axis=1, dtype=np.int64)
+    low, high = np.minimum(n, size), np.maximum(n, size)
+    return np.where((100 * low >= percent * high) & (same >= LIKELY), same, 0)
 
 
 def _apart(r: dict[str, np.ndarray], i: int) -> np.ndarray:
@@ -318,21 +279,56 @@ def _apart(r: dict[str, np.ndarray], i: int) -> np.ndarray:
     return (r["root"] != r["root"][i]) & ((r["side"] != r["side"][i]) | (r["side"] < 0))
 
 
-def _members(percent: int):
-    """Rows of regions that have a candidate there, and the nearest one."""
+def _nearest(r: dict[str, np.ndarray], percent: int, forest: Orders) -> np.ndarray:
+    """For each row of a region sorted by label its nearest candidate, or -1: the one with most
+    equal bits among those with the longest prefix that has any."""
+    m = len(r["rep"])
+    partner = np.full(m, -1)
+    labels = np.frombuffer(b"".join(r["label"]), dtype=">u2").reshape(m, forest.values)
+    # Minima that each row shares with the row before it in the order.
+    common = np.concatenate(([0], (np.cumprod(labels[1:] == labels[:-1], axis=1)).sum(axis=1)))
+    for depth in range(forest.values, forest.shortest - 1, -1):
+        if depth > forest.shortest and (common[1:] < depth).all():
+            continue
+        opens = np.flatnonzero(common < depth) if depth > forest.shortest else np.array([0])
+        ends = np.append(opens[1:], m)
+        for b, e in zip(opens.tolist(), ends.tolist(), strict=True):
+            todo = b + np.flatnonzero(partner[b:e] < 0)
+            if e - b < 2 or not len(todo):
+                continue
+            run = {c: r[c][b:e] for c in ("rep", "n", "sig")}
+            for i in todo.tolist():
+                same = _likely(run, i - b, percent)
+                if same.any():
+                    partner[i] = b + int(same.argmax())
+    return partner
+
+
+def _neighbours(percent: int, forest: Orders, limit: int):
+    """Rows that have a candidate in their region, with the nearest one, and all rows of regions
+    that are not here as a whole."""
 
     def run(batches):
-        for r in _regions(batches):
-            nearest = [_likely(r, i, percent) for i in range(len(r["rep"]))] if len(r["rep"]) < 64 else None
-            at, partner = [], []
-            for i in range(len(r["rep"])):
-                same = nearest[i] if nearest else _likely(r, i, percent)
-                if same.any():
-                    at.append(i)
-                    partner.append(int(r["rep"][same.argmax()]))
-            if at:
+        for r, whole in _pieces(batches, limit):
+            partner = _nearest(r, percent, forest)
+            at = np.flatnonzero(partner >= 0) if whole else np.arange(len(partner))
+            if len(at):
                 rows = _rows(r["key"][at], r["rep"][at], r["n"][at], [r["sig"][i].tobytes() for i in at])
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(partner, pa.int64())], names=[*rows.schema.names, "partner"])
+                named = pa.array([int(r["rep"][p]) if p >= 0 else None for p in partner[at].tolist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([*rows.columns, named, pa.array(np.full(len(at), not whole))], names=[*rows.schema.names, "partner", "open"])
+
+    return run
+
+
+def _to_hubs(percent: int):
+    """Candidate pairs of rows with the hubs of their regions."""
+
+    def run(batches):
+        for batch in batches:
+            rep, hub, n, size = (batch.column(c).to_numpy() for c in ("rep", "hub", "n", "hub_n"))
+            sig, own = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint64).reshape(-1, VALUES // 64) for c in ("sig", "hub_sig"))
+            near = _equal(sig, own, n, size, percent) * (rep != hub) > 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep, hub)[near]), pa.array(np.maximum(rep, hub)[near])], names=["a", "b"])
 
     return run
 
@@ -359,10 +355,10 @@ def _settled(percent: int):
     def run(batches):
         for r in _regions(batches):
             rep, root = r["rep"], r["root"]
-            tree = int(r["key"][0]) & 15
-            keys = -1 - np.arange(len(rep) * TREES, dtype=np.int64).reshape(len(rep), TREES)
+            tree = int(r["key"][0]) & 63
+            keys = -1 - np.arange(len(rep) * 64, dtype=np.int64).reshape(len(rep), 64)
             for i, own in enumerate(r["regions"]):
-                keys[i, own & 15] = own
+                keys[i, own & 63] = own
             sets = [_unpacked(x) for x in r["shingles"]]
             size = np.array([len(x) for x in sets])
             # Rows of each shingle, so that one pass counts what a row shares with all others.
@@ -455,121 +451,126 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     distinct shingles of ``shingle`` words, or the whole text as one if it has fewer. Null and
     empty texts and texts without words have an empty set and link with nothing. A row
     without doc_id is a group of its own with a null component_id, and kept. Rows that
-    repeat a doc_id share one component, and all are kept if that id is its smallest; if
-    their texts differ, links are confirmed on one of them.
-    Other columns are ignored, whatever their names. An empty table gives no rows.
+    repeat a doc_id are in one component, whatever their texts, and all are kept if that id is
+    its smallest. Other columns are ignored, whatever their names. An empty table gives no
+    rows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     signed = written(rows.mapInArrow(_signed(shingle), _SIGNED), "signatures")
     sets_key = ["set_a", "set_b", "n_shingles"]
+    # Rows of one id may be of several classes; these share the id that stands for them.
+    known = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = written(
-        signed.filter("n_shingles > 0 and doc_id is not null")
-        .groupBy(*sets_key)
-        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("orders").alias("orders")),
-        "classes",
+        known.groupBy(*sets_key).agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("minima").alias("minima")), "classes"
     )
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    limit = max(REGION_ROWS, classes.count() // REGION_SHARE)
-    hot: list[np.ndarray] = []
-    while len(hot) < len(DEPTHS):
-        # At most REGION_SHARE keys of a tree can hold more than that share of its rows.
-        crowded = (
-            classes.mapInArrow(_census(hot, parts), "shard long, key binary, n binary")
-            .groupBy("shard")
-            .applyInArrow(_crowded(limit), "key long, n long")
-            .collect()
-        )
-        if not crowded:
+    held = known.select("doc_id", *sets_key).join(classes.select(*sets_key, "rep"), sets_key)
+    of_id = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z")
+    links = written(held.join(of_id, "doc_id").select("a", F.col("rep").alias("b")).filter("a <> b").distinct(), "links")
+
+    signs = classes.select("rep", "n_shingles", "sig", "minima")
+    for forest in FORESTS:
+        links, crowd = _searched(signs, rows, links, forest, shingle, percent)
+        if crowd is None:
             break
-        hot.append(np.array([r["key"] for r in crowded], dtype=np.int64))
-        most = max(r["n"] for r in crowded)
-    blocks = -(-most // limit) if len(hot) == len(DEPTHS) else 1
-
-    signs = classes.select("rep", "n_shingles", "sig", "orders")
-    members = written(
-        _by_key(signs.mapInArrow(_forest(hot, blocks), _ROWS), parts).mapInArrow(_members(percent), _ROWS + ", partner long"),
-        "regions",
-    )
-    named = members.select(F.least("rep", "partner").alias("a"), F.greatest("rep", "partner").alias("b"))
-    reps = members.select("rep")
-    if hot:
-        crowd = written(signs.mapInArrow(_crowd(hot[0]), _ROWS), "crowd")
-        pairs = written(crowd.mapInArrow(_to_hubs(_hubs(crowd, members), percent), "a long, b long").distinct(), "pairs")
-        named, reps = named.unionByName(pairs), reps.union(pairs.select(F.explode(F.array("a", "b"))))
-    needed = reps.distinct()
-    sets = _sets(rows, needed.hint("merge"), shingle)
-    links = written(_confirm(named.distinct(), sets, percent), "links")
+        signs = written(signs.join(crowd.select("rep").distinct(), "rep", "left_semi"), "crowd")
     roots = components(links).withColumnRenamed("id", "rep")
-    rooted = (
-        members.filter(F.col("key").bitwiseAND(PART) == 0)
-        .select("key", "rep", "n", "sig")
-        .join(roots, "rep", "left")
-        .select("key", "rep", "n", "sig", F.coalesce("root", "rep").alias("root"), F.col("key").alias("region"), F.lit(-1).cast("long").alias("side"))
-    )
-    if hot:
-        crowd = written(crowd.join(roots, "rep", "left").select("key", "rep", "n", "sig", F.coalesce("root", "rep").alias("root")), "crowd")
-        rooted = rooted.unionByName(crowd.mapInArrow(_met(_layout(crowd, limit // 2)), _MEETING))
-    unsettled = written(_by_key(rooted, parts).mapInArrow(_open(percent), _MEETING), "unsettled")
-    if hot:
-        # Mostly none: rows whose candidates are all in other blocks.
-        missing = written(unsettled.select("rep").distinct().join(needed, "rep", "left_anti"), "missing")
-        if not missing.isEmpty():
-            sets = sets.unionByName(_sets(rows, missing, shingle))
-    regions_of = unsettled.groupBy("rep").agg(F.collect_set("region").alias("regions"))
-    last = written(
-        _by_key(unsettled.join(regions_of, "rep").hint("merge").join(sets, "rep"), parts).mapInArrow(_settled(percent), "a long, b long"),
-        "links",
-    )
-    roots = components(links.unionByName(last)).withColumnRenamed("id", "rep")
 
     class_roots = (
         classes.select(*sets_key, "rep").join(roots, "rep", "left").select(*sets_key, F.coalesce("root", "rep").alias("found"))
     )
-    component = F.when(F.col("n_shingles") > 0, F.col("found")).otherwise(F.col("doc_id"))
+    found = signed.select("doc_id", *sets_key).join(class_roots, sets_key, "left")
+    # A row without words is in the component of other rows of its id.
+    wordless = found.filter("n_shingles = 0 and doc_id is not null").select("doc_id").distinct()
+    beside = found.filter("n_shingles > 0").join(wordless, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("found").alias("other"))
+    component = F.coalesce("found", "other", "doc_id")
     return (
-        signed.select("doc_id", *sets_key)
-        .join(class_roots, sets_key, "left")
+        found.join(beside, "doc_id", "left")
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
         .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
     )
 
 
+def _with_key(rows: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
+    """Join rows with one row a key, spread over salts, as a key may hold very many rows."""
+    spread = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(spread, ["key", "_salt"], how).drop("_salt")
+
+
+def _searched(signs: DataFrame, rows: DataFrame, links: DataFrame, forest: Orders, shingle: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """``links`` with those a forest over ``signs`` finds, and the rows of its crowded regions
+    that remain in several groups, if any and if a deeper forest is left for them."""
+    spark = signs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    limit = REGION_ROWS
+    ordered = signs.mapInArrow(_forest(forest), _FOREST).repartitionByRange(parts, "key", "label", "rep").sortWithinPartitions("key", "label", "rep")
+    found = written(ordered.mapInArrow(_neighbours(percent, forest, limit), _FOUND), "neighbours")
+    named = found.filter("partner is not null").select(F.least("rep", "partner").alias("a"), F.greatest("rep", "partner").alias("b"))
+    sizes = written(found.filter("open").groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > limit), "crowded")
+    crowded = not sizes.isEmpty()
+    if crowded:
+        crowd = written(_with_key(found.select("key", "rep", "n", "sig"), sizes.select("key")), "crowd")
+        named = named.unionByName(_with_key(crowd, _hubs(crowd, named)).mapInArrow(_to_hubs(percent), "a long, b long"))
+    pairs = written(named.distinct(), "pairs")
+    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "needed")
+    sets = _sets(rows, needed, shingle)
+    links = written(links.unionByName(_confirm(pairs, sets, percent)), "links")
+    roots = components(links).withColumnRenamed("id", "rep")
+
+    rooted = (
+        found.select("key", "rep", "n", "sig")
+        .join(roots, "rep", "left")
+        .select("key", "rep", "n", "sig", F.coalesce("root", "rep").alias("root"), F.col("key").alias("region"), F.lit(-1).cast("long").alias("side"))
+    )
+    several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).filter("low < high")
+    rooted = written(_with_key(rooted, several.select("key", "m")), "rooted")
+    several_left = rooted.filter(F.col("m") > limit).select("key", "rep", "n", "sig", "root")
+    rooted = rooted.filter(F.col("m") <= limit).drop("m")
+    blocked = None
+    if crowded:
+        left = written(several_left, "crowd")
+        if not left.isEmpty():
+            if forest is FORESTS[-1]:
+                rooted = rooted.unionByName(_with_key(left, _layout(left, limit // 2)).mapInArrow(_met, _MEETING))
+            else:
+                blocked = left
+    unsettled = written(_by_key(rooted, parts).mapInArrow(_open(percent), _MEETING), "unsettled")
+    # Rows that no neighbour has named.
+    missing = written(unsettled.select("rep").distinct().join(needed, "rep", "left_anti"), "missing")
+    if not missing.isEmpty():
+        sets = sets.unionByName(_sets(rows, missing, shingle))
+    regions_of = unsettled.groupBy("rep").agg(F.collect_set("region").alias("regions"))
+    settled = _by_key(unsettled.join(regions_of, "rep").hint("merge").join(sets, "rep"), parts).mapInArrow(_settled(percent), "a long, b long")
+    return written(links.unionByName(settled), "links"), blocked
+
+
 def _sets(rows: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
     """Full sets of the given documents."""
     return written(
         rows.join(reps.withColumnRenamed("rep", "doc_id"), "doc_id")
         .mapInArrow(_packed(shingle), "rep long, shingles binary")
-        .dropDuplicates(["rep"]),
+        .distinct(),
         "shingles",
     )
 
 
-def _hubs(crowd: DataFrame, members: DataFrame) -> dict[int, tuple[int, int, bytes]]:
-    """The row of each crowded region that most rows name as partner; as few as those regions."""
-    votes = members.groupBy(F.col("partner").alias("rep")).agg(F.count("*").alias("votes"))
-    found = (
-        crowd.join(votes, "rep")
-        .groupBy("key")
-        .agg(F.max_by(F.struct("rep", "n", "sig"), F.struct("votes", -F.col("rep"))).alias("hub"))
-        .collect()
+def _hubs(crowd: DataFrame, named: DataFrame) -> DataFrame:
+    """The row of each crowded region that most rows name as partner."""
+    votes = named.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("votes"))
+    hub = F.max_by(F.struct("rep", "n", "sig"), F.struct("votes", -F.col("rep"))).alias("hub")
+    return crowd.join(votes, "rep").groupBy("key").agg(hub).select(
+        "key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.sig").alias("hub_sig")
     )
-    return {r["key"]: (r["hub"]["rep"], r["hub"]["n"], bytes(r["hub"]["sig"])) for r in found}
 
 
-def _layout(crowd: DataFrame, size: int) -> dict[int, tuple[int, dict[int, int]]]:
+def _layout(crowd: DataFrame, size: int) -> DataFrame:
     """Blocks of each crowded region: of its small groups together, and of each large group."""
     blocks = lambda n: F.ceil(n / size).cast("long")
     groups = crowd.groupBy("key", "root").agg(F.count("*").alias("m"))
-    found = (
-        groups.groupBy("key")
-        .agg(
-            blocks(F.coalesce(F.sum(F.when(F.col("m") <= size, F.col("m"))), F.lit(0))).alias("mixed"),
-            F.collect_list(F.when(F.col("m") > size, F.struct("root", blocks(F.col("m")).alias("parts")))).alias("large"),
-        )
-        .collect()
+    return groups.groupBy("key").agg(
+        blocks(F.coalesce(F.sum(F.when(F.col("m") <= size, F.col("m"))), F.lit(0))).alias("mixed"),
+        F.collect_list(F.when(F.col("m") > size, F.struct("root", blocks(F.col("m")).alias("parts")))).alias("large"),
     )
-    return {r["key"]: (r["mixed"], {g["root"]: g["parts"] for g in r["large"]}) for r in found}
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:

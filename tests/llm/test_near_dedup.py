@@ -70,20 +70,6 @@ def test_families_equal_brute_force(spark, copies):
     assert by_key(columns(near_dedup.near_groups(df))) == by_key(brute(copies))
 
 
-def test_crowded_regions_are_read_deeper(spark, copies, monkeypatch):
-    monkeypatch.setattr(near_dedup, "REGION_ROWS", 4)
-    monkeypatch.setattr(near_dedup, "REGION_SHARE", 1000)
-    df = spark.createDataFrame(copies, "doc_id long, text string").repartition(6)
-    got, expected = columns(near_dedup.near_groups(df)), brute(copies)
-    # Deeper regions may miss a link; they never make a false one.
-    fine = {d: c for d, _, c, _ in expected}
-    parts = collections.defaultdict(set)
-    for d, _, c, _ in got:
-        parts[c].add(fine[d])
-    assert all(len(p) == 1 for p in parts.values())
-    assert len(parts) <= len(set(fine.values())) * 1.2
-
-
 def test_an_empty_table(docs):
     assert near_dedup.near_groups(docs.limit(0)).count() == 0
     assert near_dedup.near_groups(docs.filter("text is null")).count() == docs.filter("text is null").count()
@@ -107,6 +93,7 @@ def test_estimates_follow_the_similarity():
     rng = np.random.default_rng(2)
     both = rng.integers(0, 2**63, 600, dtype=np.uint64)
     a, b = np.sort(both[:525]), np.sort(both[75:])
+    assert near_dedup.FORESTS[0].count * near_dedup.FORESTS[0].values <= near_dedup.VALUES
     bits = [np.packbits((near_dedup.minima(s) >> np.uint32(4)) & np.uint32(1)).view(np.uint64) for s in (a, b)]
     same = near_dedup.VALUES - int(np.bitwise_count(bits[0] ^ bits[1]).sum())
     assert near_dedup.LIKELY <= same <= 245
@@ -116,7 +103,6 @@ def test_estimates_follow_the_similarity():
 def test_families_larger_than_a_region(spark, monkeypatch, originals):
     """Copies are near their original alone, which has not the smallest id."""
     monkeypatch.setattr(near_dedup, "REGION_ROWS", 8)
-    monkeypatch.setattr(near_dedup, "REGION_SHARE", 1000)
     rng = np.random.default_rng(11)
     base = prose(900, 200).split()
     texts = []
@@ -140,6 +126,68 @@ def test_families_larger_than_a_region(spark, monkeypatch, originals):
 
 def test_crowded_regions_equal_brute_force(spark, copies, monkeypatch):
     monkeypatch.setattr(near_dedup, "REGION_ROWS", 4)
-    monkeypatch.setattr(near_dedup, "REGION_SHARE", 1000)
     df = spark.createDataFrame(copies, "doc_id long, text string").repartition(6)
     assert by_key(columns(near_dedup.near_groups(df))) == by_key(brute(copies))
+
+
+def test_rows_that_repeat_an_id_are_one_document(spark, copies):
+    """Ids that stand before several texts, some without words, join what their texts join."""
+    cases = [(i // 3, t) for i, t in copies] + [(5, ""), (10**6, None), (None, copies[0][1])]
+    df = spark.createDataFrame(cases, "doc_id long, text string").repartition(6)
+    assert by_key(columns(near_dedup.near_groups(df))) == by_key(brute(cases))
+    few = [(0, copies[0][1]), (1, copies[0][1]), (1, prose(77, 30))]
+    got = columns(near_dedup.near_groups(spark.createDataFrame(few, "doc_id long, text string")))
+    assert {c for _, _, c, _ in got} == {0}
+
+
+@pytest.mark.parametrize("blocks_too", [False, True])
+def test_unlinked_rows_that_share_prefixes(spark, monkeypatch, blocks_too):
+    """Rows about 0.55 to each other crowd regions without links; some pairs among them have one."""
+    monkeypatch.setattr(near_dedup, "REGION_ROWS", 2 if blocks_too else 12)
+    rng = np.random.default_rng(12)
+    base, texts = prose(901, 160).split(), []
+    for k in range(120):
+        w = list(base)
+        for p in rng.choice(160, 12, replace=False):
+            w[p] = f"own{k}x{p}"
+        texts.append(" ".join(w))
+        if k % 10 == 0:
+            w[3] = "twin"
+            texts.append(" ".join(w))
+    cases = [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts, strict=True)]
+    df = spark.createDataFrame(cases, "doc_id long, text string").repartition(6)
+    expected = brute(cases)
+    assert 12 <= len({c for _, _, c, _ in expected}) <= 125
+    assert by_key(columns(near_dedup.near_groups(df))) == by_key(expected)
+
+
+def test_neighbours_have_the_longest_prefix_with_a_candidate():
+    rng = np.random.default_rng(4)
+    forest = near_dedup.Orders(1, 4, 2)
+    m = 60
+    labels = np.concatenate((np.full((m, 2), 7), rng.integers(0, 3, (m, 2))), axis=1).astype(">u2")
+    labels = labels[np.lexsort(labels.T[::-1])]
+    bits = rng.integers(0, 2**63, (8, 4), dtype=np.uint64)[rng.integers(0, 8, m)]
+    r = {"rep": np.arange(m), "n": np.full(m, 50), "sig": bits, "label": [x.tobytes() for x in labels]}
+    partner = near_dedup._nearest(r, 75, forest)
+    for i in range(m):
+        likely = [j for j in range(m) if j != i and (bits[i] == bits[j]).all()]
+        common = {j: int(np.cumprod(labels[i] == labels[j]).sum()) for j in likely}
+        if not likely:
+            assert partner[i] == -1
+        else:
+            assert partner[i] in likely and common[partner[i]] == max(common.values())
+
+
+def test_sorted_rows_come_in_whole_regions_or_pieces():
+    import pyarrow as pa
+
+    keys = np.repeat(np.arange(9), [3, 1, 2, 12, 1, 1, 4, 2, 5])
+    table = pa.table({"key": keys, "rep": np.arange(len(keys)), "sig": [bytes(32)] * len(keys)})
+    for size in (1, 2, 5, 100):
+        got = [(int(r["key"][0]), len(r["rep"]), whole) for r, whole in near_dedup._pieces(iter(table.to_batches(size)), 6)]
+        rows = {k: sum(n for key, n, _ in got if key == k) for k in range(9)}
+        assert rows == {0: 3, 1: 0, 2: 2, 3: 12, 4: 0, 5: 0, 6: 4, 7: 2, 8: 5}, size
+        assert {k for k, _, whole in got if not whole} == {0, 3, 8}
+        assert all(n <= 6 + size for _, n, whole in got if not whole)
+        assert [len(r["rep"]) for r in near_dedup._regions(iter(table.to_batches(size)))] == [3, 2, 12, 4, 2, 5]
