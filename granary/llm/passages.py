@@ -8,16 +8,19 @@ buckets by id. The steps:
    Phrases and document ids go to phrase shards, where phrases seen in two documents stay.
    A task passes on two ids for a phrase that it sees more often, so that a passage of
    every third document does not gather anywhere.
-2. *Confirmation.* Buckets send the windows around those phrases, as two independent 64-bit
-   hashes of all their words, to the shard of the phrase; it finds the first document of
-   each window and answers each bucket that holds a later one. Windows of two documents are
-   equal here if phrase and both hashes are: 128 bits, whatever the words have in common.
-3. *Automata.* Each bucket compiles Aho-Corasick automata from the words of its confirmed
-   passages, a bounded number of patterns in each, and streams its documents through them
-   whole. An occurrence in a bucket is a match of all words; it is removed if, by step 2, the
-   passage starts in a document with a smaller id.
-
-Text moves once. Everything else is 64-bit numbers in blocks, so the shuffled rows are few.
+2. *Confirmation.* Buckets send the words around those phrases to the shard of the phrase,
+   which compares the words of windows, finds the first document of each, and answers each
+   bucket that holds a later one with the passage and the first documents of its windows. The
+   windows of a phrase that very many documents have go out one by one to the shards of their
+   own words.
+3. *Automata.* The confirmed passages of a bucket, from whatever document they come, are
+   compiled to Aho-Corasick automata, a bounded number of patterns in each, and all documents
+   of the bucket are streamed through them whole. An occurrence is a match of all words; its
+   words are removed if the passage starts in a document with a smaller id.
+
+So each document meets all confirmed passages that it can hold, and only these. Hashes say
+where to look; every decision compares words. Text moves by document once and by repeated
+passage twice; everything else is 64-bit numbers in blocks, so the shuffled rows are few.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from granary.llm import words as W
+from granary.llm.shared import written
 
 WINDOW = 13
 PHRASE = 6
@@ -45,11 +49,17 @@ SHARD_BYTES = 8 << 20
 PATTERNS = 50_000
 VOCABULARY = 256 * 256
 
+#: A phrase is hot if it is in more than this share of all documents, and in so many at least.
+#: As a document has as many phrases as it has words at most, there are at most this number
+#: of hot phrases for each word of an average document.
+HOT_SHARE, HOT_LEAST = 4096, 512
+
 _OTHER = chr(1)
-_PHRASES = "shard long, fixed boolean, phrase binary, doc binary"
-_HITS = "bucket long, phrase binary, doc binary"
-_SPANS = "shard long, bucket long, phrase binary, span binary, size binary, word binary, other binary, low binary, high binary"
-_ANSWERS = "bucket long, span binary, size binary, first binary"
+_HOT = -1
+_PHRASES = "shard long, fixed boolean, phrase binary, doc binary, docs binary"
+_HITS = "bucket long, phrase binary"
+_SPANS = "shard long, bucket long, text binary, length binary, size binary, low binary, high binary"
+_ANSWERS = "bucket long, text binary, length binary, size binary, first binary"
 _RESULT = "doc_id long, kept_text string, n_words long, n_removed long, removed array<struct<start: long, stop: long>>"
 _NONE = np.iinfo(np.int64).max
 
@@ -117,6 +127,8 @@ def _phrase_blocks(shards: int, window: int):
             opens = np.concatenate(([True], phrase[1:] != phrase[:-1]))
             ends = np.concatenate((opens[1:], [True]))
             inner = ~(opens | ends)
+            docs = np.zeros(len(phrase), dtype=np.uint32)
+            docs[opens] = np.diff(np.append(np.flatnonzero(opens), len(phrase)))
             shard = (phrase % np.uint64(shards)).astype(np.int64)
             # Ids between the first and the last of a phrase need no other proof that it repeats.
             for fixed, mine in ((False, np.flatnonzero(~inner)), (True, np.flatnonzero(inner))):
@@ -129,55 +141,49 @@ def _phrase_blocks(shards: int, window: int):
                             pa.array([fixed] * len(rows)),
                             pa.array([_raw(phrase[a]) for _, a in rows], pa.binary()),
                             pa.array([_raw(doc[a]) for _, a in rows], pa.binary()),
+                            pa.array([b"" if fixed else _raw(docs[a]) for _, a in rows], pa.binary()),
                         ],
-                        names=["shard", "fixed", "phrase", "doc"],
+                        names=["shard", "fixed", "phrase", "doc", "docs"],
                     )
 
     return run
 
 
-def _repeated(buckets: int):
+def _repeated(buckets: int, hot: int):
+    """Phrases of two documents for the buckets that hold them, and, for the bucket _HOT, those
+    of more than ``hot`` documents."""
+
     def run(table: pa.Table) -> pa.Table:
         fixed = table.column("fixed")
         known = table.filter(fixed)
         new = table.filter(pa.compute.invert(fixed))
         phrase, doc = _joined(new.column("phrase"), np.uint64), _joined(new.column("doc"), np.int64)
+        docs = _joined(new.column("docs"), np.uint32)
         order = np.lexsort((doc, phrase))
-        phrase, doc = phrase[order], doc[order]
+        phrase, doc, docs = phrase[order], doc[order], docs[order].astype(np.int64)
         opens = np.flatnonzero(np.concatenate(([True], phrase[1:] != phrase[:-1]))) if len(phrase) else np.zeros(0, np.int64)
         size = np.diff(np.append(opens, len(phrase)))
         low, high = doc[opens], doc[opens + size - 1] if len(opens) else doc[opens]
+        crowded = phrase[opens][np.add.reduceat(docs, opens) > hot] if len(opens) else phrase
         many = np.repeat(low < high, size)
         phrase = np.concatenate((phrase[many], _joined(known.column("phrase"), np.uint64)))
         doc = np.concatenate((doc[many], _joined(known.column("doc"), np.int64)))
-        rows = list(_split(np.mod(W.spark_hash(doc), buckets))) if len(doc) else []
+        rows = [(k, np.unique(phrase[a])) for k, a in _split(np.mod(W.spark_hash(doc), buckets))] if len(doc) else []
+        rows += [(_HOT, crowded)] if len(crowded) else []
         return pa.table(
-            {
-                "bucket": pa.array([k for k, _ in rows], pa.int64()),
-                "phrase": pa.array([_raw(phrase[a]) for _, a in rows], pa.binary()),
-                "doc": pa.array([_raw(doc[a]) for _, a in rows], pa.binary()),
-            }
+            {"bucket": pa.array([k for k, _ in rows], pa.int64()), "phrase": pa.array([_raw(p) for _, p in rows], pa.binary())}
         )
 
     return run
 
 
 def _spans(words: W.Words, window: int) -> dict[str, np.ndarray]:
-    """Runs of windows that share one picked phrase: first window, windows, phrase, hash.
-
-    A run's words are those of its first and last window, so these make its hash.
-    """
+    """Runs of windows that share one picked phrase: first window, windows, phrase."""
     at, place, phrase = _picked(words, window)
     if not len(at):
-        nothing = np.zeros(0, dtype=np.int64)
-        return {"at": nothing, "size": nothing, "phrase": nothing.astype(np.uint64), "span": nothing.astype(np.uint64), "window": nothing.astype(np.uint64)}
-    hashes = words.grams(window)
+        return {"at": at, "size": at, "phrase": phrase}
     opens = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1))))
-    size = np.diff(np.append(opens, len(at)))
-    last = opens + size - 1
-    with np.errstate(over="ignore"):
-        span = W.mix(hashes[at[opens]] + W.mix(hashes[at[last]] + size.astype(np.uint64)))
-    return {"at": at[opens], "size": size, "phrase": phrase[opens], "span": span, "window": hashes}
+    return {"at": at[opens], "size": np.diff(np.append(opens, len(at))), "phrase": phrase[opens]}
 
 
 def _steps(size: np.ndarray) -> np.ndarray:
@@ -185,117 +191,122 @@ def _steps(size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
 
 
-def _span_blocks(shards: int, window: int):
+def _texts(column, lengths) -> list[bytes]:
+    """Texts of blocks, each block's joined in one value beside their lengths."""
+    out: list[bytes] = []
+    for data, sizes in zip(column.to_pylist(), lengths.to_pylist(), strict=True):
+        ends = np.cumsum(np.frombuffer(sizes, dtype=np.uint32)).tolist()
+        out += [data[b:e] for b, e in zip([0, *ends], ends, strict=False)]
+    return out
+
+
+def _lengths(texts: list[bytes]) -> bytes:
+    return _raw(np.array([len(t) for t in texts], dtype=np.uint32))
+
+
+def _span_blocks(shards: int, window: int, hot: np.ndarray):
     def run(key, docs: pa.Table, hits: pa.Table) -> Iterator[pa.RecordBatch]:
-        wanted = np.unique(
-            W.mix(_joined(hits.column("phrase"), np.uint64) ^ W.mix(_joined(hits.column("doc"), np.int64).view(np.uint64)))
-        )
-        found = []
-        if len(wanted):
-            ids, texts = _ids(docs.column("doc_id")), W.utf8(docs.column("text"))
-            for part in W.sliced(texts):
-                words = W.hashed(texts[part])
-                spans = _spans(words, window)
-                doc = ids[part][words.text_of()[spans["at"]]] if len(spans["at"]) else spans["at"]
-                mark = W.mix(spans["phrase"] ^ W.mix(doc.view(np.uint64)))
-                near = np.searchsorted(wanted, mark)
-                mine = np.flatnonzero((wanted[np.minimum(near, len(wanted) - 1)] == mark) & (doc != _NONE))
-                size = spans["size"][mine]
-                if not len(mine):
-                    continue
-                place = np.repeat(spans["at"][mine], size) + _steps(size)
-                other = W.hashed(texts[part], second=True).grams(window)[place]
-                found.append((spans["phrase"][mine], spans["span"][mine], size, spans["window"][place], other, doc[mine]))
+        wanted = np.unique(_joined(hits.column("phrase"), np.uint64))
+        if not len(wanted):
+            return
+        # Words of each run, and of each window of a hot phrase: windows, shard, first and last document.
+        found: dict[bytes, list[int]] = {}
+        ids, texts = _ids(docs.column("doc_id")), W.utf8(docs.column("text"))
+        for part in W.sliced(texts):
+            words = W.hashed(texts[part])
+            spans = _spans(words, window)
+            if not len(spans["at"]):
+                continue
+            owner = words.text_of()[spans["at"]]
+            near = np.minimum(np.searchsorted(wanted, spans["phrase"]), len(wanted) - 1)
+            mine = np.flatnonzero((wanted[near] == spans["phrase"]) & (ids[part][owner] != _NONE))
+            grams = words.grams(window)
+            single = np.isin(spans["phrase"][mine], hot)
+            last, own = -1, []
+            columns = (owner, spans["at"] - words.bounds[owner], spans["at"], spans["size"], (spans["phrase"] % np.uint64(shards)).astype(np.int64))
+            for t, at, place, size, shard, one in zip(*(c[mine].tolist() for c in columns), single.tolist(), strict=True):
+                if t != last:
+                    last, own, doc = t, texts[part][t].split(), int(ids[part][t])
+                runs = [(b" ".join(own[at : at + size + window - 1]), size, shard)]
+                if one:
+                    runs = [(b" ".join(own[at + j : at + j + window]), 1, int(grams[place + j] % np.uint64(shards))) for j in range(size)]
+                for text, n, k in runs:
+                    held = found.get(text)
+                    if held is None:
+                        found[text] = [n, k, doc, doc]
+                    else:
+                        held[2], held[3] = min(held[2], doc), max(held[3], doc)
         if not found:
             return
-        phrase, span, size, word, other, doc = (np.concatenate([f[i] for f in found]) for i in range(6))
-        begin = np.cumsum(size) - size
-        order = np.lexsort((doc, span))
-        opens = np.flatnonzero(np.concatenate(([True], span[order][1:] != span[order][:-1])))
-        ends = np.append(opens[1:], len(order)) - 1
-        one, low, high = order[opens], doc[order[opens]], doc[order[ends]]
+        runs = list(found)
+        facts = np.array(list(found.values()), dtype=np.int64)
         bucket = key[0].as_py()
-        rows = list(_split((phrase[one] % np.uint64(shards)).astype(np.int64)))
-        of = lambda h, a: h[np.repeat(begin[one[a]], size[one[a]]) + _steps(size[one[a]])]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([k for k, _ in rows], pa.int64()),
-                pa.array([bucket] * len(rows), pa.int64()),
-                pa.array([_raw(phrase[one[a]]) for _, a in rows], pa.binary()),
-                pa.array([_raw(span[one[a]]) for _, a in rows], pa.binary()),
-                pa.array([_raw(size[one[a]].astype(np.uint8)) for _, a in rows], pa.binary()),
-                pa.array([_raw(of(word, a)) for _, a in rows], pa.binary()),
-                pa.array([_raw(of(other, a)) for _, a in rows], pa.binary()),
-                pa.array([_raw(low[a]) for _, a in rows], pa.binary()),
-                pa.array([_raw(high[a]) for _, a in rows], pa.binary()),
-            ],
-            names=["shard", "bucket", "phrase", "span", "size", "word", "other", "low", "high"],
-        )
+        for k, a in _split(facts[:, 1]):
+            block = [runs[i] for i in a.tolist()]
+            size, low, high = (_raw(facts[a, c].astype(kind)) for c, kind in ((0, np.uint8), (2, np.int64), (3, np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k], pa.int64()), pa.array([bucket], pa.int64()), *(pa.array([x], pa.binary()) for x in (b"".join(block), _lengths(block), size, low, high))],
+                names=["shard", "bucket", "text", "length", "size", "low", "high"],
+            )
 
     return run
 
 
-def _firsts(table: pa.Table) -> pa.Table:
-    """First document of each window of a shard, for the buckets that hold a later one."""
-    phrase, span = _joined(table.column("phrase"), np.uint64), _joined(table.column("span"), np.uint64)
-    size = _joined(table.column("size"), np.uint8).astype(np.int64)
-    word, other = _joined(table.column("word"), np.uint64), _joined(table.column("other"), np.uint64)
-    low, high = _joined(table.column("low"), np.int64), _joined(table.column("high"), np.int64)
-    counts = [len(b) // 8 for b in table.column("span").to_pylist()]
-    bucket = np.repeat(np.asarray(table.column("bucket").to_numpy()), counts)
-    key = np.repeat(phrase, size)
-    order = np.lexsort((other, word, key))
-    same = np.logical_and.reduce([h[order][1:] == h[order][:-1] for h in (key, word, other)])
-    opens = np.flatnonzero(np.concatenate(([True], ~same))) if len(order) else np.zeros(0, np.int64)
-    first = np.empty(len(order), dtype=np.int64)
-    if len(order):
-        lows = np.repeat(low, size)[order]
-        first[order] = np.repeat(np.minimum.reduceat(lows, opens), np.diff(np.append(opens, len(order))))
-    later = first < np.repeat(high, size)
-    first = np.where(later, first, _NONE)
-    begin = np.cumsum(size) - size
-    needed = np.logical_or.reduceat(later, begin) if len(size) else np.zeros(0, bool)
-    mine = np.flatnonzero(needed)
-    rows = [(k, mine[a]) for k, a in _split(bucket[mine])] if len(mine) else []
-    of = lambda a: first[np.repeat(begin[a], size[a]) + _steps(size[a])]
-    return pa.table(
-        {
-            "bucket": pa.array([k for k, _ in rows], pa.int64()),
-            "span": pa.array([_raw(span[a]) for _, a in rows], pa.binary()),
-            "size": pa.array([_raw(size[a].astype(np.uint8)) for _, a in rows], pa.binary()),
-            "first": pa.array([_raw(of(a)) for _, a in rows], pa.binary()),
-        }
-    )
+def _firsts(window: int):
+    """Passages of a shard with the first document of each of their windows, for the buckets
+    that hold them in a later one."""
 
+    def run(table: pa.Table) -> pa.Table:
+        texts = _texts(table.column("text"), table.column("length"))
+        size = _joined(table.column("size"), np.uint8).astype(np.int64)
+        low, high = _joined(table.column("low"), np.int64), _joined(table.column("high"), np.int64)
+        counts = [len(b) for b in table.column("size").to_pylist()]
+        bucket = np.repeat(np.asarray(table.column("bucket").to_numpy()), counts)
+        begin = np.cumsum(size) - size
+        # Windows whose hash is here once are in one document of one bucket, or in one bucket's.
+        words = W.hashed(texts)
+        starts = np.repeat(words.bounds[:-1], size) + _steps(size)
+        prints = words.grams(window)[starts] if len(starts) else np.zeros(0, np.uint64)
+        _, group, times = np.unique(prints, return_inverse=True, return_counts=True)
+        often = (times[group] > 1) | np.repeat(low < high, size)
+        # Equal words, not equal hashes, make windows one.
+        number: dict[bytes, int] = {}
+        at = np.flatnonzero(often)
+        run_of = np.repeat(np.arange(len(size)), size)[at]
+        name = np.zeros(len(at), dtype=np.int64)
+        last, own = -1, []
+        for i, (r, j) in enumerate(zip(run_of.tolist(), (at - begin[run_of]).tolist(), strict=True)):
+            if r != last:
+                last, own = r, texts[r].split(b" ")
+            name[i] = number.setdefault(b" ".join(own[j : j + window]), len(number))
+        earliest = np.full(len(number), _NONE)
+        np.minimum.at(earliest, name, low[run_of])
+        first = np.full(len(often), _NONE)
+        first[at] = np.where(earliest[name] < high[run_of], earliest[name], _NONE)
+        needed = np.flatnonzero(np.logical_or.reduceat(first != _NONE, begin)) if len(size) else np.zeros(0, np.int64)
+        rows = [(k, needed[a]) for k, a in _split(bucket[needed])] if len(needed) else []
+        of = lambda a: first[np.repeat(begin[a], size[a]) + _steps(size[a])]
+        blocks = [[texts[i] for i in a.tolist()] for _, a in rows]
+        return pa.table(
+            {
+                "bucket": pa.array([k for k, _ in rows], pa.int64()),
+                "text": pa.array([b"".join(b) for b in blocks], pa.binary()),
+                "length": pa.array([_lengths(b) for b in blocks], pa.binary()),
+                "size": pa.array([_raw(size[a].astype(np.uint8)) for _, a in rows], pa.binary()),
+                "first": pa.array([_raw(of(a)) for _, a in rows], pa.binary()),
+            }
+        )
 
-def _patterns(texts, answers: pa.Table, window: int) -> Iterator[tuple[list[bytes], list[int]]]:
-    """Words of each confirmed passage of the bucket, and the first document of its windows."""
-    span = _joined(answers.column("span"), np.uint64)
-    size = _joined(answers.column("size"), np.uint8).astype(np.int64)
-    first = _joined(answers.column("first"), np.int64)
-    if not len(span):
-        return
-    begin = np.cumsum(size) - size
-    order = np.argsort(span)
-    span, begin = span[order], begin[order]
-    seen = np.zeros(len(span), dtype=bool)
-    for part in W.sliced(texts):
-        words = W.hashed(texts[part])
-        spans = _spans(words, window)
-        near = np.minimum(np.searchsorted(span, spans["span"]), len(span) - 1)
-        mine = np.flatnonzero((span[near] == spans["span"]) & ~seen[near])
-        _, once = np.unique(near[mine], return_index=True)
-        mine = mine[np.sort(once)]
-        seen[near[mine]] = True
-        owner = words.text_of()[spans["at"][mine]] if len(mine) else mine
-        split: tuple[int, list[bytes]] = (-1, [])
-        for text, at, count, answer in zip(
-            owner.tolist(), spans["at"][mine].tolist(), spans["size"][mine].tolist(), begin[near[mine]].tolist(), strict=True
-        ):
-            if split[0] != text:
-                split = (text, texts[part][text].split())
-            at -= int(words.bounds[text])
-            yield split[1][at : at + count + window - 1], first[answer : answer + count].tolist()
+    return run
+
+
+def _patterns(answers: pa.Table) -> Iterator[tuple[list[bytes], list[int]]]:
+    """Words of each confirmed passage, and the first document of its windows."""
+    first, at = _joined(answers.column("first"), np.int64).tolist(), 0
+    sizes = _joined(answers.column("size"), np.uint8).tolist()
+    for text, size in zip(_texts(answers.column("text"), answers.column("length")), sizes, strict=True):
+        yield text.split(b" "), first[at : at + size]
+        at += size
 
 
 def _automata(patterns) -> Iterator[tuple[object, dict[bytes, str]]]:
@@ -333,7 +344,7 @@ def _removals(window: int, carried: list[str], as_is: bool):
         column = docs.column("doc_id")
         ids, texts = _ids(column), W.utf8(docs.column("text"))
         covered: dict[int, set[int]] = {}
-        for automaton, letters in _automata(_patterns(texts, answers, window)):
+        for automaton, letters in _automata(_patterns(answers)):
             for i, text in enumerate(texts):
                 if text is not None and ids[i] != _NONE:
                     covered.setdefault(i, set()).update(_located(text, int(ids[i]), automaton, letters, window))
@@ -396,29 +407,40 @@ def remove_repeated(
     Columns named in ``carry`` are returned too; others are ignored, whatever their names.
     With ``as_is`` a text that loses nothing is returned as it is, blanks included.
     """
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size, n_docs = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("doc_id")).first()
     buckets, shards = (max(1, math.ceil(size / b)) for b in (BUCKET_BYTES, SHARD_BYTES))
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
     carried = [f"_carry{i}" for i in range(len(carry))]
     named = [F.col(f"`{c}`").alias(n) for c, n in zip(carry, carried, strict=True)]
-    dealt = docs.select(F.col("doc_id").cast("long"), "text", *named).withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets).cast("long")))
-    hits = (
-        rows.mapInArrow(_phrase_blocks(shards, window), _PHRASES)
+    whole = docs.select(F.col("doc_id").cast("long"), "text", *named)
+    known = whole.filter("doc_id is not null")
+    dealt = known.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets).cast("long")))
+    hits = written(
+        known.select("doc_id", "text").mapInArrow(_phrase_blocks(shards, window), _PHRASES)
         .groupBy("shard")
-        .applyInArrow(_repeated(buckets), _HITS)
+        .applyInArrow(_repeated(buckets, max(HOT_LEAST, n_docs // HOT_SHARE)), _HITS),
+        "phrases",
     )
+    hot = [np.frombuffer(r["phrase"], dtype=np.uint64) for r in hits.filter(F.col("bucket") == _HOT).collect()]
+    hot = np.unique(np.concatenate(hot)) if hot else np.zeros(0, dtype=np.uint64)
     answers = (
         dealt.groupBy("bucket")
-        .cogroup(hits.groupBy("bucket"))
-        .applyInArrow(_cogrouped(_span_blocks(shards, window), _arrow(_SPANS)), _SPANS)
+        .cogroup(hits.filter(F.col("bucket") != _HOT).groupBy("bucket"))
+        .applyInArrow(_cogrouped(_span_blocks(shards, window, hot), _arrow(_SPANS)), _SPANS)
         .groupBy("shard")
-        .applyInArrow(_firsts, _ANSWERS)
+        .applyInArrow(_firsts(window), _ANSWERS)
     )
     schema = StructType([*StructType.fromDDL(_RESULT).fields, *dealt.select(*carried).schema.fields])
-    result = (
-        dealt.groupBy("bucket")
-        .cogroup(answers.groupBy("bucket"))
-        .applyInArrow(_cogrouped(_removals(window, carried, as_is), to_arrow_schema(schema)), schema)
-    )
+    removals, arrow = _removals(window, carried, as_is), to_arrow_schema(schema)
+    result = dealt.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_cogrouped(removals, arrow), schema)
+
+    none = pa.table({f.name: pa.array([], f.type) for f in _arrow(_ANSWERS)})
+
+    def untouched(batches):
+        for batch in W.parts(batches):
+            for out in removals(None, pa.Table.from_batches([batch]), none):
+                yield out.cast(arrow)
+
+    # Rows without an id lose nothing: they are not gathered anywhere.
+    result = result.unionByName(whole.filter("doc_id is null").mapInArrow(untouched, schema))
     own = [c for c in result.columns if c not in carried]
     return result.select(*own, *[F.col(n).alias(c) for c, n in zip(carry, carried, strict=True)])

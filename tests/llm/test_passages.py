@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,26 +102,73 @@ def test_kept_digest(spark, sf_dir):
     assert got == expected
 
 
-def test_windows_around_one_phrase_are_told_apart(spark):
-    """Many windows of one frequent phrase, of which two agree in 32 bits of their hashes."""
-    tails = [f"t{k}" for k in range(600_000)]
+def test_equal_hashes_of_different_words(spark, monkeypatch):
+    """All hashes are forced to collide; only words tell windows apart."""
+    def coarse(grams):
+        return lambda self, k: grams(self, k) % np.uint64(3)
+
     rng = random.Random(4)
-    # A phrase that is picked in the window whatever its last word is.
-    starts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) for _ in range(200)]
-    picked = [passages._picked(words.hashed([f"{s} {t}".encode() for t in tails[:20]]), 13)[2] for s in starts]
-    start = next(s for s, p in zip(starts, picked, strict=True) if len(set(p.tolist())) == 1)
-    found = words.hashed([f"{start} {t}".encode() for t in tails])
-    low = (found.grams(13)[found.bounds[:-1]] >> np.uint64(16)).astype(np.uint32)
-    order = np.argsort(low, kind="stable")
-    twins = np.flatnonzero(low[order][1:] == low[order][:-1])
-    phrase = passages._picked(found, 13)[2]
-    pairs = [(int(order[k]), int(order[k + 1])) for k in twins if phrase[order[k]] == phrase[order[k + 1]]]
-    assert pairs
-    cases = list(enumerate(f"{start} {tails[k]}" for pair in pairs for k in pair))
-    df = spark.createDataFrame(cases, "doc_id long, text string").repartition(3)
+    pool = [" ".join(f"w{rng.randrange(8)}" for _ in range(14)) for _ in range(9)]
+    texts = [" ".join(rng.choice(pool) for _ in range(3)) for _ in range(40)]
+    cases = list(enumerate(texts))
+    # Workers get the changed method with the functions that are sent to them.
+    monkeypatch.setattr(words.Words, "grams", coarse(words.Words.grams))
+    found = words.hashed([t.encode() for t in texts])
+    assert len(set(found.grams(13).tolist())) <= 3
+
+    hits = pa.table({"phrase": [found.grams(6).tobytes()]})
+    docs = pa.table({"doc_id": [i for i, _ in cases], "text": [t for _, t in cases]})
+    spans = pa.Table.from_batches(list(passages._span_blocks(1, 13, np.zeros(0, np.uint64))([pa.scalar(0)], docs, hits)))
+    answers = passages._firsts(13)(spans)
+    out = [r for b in passages._removals(13, [], False)(None, docs, answers) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["kept_text"], r["n_words"], r["n_removed"]) for r in out] == brute(cases)
+
+
+def frequent(n, rng):
+    """A phrase in every third document, with words of its own around it, and one passage."""
+    phrase, passage = "one very common phrase of words", prose(7, 30)
+    texts = []
+    for k in range(n):
+        around = [prose(5000 + k, 20), prose(9000 + k, 20)]
+        texts.append(f"{around[0]} {phrase} {around[1]}" if k % 3 == 0 else f"{around[0]} {passage}" if k % 3 == 1 else " ".join(around))
+        if k % 12 == 0:
+            texts.append(texts[-1])
+    return [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts, strict=True)]
+
+
+@pytest.mark.parametrize("least", [3, 512])
+def test_hot_phrases(spark, monkeypatch, least):
+    monkeypatch.setattr(passages, "HOT_LEAST", least)
+    monkeypatch.setattr(passages, "SHARD_BYTES", 4000)
+    cases = frequent(150, np.random.default_rng(2))
+    df = spark.createDataFrame(cases, "doc_id long, text string").repartition(5)
     assert by_key(columns(passages.remove_repeated(df))) == by_key(brute(cases))
 
 
+def test_windows_of_a_hot_phrase_are_spread():
+    """The words around a hot phrase go to many shards, about as many to each."""
+    cases = frequent(600, np.random.default_rng(3))
+    data = [t.encode() for _, t in cases]
+    picked = passages._picked(words.hashed(data), 13)[2]
+    phrase, times = np.unique(picked, return_counts=True)
+    docs = pa.table({"doc_id": [i for i, _ in cases], "text": [t for _, t in cases]})
+
+    def rows(hot):
+        run = passages._span_blocks(40, 13, hot)
+        hits = pa.table({"phrase": [phrase.tobytes()]})
+        return {b.column("shard")[0].as_py(): len(b.column("size")[0].as_py()) for b in run([pa.scalar(0)], docs, hits)}
+
+    hot = rows(phrase[times > 100])
+    assert len(hot) == 40 and max(hot.values()) < 2 * np.median(list(hot.values()))
+
+
+def test_rows_without_an_id_are_spread(spark):
+    cases = [(None, prose(1, 50))] * 30 + [(k, prose(1, 50)) for k in range(3)]
+    df = spark.createDataFrame([(i, t, "s") for i, t in cases], "doc_id long, text string, source string").repartition(6)
+    out = passages.remove_repeated(df, carry=("source",))
+    assert by_key(columns(out)) == by_key(brute(cases)) and {r.source for r in out.collect()} == {"s"}
+
+
 def test_second_hashes_follow_the_words(cases):
     texts = [None if t is None else t.encode() for _, t in cases]
     one, two = words.hashed(texts), words.hashed(texts, second=True)
