@@ -1,20 +1,30 @@
-"""Maintenance of a small keyed dimension: insert, update, upsert, listing."""
+"""Maintenance of a keyed dimension: insert, update, upsert, listing.
+
+Stored dimensions lie in buckets by a hash of the key, so that a change rewrites one bucket.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.schemas import PRODUCT_METADATA
 
+#: Buckets of a stored dimension. Its rows lie where this number has put them, so it stays.
+BUCKETS = 64
 KEY = "inventory_id"
 ATTRIBUTES = [
     c for c in PRODUCT_METADATA.columns if c not in (KEY, "created_at", "updated_at")
 ]
 
 
+def bucket(key: str = KEY) -> Column:
+    """Bucket of a row of a stored dimension."""
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("bucket")
+
+
 def single_and_repeated(changes: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """Changes whose key occurs once, and the rows of keys that occur several times."""
     per_key = changes.groupBy(key).agg(

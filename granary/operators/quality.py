@@ -217,10 +217,57 @@ def reconcile_ids(headers: DataFrame, lines: DataFrame, key: str) -> DataFrame:
     return header_ids.select("header_ids", line_ids.alias("line_ids"))
 
 
-def require_complete(docs: DataFrame, doc_id: str, flat: DataFrame, flat_id: str) -> DataFrame:
-    row = flatten_completeness(docs, doc_id, flat, flat_id).first()
-    if not row["complete"]:
-        raise ValueError(
-            f"{row['document_count']} documents but {row['flattened_ids']} ids after flattening"
+def _range(c: Column, ranges: int) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(ranges)).cast("int")
+
+
+def _fingerprints(ids: DataFrame, ranges: int, side: str) -> DataFrame:
+    """Count and two independent sums over the hashes of each range's ids, in any order.
+
+    Sums of 64-bit hashes wrap (``bit_xor``) or are split in halves, so no range overflows.
+    """
+    return (
+        ids.groupBy(_range(F.col("id"), ranges).alias("range"))
+        .agg(
+            F.count("*").alias(f"n{side}"),
+            F.bit_xor(F.xxhash64("id", F.lit(1))).alias(f"x{side}"),
+            F.sum(F.shiftrightunsigned(F.xxhash64("id", F.lit(2)), 32)).alias(f"s{side}"),
         )
-    return flat
+    )
+
+
+def differing_ids(left: DataFrame, left_id: str, right: DataFrame, right_id: str, ranges: int = 1024) -> DataFrame:
+    """``(id, side)`` of ids that only one of two frames has; nulls are no ids.
+
+    Both sides are reduced to a fingerprint for each range of id hashes first, and only ids of
+    ranges that differ are joined: where nothing is lost, nothing is.
+    """
+    ids = [df.select(F.col(c).alias("id")).filter("id is not null").distinct() for df, c in ((left, left_id), (right, right_id))]
+    one, two = (_fingerprints(x, ranges, side) for x, side in zip(ids, ("_left", "_right"), strict=True))
+    same = F.lit(True)
+    for c in "nxs":
+        same = same & F.col(f"{c}_left").eqNullSafe(F.col(f"{c}_right"))
+    # At most ``ranges`` numbers.
+    differ = [r["range"] for r in one.join(two, "range", "full_outer").filter(~same).select("range").collect()]
+    near = [x.filter(_range(F.col("id"), ranges).isin(differ)) if differ else x.limit(0) for x in ids]
+    lost = near[0].join(near[1], "id", "left_anti").select("id", F.lit("left").alias("side"))
+    return lost.unionByName(near[1].join(near[0], "id", "left_anti").select("id", F.lit("right").alias("side")))
+
+
+def require_complete(
+    docs: DataFrame, doc_id: str, flat: DataFrame, flat_id: str, lost_to: str | None = None
+) -> DataFrame:
+    """``flat`` if it has all documents. Otherwise fails and names the first ids that differ;
+    with ``lost_to`` all of them are written there."""
+    row = flatten_completeness(docs, doc_id, flat, flat_id).first()
+    if row["complete"]:
+        return flat
+    found = differing_ids(docs, doc_id, flat, flat_id)
+    where = ""
+    if lost_to:
+        found.write.mode("overwrite").parquet(lost_to)
+        found, where = docs.sparkSession.read.parquet(lost_to), f", all in {lost_to}"
+    names = [f"{r['id']}{'' if r['side'] == 'left' else ' (no document)'}" for r in found.orderBy("id").limit(20).collect()]
+    raise ValueError(
+        f"{row['document_count']} documents but {row['flattened_ids']} ids after flattening, lost: {', '.join(names)}{where}"
+    )

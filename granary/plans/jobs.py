@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from granary import schemas
 from granary.functions import dates
-from granary.operators import quality, snapshots
+from granary.operators import dimension, quality, snapshots
 from granary.plans import customers, planning, publish, reporting
 from granary.schemas import Entity
 from granary.sources import commits, payloads, scans, sinks
@@ -65,7 +65,7 @@ def ingest_orders(
     docs = payloads.read_documents(spark, landing, "order")
     with _checked_folder(spark, f"{staging_of(root)}/checked") as folder:
         valid = quality.staged_valid(payloads.flatten_orders(docs), schemas.ORDER_DETAILS, folder)
-        quality.require_complete(docs, "id", valid, "shipbob_order_id")
+        quality.require_complete(docs, "id", valid, "shipbob_order_id", f"{folder}.lost")
         daily = sinks.split_by_day(valid, "purchase_date", "order_date", start, end)
         _store(daily, schemas.ORDER_DETAILS, root, file_format, table)
         order_index.forget(spark, root)  # of the streaming refresh, which did not see these rows
@@ -137,6 +137,56 @@ def ingest_campaigns(spark, landing, root, day) -> None:
     sinks.write_json_lines(payloads.flatten_campaigns(docs), root, day)
 
 
+def read_dimension(spark: SparkSession, root: str) -> DataFrame:
+    """The stored product dimension with its buckets; without rows before the first change."""
+    schema = schemas.PRODUCT_DIMENSION.struct(with_partition=True)
+    if not commits.Files(spark, root).names(root):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(root)
+
+
+def change_dimension(
+    root: str,
+    changes: DataFrame,
+    at: dt.datetime,
+    how: Callable[..., tuple[DataFrame, DataFrame]] = dimension.upsert,
+    table: str | None = None,
+    attempts: int = 10,
+) -> DataFrame:
+    """Merge changes into the stored product dimension; returns those that were rejected.
+
+    ``how`` is ``dimension.upsert`` or ``dimension.insert``. Only buckets with a change are
+    read, written and switched, all at once; the files of the others stay. If another run has
+    changed one of them meanwhile, the merge is made again on the new rows. Changes without a
+    key or a required attribute stop the job before anything is written. With ``table`` new
+    buckets are registered in the catalog.
+    """
+    spark, entity = changes.sparkSession, schemas.PRODUCT_DIMENSION
+    base, run = root.rstrip("/"), commits.new_run()
+    form = dataclasses.replace(entity, fields=tuple(f for f in entity.fields if f.name in (dimension.KEY, *dimension.ATTRIBUTES)))
+    with _checked_folder(spark, f"{staging_of(base)}/changes") as folder:
+        valid = quality.staged_valid(changes.select(dimension.KEY, *dimension.ATTRIBUTES), form, folder)
+        touched = sorted(r["bucket"] for r in valid.select(dimension.bucket()).distinct().collect())
+        files = commits.Files(spark, base)
+        for attempt in range(attempts):
+            read = {f"{base}/bucket={b}": commits.version(files, f"{base}/bucket={b}") for b in touched}
+            current = read_dimension(spark, base).filter(F.col("bucket").isin(touched)).drop("bucket")
+            merged, rejected = how(current, valid, at)
+            rows = publish.conform(merged.withColumn("bucket", dimension.bucket()), entity, with_partition=True)
+            kept = f"{staging_of(base)}/rejected/run={run}-{attempt}"
+            sinks.write_parquet(rejected, kept)
+            try:
+                replaced = publish.replace_partitions(rows, ["bucket"], base, read=read)
+            except commits.ConflictError:
+                commits.drop(spark, kept)
+                if attempt + 1 == attempts:
+                    raise
+                continue
+            if table and replaced:
+                publish.register_values(spark, entity, table, replaced)
+            return spark.read.schema(rejected.schema).parquet(kept)
+
+
 Tables = Mapping[str, DataFrame | StoredTable]
 
 

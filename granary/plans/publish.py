@@ -31,13 +31,20 @@ def _values(partition: str) -> Values:
 
 
 def replace_partitions(
-    df: DataFrame, columns: list[str], root: str, staging: str | None = None, file_format: str = "parquet", emptied: list[str] = ()
+    df: DataFrame,
+    columns: list[str],
+    root: str,
+    staging: str | None = None,
+    file_format: str = "parquet",
+    emptied: list[str] = (),
+    read: dict[str, dict[str, int]] | None = None,
 ) -> list[Values]:
     """Replace every partition present in ``df``, and by nothing those in ``emptied``.
 
     One partitioned write into a folder of this run, then one switch of all its partitions:
     a failed computation or copy leaves the table as it was, runs at the same time keep
-    apart, and ``df`` may read the table. Returns the partitions that were replaced.
+    apart, and ``df`` may read the table. With ``read`` (see ``commits.commit``) nothing is
+    replaced if folders have changed since. Returns the partitions that were replaced.
     """
     spark, run = df.sparkSession, commits.new_run()
     folder = f"{(staging or commits.staging_of(root)).rstrip('/')}/run={run}"
@@ -49,7 +56,7 @@ def replace_partitions(
             if partition not in touched:
                 sinks.write_parquet(df.drop(*columns).limit(0), f"{folder}/{partition}")
                 touched.append(partition)
-        commits.commit(spark, root, run, {f"{root.rstrip('/')}/{p}": f"{folder}/{p}" for p in touched})
+        commits.commit(spark, root, run, {f"{root.rstrip('/')}/{p}": f"{folder}/{p}" for p in touched}, read)
     finally:
         commits.clear(spark, root, run, folder)
     return [_values(p) for p in touched]

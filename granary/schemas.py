@@ -277,6 +277,8 @@ PRODUCT_METADATA = Entity(
     comment="Hand-kept product attributes, one row per inventory item",
 )
 
+PRODUCT_DIMENSION = dataclasses.replace(PRODUCT_METADATA, partition=(Field("bucket", "bigint"),))
+
 DAILY_ORDER_COUNT = Entity(
     "daily_order_cnt_by_channel",
     (

@@ -513,6 +513,9 @@ STATEMENTS: dict[str, str] = {
            count(*) FILTER (o_orderstatus = 'P') = 0 AS complete, count(*) AS header_ids,
            count(*) FILTER (o_orderstatus <> 'P') AS line_ids
     FROM orders""",
+    "lost_ids": """
+    SELECT o_orderkey AS id, 'left' AS side, what FROM orders, (VALUES ('order'), ('header')) AS w(what)
+    WHERE o_orderstatus = 'P'""",
     "flatten_products": """
     SELECT p_partkey AS product_id, concat(p_brand, '-', p_partkey) AS sku, p_name AS sku_name,
            CAST(p_size AS BIGINT) AS channel_id, p_type AS channel_name, p_partkey AS inventory_id,

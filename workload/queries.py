@@ -487,6 +487,18 @@ def flatten_completeness(t: Tables) -> DataFrame:
     )
 
 
+@query
+def lost_ids(t: Tables) -> DataFrame:
+    """Orders that flattening loses: documents without items, and headers without lines."""
+    orders = payloads.parse_documents(t.order_docs(), "order")
+    store = payloads.parse_documents(t.store_order_docs(), "store_order")
+    lost = quality.differing_ids(orders, "id", payloads.flatten_orders(orders), "shipbob_order_id")
+    bare = quality.differing_ids(
+        payloads.flatten_store_orders(store), "order_id", payloads.flatten_store_line_items(store), "order_id"
+    )
+    return lost.withColumn("what", F.lit("order")).unionByName(bare.withColumn("what", F.lit("header")))
+
+
 @query
 def flatten_products(t: Tables) -> DataFrame:
     return payloads.flatten_products(payloads.parse_documents(t.product_docs(), "product"))
