@@ -14,32 +14,17 @@ from pyspark.sql import types as T
 
 from granary.functions import dates, text
 from granary.schemas import FORMULAS, Entity
-
-
-# Cells may hold quotes (doubled), commas and line breaks. A file with line breaks inside
-# cells has no safe place to split at, so parallelism is per file. Column pruning would
-# hide lines with too few or too many cells.
-_CSV = {"header": True, "escape": '"', "multiLine": True, "mode": "FAILFAST", "columnPruning": False}
-
-
-def _text_csv(spark: SparkSession, path: str | list[str], by_name: bool) -> DataFrame:
-    """Headered export files with every column as text; typing is left to validation.
-
-    All files must have as many columns as the first one, and ``by_name`` its header.
-    """
-    names = spark.read.options(**_CSV).csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.schema(schema).options(**_CSV, enforceSchema=not by_name).csv(path)
+from granary.sources import exports
 
 
 def read_formulas_export(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Recipe export: headers are ignored and columns are named by position."""
-    return _text_csv(spark, path, by_name=False).toDF(*FORMULAS.columns)
+    return exports.read(spark, path, by_name=False).toDF(*FORMULAS.columns)
 
 
 def read_export(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Stock or manufacturing-order export: headers are tidied to column names."""
-    return text.tidy_names(_text_csv(spark, path, by_name=True))
+    return text.tidy_names(exports.read(spark, path, by_name=True))
 
 
 def _file_schema(entity: Entity) -> T.StructType:
@@ -49,7 +34,7 @@ def _file_schema(entity: Entity) -> T.StructType:
 def read_csv_table(spark: SparkSession, root: str, entity: Entity) -> DataFrame:
     """Headered, comma-delimited, date-partitioned text table; its header must be the
     declared one. Values hold no delimiters (``sanitize_delimiters``), so files split."""
-    options = _CSV | {"multiLine": False, "enforceSchema": False}
+    options = exports.OPTIONS | {"multiLine": False, "enforceSchema": False}
     return spark.read.schema(_file_schema(entity)).options(**options).csv(root)
 
 
