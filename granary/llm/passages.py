@@ -52,7 +52,7 @@ VOCABULARY = 256 * 256
 #: A phrase is hot if it is in more than this share of all documents, and in so many at least.
 #: As a document has as many phrases as it has words at most, there are at most this number
 #: of hot phrases for each word of an average document.
-HOT_SHARE, HOT_LEAST = 4096, 512
+HOT_SHARE, HOT_LEAST = 4096, 32_768
 
 _OTHER = chr(1)
 _HOT = -1
@@ -213,7 +213,9 @@ def _span_blocks(shards: int, window: int, hot: np.ndarray):
         found: dict[bytes, list[int]] = {}
         ids, texts = _ids(docs.column("doc_id")), W.utf8(docs.column("text"))
         for part in W.sliced(texts):
-            words = W.hashed(texts[part])
+            # Words one blank apart, so that equal words are equal bytes.
+            plain = [b" ".join((t or b"").split()) for t in texts[part]]
+            words, data = W.hashed(plain), b"\n".join(plain)
             spans = _spans(words, window)
             if not len(spans["at"]):
                 continue
@@ -222,14 +224,15 @@ def _span_blocks(shards: int, window: int, hot: np.ndarray):
             mine = np.flatnonzero((wanted[near] == spans["phrase"]) & (ids[part][owner] != _NONE))
             grams = words.grams(window)
             single = np.isin(spans["phrase"][mine], hot)
-            last, own = -1, []
-            columns = (owner, spans["at"] - words.bounds[owner], spans["at"], spans["size"], (spans["phrase"] % np.uint64(shards)).astype(np.int64))
-            for t, at, place, size, shard, one in zip(*(c[mine].tolist() for c in columns), single.tolist(), strict=True):
-                if t != last:
-                    last, own, doc = t, texts[part][t].split(), int(ids[part][t])
-                runs = [(b" ".join(own[at : at + size + window - 1]), size, shard)]
+            ends = np.append(words.places[1:], len(data) + 1) - 1
+            ends[words.bounds[1:][words.counts > 0] - 1] = (np.cumsum([len(t) + 1 for t in plain]) - 1)[words.counts > 0]
+            begin, stop = words.places.tolist(), ends.tolist()
+            columns = (spans["at"], spans["size"], (spans["phrase"] % np.uint64(shards)).astype(np.int64), ids[part][owner])
+            for at, size, shard, doc, one in zip(*(c[mine].tolist() for c in columns), single.tolist(), strict=True):
                 if one:
-                    runs = [(b" ".join(own[at + j : at + j + window]), 1, int(grams[place + j] % np.uint64(shards))) for j in range(size)]
+                    runs = [(data[begin[at + j] : stop[at + j + window - 1]], 1, int(grams[at + j] % np.uint64(shards))) for j in range(size)]
+                else:
+                    runs = [(data[begin[at] : stop[at + size + window - 2]], size, shard)]
                 for text, n, k in runs:
                     held = found.get(text)
                     if held is None:
@@ -262,27 +265,34 @@ def _firsts(window: int):
         low, high = _joined(table.column("low"), np.int64), _joined(table.column("high"), np.int64)
         counts = [len(b) for b in table.column("size").to_pylist()]
         bucket = np.repeat(np.asarray(table.column("bucket").to_numpy()), counts)
-        begin = np.cumsum(size) - size
-        # Windows whose hash is here once are in one document of one bucket, or in one bucket's.
-        words = W.hashed(texts)
-        starts = np.repeat(words.bounds[:-1], size) + _steps(size)
-        prints = words.grams(window)[starts] if len(starts) else np.zeros(0, np.uint64)
-        _, group, times = np.unique(prints, return_inverse=True, return_counts=True)
-        often = (times[group] > 1) | np.repeat(low < high, size)
-        # Equal words, not equal hashes, make windows one.
+        # Equal passages of several buckets are one.
         number: dict[bytes, int] = {}
-        at = np.flatnonzero(often)
-        run_of = np.repeat(np.arange(len(size)), size)[at]
-        name = np.zeros(len(at), dtype=np.int64)
-        last, own = -1, []
-        for i, (r, j) in enumerate(zip(run_of.tolist(), (at - begin[run_of]).tolist(), strict=True)):
-            if r != last:
-                last, own = r, texts[r].split(b" ")
-            name[i] = number.setdefault(b" ".join(own[j : j + window]), len(number))
-        earliest = np.full(len(number), _NONE)
-        np.minimum.at(earliest, name, low[run_of])
-        first = np.full(len(often), _NONE)
-        first[at] = np.where(earliest[name] < high[run_of], earliest[name], _NONE)
+        passage = np.array([number.setdefault(t, len(number)) for t in texts], dtype=np.int64)
+        own, start = np.zeros(len(number), np.int64), np.full(len(number), _NONE)
+        own[passage] = size
+        np.minimum.at(start, passage, low)
+        # A window whose hash no other passage has starts first where its passage does.
+        distinct = list(number)
+        words = W.hashed(distinct)
+        begin = np.cumsum(own) - own
+        prints = words.grams(window)[np.repeat(words.bounds[:-1], own) + _steps(own)] if len(own) else np.zeros(0, np.uint64)
+        _, group, times = np.unique(prints, return_inverse=True, return_counts=True)
+        earliest = np.repeat(start, own)
+        at = np.flatnonzero(times[group] > 1)
+        # Of others, equal words and not equal hashes make windows one.
+        owner = np.repeat(np.arange(len(own)), own)[at]
+        names: dict[bytes, int] = {}
+        name, last, split = np.zeros(len(at), dtype=np.int64), -1, []
+        for i, (p, j) in enumerate(zip(owner.tolist(), (at - begin[owner]).tolist(), strict=True)):
+            if p != last:
+                last, split = p, distinct[p].split(b" ")
+            name[i] = names.setdefault(b" ".join(split[j : j + window]), len(names))
+        least = np.full(len(names), _NONE)
+        np.minimum.at(least, name, start[owner])
+        earliest[at] = least[name]
+        first = earliest[np.repeat(begin[passage], size) + _steps(size)]
+        first = np.where(first < np.repeat(high, size), first, _NONE)
+        begin = np.cumsum(size) - size
         needed = np.flatnonzero(np.logical_or.reduceat(first != _NONE, begin)) if len(size) else np.zeros(0, np.int64)
         rows = [(k, needed[a]) for k, a in _split(bucket[needed])] if len(needed) else []
         of = lambda a: first[np.repeat(begin[a], size[a]) + _steps(size[a])]

@@ -38,6 +38,8 @@ class Words:
     hashes: np.ndarray
     bounds: np.ndarray
     base: np.uint64 = _BASE
+    #: Place of each word in the texts joined by one byte.
+    places: np.ndarray | None = None
 
     @property
     def counts(self) -> np.ndarray:
@@ -114,7 +116,7 @@ def hashed(texts: list[bytes | None], lower: bool = False, second: bool = False)
         hashes.append(h)
     start = np.concatenate(starts) if starts else np.zeros(0, dtype=np.int64)
     bounds = np.concatenate(([0], np.searchsorted(start, ends)))
-    return Words(np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64), bounds, _OTHER_BASE if second else _BASE)
+    return Words(np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64), bounds, _OTHER_BASE if second else _BASE, start)
 
 
 def sliced(texts: list[bytes | None], size: int = CHUNK_BYTES) -> Iterator[slice]:
