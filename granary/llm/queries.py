@@ -150,6 +150,32 @@ def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+OP8_SQL = """
+with vectors as (select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings),
+usable as (
+    select * from vectors
+    where vec_id is not null and label is not null and e is not null and len(e) > 0
+      and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and list_inner_product(e, e) > 0
+),
+links as (
+    select a.vec_id as a, b.vec_id as b
+    from usable a join usable b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+    where list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) >= 0.93
+),
+reach as (
+    with recursive r(a, b) as (
+        select vec_id, vec_id from vectors
+        union
+        select r.a, l.b from r join links l on r.b = l.a
+    )
+    select a, min(b) as root from r group by a
+),
+counts as (select a, count(*) as n from links group by a)
+select vec_id, cast(coalesce(n, 0) as bigint) as n_links, root as component_id, vec_id = root as kept
+from vectors join reach on reach.a = vec_id left join counts on counts.a = vec_id
+"""
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     docs = _table(spark, sf_dir, "documents")
@@ -347,4 +373,4 @@ def registered() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    return {"op2_passages": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op11_topk": OP11_SQL, "op12_repair": OP12_SQL, "op13_trie": OP13_SQL}
+    return {"op2_passages": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op8_vectors": OP8_SQL, "op11_topk": OP11_SQL, "op12_repair": OP12_SQL, "op13_trie": OP13_SQL}
