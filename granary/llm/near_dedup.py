@@ -466,7 +466,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     )
     held = known.select("doc_id", *sets_key).join(classes.select(*sets_key, "rep"), sets_key)
     of_id = held.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z")
-    links = written(held.join(of_id, "doc_id").select("a", F.col("rep").alias("b")).filter("a <> b").distinct(), "links")
+    links = held.join(of_id, "doc_id").select("a", F.col("rep").alias("b")).filter("a <> b")
 
     signs = classes.select("rep", "n_shingles", "sig", "minima")
     for forest in FORESTS:
@@ -498,50 +498,51 @@ def _with_key(rows: DataFrame, facts: DataFrame, how: str = "inner") -> DataFram
 
 
 def _searched(signs: DataFrame, rows: DataFrame, links: DataFrame, forest: Orders, shingle: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
-    """``links`` with those a forest over ``signs`` finds, and the rows of its crowded regions
-    that remain in several groups, if any and if a deeper forest is left for them."""
+    """Links that join the same groups as ``links`` and those a forest over ``signs`` finds, and
+    the rows of its crowded regions that remain in several groups, if any and if a deeper
+    forest is left for them."""
     spark = signs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     limit = REGION_ROWS
     ordered = signs.mapInArrow(_forest(forest), _FOREST).repartitionByRange(parts, "key", "label", "rep").sortWithinPartitions("key", "label", "rep")
     found = written(ordered.mapInArrow(_neighbours(percent, forest, limit), _FOUND), "neighbours")
     named = found.filter("partner is not null").select(F.least("rep", "partner").alias("a"), F.greatest("rep", "partner").alias("b"))
-    sizes = written(found.filter("open").groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > limit), "crowded")
+    sizes = found.filter("open").groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > limit).select("key")
     crowded = not sizes.isEmpty()
     if crowded:
-        crowd = written(_with_key(found.select("key", "rep", "n", "sig"), sizes.select("key")), "crowd")
+        crowd = written(_with_key(found.select("key", "rep", "n", "sig"), sizes), "crowd")
         named = named.unionByName(_with_key(crowd, _hubs(crowd, named)).mapInArrow(_to_hubs(percent), "a long, b long"))
     pairs = written(named.distinct(), "pairs")
-    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "needed")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
     sets = _sets(rows, needed, shingle)
-    links = written(links.unionByName(_confirm(pairs, sets, percent)), "links")
-    roots = components(links).withColumnRenamed("id", "rep")
+    roots = components(links.unionByName(_confirm(pairs, sets, percent))).withColumnRenamed("id", "rep")
 
     rooted = (
         found.select("key", "rep", "n", "sig")
         .join(roots, "rep", "left")
         .select("key", "rep", "n", "sig", F.coalesce("root", "rep").alias("root"), F.col("key").alias("region"), F.lit(-1).cast("long").alias("side"))
     )
+    if crowded:
+        rooted = written(rooted, "rooted")
     several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m")).filter("low < high")
-    rooted = written(_with_key(rooted, several.select("key", "m")), "rooted")
-    several_left = rooted.filter(F.col("m") > limit).select("key", "rep", "n", "sig", "root")
-    rooted = rooted.filter(F.col("m") <= limit).drop("m")
+    rooted = _with_key(rooted, several.select("key", "m"))
     blocked = None
     if crowded:
-        left = written(several_left, "crowd")
+        left = written(rooted.filter(F.col("m") > limit).select("key", "rep", "n", "sig", "root"), "crowd")
+        rooted = rooted.filter(F.col("m") <= limit)
         if not left.isEmpty():
             if forest is FORESTS[-1]:
-                rooted = rooted.unionByName(_with_key(left, _layout(left, limit // 2)).mapInArrow(_met, _MEETING))
+                rooted = rooted.drop("m").unionByName(_with_key(left, _layout(left, limit // 2)).mapInArrow(_met, _MEETING))
             else:
                 blocked = left
-    unsettled = written(_by_key(rooted, parts).mapInArrow(_open(percent), _MEETING), "unsettled")
+    unsettled = written(_by_key(rooted.drop("m"), parts).mapInArrow(_open(percent), _MEETING), "unsettled")
     # Rows that no neighbour has named.
-    missing = written(unsettled.select("rep").distinct().join(needed, "rep", "left_anti"), "missing")
+    missing = unsettled.select("rep").distinct().join(needed, "rep", "left_anti")
     if not missing.isEmpty():
         sets = sets.unionByName(_sets(rows, missing, shingle))
     regions_of = unsettled.groupBy("rep").agg(F.collect_set("region").alias("regions"))
     settled = _by_key(unsettled.join(regions_of, "rep").hint("merge").join(sets, "rep"), parts).mapInArrow(_settled(percent), "a long, b long")
-    return written(links.unionByName(settled), "links"), blocked
+    return roots.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionByName(settled), blocked
 
 
 def _sets(rows: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:

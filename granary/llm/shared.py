@@ -65,12 +65,30 @@ def _forget(spark: SparkSession) -> None:
         discard(spark)
 
 
+#: Parts of a node's links in a join.
+SALTS = 16
+
+
+def _beside(links: DataFrame, low: DataFrame) -> DataFrame:
+    """``links(u, v)`` with ``m`` of ``low(u, m)``; a node with very many links is spread."""
+    salted = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "salt"]).drop("salt")
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour or only larger ones."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or up > 0 and down > 0").isEmpty()
+
+
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest id reachable from each id that occurs in ``links(a, b)``: ``(id, root)``.
 
-    Alternating large-star and small-star steps (Kiveris et al., 2014). A step keeps each
-    id with its smallest neighbour only, so a hub's links shrink to one a member, and each
-    step ends in a written table.
+    Alternating large-star and small-star steps (Kiveris et al., 2014), until all groups are
+    stars around their smallest id. A step keeps each id with its smallest neighbour only, so
+    a hub's links shrink to one a member, and each step ends in a written table.
     """
     edges = written(
         links.filter("a is not null and b is not null and a <> b")
@@ -78,26 +96,21 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct(),
         "links",
     )
-    mark = None
     for _ in range(max_rounds):
+        if _stars(edges):
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
+                edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
+            )
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _beside(both, low).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(low, "u")
+            _beside(large, low)
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .filter("u <> v")
             .distinct()
         )
         edges = written(small, "links")
-        now = edges.agg(
-            F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))
-        ).first()
-        if now == mark:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
-                edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
-            )
-        mark = now
     raise RuntimeError(f"groups did not settle in {max_rounds} rounds")
