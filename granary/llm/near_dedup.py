@@ -58,7 +58,7 @@ FORESTS = (Orders(12, 8, 2), Orders(51, 5, 5))
 LIKELY = 200
 #: A region with more rows is crowded.
 REGION_ROWS = 4096
-SALTS = 32
+SALTS = 8
 
 _FACTORS = np.random.default_rng(20240229).integers(0, 2**63, size=VALUES // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, sig binary, minima binary"

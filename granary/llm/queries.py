@@ -142,7 +142,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     path = F.concat_ws("/", F.lit("corpus"), "source", "lang", F.col("doc_id").cast("string"))
     found = licenses.licences(docs.select(F.col("doc_id").alias("file"), path.alias("path"), "text"))
-    return found.select(F.col("file").alias("doc_id"), "path", "licence", F.round("score", 6).alias("score"), "origin", "licence_file")
+    return found.select(F.col("file").alias("doc_id"), "path", "licence", F.round("score", 6).alias("score"), "origin", "licence_file", F.array_join("licences", " ").alias("licences"))
 
 
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,7 +66,7 @@ def _forget(spark: SparkSession) -> None:
 
 
 #: Parts of a node's links in a join.
-SALTS = 16
+SALTS = 8
 
 
 def _beside(links: DataFrame, low: DataFrame) -> DataFrame:

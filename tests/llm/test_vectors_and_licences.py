@@ -1,3 +1,7 @@
+import collections
+import math
+import re
+
 import numpy as np
 import pytest
 
@@ -157,3 +161,87 @@ def test_whole_texts_headers_and_identifiers(spark):
     got = {r.file: (r.licence, r.licence_file) for r in licenses.licences(df).collect()}
     assert {f: v[0] for f, v in got.items()} == {f: v[0] for f, v in expected.items()}
     assert all(got[f][1] == whole for f, (_, whole) in expected.items() if whole is not None)
+
+
+def test_licences_behind_and_between_other_text(spark):
+    full = dict(licenses.whole_templates())
+    code = "\n\n".join("\n".join(f"value_{j}_{k} = compute_{k}(value_{k - 1})" for k in range(40)) for j in range(8))
+    comment = lambda t: "".join(f" * {x}\n" for x in t.strip().split("\n"))
+    rows = [
+        (1, "a/x", code + "\n\n" + full["BSD-3-Clause"]),
+        (2, "b/x", full["MIT"] + "\n\n" + full["Apache-2.0"]),
+        (3, "c/x", "Copyright (c) 1995 J. Roe\n\n" + full["Zlib"]),
+        (4, "d/x", code + "\n/*\n" + comment(full["BSL-1.0"]) + " */\n" + code),
+        (5, "e/x", code + "\n\n" + full["ISC"] + "\n\n" + code + "\n\n" + full["Unlicense"] + "\n\n" + code),
+        (6, "f/x", code + "\n\nPermission is hereby granted to open the window.\n\n" + code),
+        (7, "g/x", code),
+    ]
+    df = spark.createDataFrame(rows, "file long, path string, text string")
+    got = {r.file: (r.licences, r.licence_file) for r in licenses.licences(df).collect()}
+    assert got == {
+        1: (["BSD-3-Clause"], False), 2: (["Apache-2.0", "MIT"], True), 3: (["Zlib"], True), 4: (["BSL-1.0"], False),
+        5: (["ISC", "Unlicense"], False), 6: ([], False), 7: ([], False),
+    }
+
+
+def scanned(rows):
+    """(licences, score, origin, licence_file) of each row, from dense vectors of statements."""
+    cut = lambda t: [w for w in re.split(r"[^a-z0-9.\-]+|\.(?=$|[^a-z0-9])", t.lower()) if w]
+    held = {
+        i: [s for s in re.split(r"\n|(?<=[.!?])\s+", t or "") if re.search(licenses._CUE, s)] if any(c in (t or "").lower() for c in licenses._CUES) else []
+        for i, _, t in rows
+    }
+    seen = collections.Counter(s.lower() for ss in held.values() for s in ss)
+    corpus = [*seen.items(), *((t, 1) for _, t in licenses.TEMPLATES)]
+    df = collections.Counter()
+    for s, n in corpus:
+        df.update(dict.fromkeys(cut(s), n))
+    total = sum(n for _, n in corpus)
+
+    def vector(s):
+        v = {w: n * (math.log((total + 1) / (df[w] + 1)) + 1) for w, n in collections.Counter(cut(s)).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    known = [(name, vector(t)) for name, t in licenses.TEMPLATES]
+    best = {}
+    for s in seen:
+        v = vector(s)
+        score, _, name = max((round(sum(v[w] * x for w, x in t.items() if w in v), 9), -k, name) for k, (name, t) in enumerate(known))
+        if score >= licenses.COSINE:
+            best[s] = (score, name)
+    own, gifts, out = {}, {}, {}
+    for i, path, t in rows:
+        mine = [(best[s.lower()], len(cut(s))) for s in held[i] if s.lower() in best]
+        if mine:
+            words, size = sum(n for _, n in mine), len([w for w in re.split(r"[ \t-\r]+", t) if w])
+            own[i] = (max(b for b, _ in mine), sorted({b[1] for b, _ in mine}), words >= licenses.SHARE * size)
+            if own[i][2]:
+                gifts.setdefault(path.rsplit("/", 1)[0], []).append((-own[i][0][0], path, own[i][0][1]))
+    for i, path, _ in rows:
+        if i in own:
+            out[i] = (own[i][1], own[i][0][0], "own", own[i][2])
+            continue
+        above = [path.rsplit("/", n)[0] for n in range(1, path.count("/") + 1)]
+        gift = next((min(gifts[d]) for d in above if d in gifts), None)
+        out[i] = ([], -gift[0] if gift else None, "inherited" if gift else None, False)
+    return out
+
+
+def test_the_query_equals_a_dense_computation(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    expected = scanned([(r.doc_id, f"corpus/{r.source}/{r.lang}/{r.doc_id}", r.text) for r in docs])
+    got = {r.doc_id: r for r in queries.op7_licenses(spark, sf_dir).collect()}
+    assert set(got) == set(expected) and sum(e[2] == "own" for e in expected.values()) > 0
+    for i, (names, score, origin, is_file) in expected.items():
+        assert (got[i].licences.split(), got[i].origin, got[i].licence_file) == (names, origin, is_file), i
+        assert got[i].score == (None if score is None else pytest.approx(score, abs=2e-6))
+
+
+def test_ties_between_templates_and_licence_files(spark):
+    both = "Released under the MIT License.\nLicensed under the BSD 2-Clause License."
+    rows = [(1, "d/LICENSE.b", "Released under the MIT License."), (2, "d/LICENSE.a", "Licensed under the ISC License."), (3, "d/x", "text"), (4, "e/y", both)]
+    df = spark.createDataFrame(rows, "file long, path string, text string")
+    first = {r.file: (r.licence, r.licences) for r in licenses.licences(df).collect()}
+    again = {r.file: (r.licence, r.licences) for r in licenses.licences(df.orderBy("path").repartition(3)).collect()}
+    assert first == again and first[4][1] == ["BSD-2-Clause", "MIT"] and first[3][0] in ("MIT", "ISC")
