@@ -1,3 +1,6 @@
+import collections
+import itertools
+import math
 import pathlib
 import zlib
 
@@ -6,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.llm import quality, queries, toxicity
+from granary.llm import words as W
 from tests.llm.conftest import prose
 
 
@@ -203,3 +207,48 @@ def measures(spark, query, label, sf_dir):
 def test_held_out_rows_of_the_tables(spark, query, label):
     right, recall, precision, n = measures(spark, query, label, "/root/testdata/sf0.1")
     assert n > 500 and right >= 0.98 and recall >= 0.9 and precision >= 0.95
+
+
+def by_hand(text):
+    """The indicators of one text, gram by gram, as a set of buckets."""
+    kinds = [quality._KIND[b] for b in text]
+    runs = []
+    for k, same in itertools.groupby(kinds):
+        runs.append(int(k) * 2 + (len(list(same)) > 1))
+    words = [w for w in text.replace(b"\x0b", b" ").replace(b"\x0c", b" ").split()]
+    grams = [[tuple(runs[i : i + k]) for i in range(len(runs) - k + 1)] for k in quality.LENGTHS]
+    grams.append([int(i > 0 and words[i] == words[i - 1]) for i in range(len(words))])
+    held = set()
+    for k, found in zip((*quality.LENGTHS, None), grams, strict=True):
+        for g, n in collections.Counter(found).items():
+            if k is None:
+                h = np.array([g + (quality._SAME << 32)], dtype=np.uint64)
+            else:
+                h = np.array([k], dtype=np.uint64)
+                for x in g:
+                    h = h * np.uint64(0x9E3779B97F4A7C15) + np.uint64(x)
+            bucket = int(W.mix(h)[0] % np.uint64(quality.BUCKETS))
+            level = min(int(np.log2(len(found) / n)), quality.LEVELS)
+            held |= {bucket, (bucket * 31 + (level + 1) * 7919) % quality.BUCKETS}
+    return sorted(held)
+
+
+def test_quality_scores_of_the_query_one_by_one(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    got = {r.doc_id: (r.score, r.predicted) for r in queries.op1_quality(spark, sf_dir).collect()}
+    for r in docs.collect():
+        margin = sum(model.weights[b] for b in by_hand((r.text or "").encode())) + model.bias
+        score = 1 / (1 + math.exp(-min(30, max(-30, model.slope * margin + model.offset))))
+        assert got[r.doc_id] == (pytest.approx(score, abs=1e-9), int(score >= 0.3)), r.doc_id
+
+
+def test_toxicity_scores_of_the_query_one_by_one(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "labels"))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    known = sorted({(r.doc_id, r.toxic) for r in labels.collect() if r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 5 and r.doc_id in texts})
+    model = toxicity.learned([texts[i] for i, _ in known], np.array([y for _, y in known]))
+    got = {r.doc_id: (r.score, r.predicted, r.n_clauses) for r in queries.op9_toxicity(spark, sf_dir).collect()}
+    for i, t in texts.items():
+        found = model.clauses(t)
+        assert got[i] == (pytest.approx(model.score(found), abs=1e-6), int(model.score(found) >= 0.5), len(found))
