@@ -33,6 +33,31 @@ def _recent(df: DataFrame, day: Column, as_of: dt.date | str, days: int) -> Data
     return snapshots.trailing(df, day, as_of, days).filter(day <= dates.day_lit(as_of))
 
 
+def item_days(orders: DataFrame, as_of: dt.date | str, days: int = TREND_DAYS) -> DataFrame:
+    """Units per item, creation day and order day in the trailing window of either day.
+
+    Stands for the lines where sales and run rates are wanted together: both plans hold the
+    same aggregate, so Spark runs it, and the scan below it, once. Items and days are results of
+    the aggregate, so that the filters of either plan stay above it.
+    """
+    created, ordered = F.to_date("created_date"), F.col("order_date")
+    first, last = dates.day_lit(dates.to_day(as_of) - dt.timedelta(days=days)), dates.day_lit(as_of)
+    sums = (
+        orders.filter(created.between(first, last) | ordered.between(first, last))
+        .groupBy(F.col("inventory_id").alias("_item"), "inventory_name", created.alias("_created"), ordered.alias("_ordered"))
+        .agg(
+            F.min("inventory_id").alias("inventory_id"),
+            F.sum(F.coalesce("inventory_qty", F.lit(0))).alias("inventory_qty"),
+            F.min(created).alias("created_date"),
+            F.min(ordered).alias("order_date"),
+        )
+    )
+    # Tests that keep all results of the aggregate in both plans; the sum is never null.
+    for c in ("inventory_id", "created_date", "order_date"):
+        sums = sums.filter(F.col(c).isNotNull() | F.col("inventory_qty").isNotNull())
+    return sums.drop("_item", "_created", "_ordered")
+
+
 def daily_item_sales(orders: DataFrame, as_of: dt.date | str, days: int = TREND_DAYS) -> DataFrame:
     """Units per item and creation day over the trailing window."""
     created = F.to_date("created_date")

@@ -48,7 +48,8 @@ def executed(plan: str) -> list[str]:
     return out
 
 
-@pytest.mark.parametrize("name", ["run_rate", "run_rate_range", "run_rate_details", "zero_filled_daily_sales", "demand_shape"])
+@pytest.mark.parametrize("name", ["run_rate", "run_rate_range", "run_rate_details", "zero_filled_daily_sales", "demand_shape", "inventory_status",
+                                  "sales_vs_run_rate", "product_daily_series"])
 def test_facts_are_read_once(spark, sf_dir, name):
     df = registered()[name](spark, sf_dir)
     df.collect()

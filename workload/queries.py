@@ -330,6 +330,17 @@ def _item_sales(t: Tables) -> DataFrame:
     return reporting.daily_item_sales(lines, AS_OF)
 
 
+def _item_days(t: Tables) -> DataFrame:
+    lines = t.order_details("created_date", "order_date", "inventory_name", "inventory_id", "inventory_qty")
+    return reporting.item_days(lines, AS_OF)
+
+
+def _sales_and_rates(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Item sales and run rates from one pass over the lines."""
+    days = _item_days(t)
+    return reporting.daily_item_sales(days, AS_OF), planning.run_rate(days, t.stocked_snapshots(), AS_OF)
+
+
 def _trailing(t: Tables) -> DataFrame:
     lines = t.order_details("created_date", "inventory_id", "inventory_qty")
     return reporting.trailing_sales(lines, AS_OF)
@@ -347,7 +358,9 @@ def trailing_sales_30_60_90(t: Tables) -> DataFrame:
 
 @query
 def inventory_status(t: Tables) -> DataFrame:
-    return reporting.inventory_status(_rates(t), _trailing(t))
+    days = _item_days(t)
+    rates = planning.run_rate(days, t.stocked_snapshots(), AS_OF)
+    return reporting.inventory_status(rates, reporting.trailing_sales(days, AS_OF))
 
 
 @query
@@ -372,12 +385,12 @@ def product_options(t: Tables) -> DataFrame:
 
 @query
 def sales_vs_run_rate(t: Tables) -> DataFrame:
-    return reporting.sales_with_metrics(_item_sales(t), _rates(t))
+    return reporting.sales_with_metrics(*_sales_and_rates(t))
 
 
 @query
 def product_daily_series(t: Tables) -> DataFrame:
-    return reporting.product_daily_series(_item_sales(t), _rates(t))
+    return reporting.product_daily_series(*_sales_and_rates(t))
 
 
 @query
