@@ -217,9 +217,9 @@ def wholes(files: DataFrame, cosine: float = WHOLE) -> DataFrame:
     counts = lambda df, *key: {((*(r[k] for k in key),), r.token): r["count"] for r in df.select(*key, F.explode(_tokens(F.col("body"))).alias("token")).groupBy(*key, "token").count().collect()}
     tf = {(i, t): n for ((i,), t), n in counts(known, "template").items()}
     vocabulary = sorted({t for _, t in tf})
-    # One pass over all texts finds the tokens of templates that each has.
     once = F.array_distinct(_tokens(F.col("text")))
-    held = written(files.select("file", F.filter(once, lambda t: t.isin(vocabulary)).alias("held")), "held")
+    # One pass cuts all texts; they are kept beside the tokens of templates that they hold.
+    held = written(files.select("file", "text", F.filter(once, lambda t: t.isin(vocabulary)).alias("held")), "held")
     df = {r.token: r["count"] for r in held.select(F.explode("held").alias("token")).groupBy("token").count().collect()}
     for _, t in tf:
         df[t] = df.get(t, 0) + 1
@@ -236,8 +236,7 @@ def wholes(files: DataFrame, cosine: float = WHOLE) -> DataFrame:
             left -= own[i, t] ** 2
             if left <= 0:
                 rare.add(t)
-    worth = held.filter(F.arrays_overlap("held", F.array(*[F.lit(t) for t in sorted(rare)]))).select(F.col("file").alias("_file")).distinct()
-    near = files.join(worth, F.col("file").eqNullSafe(F.col("_file")), "left_semi")
+    near = held.filter(F.arrays_overlap("held", F.array(*[F.lit(t) for t in sorted(rare)]))).select("file", "text")
     units = written(_units(near).withColumn("form", F.xxhash64(F.lower("body"))), "units")
     idfs = spark.createDataFrame(list(idf.items()), "token string, idf double")
     weights = spark.createDataFrame([(i, t, w) for (i, t), w in own.items()], "template int, token string, other double")
