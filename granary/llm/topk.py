@@ -5,7 +5,9 @@ query reads in order: from the largest value where its own component is positive
 smallest where it is negative. What a vector has shown so far, plus the place that each list
 has reached, bounds its score from above; with the last value of each list instead it is
 bounded from below. Reading stops when few vectors can still reach the query's k-th best
-lower bound, and their final scores are resolved.
+lower bound, and their final scores are resolved. At one depth the lists have shown the same
+values to all queries, so bounds are products of the queries with the vectors as shown, what
+is unread being replaced by the place of its list.
 
 Vectors are dealt into blocks and queries into slices of bounded size; a task reads the lists
 of one block for the queries of one slice. The first block is read before the others: a
@@ -54,48 +56,56 @@ def read_lists(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries
     most = width * max(1, int(np.abs(rows).max(initial=0))) * max(1, int(np.abs(queries).max(initial=0)))
     if most >= 2**62:
         raise ValueError("components are too large for scores of 64 bits")
-    # Doubles hold these whole numbers exactly, and multiply faster.
-    kind = np.float64 if most < 2**53 else np.int64
-    nothing = kind(-(2**52)) if kind is np.float64 else kind(-(2**62))
+    # Floats hold these whole numbers and all their sums exactly, and multiply faster.
+    kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
+    nothing = kind(-(2**62))
     place = np.argsort(rows, axis=0, kind="stable")
     value = np.take_along_axis(rows, place, axis=0).astype(kind)
-    rank = np.empty_like(place)
-    np.put_along_axis(rank, place, np.arange(n)[:, None], axis=0)
+    rank = np.empty(place.shape, dtype=np.int32)
+    np.put_along_axis(rank, place, np.arange(n, dtype=np.int32)[:, None], axis=0)
+    shown = rows.astype(kind)
+    # Positive components read a list from its end, negative ones from its start.
+    signed = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).astype(kind)
+    bars = np.maximum(floors, int(nothing)).astype(kind)
     step = max(32, math.ceil(n / STEPS))
-    for begin in range(0, len(queries), TOGETHER):
-        active = np.arange(begin, min(begin + TOGETHER, len(queries)))
-        known = np.zeros((n, len(active)), dtype=kind)
-        for at in range(0, n, step):
-            end = min(n, at + step)
-            q = queries[active].astype(kind)
-            up, down = np.maximum(q, 0), np.minimum(q, 0)
-            for d in range(width):
-                known[place[n - end : n - at, d]] += value[n - end : n - at, d, None] * up[None, :, d]
-                known[place[at:end, d]] += value[at:end, d, None] * down[None, :, d]
-            high = low = known
-            if end < n:
-                top, bottom = up.T * value[n - end - 1][:, None], down.T * value[end][:, None]
-                if (top.sum(axis=0) + bottom.sum(axis=0) >= np.maximum(floors[active], nothing)).all():
-                    continue  # rows that no list has shown could still qualify
-                unread_top, unread_bottom = (rank < n - end).astype(kind), (rank >= end).astype(kind)
-                high = known + unread_top @ top + unread_bottom @ bottom
-                low = known + unread_top @ (up.T * value[0][:, None]) + unread_bottom @ (down.T * value[-1][:, None])
-            own = ids[:, None] == query_ids[None, active]
-            bar = np.maximum(floors[active], nothing).astype(kind)
-            if n > k:
-                low = np.where(own, nothing, low)
-                bar = np.maximum(bar, np.partition(low, n - k, axis=0)[n - k])
-            alive = (high >= bar) & ~own
-            done = (alive.sum(axis=0) <= max(4 * k, n * RESOLVED)) | (end == n)
-            for j in np.flatnonzero(done):
-                at_rows = np.flatnonzero(alive[:, j])
-                scores = rows[at_rows] @ queries[active[j]]
+    reading = np.arange(len(queries))
+    for end in [*range(step, n, step), n] if n else []:
+        if not len(reading):
+            break
+        ready = reading
+        if end < n:
+            top, bottom = value[n - end - 1], value[end]
+            # Elsewhere rows that no list has shown could still qualify.
+            ready = reading[signed[reading] @ np.concatenate([top, bottom]) < bars[reading]]
+            if not len(ready):
+                continue
+            high_rows = np.concatenate([np.maximum(shown, top), np.minimum(shown, bottom)], axis=1)
+            low_rows = np.concatenate([np.where(rank >= n - end, shown, value[0]), np.where(rank < end, shown, value[-1])], axis=1)
+        else:
+            high_rows = low_rows = np.concatenate([shown, shown], axis=1)
+        finished = []
+        for begin in range(0, len(ready), TOGETHER):
+            some = ready[begin : begin + TOGETHER]
+            own = query_ids[some, None] == ids[None, :]
+            high = signed[some] @ high_rows.T
+            high[own] = nothing
+            few = max(4 * k, n * RESOLVED)
+            open_ = np.flatnonzero((high >= bars[some, None]).sum(axis=1) > few)
+            if n > k and len(open_):
+                low = high[open_] if end == n else signed[some[open_]] @ low_rows.T
+                low[own[open_]] = nothing
+                best = np.partition(low, n - k, axis=1)[:, n - k]
+                bars[some[open_]] = np.maximum(bars[some[open_]], best)
+            alive = (high >= bars[some, None]) & ~own
+            done = np.flatnonzero((alive.sum(axis=1) <= few) | (end == n))
+            for j in done:
+                q, at_rows = some[j], np.flatnonzero(alive[j])
+                scores = rows[at_rows] @ queries[q]
                 first = np.lexsort((ids[at_rows], -scores))[:k]
-                first = first[scores[first] >= floors[active[j]]]
-                yield int(active[j]), at_rows[first], scores[first]
-            if done.all():
-                break
-            active, known = active[~done], known[:, ~done]
+                first = first[scores[first] >= floors[q]]
+                yield int(q), at_rows[first], scores[first]
+            finished.append(some[done])
+        reading = np.setdiff1d(reading, np.concatenate(finished), assume_unique=True)
 
 
 def _matrix(table: pa.Table, name: str, width: int) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -82,3 +83,24 @@ def test_reading_stops_early_and_is_exact():
     for q in range(20):
         scores = sorted((-int(rows[i] @ queries[q]), int(ids[i])) for i in range(3000) if i != q)[:5]
         assert got[q] == [(-s, i) for s, i in scores if -s >= floors[q]]
+
+
+@pytest.mark.parametrize("most", [200, 2**20, 2**27])
+def test_reading_costs_little_more_than_the_products(most):
+    """Lists of wide vectors are read nearly to their end, in any kind of numbers, without
+    work of their own for each query and list."""
+    rng = np.random.default_rng(2)
+    rows = np.floor(rng.standard_normal((2048, 64)).clip(-4, 4) / 4 * most).astype(np.int64)
+    rows[5] = rows[9]  # a tie
+    ids, asked = rng.permutation(2048).astype(np.int64), np.arange(0, 2048, 8)
+    begun = time.thread_time()
+    scores = rows[asked] @ rows.T
+    products = time.thread_time() - begun
+    scores[ids[asked][:, None] == ids[None, :]] = -(2**62)
+    best = [sorted(zip((-scores[q]).tolist(), ids.tolist(), strict=True))[:5] for q in range(len(asked))]
+    for floors in (np.full(len(asked), -(2**62)), np.sort(scores, axis=1)[:, -7]):
+        begun = time.thread_time()
+        found = list(topk.read_lists(ids, rows, ids[asked], rows[asked], floors, 5))
+        spent = time.thread_time() - begun
+        assert {q: list(zip((-s).tolist(), ids[at].tolist(), strict=True)) for q, at, s in found} == dict(enumerate(best))
+        assert most > 200 or spent < 10 * products + 0.1, (spent, products)
