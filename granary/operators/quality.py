@@ -221,37 +221,22 @@ def _range(c: Column, ranges: int) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(ranges)).cast("int")
 
 
-def _fingerprints(ids: DataFrame, ranges: int, side: str) -> DataFrame:
-    """Count and two independent sums over the hashes of each range's ids, in any order.
-
-    Sums of 64-bit hashes wrap (``bit_xor``) or are split in halves, so no range overflows.
-    """
-    return (
-        ids.groupBy(_range(F.col("id"), ranges).alias("range"))
-        .agg(
-            F.count("*").alias(f"n{side}"),
-            F.bit_xor(F.xxhash64("id", F.lit(1))).alias(f"x{side}"),
-            F.sum(F.shiftrightunsigned(F.xxhash64("id", F.lit(2)), 32)).alias(f"s{side}"),
-        )
-    )
-
-
 def differing_ids(left: DataFrame, left_id: str, right: DataFrame, right_id: str, ranges: int = 1024) -> DataFrame:
     """``(id, side)`` of ids that only one of two frames has; nulls are no ids.
 
-    Both sides are reduced to a fingerprint for each range of id hashes first, and only ids of
-    ranges that differ are joined: where nothing is lost, nothing is.
+    The ids of both sides meet in one aggregate with a row for each id: either side is read
+    once, nothing is joined, and an id that repeats reaches the shuffle once a task.
     """
-    ids = [df.select(F.col(c).alias("id")).filter("id is not null").distinct() for df, c in ((left, left_id), (right, right_id))]
-    one, two = (_fingerprints(x, ranges, side) for x, side in zip(ids, ("_left", "_right"), strict=True))
-    same = F.lit(True)
-    for c in "nxs":
-        same = same & F.col(f"{c}_left").eqNullSafe(F.col(f"{c}_right"))
-    # At most ``ranges`` numbers.
-    differ = [r["range"] for r in one.join(two, "range", "full_outer").filter(~same).select("range").collect()]
-    near = [x.filter(_range(F.col("id"), ranges).isin(differ)) if differ else x.limit(0) for x in ids]
-    lost = near[0].join(near[1], "id", "left_anti").select("id", F.lit("left").alias("side"))
-    return lost.unionByName(near[1].join(near[0], "id", "left_anti").select("id", F.lit("right").alias("side")))
+    bits = {"left": 1, "right": 2}
+    ids = [
+        df.select(F.col(c).alias("id"), F.lit(bit).alias("sides")).filter("id is not null")
+        for df, c, bit in ((left, left_id, bits["left"]), (right, right_id, bits["right"]))
+    ]
+    # Dealt by range too: results dealt by id alone would share their tasks, and the memory of
+    # one, in a union.
+    met = ids[0].unionByName(ids[1]).groupBy(_range(F.col("id"), ranges).alias("range"), "id").agg(F.bit_or("sides").alias("sides"))
+    side = F.when(F.col("sides") == bits["left"], "left").otherwise("right").alias("side")
+    return met.filter(F.col("sides") != sum(bits.values())).select("id", side)
 
 
 def require_complete(

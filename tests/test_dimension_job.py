@@ -119,3 +119,24 @@ def test_lost_ids_are_named(spark, tmp_path):
     assert quality.differing_ids(empty, "id", empty, "id").count() == 0
     nulls = docs.limit(3).withColumn("id", F.when(F.col("id") > 0, F.col("id")))
     assert quality.differing_ids(nulls, "id", empty, "id").count() == 2
+
+
+def test_lost_ids_read_either_side_once(spark):
+    """One aggregate and no join, nothing runs before the result is asked for, and a union of
+    two results does not put both aggregates in one task."""
+    docs = spark.createDataFrame([(i % 50 if i % 7 else None,) for i in range(400)] + [(999,)] * 5, "id long").repartition(3)
+    flat = spark.createDataFrame([(i % 60 if i % 5 else None,) for i in range(400)] + [(-1,)] * 5, "o int").repartition(3)
+    here = {i % 50 for i in range(400) if i % 7} | {999}
+    there = {i % 60 for i in range(400) if i % 5} | {-1}
+    expected = sorted([(i, "left") for i in here - there] + [(i, "right") for i in there - here])
+    spark.sparkContext.setJobGroup("lost ids", "")
+    lost = quality.differing_ids(docs, "id", flat, "o")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lost ids")
+    assert sorted(tuple(r) for r in lost.collect()) == expected
+    plan = lost._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("LogicalRDD") == 2
+    both = lost.unionByName(quality.differing_ids(flat, "o", docs, "id")).coalesce(1000)
+    tasks = both.withColumn("task", F.spark_partition_id())
+    assert tasks.count() == 2 * len(expected)
+    alone = lost._jdf.queryExecution().executedPlan().outputPartitioning().toString()
+    assert "hashpartitioning(id" not in alone
