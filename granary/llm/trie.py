@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -55,21 +56,21 @@ def cut(top: bytes, turns: list[bytes], height: int, end: bytes | None) -> list[
     return cut(top, turns[:half], half, middle) + cut(middle, turns[half:], half, end)
 
 
-def _page_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fingerprints of full pages."""
+def _page_prints(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Fingerprints of full pages, which have ``size`` turns."""
     for batch in batches:
-        prints = [_name(*t) if len(t) == PAGE else None for t in batch.column("turns").to_pylist()]
+        prints = [_name(*t) if len(t) == size else None for t in batch.column("turns").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("page"), pa.array(prints, pa.binary())], names=["conv_id", "m", "print"])
 
 
-def _page_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Names of the nodes along each page."""
+def _page_names(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Names of the nodes along each page of ``size`` turns at most."""
     for batch in batches:
         names = []
         for turns, top, end in zip(*(batch.column(c).to_pylist() for c in ("turns", "top", "end")), strict=True):
-            if len(turns) == PAGE and end is None:
+            if len(turns) == size and end is None:
                 end = _name(top, _name(*turns))
-            names.append(cut(top, turns, PAGE, end))
+            names.append(cut(top, turns, size, end))
         kept = ["conv_id", "page", "top", "sizes"]
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(names, pa.list_(pa.binary()))], names=[*kept, "names"])
 
@@ -83,7 +84,7 @@ def _tops(pages: DataFrame) -> DataFrame:
         return pages.withColumns({"top": root, "end": none})
     long = pages.filter("page > 0").groupBy("conv_id").agg((F.max("page") + 1).alias("pages"))
     mine = written(pages.join(long, "conv_id").select("conv_id", "page", "turns"), "trie-long")
-    prints = [written(mine.mapInArrow(_page_prints, "conv_id long, m long, print binary").filter("print is not null"), "trie-prints")]
+    prints = [written(mine.mapInArrow(partial(_page_prints, size=PAGE), "conv_id long, m long, print binary").filter("print is not null"), "trie-prints")]
     levels = int(count).bit_length()
     for _ in range(levels - 1):
         sides = [F.max(F.when(F.col("m") % 2 == side, F.col("print"))).alias(n) for side, n in enumerate(("left", "right"))]
@@ -177,7 +178,7 @@ def prefix_trie(sequences: DataFrame, members: DataFrame) -> DataFrame:
         "trie-pages",
     )
     paths = written(
-        _tops(pages).mapInArrow(_page_names, "conv_id long, page long, top binary, sizes array<long>, names array<binary>"), "trie-paths"
+        _tops(pages).mapInArrow(partial(_page_names, size=PAGE), "conv_id long, page long, top binary, sizes array<long>, names array<binary>"), "trie-paths"
     )
 
     above = F.concat(F.array("top"), F.slice("names", 1, F.greatest(F.size("names") - 1, F.lit(1))))

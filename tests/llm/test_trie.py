@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 
 from granary.llm import trie
@@ -106,3 +107,16 @@ def test_names_tell_nodes_apart():
         for d, name in enumerate(trie.cut(trie.ROOT, turns, 16, end)):
             assert names.setdefault(name, tuple(turns[: d + 1])) == tuple(turns[: d + 1])
     assert len(set(names.values())) == len(names)
+
+
+def test_the_page_size_travels_with_the_work():
+    """Workers may import the module for themselves: they cut pages of the size they are given."""
+    turns = [bytes([i]) * 16 for i in range(4)]
+    whole, part = trie._name(trie.ROOT, trie._name(*turns)), trie._name(*turns)
+    pages = pa.RecordBatch.from_pylist(
+        [{"conv_id": 1, "page": 0, "top": trie.ROOT, "end": None, "sizes": [1] * n, "turns": turns[:n]} for n in (4, 3)]
+    )
+    assert next(trie._page_prints(iter([pages]), size=4)).column("print").to_pylist() == [part, None]
+    assert next(trie._page_names(iter([pages]), size=4)).column("names").to_pylist() == [
+        trie.cut(trie.ROOT, turns, 4, whole), trie.cut(trie.ROOT, turns[:3], 4, None)
+    ]
